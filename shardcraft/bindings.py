@@ -225,3 +225,38 @@ def heavy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def shard_count_sql() -> str:
     return "(SELECT count(*) FROM customer)"
+
+
+# Counter names of the buffer-pool hit ratio.
+READ_REQUESTS = "Innodb_buffer_pool_read_requests"
+DISK_READS = "Innodb_buffer_pool_reads"
+
+
+def status_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly status snapshots per node: two monotone counters derived from the
+    query log (all statements = read requests, failed ones = disk reads).
+    The running sum runs over hourly aggregate rows, not over events."""
+    from pyspark.sql import Window
+    q = query_log(spark, sf_dir)
+    h = q.groupBy("node", F.date_trunc("hour", "ts").alias("snapshot_ts")).agg(
+        F.count(F.lit(1)).alias(READ_REQUESTS),
+        F.sum((~F.col("ok")).cast("long")).alias(DISK_READS))
+    long = h.select("node", "snapshot_ts", F.explode(F.array(
+        F.struct(F.lit(READ_REQUESTS).alias("variable_name"), F.col(READ_REQUESTS).alias("n")),
+        F.struct(F.lit(DISK_READS).alias("variable_name"), F.col(DISK_READS).alias("n")))).alias("c"))
+    long = long.select("node", "snapshot_ts", "c.variable_name", "c.n")
+    w = Window.partitionBy("node", "variable_name").orderBy("snapshot_ts") \
+              .rowsBetween(Window.unboundedPreceding, 0)
+    return long.select("node", "snapshot_ts", "variable_name", F.sum("n").over(w).alias("value"))
+
+
+STATUS_SNAPSHOTS_SQL = f"""
+SELECT node, snapshot_ts, variable_name,
+       CAST(sum(n) OVER (PARTITION BY node, variable_name ORDER BY snapshot_ts
+                         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS value
+FROM (SELECT node, date_trunc('hour', ts) AS snapshot_ts, '{READ_REQUESTS}' AS variable_name,
+             count(*) AS n FROM ({QUERY_LOG_SQL}) GROUP BY 1, 2
+      UNION ALL
+      SELECT node, date_trunc('hour', ts), '{DISK_READS}',
+             sum(CASE WHEN ok THEN 0 ELSE 1 END) FROM ({QUERY_LOG_SQL}) GROUP BY 1, 2)
+"""
