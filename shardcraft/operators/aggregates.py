@@ -14,9 +14,24 @@ from pyspark.sql import functions as F
 from . import topk
 
 
-def avg_round(col, digits: int = 4) -> Column:
+def avg_round(col, digits: int = 4, scale: int = 2) -> Column:
+    """Average rounded to ``digits`` (see :func:`avg_fixed`)."""
+    return avg_fixed(col, scale, digits)
+
+
+def avg_fixed(col, scale: int = 2, digits: int = 4) -> Column:
+    """Average of a non-negative measure recorded with ``scale`` decimals,
+    rounded half-up to ``digits`` with integer arithmetic only: the sum of
+    units is exact, and ``(2 * units * 10^(digits-scale) + n) div (2n)`` is
+    the rounded average in units of 10^-digits.  The result therefore does
+    not depend on the order of addition or on binary rounding of doubles."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.round(F.sum(c).cast("double") / F.count(c), digits)
+    units = F.sum((c.cast(f"decimal(18,{scale})") * F.lit(10 ** scale)).cast("decimal(38,0)"))
+    n = F.count(c).cast("decimal(38,0)")
+    a = units * F.lit(2 * 10 ** (digits - scale)) + n
+    b = n * F.lit(2)
+    q = ((a - F.pmod(a, b)) / b).cast("decimal(38,0)")
+    return q.cast("double") / F.lit(float(10 ** digits))
 
 
 def top_users(df: DataFrame, since, min_orders: int, n: int,
@@ -57,7 +72,7 @@ def json_avg(df: DataFrame, group, json_col: str, path: str) -> DataFrame:
     group = [group] if isinstance(group, str) else list(group)
     v = json_number(json_col, path)
     return df.groupBy(*group).agg(F.count(F.lit(1)).alias("n"),
-                                  F.round(F.avg(v), 4).alias("avg_value"))
+                                  avg_fixed(v, 0).alias("avg_value"))
 
 
 def ledger_summary(df: DataFrame, n: int = 50) -> DataFrame:
@@ -85,9 +100,9 @@ def text_profile(df: DataFrame, group: str, text_col: str, min_count: int = 10,
     if where is not None:
         df = df.where(where)
     aggs = [F.count(F.lit(1)).alias("count"),
-            avg_round(F.octet_length(text_col)).alias("avg_text_length")]
+            avg_fixed(F.octet_length(text_col), 0).alias("avg_text_length")]
     if json_col:
-        aggs.append(avg_round(json_number(json_col, json_path).cast("decimal(10,6)"), 6)
+        aggs.append(avg_fixed(json_number(json_col, json_path).cast("decimal(10,6)"), 6, 6)
                     .alias("avg_random_val"))
     return (df.groupBy(group).agg(*aggs)
               .where(F.col("count") > min_count))
@@ -107,7 +122,7 @@ def stats(df: DataFrame, group, col: str, prefix: str = "") -> DataFrame:
     c = F.col(col).cast("double")
     return df.groupBy(*group).agg(
         F.count(c).alias(prefix + "n"),
-        F.round(F.avg(c), 4).alias(prefix + "avg"),
+        avg_fixed(c).alias(prefix + "avg"),
         F.round(F.min(c), 4).alias(prefix + "min"),
         F.round(F.max(c), 4).alias(prefix + "max"),
         F.round(F.stddev_pop(c), 4).alias(prefix + "stddev"))

@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .aggregates import avg_fixed
+
 # The sharding lab's monitoring thresholds.
 THRESHOLDS = {"query_ms": 1000.0, "connect_ms": 500.0, "error_rate": 0.05}
 
@@ -23,7 +25,7 @@ def throughput(log: DataFrame, run: str, thread: str, ts: str, op: str,
     per_thread = log.groupBy(run, thread).agg(
         F.count(F.lit(1)).alias("total_ops"),
         F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"),
-        F.round(F.avg(duration), 4).alias("avg_ms_per_op"),
+        avg_fixed(duration).alias("avg_ms_per_op"),
         *[F.sum((F.col(op) == o).cast("long")).alias(f"ops_{o}") for o in ops])
     per_run = log.groupBy(run).agg(F.min(ts).alias("run_first"), F.max(ts).alias("run_last"))
     own = _span_seconds(F.col("first_ts"), F.col("last_ts"))
@@ -44,7 +46,7 @@ def error_rate(log: DataFrame, group, ok: str, duration: str,
     g = log.groupBy(*group).agg(
         F.count(F.lit(1)).alias("total"),
         F.sum((~F.col(ok)).cast("long")).alias("errors"),
-        F.round(F.avg(duration), 4).alias("avg_ms"),
+        avg_fixed(duration).alias("avg_ms"),
         F.round(F.max(duration), 4).alias("max_ms"),
         F.sum((F.col(duration) > t["query_ms"]).cast("long")).alias("slow"))
     rate = F.col("errors") / F.nullif(F.col("total"), F.lit(0))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import joins_audit, mutation_io, relational, sharding, windows_metrics  # noqa: F401
+from . import joins_audit, mutation_io, relational, sharding, streams, windows_metrics  # noqa: F401
 from .registry import QUERIES
 
 

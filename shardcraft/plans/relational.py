@@ -120,7 +120,7 @@ def k3_latest_prefix(spark, sf):
 
 @register("a2_top_users", f"""{SALES_CTE}
 SELECT user_id, count(*) AS order_count,
-       round(CAST(sum(price) AS DOUBLE) / count(price), 4) AS avg_price,
+       (CAST((sum(CAST(CAST(price AS DECIMAL(18,2)) * 100 AS BIGINT)) * 200 + count(price)) // (2 * count(price)) AS DOUBLE) / 10000.0) AS avg_price,
        CAST(sum(quantity) AS BIGINT) AS total_quantity
 FROM sales WHERE order_date >= {_days_before(90)}
 GROUP BY user_id HAVING count(*) > 2
@@ -130,7 +130,7 @@ def a2_top_users(spark, sf):
 
 
 @register("a3_status_summary", f"""{SALES_CTE}
-SELECT status, count(*) AS count, round(CAST(sum(price) AS DOUBLE) / count(price), 4) AS avg_price,
+SELECT status, count(*) AS count, (CAST((sum(CAST(CAST(price AS DECIMAL(18,2)) * 100 AS BIGINT)) * 200 + count(price)) // (2 * count(price)) AS DOUBLE) / 10000.0) AS avg_price,
        min(price) AS min_price, max(price) AS max_price,
        CAST(sum(quantity) AS BIGINT) AS total_quantity
 FROM sales GROUP BY status""")
@@ -140,7 +140,7 @@ def a3_status_summary(spark, sf):
 
 @register("a4_status_summary_json", """
 SELECT event_type AS status, count(*) AS count,
-       round(CAST(sum(CAST(value AS DECIMAL(12,2))) AS DOUBLE) / count(value), 4) AS avg_price,
+       (CAST((sum(CAST(CAST(value AS DECIMAL(18,2)) * 100 AS BIGINT)) * 200 + count(value)) // (2 * count(value)) AS DOUBLE) / 10000.0) AS avg_price,
        min(CAST(value AS DECIMAL(12,2))) AS min_price, max(CAST(value AS DECIMAL(12,2))) AS max_price
 FROM events WHERE CAST(json_extract(props, '$.k') AS DOUBLE) < 50
 GROUP BY event_type""")
@@ -152,7 +152,7 @@ def a4_status_summary_json(spark, sf):
 
 
 @register("a5_json_avg", """
-SELECT user_id, count(*) AS n, round(avg(CAST(json_extract(props, '$.k') AS DOUBLE)), 4) AS avg_value
+SELECT user_id, count(*) AS n, (CAST((sum(CAST(CAST(CAST(json_extract(props, '$.k') AS DOUBLE) AS DECIMAL(18,0)) * 1 AS BIGINT)) * 20000 + count(CAST(json_extract(props, '$.k') AS DOUBLE))) // (2 * count(CAST(json_extract(props, '$.k') AS DOUBLE))) AS DOUBLE) / 10000.0) AS avg_value
 FROM events GROUP BY user_id""")
 def a5_json_avg(spark, sf):
     return aggregates.json_avg(B.events(spark, sf), "user_id", "props", "$.k")
@@ -171,7 +171,7 @@ def a6_ledger_summary(spark, sf):
 
 @register("a7_text_profile", """
 SELECT lang, count(*) AS count,
-       round(CAST(sum(strlen(text)) AS DOUBLE) / count(strlen(text)), 4) AS avg_text_length
+       (CAST((sum(CAST(CAST(strlen(text) AS DECIMAL(18,0)) * 1 AS BIGINT)) * 20000 + count(strlen(text))) // (2 * count(strlen(text))) AS DOUBLE) / 10000.0) AS avg_text_length
 FROM documents GROUP BY lang HAVING count(*) > 10""")
 def a7_text_profile(spark, sf):
     d = B.table(spark, sf, "documents").select("lang", "text")
@@ -180,9 +180,8 @@ def a7_text_profile(spark, sf):
 
 @register("a7_text_profile_json", f"""
 SELECT event_type, count(*) AS count,
-       round(CAST(sum(strlen(props)) AS DOUBLE) / count(strlen(props)), 4) AS avg_text_length,
-       round(CAST(sum(CAST(CAST(json_extract(props, '$.k') AS DOUBLE) / 100 AS DECIMAL(10,6))) AS DOUBLE)
-             / count(CAST(json_extract(props, '$.k') AS DOUBLE)), 6) AS avg_random_val
+       (CAST((sum(CAST(CAST(strlen(props) AS DECIMAL(18,0)) * 1 AS BIGINT)) * 20000 + count(strlen(props))) // (2 * count(strlen(props))) AS DOUBLE) / 10000.0) AS avg_text_length,
+       (CAST((sum(CAST(CAST(CAST(CAST(json_extract(props, '$.k') AS DOUBLE) / 100 AS DECIMAL(10,6)) AS DECIMAL(18,6)) * 1000000 AS BIGINT)) * 2 + count(CAST(CAST(json_extract(props, '$.k') AS DOUBLE) / 100 AS DECIMAL(10,6)))) // (2 * count(CAST(CAST(json_extract(props, '$.k') AS DOUBLE) / 100 AS DECIMAL(10,6)))) AS DOUBLE) / 1000000.0) AS avg_random_val
 FROM events WHERE ts >= {B.EVENTS_AS_OF_SQL} - INTERVAL 72 HOUR
 GROUP BY event_type HAVING count(*) > 10""")
 def a7_text_profile_json(spark, sf):
@@ -202,7 +201,7 @@ def a8_distribution(spark, sf):
 
 
 _STATS_SQL = """
-SELECT node, count(v) AS {p}n, round(avg(v), 4) AS {p}avg, round(min(v), 4) AS {p}min,
+SELECT node, count(v) AS {p}n, (CAST((sum(CAST(CAST(v AS DECIMAL(18,2)) * 100 AS BIGINT)) * 200 + count(v)) // (2 * count(v)) AS DOUBLE) / 10000.0) AS {p}avg, round(min(v), 4) AS {p}min,
        round(max(v), 4) AS {p}max, round(stddev_pop(v), 4) AS {p}stddev
 FROM q WHERE op_type = '{t}' GROUP BY node"""
 

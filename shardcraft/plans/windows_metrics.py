@@ -110,7 +110,7 @@ EVENT_TYPES = ["signup", "view", "error", "click", "purchase"]
 
 @register("a14_throughput", f"""WITH e AS (SELECT CAST(ts AS DATE) AS run_day, user_id, ts, event_type, value FROM events),
 t AS (SELECT run_day, user_id, count(*) AS total_ops, min(ts) AS first_ts, max(ts) AS last_ts,
-             round(avg(value), 4) AS avg_ms_per_op,
+             (CAST((sum(CAST(CAST(value AS DECIMAL(18,2)) * 100 AS BIGINT)) * 200 + count(value)) // (2 * count(value)) AS DOUBLE) / 10000.0) AS avg_ms_per_op,
              {", ".join(f"CAST(sum(CASE WHEN event_type = '{o}' THEN 1 ELSE 0 END) AS BIGINT) AS ops_{o}" for o in EVENT_TYPES)}
       FROM e GROUP BY run_day, user_id),
 r AS (SELECT run_day, min(ts) AS run_first, max(ts) AS run_last FROM e GROUP BY run_day)
@@ -128,7 +128,7 @@ def a14_throughput(spark, sf):
 
 @register("a16_error_rate", f"""WITH q AS ({B.QUERY_LOG_SQL}),
 g AS (SELECT node, count(*) AS total, CAST(sum(CASE WHEN ok THEN 0 ELSE 1 END) AS BIGINT) AS errors,
-             round(avg(duration_ms), 4) AS avg_ms, round(max(duration_ms), 4) AS max_ms,
+             (CAST((sum(CAST(CAST(duration_ms AS DECIMAL(18,2)) * 100 AS BIGINT)) * 200 + count(duration_ms)) // (2 * count(duration_ms)) AS DOUBLE) / 10000.0) AS avg_ms, round(max(duration_ms), 4) AS max_ms,
              CAST(sum(CASE WHEN duration_ms > 1000.0 THEN 1 ELSE 0 END) AS BIGINT) AS slow
       FROM q GROUP BY node)
 SELECT *, round(1 - errors / total, 6) AS success_rate, round(errors / total, 6) AS error_rate,
