@@ -38,9 +38,11 @@ POS_CHUNK = 1 << 20
 
 
 def read_changes(spark: SparkSession, path: str, fmt: str = "parquet",
-                 max_files_per_trigger: int | None = None) -> DataFrame:
+                 max_files_per_trigger: int | None = None, recursive: bool = False) -> DataFrame:
     """IO7: a streaming DataFrame of row changes (``pos, commit_ts, op, tbl, pk, row``)."""
     r = spark.readStream.format(fmt).schema(CHANGE_SCHEMA)
+    if recursive:
+        r = r.option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return r.load(path)

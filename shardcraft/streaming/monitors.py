@@ -18,6 +18,17 @@ MAX_LAG_SECONDS = 10
 SLOW_MS = 2000.0
 
 
+def _event_time(df: DataFrame, col: str, watermark: str) -> DataFrame:
+    """Watermarks need TIMESTAMP; NTZ event times are read in the session zone."""
+    if type(df.schema[col].dataType).__name__ == "TimestampNTZType":
+        df = df.withColumn(col, F.col(col).cast("timestamp"))
+    return df.withWatermark(col, watermark)
+
+
+def _ntz(c):
+    return c.cast("timestamp_ntz")
+
+
 def _seconds(lo, hi):
     return F.timestamp_diff("MICROSECOND", lo, hi) / F.lit(1_000_000.0)
 
@@ -28,14 +39,15 @@ def replication_lag(source: DataFrame, applied: DataFrame, max_lag_s: float = MA
     over ``max_lag_s``, and unmatched changes (apply later than ``bound`` or
     never) with NULL apply time.  A time-bounded left outer join with
     watermarks on both sides, so the stream's state stays bounded."""
-    s = source.select(F.col("pos").alias("s_pos"), "commit_ts").withWatermark("commit_ts", watermark)
-    a = applied.select("replica", F.col("pos").alias("a_pos"), "apply_ts").withWatermark("apply_ts", watermark)
+    s = _event_time(source.select(F.col("pos").alias("s_pos"), "commit_ts"), "commit_ts", watermark)
+    a = _event_time(applied.select("replica", F.col("pos").alias("a_pos"), "apply_ts"), "apply_ts", watermark)
     cond = ((F.col("s_pos") == F.col("a_pos"))
             & (F.col("apply_ts") >= F.col("commit_ts"))
             & (F.col("apply_ts") <= F.col("commit_ts") + F.expr(f"INTERVAL {bound}")))
     j = s.join(a, cond, "leftOuter")
     lag = _seconds(F.col("commit_ts"), F.col("apply_ts"))
-    return j.select(F.col("s_pos").alias("pos"), "commit_ts", "replica", "apply_ts",
+    return j.select(F.col("s_pos").alias("pos"), _ntz(F.col("commit_ts")).alias("commit_ts"), "replica",
+                    _ntz(F.col("apply_ts")).alias("apply_ts"),
                     F.round(lag, 6).alias("lag_s"),
                     F.coalesce(lag > max_lag_s, F.lit(True)).alias("lagging"))
 
@@ -47,11 +59,11 @@ def sync_monitor(source: DataFrame, applied: DataFrame, window: str = "5 minutes
     s = source.select(F.col("commit_ts").alias("ts"), F.lit(None).cast("string").alias("replica"),
                       F.lit(True).alias("is_source"))
     a = applied.select(F.col("apply_ts").alias("ts"), "replica", F.lit(False).alias("is_source"))
-    u = s.unionByName(a).withWatermark("ts", watermark)
+    u = _event_time(s.unionByName(a), "ts", watermark)
     g = u.groupBy(F.window("ts", window).alias("w")).agg(
         F.sum(F.col("is_source").cast("long")).alias("source_changes"),
         F.sum((~F.col("is_source")).cast("long")).alias("applied_changes"))
-    return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+    return g.select(_ntz(F.col("w.start")).alias("window_start"), _ntz(F.col("w.end")).alias("window_end"),
                     "source_changes", "applied_changes",
                     (F.col("source_changes") == F.col("applied_changes")).alias("in_sync"))
 
@@ -62,13 +74,13 @@ def service_metrics(log: DataFrame, size: str, slide: str | None = None, by: str
     """T4: per window and node: statements, per second, avg/max ms, error rate."""
     seconds = F.timestamp_diff("SECOND", F.col("w.start"), F.col("w.end"))
     wnd = F.window(ts, size, slide) if slide else F.window(ts, size)
-    g = (log.withWatermark(ts, watermark)
+    g = (_event_time(log, ts, watermark)
             .groupBy(wnd.alias("w"), by)
             .agg(F.count(F.lit(1)).alias("statements"),
                  avg_fixed(duration).alias("avg_ms"),
                  F.round(F.max(duration), 4).alias("max_ms"),
                  F.sum((~F.col(ok)).cast("long")).alias("errors")))
-    return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), by,
+    return g.select(_ntz(F.col("w.start")).alias("window_start"), _ntz(F.col("w.end")).alias("window_end"), by,
                     "statements", F.round(F.col("statements") / seconds, 6).alias("per_second"),
                     "avg_ms", "max_ms", "errors",
                     F.round(F.col("errors") / F.col("statements"), 6).alias("error_rate"))
@@ -98,11 +110,11 @@ def slow_queries(log: DataFrame, threshold_ms: float = SLOW_MS, window: str | No
     slow = log.where(F.col(duration) > threshold_ms).withColumn("shape", normalise(statement))
     keys = ["shape"]
     if window:
-        slow = slow.withWatermark(ts, watermark)
+        slow = _event_time(slow, ts, watermark)
         keys = [F.window(ts, window).alias("w"), "shape"]
     g = slow.groupBy(*keys).agg(F.count(F.lit(1)).alias("count"),
                                 F.round(F.max(duration), 4).alias("max_ms"),
                                 avg_fixed(duration).alias("avg_ms"))
     if window:
-        g = g.select(F.col("w.start").alias("window_start"), "shape", "count", "max_ms", "avg_ms")
+        g = g.select(_ntz(F.col("w.start")).alias("window_start"), "shape", "count", "max_ms", "avg_ms")
     return g
