@@ -27,6 +27,16 @@ def tokens(col) -> Column:
     return F.regexp_extract_all(F.lower(c), F.lit(TOKEN_PATTERN), 0)
 
 
+def term_hits(col, terms: list[str]) -> Column:
+    """The occurrences of the given terms as whole tokens, in text order.
+    A term matches where it is a maximal run of letters and digits, which is
+    exactly where the tokeniser would emit it, so no full token array is built."""
+    c = F.col(col) if isinstance(col, str) else col
+    alt = "|".join(re.escape(t) for t in sorted(terms, key=len, reverse=True))
+    pattern = rf"(?<![\p{{L}}\p{{N}}])(?:{alt})(?![\p{{L}}\p{{N}}])"
+    return F.regexp_extract_all(F.lower(c), F.lit(pattern), 0)
+
+
 def query_terms(query: str) -> list[str]:
     """The distinct tokens of a query string, in first-seen order."""
     seen = []
@@ -37,8 +47,11 @@ def query_terms(query: str) -> list[str]:
 
 
 def term_frequencies(df: DataFrame, text_col: str, terms: list[str], keep: list[str]) -> DataFrame:
-    toks = tokens(text_col)
-    return df.select(*keep, F.array(*[F.size(F.filter(toks, _equals(t))) for t in terms]).alias("__tf"))
+    """Per row, the count of each query term.  The text is scanned once for
+    the query terms only; the per-term counts then run over that short array
+    (a separate projection, so the scan is not repeated per term)."""
+    step = df.select(*keep, term_hits(text_col, terms).alias("__hits"))
+    return step.select(*keep, F.array(*[F.size(F.filter("__hits", _equals(t))) for t in terms]).alias("__tf"))
 
 
 def _equals(term: str):
@@ -46,7 +59,7 @@ def _equals(term: str):
 
 
 def relevance(df: DataFrame, id_col: str, text_col: str, query: str,
-              keep: list[str] | None = None, materialize: bool = False) -> DataFrame:
+              keep: list[str] | None = None, materialize: bool = True) -> DataFrame:
     """``score`` per row for the query's terms (rows without any term score 0).
     ``materialize`` checkpoints the per-row term counts (to the shared
     checkpoint folder) so that the text is tokenised once for both passes."""
@@ -73,7 +86,7 @@ def relevance(df: DataFrame, id_col: str, text_col: str, query: str,
 
 
 def relevance_by_group(df: DataFrame, id_col: str, group_col: str, text_col: str,
-                       query: str, n: int = 100, materialize: bool = False) -> DataFrame:
+                       query: str, n: int = 100, materialize: bool = True) -> DataFrame:
     """Per group: rows and average relevance, top ``n`` by average."""
     s = relevance(df, id_col, text_col, query, keep=[group_col], materialize=materialize)
     g = s.groupBy(group_col).agg(F.count(F.lit(1)).alias("record_count"),
