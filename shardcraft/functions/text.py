@@ -72,15 +72,17 @@ def relevance(df: DataFrame, id_col: str, text_col: str, query: str,
         from ..session import checkpoint_dir
         checkpoint_dir(df.sparkSession)
         tf = tf.checkpoint(eager=True)
-    stats = tf.select(F.struct(
-        F.count(F.lit(1)).alias("n"),
-        *[F.sum((F.col("__tf")[i] > 0).cast("long")).alias(f"df{i}") for i in range(len(terms))]))
-    st = stats.scalar()
+    # one scalar subquery (referenced once): the idf^2 weight of every term
+    k = len(terms)
+    counts = tf.agg(F.count(F.lit(1)).alias("n"),
+                    *[F.sum((F.col("__tf")[i] > 0).cast("long")).alias(f"df{i}") for i in range(k)])
+    idf = [F.when(F.col(f"df{i}") > 0, F.log10(F.col("n") / F.col(f"df{i}"))).otherwise(F.lit(0.0))
+           for i in range(k)]
+    weights = counts.select(F.array(*[x * x for x in idf])).scalar()
+    tf = tf.withColumn("__w", weights)
     score = None
-    for i in range(len(terms)):
-        dfi = st[f"df{i}"]
-        idf = F.when(dfi > 0, F.log10(st["n"] / dfi)).otherwise(F.lit(0.0))
-        part = F.col("__tf")[i] * idf * idf
+    for i in range(k):
+        part = F.col("__tf")[i] * F.col("__w")[i]
         score = part if score is None else score + part
     return tf.select(*keep, F.round(score, 6).alias("score"))
 

@@ -80,7 +80,7 @@ def _relevance_sql() -> str:
     tf = ", ".join(f"len(list_filter(toks, lambda x: x = '{t}')) AS tf{i}" for i, t in enumerate(terms))
     dfs = ", ".join(f"sum(CASE WHEN tf{i} > 0 THEN 1 ELSE 0 END) AS df{i}" for i in range(len(terms)))
     idf = [f"(CASE WHEN df{i} > 0 THEN log10(n / df{i}) ELSE 0.0 END)" for i in range(len(terms))]
-    score = " + ".join(f"tf{i} * {idf[i]} * {idf[i]}" for i in range(len(terms)))
+    score = " + ".join(f"tf{i} * ({idf[i]} * {idf[i]})" for i in range(len(terms)))
     return f"""d AS (SELECT doc_id, lang,
                     regexp_extract_all(lower(text), '{text.TOKEN_PATTERN}') AS toks FROM documents),
 tf AS (SELECT doc_id, lang, {tf} FROM d),

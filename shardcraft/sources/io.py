@@ -30,8 +30,8 @@ def snapshot_copy(spark: SparkSession, tables: dict, dst: str, keys: dict) -> Da
         df.write.mode("overwrite").parquet(out)
         copy = spark.read.parquet(out)
         cnt = audit.count_compare({"source": {name: df}, "copy": {name: copy}})
-        d = audit.diff(df, copy, keys[name]).agg(F.count(F.lit(1)).alias("diff_rows"))
-        reports.append(cnt.join(d.withColumn("table_name", F.lit(name)), "table_name"))
+        diff_rows = audit.diff(df, copy, keys[name]).select(F.count(F.lit(1))).scalar()
+        reports.append(cnt.withColumn("diff_rows", diff_rows))
     from functools import reduce
     r = reduce(lambda a, b: a.unionByName(b), reports)
     return r.withColumn("verified", F.col("in_sync") & (F.col("diff_rows") == 0))
