@@ -25,18 +25,43 @@ CLUSTER_DEFAULTS = {
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.parquet.aggregatePushdown": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # semi-join reduction: a selective filter on one join side becomes a
+    # bloom filter on the other side's scan before the shuffle
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.ui.enabled": "false",
 }
 
+# Settings for ~100 TB inputs on ~1000 executors.  AQE can only coalesce
+# shuffle partitions, never split them, so the initial count must be large
+# enough that a partition fits in an executor task (~128-256 MB).
+LARGE_CLUSTER = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.files.openCostInBytes": "8m",
+    "spark.shuffle.service.enabled": "true",
+    "spark.decommission.enabled": "true",
+    "spark.storage.decommission.shuffleBlocks.enabled": "true",
+    "spark.task.maxFailures": "8",
+    "spark.stage.maxConsecutiveAttempts": "8",
+}
+
 
 def build_session(master: str | None = None, app: str = "shardcraft",
                   shuffle_partitions: int | None = None,
-                  extra: dict | None = None) -> SparkSession:
-    """Create (or reuse) a session with the engine defaults applied."""
+                  extra: dict | None = None, profile: str | None = None) -> SparkSession:
+    """Create (or reuse) a session with the engine defaults applied.
+    ``profile="large"`` adds :data:`LARGE_CLUSTER`."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     conf = dict(CLUSTER_DEFAULTS)
+    if profile == "large":
+        conf.update(LARGE_CLUSTER)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
