@@ -20,8 +20,20 @@ EVENTS_AS_OF_SQL = "TIMESTAMP '2024-01-31 00:00:00'"
 NODE_COUNT = 3                        # query_log node = user_id % 3
 
 
+_RELATIONS: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The driver table as a DataFrame.  The relation (file listing and
+    footer schema) is resolved once per session and path; the driver tables
+    are read-only, so reusing it is safe and saves a listing per query."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    hit = _RELATIONS.get(path)
+    if hit is not None and hit[0] is spark and hit[1] is spark._jsparkSession:
+        return hit[2]
+    df = spark.read.parquet(path)
+    _RELATIONS[path] = (spark, spark._jsparkSession, df)
+    return df
 
 
 # --------------------------------------------------------------------------
