@@ -232,6 +232,14 @@ def route_log(log: DataFrame, rules, ranges, statement: str = "statement",
     that rule's hostgroup and captured id, the shard the id belongs to, and
     whether the rule sends it there."""
     rules = _rules(rules)
+    # a rule whose pattern repeats an earlier (lower rule_id) rule's pattern can
+    # never be the first match, so it is left out of the CASE chain
+    seen, first_of_pattern = set(), []
+    for r in rules:
+        if (r.match_pattern, r.caseless) not in seen:
+            seen.add((r.match_pattern, r.caseless))
+            first_of_pattern.append(r)
+    rules = first_of_pattern
     st = F.col(statement)
     first_kw = F.upper(F.regexp_extract(st, r"^\s*([A-Za-z]+)", 1))
     rid = hg = cap = None
