@@ -49,7 +49,10 @@ def compact(spark: SparkSession, path: str, out: str, target_mb: int = 256,
     n = max(1, math.ceil(total / (target_mb * 1024 * 1024)))
     cols = [cluster_by] if isinstance(cluster_by, str) else list(cluster_by or [])
     if cols:
-        df = df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+        # a deterministic row hash as the last range key lets one hot value of
+        # the clustering key span several files, while keys stay globally ordered
+        tie = F.xxhash64(*[F.col(c) for c in df.columns])
+        df = df.repartitionByRange(n, *cols, tie).sortWithinPartitions(*cols)
     else:
         df = df.repartition(n)
     df.write.mode("overwrite").format(fmt).save(out)
