@@ -113,3 +113,40 @@ def test_replication_lag_stream_join(spark, tmp):
     assert rows(got.where("replica IS NOT NULL")) == rows(want.where("replica IS NOT NULL"))
     # unmatched changes are emitted only once the watermark has passed them
     assert got.where("replica IS NULL").count() <= want.where("replica IS NULL").count()
+
+
+def test_sync_monitor_and_alerts_stream_equal_batch(spark, tmp):
+    from shardcraft.plans.streams import applied
+    src = B.changes(spark, SF_SMALL).select("pos", "commit_ts")
+    app = applied(spark, SF_SMALL).select("pos", "replica", "apply_ts")
+    s_stream = _stream_of(spark, src, os.path.join(tmp, "s"), 3)
+    a_stream = _stream_of(spark, app, os.path.join(tmp, "a"), 3)
+    q = (MON.sync_monitor(s_stream, a_stream, "5 minutes").writeStream.outputMode("complete")
+         .format("memory").queryName("sync_q").trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    assert rows(spark.sql("SELECT * FROM sync_q")) == rows(MON.sync_monitor(src, app, "5 minutes"))
+
+    log = B.query_log(spark, SF_SMALL).select("log_id", "ts", "node", "duration_ms", "ok")
+    l_stream = _stream_of(spark, log, os.path.join(tmp, "l"), 2)
+    q2 = (MON.alerts(MON.service_metrics(l_stream, "1 hour")).writeStream.outputMode("complete")
+          .format("memory").queryName("alert_q").trigger(availableNow=True).start())
+    q2.awaitTermination(300)
+    want = MON.alerts(MON.service_metrics(log, "1 hour"))
+    assert want.count() > 0
+    assert rows(spark.sql("SELECT * FROM alert_q")) == rows(want)
+
+
+def test_change_source_reads_json(spark, tmp):
+    import json
+    folder = os.path.join(tmp, "json_changes")
+    os.makedirs(folder)
+    with open(os.path.join(folder, "c1.json"), "w") as f:
+        for p, op, pk in [(1, "I", 7), (2, "U", 7), (3, "D", 8)]:
+            f.write(json.dumps({"pos": p, "commit_ts": "2024-01-01T00:00:0%d" % p, "op": op,
+                                "tbl": "users", "pk": pk, "row": "{}"}) + "\n")
+    s = CH.read_changes(spark, folder, fmt="json")
+    assert s.isStreaming
+    q = s.writeStream.format("memory").queryName("json_changes_q").trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    got = spark.sql("SELECT pos, op, pk FROM json_changes_q")
+    assert rows(got) == [(1, "I", 7), (2, "U", 7), (3, "D", 8)]
