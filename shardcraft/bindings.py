@@ -250,7 +250,7 @@ def status_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     The running sum runs over hourly aggregate rows, not over events."""
     from pyspark.sql import Window
     q = query_log(spark, sf_dir)
-    h = q.groupBy("node", F.date_trunc("hour", "ts").alias("snapshot_ts")).agg(
+    h = q.groupBy("node", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("snapshot_ts")).agg(
         F.count(F.lit(1)).alias(READ_REQUESTS),
         F.sum((~F.col("ok")).cast("long")).alias(DISK_READS))
     long = h.select("node", "snapshot_ts", F.explode(F.array(

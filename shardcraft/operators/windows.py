@@ -75,7 +75,7 @@ def last_n(df: DataFrame, series, ts: str, n: int, value: str, avg_over: int = 5
     w = Window.partitionBy(*series).orderBy(F.col("__rn").desc()).rowsBetween(-(avg_over - 1), 0)
     return (kept.withColumn("moving_avg", F.round(F.avg(value).over(w), 4))
                 .where(F.col("__rn") <= n)
-                .withColumnRenamed("__rn", "recency"))
+                .withColumn("recency", F.col("__rn").cast("long")).drop("__rn"))
 
 
 def chunked_lag(df: DataFrame, part, order: str, value: str, out: str, chunk: Column) -> DataFrame:
