@@ -29,3 +29,13 @@ def test_no_python_udfs_anywhere(spark):
             continue
         p = _plan(spark, name)
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
+
+
+def test_two_level_topk_equals_single_level(spark):
+    from pyspark.sql import functions as F
+    from shardcraft.operators import topk
+    df = spark.range(0, 20000, 1, 37).select("id", ((F.col("id") * 7919) % 1000).alias("v"))
+    one = topk.by(df, ["-v"], 300, ["id"], fan_in=0)
+    two = topk.by(df, ["-v"], 300, ["id"], fan_in=4)
+    assert "WindowGroupLimit" in plan_text(two) and "WindowGroupLimit" not in plan_text(one)
+    assert [tuple(r) for r in one.collect()] == [tuple(r) for r in two.collect()]
