@@ -104,3 +104,23 @@ def test_snapshot_copy_verifies(spark, tmp):
     c = spark.read.parquet(f"{SF_SMALL}/customer.parquet")
     r = sio.snapshot_copy(spark, {"customer": c}, os.path.join(tmp, "copy"), {"customer": "c_custkey"}).first()
     assert r.verified and r.rows_copy == r.rows_source == 150
+
+
+def test_lab_views_run_statements_as_written(spark):
+    names = sqlapi.register_lab_views(spark, SF_SMALL)
+    assert {"users", "orders", "perf_test_select", "user_orders", "order_details"} <= set(names)
+    one = sqlapi.run_query(spark, "SELECT * FROM users WHERE id = ?", [42])
+    assert one.count() == 1
+    cnt = sqlapi.run_query(spark, "SELECT COUNT(*) AS count FROM perf_test_select "
+                                  "WHERE user_id BETWEEN ? AND ?", [10, 50]).first()["count"]
+    assert cnt == spark.table("perf_test_select").where("user_id BETWEEN 10 AND 50").count()
+    led = sqlapi.run_query(spark, """
+        SELECT account_id,
+               SUM(CASE WHEN transaction_type = 'CREDIT' THEN amount ELSE 0 END) AS total_credits,
+               COUNT(*) AS transaction_count, MAX(transaction_date) AS last_transaction
+        FROM stress_test_transactions GROUP BY account_id
+        HAVING transaction_count > ? ORDER BY total_credits DESC, account_id LIMIT ?""", [1, 50])
+    assert 0 < led.count() <= 50
+    uo = sqlapi.run_query(spark, "SELECT user_id, COUNT(order_id) AS n FROM user_orders GROUP BY user_id")
+    assert uo.count() == spark.table("users").count()
+    assert sqlapi.run_query(spark, "SELECT COUNT(*) AS c FROM order_details").first()["c"] > 0
