@@ -115,6 +115,8 @@ def config_diff(instances: dict) -> DataFrame:
     """Variables added / removed / changed between instances.  The first
     instance (sorted by name) is the base; numeric values get a ratio."""
     names = sorted(instances)
+    if len(names) < 2:
+        raise ValueError("config_diff needs at least two instances")
     base = names[0]
     long = reduce(lambda a, b: a.unionByName(b), [
         instances[n].select("variable_name", F.col("variable_value").cast("string").alias("value"))

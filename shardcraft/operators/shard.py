@@ -252,6 +252,8 @@ def route_log(log: DataFrame, rules, ranges, statement: str = "statement",
             rid, hg, cap = F.when(m, v_rid), F.when(m, v_hg), F.when(m, v_cap)
         else:
             rid, hg, cap = rid.when(m, v_rid), hg.when(m, v_hg), cap.when(m, v_cap)
+    if rid is None:   # no active rule: nothing matches
+        rid, hg, cap = F.lit(None).cast("int"), F.lit(None).cast("int"), F.lit(None).cast("string")
     key = F.nullif(cap, F.lit("")).try_cast("bigint")
     hgs = hostgroup_shard or {}
     rule_shard = None

@@ -95,3 +95,9 @@ def test_balance(spark):
     t = spark.createDataFrame([(1,), (1,), (2,), (3,)], "shard_id int")
     b = {r.shard_id: r for r in shard.balance({"users": t}).collect()}
     assert b[1].rows == 2 and b[1].share_pct == 50.0 and b[1].skew == pytest.approx(1.5)
+
+
+def test_route_log_without_rules(spark):
+    log = spark.createDataFrame([(1, "SELECT * FROM users WHERE id = 5")], "log_id long, statement string")
+    r = shard.route_log(log, [], LAB_RANGES).first()
+    assert r.rule_id is None and r.kind == "read" and r.intended_shard is None
