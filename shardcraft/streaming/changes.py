@@ -121,10 +121,12 @@ def apply_batch(batch: DataFrame, batch_id: int, path: str, key: str = "pk",
                 on_duplicate: str = "skip", buckets: int = DEFAULT_BUCKETS) -> dict:
     """T1 micro-batch: apply one batch of changes to the table at ``path``."""
     spark = batch.sparkSession
-    log_path = f"{path}/_applied"
+    # one log directory per batch id: the check lists a single path, however
+    # long the log grows (the folder reads back as a table partitioned by id)
+    log_entry = f"{path}/_applied/batch_id={batch_id}"
     try:
-        done = spark.read.parquet(log_path).where(F.col("batch_id") == batch_id).limit(1).count()
-    except Exception:  # noqa: BLE001 - no log yet
+        done = spark.read.parquet(log_entry).limit(1).count()
+    except Exception:  # noqa: BLE001 - no entry: the batch was not applied yet
         done = 0
     if done:
         return {"batch_id": batch_id, "skipped_batch": True}
@@ -139,8 +141,7 @@ def apply_batch(batch: DataFrame, batch_id: int, path: str, key: str = "pk",
         (spark.read.parquet(staging).write.mode("overwrite")
               .option("partitionOverwriteMode", "dynamic")
               .partitionBy("bucket").parquet(f"{path}/state"))
-    spark.createDataFrame([(batch_id, len(touched))], "batch_id long, buckets int") \
-         .write.mode("append").parquet(log_path)
+    spark.createDataFrame([(len(touched),)], "buckets int").write.mode("overwrite").parquet(log_entry)
     return {"batch_id": batch_id, "buckets": len(touched)}
 
 
