@@ -52,9 +52,12 @@ def missing(source: DataFrame, node: DataFrame, keys) -> DataFrame:
 
 
 def row_digest(cols: list[str]) -> Column:
-    """Two independent 64/32-bit hashes of the listed columns (NULL-aware)."""
-    return F.struct(F.xxhash64(*[F.col(c) for c in cols]).alias("h1"),
-                    F.hash(*[F.col(c) for c in cols]).alias("h2"))
+    """Two independent 64/32-bit hashes of the listed columns.  Spark's hashes
+    skip NULL values, so ``(NULL, 'x')`` and ``('x', NULL)`` would hash alike;
+    a NULL bitmap is hashed along with the values to tell them apart."""
+    nulls = F.concat(*[F.col(c).isNull().cast("int").cast("string") for c in cols])
+    vals = [F.col(c) for c in cols] + [nulls]
+    return F.struct(F.xxhash64(*vals).alias("h1"), F.hash(*vals).alias("h2"))
 
 
 def diff(src: DataFrame, dst: DataFrame, keys, compare: list[str] | None = None,

@@ -105,3 +105,9 @@ def test_change_apply_equals_sequential_replay(spark, ops, existing, policy):
     eff = CH.effective_changes(ch, t, "pk", policy)
     got = {r.pk: (r.row, r._pos) for r in CH.merge(t, eff, "pk").where(~F.col("_deleted")).collect()}
     assert got == _replay(start, [(p, op, pk, row) for p, op, pk, row in changes], policy)
+
+
+def test_diff_sees_values_moving_between_null_columns(spark):
+    src = spark.createDataFrame([(1, "x", None), (2, None, None)], "id int, a string, b string")
+    dst = spark.createDataFrame([(1, None, "x"), (2, None, None)], "id int, a string, b string")
+    assert [(r.id, r.status) for r in audit.diff(src, dst, "id").collect()] == [(1, "changed")]
