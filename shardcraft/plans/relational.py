@@ -224,3 +224,31 @@ def a9_stats_diff(spark, sf):
     q = B.query_log(spark, sf).select("node", "op_type", F.col("duration_ms").alias("v"))
     return aggregates.stats_diff(q.where(F.col("op_type") == "view"),
                                  q.where(F.col("op_type") == "click"), "node")
+
+
+# ---------------------------------------------------------------- more statement shapes of the labs
+
+@register("k3_latest_per_thread", """
+SELECT event_id, ts, user_id, event_type FROM events WHERE user_id = 7
+ORDER BY ts DESC, event_id DESC LIMIT 10""")
+def k3_latest_per_thread(spark, sf):
+    """Latest operations of one thread (op log bound to events, thread = user)."""
+    e = B.events(spark, sf).select("event_id", "ts", "user_id", "event_type")
+    return topk.latest(e, "ts", 10, tie="event_id", where=F.col("user_id") == 7)
+
+
+@register("f6_like_count", """
+SELECT count(*) AS count FROM events WHERE user_id <= 50 AND event_type ILIKE '%ur%'""")
+def f6_like_count(spark, sf):
+    """Count of operations of threads up to n whose type contains a fragment."""
+    e = B.events(spark, sf).select("user_id", "event_type")
+    return filters.like_ci(filters.key_range(e, "user_id", 0, 50), "event_type", "%ur%") \
+        .agg(F.count(F.lit(1)).alias("count"))
+
+
+@register("f6_like_one_char_wildcard", """
+SELECT doc_id, source FROM documents WHERE source ILIKE 'SRC_'""")
+def f6_like_one_char_wildcard(spark, sf):
+    """``_`` matches exactly one character: 'src1' matches 'SRC_', 'src10' does not."""
+    d = B.table(spark, sf, "documents").select("doc_id", "source")
+    return filters.like_ci(d, "source", "SRC_")
