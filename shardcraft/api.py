@@ -75,7 +75,9 @@ shard = SimpleNamespace(
     balance=_shard.balance, aggregate=_shard.aggregate, ordered=_shard.ordered,
     union_guarded=_shard.union_guarded, equal_ranges=_shard.equal_ranges)   # F1, S1-S3, A10-A12, K4, U1
 stream = SimpleNamespace(
-    read_changes=_changes.read_changes, apply_changes=_changes.apply_changes,
+    read_changes=_changes.read_changes, init_target=_changes.init_target,
+    apply_changes=_changes.apply_changes, apply_batch=_changes.apply_batch,
+    read_target=_changes.read_target,
     replication_lag=_monitors.replication_lag, sync_monitor=_monitors.sync_monitor,
     service_metrics=_monitors.service_metrics, alerts=_monitors.alerts,
     slow_queries=_monitors.slow_queries)       # IO7, T1-T6
