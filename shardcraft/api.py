@@ -60,6 +60,7 @@ metrics = SimpleNamespace(
     throughput=_metrics.throughput, compare_runs=_metrics.compare_runs,
     error_rate=_metrics.error_rate, counter_deltas=_windows.counter_deltas,
     hit_ratio=_windows.hit_ratio, write_runs=_metrics.write_runs,
+    read_status_pairs=_metrics.read_status_pairs,
     read_runs=_metrics.read_runs)              # A14-A16, W4, IO5
 windows = SimpleNamespace(
     ledger_balance=_windows.ledger_balance, latest_per_key=_windows.latest_per_key,

@@ -99,3 +99,19 @@ def read_runs(spark: SparkSession, path: str, multi_line: bool = False) -> DataF
                     F.col("t.duration_ms").cast("double").alias("duration_ms"),
                     F.col("t.rows_returned").cast("long").alias("rows_returned"),
                     F.col("t.success").cast("boolean").alias("success"))
+
+
+def read_status_pairs(spark: SparkSession, path: str, section: str = "status",
+                      multi_line: bool = False) -> DataFrame:
+    """IO5: the ``metrics.initial`` / ``metrics.final`` snapshots of run
+    documents as long rows ``container, timestamp, snapshot, variable_name,
+    variable_value`` (input for counter deltas and configuration diffs)."""
+    docs = spark.read.option("multiLine", multi_line).json(path)
+    snaps = F.array(*[F.struct(F.lit(s).alias("snapshot"),
+                               F.from_json(F.to_json(F.col(f"metrics.{s}.{section}")),
+                                           "map<string,string>").alias("kv"))
+                      for s in ("initial", "final")])
+    e = docs.select("container", "timestamp", F.explode(snaps).alias("s"))
+    return e.select("container", "timestamp", F.col("s.snapshot").alias("snapshot"),
+                    F.explode_outer(F.col("s.kv")).alias("variable_name", "variable_value")) \
+            .where(F.col("variable_name").isNotNull())

@@ -41,7 +41,13 @@ RUN = {"container": "mysql-default", "timestamp": "2024-01-01T00:00:00Z", "total
                             "tests": [{"test_name": "Simple WHERE", "duration_ms": 12.5, "rows_returned": 1,
                                        "success": True},
                                       {"test_name": "Complex GROUP BY", "duration_ms": 17.5,
-                                       "rows_returned": 100, "success": True}]}}}
+                                       "rows_returned": 100, "success": True}]}},
+       "metrics": {"initial": {"status": {"Innodb_buffer_pool_reads": "100",
+                                          "Innodb_buffer_pool_read_requests": "1000"},
+                               "variables": {"max_connections": "151"}},
+                   "final": {"status": {"Innodb_buffer_pool_reads": "150",
+                                        "Innodb_buffer_pool_read_requests": "3000"},
+                             "variables": {"max_connections": "151"}}}}
 
 
 def test_run_documents_roundtrip(spark, tmp):
@@ -55,6 +61,11 @@ def test_run_documents_roundtrip(spark, tmp):
     out = os.path.join(tmp, "out")
     metrics.write_runs(spark.read.option("multiLine", True).json(path), out)
     assert metrics.read_runs(spark, out).count() == 2
+    st = metrics.read_status_pairs(spark, path, multi_line=True)
+    got = {(r.snapshot, r.variable_name): r.variable_value for r in st.collect()}
+    assert got[("final", "Innodb_buffer_pool_read_requests")] == "3000" and len(got) == 4
+    var = metrics.read_status_pairs(spark, path, "variables", multi_line=True)
+    assert var.count() == 2
 
 
 def test_compact_clusters_by_key(spark, tmp):
