@@ -101,3 +101,25 @@ def test_route_log_without_rules(spark):
     log = spark.createDataFrame([(1, "SELECT * FROM users WHERE id = 5")], "log_id long, statement string")
     r = shard.route_log(log, [], LAB_RANGES).first()
     assert r.rule_id is None and r.kind == "read" and r.intended_shard is None
+
+
+def test_tag_filter_keeps_one_shard_scan(spark, tmp):
+    import os
+    paths = {}
+    for sid, (lo, hi) in {1: (1, 1000), 2: (1001, 2000), 3: (2001, 3000)}.items():
+        paths[sid] = os.path.join(tmp, f"shard{sid}")
+        spark.range(lo, hi + 1).withColumnRenamed("id", "uid").write.parquet(paths[sid])
+    logical = shard.read_shards(spark, paths)
+    only2 = logical.where(F.col("shard_id") == 2)
+    plan = plan_text(only2)
+    assert plan.count("FileScan parquet") == 1 and "shard2" in plan
+    assert only2.count() == 1000
+
+
+def test_read_shards_rejects_schema_mismatch(spark, tmp):
+    import os
+    a, b = os.path.join(tmp, "a"), os.path.join(tmp, "b")
+    spark.range(3).write.parquet(a)
+    spark.range(3).selectExpr("CAST(id AS STRING) AS id").write.parquet(b)
+    with pytest.raises(ValueError, match="schema"):
+        shard.read_shards(spark, {1: a, 2: b})
