@@ -50,7 +50,8 @@ def term_frequencies(df: DataFrame, text_col: str, terms: list[str], keep: list[
     """Per row, the count of each query term.  The text is scanned once for
     the query terms only; the per-term counts then run over that short array
     (a separate projection, so the scan is not repeated per term)."""
-    step = df.select(*keep, term_hits(text_col, terms).alias("__hits"))
+    from ..operators.spread import spread
+    step = spread(df, keep[0]).select(*keep, term_hits(text_col, terms).alias("__hits"))
     return step.select(*keep, F.array(*[F.size(F.filter("__hits", _equals(t))) for t in terms]).alias("__tf"))
 
 

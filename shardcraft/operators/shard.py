@@ -259,6 +259,8 @@ def route_log(log: DataFrame, rules, ranges, statement: str = "statement",
     rule_shard = None
     for h, s in sorted(hgs.items()):
         rule_shard = F.when(hg == h, F.lit(s)) if rule_shard is None else rule_shard.when(hg == h, F.lit(s))
+    from .spread import spread
+    log = spread(log, F.xxhash64(F.col(statement)))
     out = (log.withColumn("stmt_type", first_kw)
               .withColumn("kind", F.when(first_kw.isin(*READ_KEYWORDS), F.lit("read"))
                                    .otherwise(F.lit("write")))

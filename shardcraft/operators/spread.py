@@ -1,0 +1,23 @@
+"""Parallelism for CPU-heavy row work on small inputs."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+
+
+def spread(df: DataFrame, key: Column | str) -> DataFrame:
+    """Give CPU-heavy per-row work (regex scans, rule chains) at least one
+    partition per core.  A table stored as one file with one row group scans
+    as a single task; such an input is hash-partitioned on ``key`` over the
+    cores (deterministic, so a retried task sees the same rows).  An input
+    that already has as many splits as cores -- any large table -- is
+    returned unchanged, so at scale this adds no shuffle.  Filters and
+    column pruning still reach the scan.  Disable with
+    ``spark.shardcraft.spreadSmallScans=false``."""
+    spark = df.sparkSession
+    if spark.conf.get("spark.shardcraft.spreadSmallScans", "true") != "true":
+        return df
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:      # planned splits; no job runs
+        return df.repartition(cores, key)
+    return df
