@@ -153,4 +153,5 @@ def table_inventory(tables: dict) -> DataFrame:
                                   F.coalesce(F.sum("s"), F.lit(0)).alias("bytes"),
                                   F.count(F.lit(1)).alias("files"))
                      .withColumn("table_name", F.lit(name)))
-    return reduce(lambda a, b: a.unionByName(b), parts).select("table_name", "rows", "bytes", "files")
+    return (reduce(lambda a, b: a.unionByName(b), parts).select("table_name", "rows", "bytes", "files")
+            .orderBy(F.col("bytes").desc(), F.col("table_name")))

@@ -38,22 +38,28 @@ def throughput(log: DataFrame, run: str, thread: str, ts: str, op: str,
 
 
 def error_rate(log: DataFrame, group, ok: str, duration: str,
-               thresholds: dict | None = None) -> DataFrame:
+               thresholds: dict | None = None, connect: str | None = None) -> DataFrame:
     """Success and error rate per group with threshold breach flags
-    (error rate over the limit, average or max latency over the query limit)."""
+    (error rate over the limit, average latency over the query limit and, when
+    a ``connect`` time column is given, average connection time over its limit)."""
     t = dict(THRESHOLDS, **(thresholds or {}))
     group = [group] if isinstance(group, str) else list(group)
-    g = log.groupBy(*group).agg(
-        F.count(F.lit(1)).alias("total"),
-        F.sum((~F.col(ok)).cast("long")).alias("errors"),
-        avg_fixed(duration).alias("avg_ms"),
-        F.round(F.max(duration), 4).alias("max_ms"),
-        F.sum((F.col(duration) > t["query_ms"]).cast("long")).alias("slow"))
+    aggs = [F.count(F.lit(1)).alias("total"),
+            F.sum((~F.col(ok)).cast("long")).alias("errors"),
+            avg_fixed(duration).alias("avg_ms"),
+            F.round(F.max(duration), 4).alias("max_ms"),
+            F.sum((F.col(duration) > t["query_ms"]).cast("long")).alias("slow")]
+    if connect:
+        aggs.append(avg_fixed(connect).alias("avg_connect_ms"))
+    g = log.groupBy(*group).agg(*aggs)
     rate = F.col("errors") / F.nullif(F.col("total"), F.lit(0))
-    return (g.withColumn("success_rate", F.round(1 - rate, 6))
-             .withColumn("error_rate", F.round(rate, 6))
-             .withColumn("error_breach", rate > t["error_rate"])
-             .withColumn("latency_breach", F.col("avg_ms") > t["query_ms"]))
+    out = (g.withColumn("success_rate", F.round(1 - rate, 6))
+            .withColumn("error_rate", F.round(rate, 6))
+            .withColumn("error_breach", rate > t["error_rate"])
+            .withColumn("latency_breach", F.col("avg_ms") > t["query_ms"]))
+    if connect:
+        out = out.withColumn("connect_breach", F.col("avg_connect_ms") > t["connect_ms"])
+    return out
 
 
 def compare_runs(runs: DataFrame, base: str, other: str, ignore_missing: bool = False) -> DataFrame:

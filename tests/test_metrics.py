@@ -64,3 +64,10 @@ def test_throughput_and_error_rate(spark):
     assert t[2].ops_per_sec is None and t[1].ops_INSERT == 1
     e = metrics.error_rate(log, "run", "ok", "ms").first()
     assert e.error_rate == pytest.approx(1 / 3, abs=1e-6) and e.error_breach and e.slow == 1
+
+
+def test_error_rate_connect_threshold(spark):
+    log = spark.createDataFrame([("n1", True, 10.0, 600.0), ("n1", True, 20.0, 700.0), ("n2", True, 5.0, 50.0)],
+                                "node string, ok boolean, ms double, connect_ms double")
+    r = {x.node: x for x in metrics.error_rate(log, "node", "ok", "ms", connect="connect_ms").collect()}
+    assert r["n1"].avg_connect_ms == 650.0 and r["n1"].connect_breach and not r["n2"].connect_breach
