@@ -71,14 +71,16 @@ def read_target(spark: SparkSession, path: str, with_meta: bool = False) -> Data
 
 
 def effective_changes(changes: DataFrame, target: DataFrame | None, key: str = "pk",
-                      on_duplicate: str = "skip", payload: str = "row") -> DataFrame:
+                      on_duplicate: str = "skip", payload: str = "row",
+                      count_skips: bool = False) -> DataFrame:
     """The last effective change per key, among changes newer than the
     target's ``_pos``.  With ``on_duplicate='skip'`` an insert on a key that
     exists just before it is not effective (the replica keeps its row, as a
     replica that skips duplicate-key errors does) and is counted in
     ``skipped``.  Existence before a change follows from the previous change
     of the key (anything but a delete leaves the key present) or, for the
-    first new change, from the target."""
+    first new change, from the target.  ``count_skips`` adds the number of
+    skipped duplicate inserts per key (one more aggregate and join)."""
     c = changes.select(F.col(key), "pos", "op", F.col(payload))
     if target is not None:
         t = target.select(F.col(key), F.col("_pos").alias("__tpos"),
@@ -98,6 +100,8 @@ def effective_changes(changes: DataFrame, target: DataFrame | None, key: str = "
         raise ValueError(on_duplicate)
     latest = windows.latest_per_key(
         c.where("__effective").select(key, "pos", "op", payload), key, "pos")
+    if not count_skips:
+        return latest
     skipped = c.where(~F.col("__effective")).groupBy(key).agg(F.count(F.lit(1)).alias("skipped"))
     return latest.join(skipped, key, "full").select(
         key, "pos", "op", payload, F.coalesce("skipped", F.lit(0)).alias("skipped"))
