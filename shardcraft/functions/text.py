@@ -92,6 +92,7 @@ def relevance_by_group(df: DataFrame, id_col: str, group_col: str, text_col: str
                        query: str, n: int = 100, materialize: bool = True) -> DataFrame:
     """Per group: rows and average relevance, top ``n`` by average."""
     s = relevance(df, id_col, text_col, query, keep=[group_col], materialize=materialize)
+    from ..operators.aggregates import avg_fixed
     g = s.groupBy(group_col).agg(F.count(F.lit(1)).alias("record_count"),
-                                 F.round(F.avg("score"), 4).alias("avg_relevance"))
+                                 avg_fixed("score", 6, 4).alias("avg_relevance"))
     return g.orderBy(F.col("avg_relevance").desc(), F.col(group_col)).limit(n)

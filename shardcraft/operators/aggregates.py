@@ -19,19 +19,26 @@ def avg_round(col, digits: int = 4, scale: int = 2) -> Column:
     return avg_fixed(col, scale, digits)
 
 
+def ratio_fixed(num, den, digits: int = 4) -> Column:
+    """``num / den`` for non-negative integer-valued columns, rounded half-up
+    to ``digits`` with integer arithmetic (``(2·num·10^d + den) div 2·den``),
+    so that every engine returns the same double; NULL when ``den`` is 0."""
+    n = (F.col(num) if isinstance(num, str) else num).cast("decimal(38,0)")
+    d = (F.col(den) if isinstance(den, str) else den).cast("decimal(38,0)")
+    a = n * F.lit(2 * 10 ** digits) + d
+    b = F.nullif(d, F.lit(0)) * F.lit(2)
+    q = ((a - F.pmod(a, b)) / b).cast("decimal(38,0)")
+    return q.cast("double") / F.lit(float(10 ** digits))
+
+
 def avg_fixed(col, scale: int = 2, digits: int = 4) -> Column:
-    """Average of a non-negative measure recorded with ``scale`` decimals,
-    rounded half-up to ``digits`` with integer arithmetic only: the sum of
-    units is exact, and ``(2 * units * 10^(digits-scale) + n) div (2n)`` is
-    the rounded average in units of 10^-digits.  The result therefore does
-    not depend on the order of addition or on binary rounding of doubles."""
+    """Average of a non-negative measure recorded with ``scale`` decimals:
+    the sum of units of 10^-scale is exact, and the rounding is
+    :func:`ratio_fixed`, so the result does not depend on the order of
+    addition or on binary rounding of doubles."""
     c = F.col(col) if isinstance(col, str) else col
     units = F.sum((c.cast(f"decimal(18,{scale})") * F.lit(10 ** scale)).cast("decimal(38,0)"))
-    n = F.count(c).cast("decimal(38,0)")
-    a = units * F.lit(2 * 10 ** (digits - scale)) + n
-    b = n * F.lit(2)
-    q = ((a - F.pmod(a, b)) / b).cast("decimal(38,0)")
-    return q.cast("double") / F.lit(float(10 ** digits))
+    return ratio_fixed(units, F.count(c).cast("decimal(38,0)") * F.lit(10 ** scale), digits)
 
 
 def top_users(df: DataFrame, since, min_orders: int, n: int,
@@ -113,7 +120,7 @@ def distribution(df: DataFrame, col: str) -> DataFrame:
     uncorrelated scalar subquery (computed once), not a global window."""
     total = df.select(F.count(F.lit(1))).scalar()
     return (df.groupBy(col).agg(F.count(F.lit(1)).alias("rows"))
-              .withColumn("share_pct", F.round(F.col("rows") * 100.0 / total, 4)))
+              .withColumn("share_pct", ratio_fixed(F.col("rows") * 100, total, 4)))
 
 
 def stats(df: DataFrame, group, col: str, prefix: str = "") -> DataFrame:

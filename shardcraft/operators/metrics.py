@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .aggregates import avg_fixed
+from .aggregates import avg_fixed, ratio_fixed
 
 # The sharding lab's monitoring thresholds.
 THRESHOLDS = {"query_ms": 1000.0, "connect_ms": 500.0, "error_rate": 0.05}
@@ -28,12 +28,12 @@ def throughput(log: DataFrame, run: str, thread: str, ts: str, op: str,
         avg_fixed(duration).alias("avg_ms_per_op"),
         *[F.sum((F.col(op) == o).cast("long")).alias(f"ops_{o}") for o in ops])
     per_run = log.groupBy(run).agg(F.min(ts).alias("run_first"), F.max(ts).alias("run_last"))
-    own = _span_seconds(F.col("first_ts"), F.col("last_ts"))
-    whole = _span_seconds(F.col("run_first"), F.col("run_last"))
+    own_us = F.timestamp_diff("MICROSECOND", F.col("first_ts"), F.col("last_ts"))
+    whole_us = F.timestamp_diff("MICROSECOND", F.col("run_first"), F.col("run_last"))
     return (per_thread.join(per_run, run)
-            .select(run, thread, "total_ops", F.round(own, 6).alias("duration_s"),
-                    F.round(F.col("total_ops") / F.nullif(own, F.lit(0.0)), 4).alias("ops_per_sec"),
-                    F.round(F.col("total_ops") / F.nullif(whole, F.lit(0.0)), 4).alias("ops_per_sec_run"),
+            .select(run, thread, "total_ops", F.round(own_us / F.lit(1_000_000.0), 6).alias("duration_s"),
+                    ratio_fixed(F.col("total_ops") * 1_000_000, own_us, 4).alias("ops_per_sec"),
+                    ratio_fixed(F.col("total_ops") * 1_000_000, whole_us, 4).alias("ops_per_sec_run"),
                     "avg_ms_per_op", *[f"ops_{o}" for o in ops]))
 
 
@@ -53,8 +53,8 @@ def error_rate(log: DataFrame, group, ok: str, duration: str,
         aggs.append(avg_fixed(connect).alias("avg_connect_ms"))
     g = log.groupBy(*group).agg(*aggs)
     rate = F.col("errors") / F.nullif(F.col("total"), F.lit(0))
-    out = (g.withColumn("success_rate", F.round(1 - rate, 6))
-            .withColumn("error_rate", F.round(rate, 6))
+    out = (g.withColumn("success_rate", ratio_fixed(F.col("total") - F.col("errors"), "total", 6))
+            .withColumn("error_rate", ratio_fixed("errors", "total", 6))
             .withColumn("error_breach", rate > t["error_rate"])
             .withColumn("latency_breach", F.col("avg_ms") > t["query_ms"]))
     if connect:

@@ -164,13 +164,15 @@ def balance(tables: dict, shard_col: str = "shard_id") -> DataFrame:
     counts = reduce(lambda a, b: a.unionByName(b), [
         d.groupBy(shard_col).agg(F.count(F.lit(1)).alias("rows")).withColumn("table_name", F.lit(t))
         for t, d in sorted(tables.items())])
+    from .aggregates import ratio_fixed
     per_table = counts.groupBy("table_name").agg(
         F.sum("rows").alias("table_rows"), F.max("rows").alias("max_rows"),
-        F.avg("rows").alias("mean_rows"))
+        F.count(F.lit(1)).alias("shards"))
     return (counts.join(per_table, "table_name")
             .select("table_name", shard_col, "rows",
-                    F.round(F.col("rows") * 100.0 / F.col("table_rows"), 4).alias("share_pct"),
-                    F.round(F.col("max_rows") / F.col("mean_rows"), 4).alias("skew")))
+                    ratio_fixed(F.col("rows") * 100, "table_rows", 4).alias("share_pct"),
+                    # max / mean = max * shards / total
+                    ratio_fixed(F.col("max_rows") * F.col("shards"), "table_rows", 4).alias("skew")))
 
 
 def aggregate(df: DataFrame, group, aggs) -> DataFrame:

@@ -113,5 +113,5 @@ def hit_ratio(deltas: DataFrame, reads: str, requests: str, keys=("node",),
     keys = _list(keys)
     p = (deltas.where(F.col("variable_name").isin(reads, requests))
                .groupBy(*keys, ts).pivot("variable_name", [reads, requests]).agg(F.first("delta")))
-    return p.withColumn("hit_ratio", F.round(
-        F.lit(1) - F.try_divide(F.col(reads).cast("double"), F.nullif(F.col(requests), F.lit(0))), 6))
+    from .aggregates import ratio_fixed
+    return p.withColumn("hit_ratio", ratio_fixed(F.col(requests) - F.col(reads), F.col(requests), 6))

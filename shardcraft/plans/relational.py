@@ -9,6 +9,7 @@ from .. import bindings as B
 from ..functions import filters
 from ..operators import aggregates, topk
 from .registry import register
+from .sqlfrag import ratio_sql
 
 SALES_CTE = f"WITH sales AS ({B.SALES_SQL})"
 AS_OF = B.AS_OF_SQL
@@ -194,7 +195,7 @@ def a7_text_profile_json(spark, sf):
 
 
 @register("a8_distribution", f"""WITH q AS ({B.QUERY_LOG_SQL})
-SELECT node, count(*) AS rows, round(count(*) * 100.0 / (SELECT count(*) FROM q), 4) AS share_pct
+SELECT node, count(*) AS rows, {ratio_sql("count(*) * 100", "(SELECT count(*) FROM q)", 4)} AS share_pct
 FROM q GROUP BY node""")
 def a8_distribution(spark, sf):
     return aggregates.distribution(B.query_log(spark, sf).select("node"), "node")

@@ -12,6 +12,7 @@ from .. import bindings as B
 from ..operators import shard
 from ..session import scratch_path
 from .registry import register
+from .sqlfrag import ratio_sql
 
 
 def _ranges(spark, sf):
@@ -126,10 +127,10 @@ c AS (SELECT 'users' AS table_name, {shard_case('c_custkey')} AS shard_id, count
       FROM customer, r GROUP BY 2
       UNION ALL SELECT 'orders', {shard_case('o_custkey')}, count(*) FROM orders, r GROUP BY 2
       UNION ALL SELECT 'sales', {shard_case('user_id')}, count(*) FROM s, r GROUP BY 2),
-t AS (SELECT table_name, sum(rows) AS table_rows, max(rows) AS max_rows, avg(rows) AS mean_rows
+t AS (SELECT table_name, sum(rows) AS table_rows, max(rows) AS max_rows, count(*) AS shards
       FROM c GROUP BY table_name)
-SELECT c.table_name, c.shard_id, c.rows, round(c.rows * 100.0 / t.table_rows, 4) AS share_pct,
-       round(t.max_rows / t.mean_rows, 4) AS skew
+SELECT c.table_name, c.shard_id, c.rows, {ratio_sql("c.rows * 100", "t.table_rows", 4)} AS share_pct,
+       {ratio_sql("t.max_rows * t.shards", "t.table_rows", 4)} AS skew
 FROM c JOIN t ON c.table_name = t.table_name""")
 def a11_shard_balance(spark, sf):
     ranges = _ranges(spark, sf)

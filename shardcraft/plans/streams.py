@@ -13,6 +13,7 @@ from .. import bindings as B
 from ..streaming import changes as CH
 from ..streaming import monitors as MON
 from .registry import register
+from .sqlfrag import ratio_sql
 
 # Slow-statement threshold for the driver's query log, whose durations are
 # 0-500 ms (the reference's 2 s limit would select nothing).
@@ -100,15 +101,15 @@ def t3_sync_monitor(spark, sf):
     return MON.sync_monitor(B.changes(spark, sf), applied(spark, sf), "5 minutes")
 
 
-_T4_AGG = """count(*) AS statements, round(count(*) / CAST({secs} AS DOUBLE), 6) AS per_second,
+_T4_AGG = """count(*) AS statements, {per_second} AS per_second,
        (CAST((sum(CAST(CAST(duration_ms AS DECIMAL(18,2)) * 100 AS BIGINT)) * 200 + count(duration_ms)) // (2 * count(duration_ms)) AS DOUBLE) / 10000.0) AS avg_ms, round(max(duration_ms), 4) AS max_ms,
        CAST(sum(CASE WHEN ok THEN 0 ELSE 1 END) AS BIGINT) AS errors,
-       round(sum(CASE WHEN ok THEN 0 ELSE 1 END) / count(*), 6) AS error_rate"""
+       {error_rate} AS error_rate"""
 
 T4_SQL = f"""WITH q AS ({B.QUERY_LOG_SQL})
 SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
        time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end, node,
-       {_T4_AGG.format(secs=3600)}
+       {_T4_AGG.format(per_second=ratio_sql("count(*)", "3600", 6), error_rate=ratio_sql("sum(CASE WHEN ok THEN 0 ELSE 1 END)", "count(*)", 6))}
 FROM q GROUP BY 1, 2, node"""
 
 
@@ -120,7 +121,7 @@ def t4_service_metrics(spark, sf):
 @register("t4_service_metrics_sliding", f"""WITH q AS ({B.QUERY_LOG_SQL}),
 w AS (SELECT unnest([time_bucket(INTERVAL 30 MINUTE, ts) - INTERVAL 30 MINUTE,
                      time_bucket(INTERVAL 30 MINUTE, ts)]) AS window_start, * FROM q)
-SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, node, {_T4_AGG.format(secs=3600)}
+SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, node, {_T4_AGG.format(per_second=ratio_sql("count(*)", "3600", 6), error_rate=ratio_sql("sum(CASE WHEN ok THEN 0 ELSE 1 END)", "count(*)", 6))}
 FROM w GROUP BY 1, 2, node""")
 def t4_service_metrics_sliding(spark, sf):
     return MON.service_metrics(B.query_log(spark, sf), "1 hour", "30 minutes")

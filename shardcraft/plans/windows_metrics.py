@@ -9,6 +9,7 @@ from .. import bindings as B
 from ..functions import text
 from ..operators import metrics, windows
 from .registry import register
+from .sqlfrag import avg_sql, ratio_sql
 
 # Chunk width for the ledger's running balance: small enough that the test
 # data spans several chunks per account, so the chunk carry is exercised.
@@ -63,7 +64,7 @@ p AS (SELECT node, snapshot_ts,
              max(CASE WHEN variable_name = '{B.DISK_READS}' THEN delta END) AS "{B.DISK_READS}",
              max(CASE WHEN variable_name = '{B.READ_REQUESTS}' THEN delta END) AS "{B.READ_REQUESTS}"
       FROM d GROUP BY node, snapshot_ts)
-SELECT *, round(1 - CAST("{B.DISK_READS}" AS DOUBLE) / nullif("{B.READ_REQUESTS}", 0), 6) AS hit_ratio
+SELECT *, {ratio_sql(f'"{B.READ_REQUESTS}" - "{B.DISK_READS}"', f'"{B.READ_REQUESTS}"', 6)} AS hit_ratio
 FROM p""")
 def w4_hit_ratio(spark, sf):
     d = windows.counter_deltas(B.status_snapshots(spark, sf))
@@ -96,7 +97,7 @@ def a13_relevance(spark, sf):
 
 
 @register("a13_relevance_by_group", f"""WITH {_relevance_sql()}
-SELECT lang, count(*) AS record_count, round(avg(score), 4) AS avg_relevance
+SELECT lang, count(*) AS record_count, {avg_sql("score", 6, 4)} AS avg_relevance
 FROM sc GROUP BY lang ORDER BY avg_relevance DESC, lang LIMIT 100""")
 def a13_relevance_by_group(spark, sf):
     d = B.table(spark, sf, "documents").select("doc_id", "lang", "text")
@@ -116,8 +117,8 @@ t AS (SELECT run_day, user_id, count(*) AS total_ops, min(ts) AS first_ts, max(t
 r AS (SELECT run_day, min(ts) AS run_first, max(ts) AS run_last FROM e GROUP BY run_day)
 SELECT t.run_day, user_id, total_ops,
        round(date_diff('microsecond', first_ts, last_ts) / 1000000.0, 6) AS duration_s,
-       round(total_ops / nullif(date_diff('microsecond', first_ts, last_ts) / 1000000.0, 0), 4) AS ops_per_sec,
-       round(total_ops / nullif(date_diff('microsecond', run_first, run_last) / 1000000.0, 0), 4) AS ops_per_sec_run,
+       {ratio_sql("total_ops * 1000000", "date_diff('microsecond', first_ts, last_ts)", 4)} AS ops_per_sec,
+       {ratio_sql("total_ops * 1000000", "date_diff('microsecond', run_first, run_last)", 4)} AS ops_per_sec_run,
        avg_ms_per_op, {", ".join(f"ops_{o}" for o in EVENT_TYPES)}
 FROM t JOIN r ON t.run_day = r.run_day""")
 def a14_throughput(spark, sf):
@@ -131,7 +132,7 @@ g AS (SELECT node, count(*) AS total, CAST(sum(CASE WHEN ok THEN 0 ELSE 1 END) A
              (CAST((sum(CAST(CAST(duration_ms AS DECIMAL(18,2)) * 100 AS BIGINT)) * 200 + count(duration_ms)) // (2 * count(duration_ms)) AS DOUBLE) / 10000.0) AS avg_ms, round(max(duration_ms), 4) AS max_ms,
              CAST(sum(CASE WHEN duration_ms > 1000.0 THEN 1 ELSE 0 END) AS BIGINT) AS slow
       FROM q GROUP BY node)
-SELECT *, round(1 - errors / total, 6) AS success_rate, round(errors / total, 6) AS error_rate,
+SELECT *, {ratio_sql("total - errors", "total", 6)} AS success_rate, {ratio_sql("errors", "total", 6)} AS error_rate,
        errors / total > 0.05 AS error_breach, avg_ms > 1000.0 AS latency_breach
 FROM g""")
 def a16_error_rate(spark, sf):

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.aggregates import avg_fixed
+from ..operators.aggregates import avg_fixed, ratio_fixed
 from ..operators.metrics import THRESHOLDS
 
 # Replication-lag limit (seconds) and slow-statement threshold (ms).
@@ -81,9 +81,9 @@ def service_metrics(log: DataFrame, size: str, slide: str | None = None, by: str
                  F.round(F.max(duration), 4).alias("max_ms"),
                  F.sum((~F.col(ok)).cast("long")).alias("errors")))
     return g.select(_ntz(F.col("w.start")).alias("window_start"), _ntz(F.col("w.end")).alias("window_end"), by,
-                    "statements", F.round(F.col("statements") / seconds, 6).alias("per_second"),
+                    "statements", ratio_fixed("statements", seconds, 6).alias("per_second"),
                     "avg_ms", "max_ms", "errors",
-                    F.round(F.col("errors") / F.col("statements"), 6).alias("error_rate"))
+                    ratio_fixed("errors", "statements", 6).alias("error_rate"))
 
 
 def alerts(metrics: DataFrame, thresholds: dict | None = None) -> DataFrame:
