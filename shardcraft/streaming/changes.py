@@ -35,6 +35,7 @@ CHANGE_SCHEMA = T.StructType([
 DEFAULT_BUCKETS = 64
 MAX_BUCKETS = 1 << 16
 POS_CHUNK = 1 << 20
+FILES_PER_BUCKET = 4
 
 
 def read_changes(spark: SparkSession, path: str, fmt: str = "parquet",
@@ -52,15 +53,24 @@ def bucket_of(key_col: str, buckets: int):
     return F.pmod(F.xxhash64(F.col(key_col)), F.lit(buckets)).cast("int")
 
 
+def _by_bucket_files(df: DataFrame, key: str, files_per_bucket: int) -> DataFrame:
+    """Rows grouped so that each bucket directory receives at most
+    ``files_per_bucket`` files (without it every write task would put a small
+    file into every bucket it touches).  Keys are unique in the table, so the
+    groups are balanced."""
+    return df.repartition(F.col("bucket"), F.pmod(F.xxhash64(F.col(key), F.lit(1)), F.lit(files_per_bucket)))
+
+
 def init_target(df: DataFrame, path: str, key: str = "pk", buckets: int = DEFAULT_BUCKETS,
-                pos: int = -1) -> None:
+                pos: int = -1, files_per_bucket: int = FILES_PER_BUCKET) -> None:
     """Write the initial replica table (a snapshot taken at log position ``pos``)."""
     if not 0 < buckets <= MAX_BUCKETS:
         raise ValueError("bucket count out of range")
-    (df.withColumn("_pos", F.lit(pos).cast("long"))
-       .withColumn("_deleted", F.lit(False))
-       .withColumn("bucket", bucket_of(key, buckets))
-       .write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/state"))
+    t = (df.withColumn("_pos", F.lit(pos).cast("long"))
+           .withColumn("_deleted", F.lit(False))
+           .withColumn("bucket", bucket_of(key, buckets)))
+    _by_bucket_files(t, key, files_per_bucket).write.mode("overwrite").partitionBy("bucket") \
+        .parquet(f"{path}/state")
 
 
 def read_target(spark: SparkSession, path: str, with_meta: bool = False) -> DataFrame:
@@ -141,7 +151,8 @@ def apply_batch(batch: DataFrame, batch_id: int, path: str, key: str = "pk",
         eff = effective_changes(b, state, key, on_duplicate)
         merged = merge(state.drop("bucket"), eff, key).withColumn("bucket", bucket_of(key, buckets))
         staging = f"{path}/_staging/batch={batch_id}"
-        merged.write.mode("overwrite").partitionBy("bucket").parquet(staging)
+        _by_bucket_files(merged, key, FILES_PER_BUCKET).write.mode("overwrite") \
+            .partitionBy("bucket").parquet(staging)
         (spark.read.parquet(staging).write.mode("overwrite")
               .option("partitionOverwriteMode", "dynamic")
               .partitionBy("bucket").parquet(f"{path}/state"))
