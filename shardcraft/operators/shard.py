@@ -97,12 +97,19 @@ def key_range(df: DataFrame, key: str, lo, hi, ranges=None, shard_col: str = "sh
 
 
 def write(df: DataFrame, path: str, key: str, ranges, mode: str = "overwrite",
-          shard_col: str = "shard_id") -> DataFrame:
+          shard_col: str = "shard_id", files_per_shard: int | None = None) -> DataFrame:
     """One directory per shard, every row in exactly one.  Keys outside all
-    ranges fail the job.  No shuffle: each task writes its rows into the
-    shard directories, sorted by shard and key so that one file is open at a
-    time and files carry tight min/max statistics for the key."""
+    ranges fail the job.  By default there is no shuffle: each task writes its
+    rows into the shard directories, sorted by shard and key so that one file
+    is open at a time and files carry tight min/max statistics for the key
+    (right for a few shards: each task's file per shard is large).  With many
+    shards, ``files_per_shard`` groups rows by (shard, key hash) first, which
+    bounds the files per shard directory; a hot shard is still written by
+    ``files_per_shard`` tasks, not one."""
     tagged = assign(df, key, ranges, on_miss="error", shard_col=shard_col)
+    if files_per_shard:
+        tagged = tagged.repartition(F.col(shard_col),
+                                    F.pmod(F.xxhash64(F.col(key)), F.lit(files_per_shard)))
     (tagged.sortWithinPartitions(shard_col, key)
            .write.mode(mode).partitionBy(shard_col).parquet(path))
     return tagged

@@ -123,3 +123,13 @@ def test_read_shards_rejects_schema_mismatch(spark, tmp):
     spark.range(3).selectExpr("CAST(id AS STRING) AS id").write.parquet(b)
     with pytest.raises(ValueError, match="schema"):
         shard.read_shards(spark, {1: a, 2: b})
+
+
+def test_sharded_write_files_per_shard(spark, tmp):
+    import os
+    df = spark.range(1, 3001, 1, 12).withColumnRenamed("id", "uid")
+    shard.write(df, tmp, "uid", LAB_RANGES, files_per_shard=2)
+    for sid in (1, 2, 3):
+        files = [f for f in os.listdir(os.path.join(tmp, f"shard_id={sid}")) if f.endswith(".parquet")]
+        assert 1 <= len(files) <= 2
+    assert spark.read.parquet(tmp).count() == 3000
