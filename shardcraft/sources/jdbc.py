@@ -27,12 +27,13 @@ def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append",
                batch_size: int = 1000, parts: int | None = None,
                properties: dict | None = None) -> None:
     """Each task writes its rows in multi-row batches of ``batch_size``;
-    ``parts`` caps the number of concurrent connections (the JDBC writer's
-    ``numPartitions``: Spark narrows only the final write to that many tasks)."""
+    ``parts`` caps the number of concurrent connections.  The cap is a
+    ``repartition`` (one shuffle), not ``coalesce``: coalescing would also run
+    the whole upstream computation in only ``parts`` tasks."""
+    if parts:
+        df = df.repartition(parts)
     w = (df.write.format("jdbc").option("url", url).option("dbtable", table)
          .option("batchsize", str(batch_size)).mode(mode))
-    if parts:
-        w = w.option("numPartitions", str(parts))
     for k, v in (properties or {}).items():
         w = w.option(k, v)
     w.save()
