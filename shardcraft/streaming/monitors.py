@@ -53,19 +53,27 @@ def replication_lag(source: DataFrame, applied: DataFrame, max_lag_s: float = MA
 
 
 def sync_monitor(source: DataFrame, applied: DataFrame, window: str = "5 minutes",
-                 watermark: str = "1 minute") -> DataFrame:
-    """Per tumbling interval, source changes vs applied changes per replica
-    and an in-sync flag.  One windowed aggregate over a tagged union."""
+                 watermark: str = "1 minute", replicas: list[str] | None = None) -> DataFrame:
+    """Per tumbling interval, source changes vs applied changes and an
+    in-sync flag; with ``replicas`` one applied count and flag per replica
+    (each replica should apply every change).  One windowed aggregate over a
+    tagged union, with conditional sums instead of a pivot, so it runs as a
+    stream."""
     s = source.select(F.col("commit_ts").alias("ts"), F.lit(None).cast("string").alias("replica"),
                       F.lit(True).alias("is_source"))
     a = applied.select(F.col("apply_ts").alias("ts"), "replica", F.lit(False).alias("is_source"))
     u = _event_time(s.unionByName(a), "ts", watermark)
-    g = u.groupBy(F.window("ts", window).alias("w")).agg(
-        F.sum(F.col("is_source").cast("long")).alias("source_changes"),
-        F.sum((~F.col("is_source")).cast("long")).alias("applied_changes"))
-    return g.select(_ntz(F.col("w.start")).alias("window_start"), _ntz(F.col("w.end")).alias("window_end"),
-                    "source_changes", "applied_changes",
-                    (F.col("source_changes") == F.col("applied_changes")).alias("in_sync"))
+    aggs = [F.sum(F.col("is_source").cast("long")).alias("source_changes"),
+            F.sum((~F.col("is_source")).cast("long")).alias("applied_changes")]
+    for r in replicas or []:
+        aggs.append(F.sum((~F.col("is_source") & (F.col("replica") == r)).cast("long")).alias(f"applied_{r}"))
+    g = u.groupBy(F.window("ts", window).alias("w")).agg(*aggs)
+    cols = [_ntz(F.col("w.start")).alias("window_start"), _ntz(F.col("w.end")).alias("window_end"),
+            "source_changes", "applied_changes",
+            (F.col("source_changes") == F.col("applied_changes")).alias("in_sync")]
+    for r in replicas or []:
+        cols += [f"applied_{r}", (F.col("source_changes") == F.col(f"applied_{r}")).alias(f"in_sync_{r}")]
+    return g.select(*cols)
 
 
 def service_metrics(log: DataFrame, size: str, slide: str | None = None, by: str = "node",

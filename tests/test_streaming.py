@@ -150,3 +150,14 @@ def test_change_source_reads_json(spark, tmp):
     q.awaitTermination(120)
     got = spark.sql("SELECT pos, op, pk FROM json_changes_q")
     assert rows(got) == [(1, "I", 7), (2, "U", 7), (3, "D", 8)]
+
+
+def test_sync_monitor_per_replica(spark):
+    import datetime as dt
+    t = lambda m: dt.datetime(2024, 1, 1, 0, m)
+    src = spark.createDataFrame([(1, t(1)), (2, t(2))], "pos long, commit_ts timestamp_ntz")
+    app = spark.createDataFrame([("r1", 1, t(1)), ("r1", 2, t(3)), ("r2", 1, t(2))],
+                                "replica string, pos long, apply_ts timestamp_ntz")
+    r = MON.sync_monitor(src, app, "5 minutes", replicas=["r1", "r2"]).first()
+    assert (r.source_changes, r.applied_r1, r.applied_r2) == (2, 2, 1)
+    assert r.in_sync_r1 and not r.in_sync_r2
