@@ -14,6 +14,22 @@ def _list(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
+def _match_keys(df: DataFrame, keys: list[str], collation: str | None):
+    """Columns to match keys on: the keys themselves, or for string keys their
+    collated form (e.g. ``UNICODE_CI`` for case-insensitive matching as the
+    source databases do); the stored key values are never changed."""
+    if not collation:
+        return df, keys
+    names = []
+    for i, k in enumerate(keys):
+        if type(df.schema[k].dataType).__name__ == "StringType":
+            df = df.withColumn(f"__mk{i}", F.collate(F.col(k), collation))
+            names.append(f"__mk{i}")
+        else:
+            names.append(k)
+    return df, names
+
+
 def update(df: DataFrame, cond: Column, assignments: dict, flag: str | None = None) -> DataFrame:
     """M1: ``UPDATE ... SET col = expr WHERE cond`` (NULL cond = no match).
     ``flag`` names an optional boolean column marking the updated rows."""
@@ -73,12 +89,16 @@ def json_set(df: DataFrame, col: str, values: dict, increments: tuple = (),
     return df.withColumn(col, new)
 
 
-def upsert(target: DataFrame, changes: DataFrame, keys, insert_missing: bool = False):
+def upsert(target: DataFrame, changes: DataFrame, keys, insert_missing: bool = False,
+           collation: str | None = None):
     """M5: replace the changed columns of matching keys.  Returns
     ``(new_table, report)`` where ``report`` lists every change key with
     ``matched`` true/false (the 404 case).  Changes must be one row per key
-    (see ``windows.latest_per_key``)."""
+    (see ``windows.latest_per_key``).  ``collation`` matches string keys under
+    that collation (the target keeps its stored key values)."""
     keys = _list(keys)
+    if collation:
+        return _upsert_collated(target, changes, keys, insert_missing, collation)
     cols = [c for c in changes.columns if c not in keys]
     ch = changes.select(*keys, *[F.col(c).alias(f"__new_{c}") for c in cols]).withColumn("__c", F.lit(True))
     t = target.withColumn("__t", F.lit(True))
@@ -99,6 +119,33 @@ def upsert(target: DataFrame, changes: DataFrame, keys, insert_missing: bool = F
     return new_table, report
 
 
+def _upsert_collated(target, changes, keys, insert_missing, collation):
+    cols = [c for c in changes.columns if c not in keys]
+    t, tk = _match_keys(target.withColumn("__t", F.lit(True)), keys, collation)
+    ch = changes.select(*[F.col(k).alias(f"__ck_{k}") for k in keys],
+                        *[F.col(c).alias(f"__new_{c}") for c in cols]).withColumn("__c", F.lit(True))
+    ch, ck = _match_keys(ch, [f"__ck_{k}" for k in keys], collation)
+    ck = [f"__c{n}" if n.startswith("__mk") else n for n in ck]
+    ch = ch.select(*[F.col(c).alias(f"__c{c}") if c.startswith("__mk") else F.col(c) for c in ch.columns])
+    cond = None
+    for a, b in zip(tk, ck):
+        e = F.col(a) == F.col(b)
+        cond = e if cond is None else cond & e
+    j = t.join(ch, cond, "full" if insert_missing else "left")
+    present = F.col("__c").isNotNull()
+    out = [F.coalesce(F.col(k), F.col(f"__ck_{k}")).alias(k) for k in keys]
+    for c in target.columns:
+        if c in keys:
+            continue
+        out.append(F.when(present, F.col(f"__new_{c}")).otherwise(F.col(c)).alias(c) if c in cols else F.col(c))
+    new_table = j.select(*out).select(*target.columns)
+    # report from the change side: every change key, matched or not
+    tkeys = t.select(*tk, "__t")
+    report = ch.join(tkeys, cond, "left").select(*[F.col(f"__ck_{k}").alias(k) for k in keys],
+                                                 F.col("__t").isNotNull().alias("matched"))
+    return new_table, report
+
+
 def expire(df: DataFrame, cond: Column):
     """M6: retention delete.  Returns ``(kept, removed_count_df)``; rows where
     the condition is NULL are kept."""
@@ -161,14 +208,27 @@ def stamp(new_rows: DataFrame, target: DataFrame, key: str, order, as_of,
              .drop("__pid", "__mid", "__off"))
 
 
-def insert_ignore(target: DataFrame, batch: DataFrame, keys, order) -> DataFrame:
+def insert_ignore(target: DataFrame, batch: DataFrame, keys, order,
+                  collation: str | None = None) -> DataFrame:
     """IO4: append only batch rows whose key is new; inside the batch the first
     row per key (by ``order``) wins.  The in-batch dedupe is a partial ``min``
-    over a struct, so a repeated key is reduced map-side."""
+    over a struct, so a repeated key is reduced map-side.  ``collation``
+    compares string keys under that collation (e.g. ``UNICODE_CI``)."""
     keys, order = _list(keys), _list(order)
     rest = [c for c in batch.columns if c not in keys and c not in order]
-    first = batch.groupBy(*keys).agg(F.min(F.struct(*order, *rest)).alias("__f")) \
-                 .select(*keys, *[F.col("__f")[c].alias(c) for c in order + rest])
-    new = first.join(target.select(*keys), keys, "left_anti")
+    b, bk = _match_keys(batch, keys, collation)
+    first = b.groupBy(*bk).agg(F.min(F.struct(*order, *keys, *rest)).alias("__f")) \
+             .select(*[F.col("__f")[c].alias(c) for c in keys + order + rest])
+    if collation:
+        f2, fk = _match_keys(first, keys, collation)
+        t2, tk = _match_keys(target.select(*keys), keys, collation)
+        t2 = t2.select(*[F.col(c).alias(f"__t{i}") for i, c in enumerate(tk)])
+        cond = None
+        for i, a in enumerate(fk):
+            e = F.col(a) == F.col(f"__t{i}")
+            cond = e if cond is None else cond & e
+        new = f2.join(t2, cond, "left_anti").select(*first.columns)
+    else:
+        new = first.join(target.select(*keys), keys, "left_anti")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
                   [target, new.select(*[c for c in target.columns if c in new.columns])])

@@ -79,3 +79,16 @@ def test_insert_ignore_first_wins(spark):
                                   "id long, seq int, username string")
     out = mutate.insert_ignore(target, batch, "id", "seq")
     assert rows(out) == [(999, "existing"), (1999, "first"), (2999, "new")]
+
+
+def test_collated_key_matching(spark):
+    target = spark.createDataFrame([("Alice", 1)], "username string, v int")
+    batch = spark.createDataFrame([("ALICE", 1, 9), ("bob", 2, 8), ("Bob", 3, 7)], "username string, seq int, v int")
+    plain = mutate.insert_ignore(target, batch, "username", "seq")
+    assert sorted(r.username for r in plain.collect()) == ["ALICE", "Alice", "Bob", "bob"]
+    ci = mutate.insert_ignore(target, batch, "username", "seq", collation="UNICODE_CI")
+    assert sorted((r.username, r.v) for r in ci.collect()) == [("Alice", 1), ("bob", 8)]
+    ch = spark.createDataFrame([("ALICE", 5), ("carol", 6)], "username string, v int")
+    new, rep = mutate.upsert(target, ch, "username", collation="UNICODE_CI")
+    assert [(r.username, r.v) for r in new.collect()] == [("Alice", 5)]
+    assert sorted((r.username, r.matched) for r in rep.collect()) == [("ALICE", True), ("carol", False)]
