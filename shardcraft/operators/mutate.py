@@ -30,11 +30,20 @@ def _match_keys(df: DataFrame, keys: list[str], collation: str | None):
     return df, names
 
 
-def update(df: DataFrame, cond: Column, assignments: dict, flag: str | None = None) -> DataFrame:
+def _ts(as_of) -> Column:
+    return as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp_ntz")
+
+
+def update(df: DataFrame, cond: Column, assignments: dict, flag: str | None = None,
+           touch: tuple | None = None) -> DataFrame:
     """M1: ``UPDATE ... SET col = expr WHERE cond`` (NULL cond = no match).
-    ``flag`` names an optional boolean column marking the updated rows."""
+    ``flag`` names an optional boolean column marking the updated rows;
+    ``touch=(column, as_of)`` sets that audit column on updated rows (M8)."""
     hit = F.coalesce(cond, F.lit(False))
     out = df.withColumn("__hit", hit)
+    assignments = dict(assignments)
+    if touch:
+        assignments[touch[0]] = _ts(touch[1])
     for c, e in assignments.items():
         out = out.withColumn(c, F.when(F.col("__hit"), e).otherwise(F.col(c)))
     return out.withColumnRenamed("__hit", flag) if flag else out.drop("__hit")
@@ -90,13 +99,17 @@ def json_set(df: DataFrame, col: str, values: dict, increments: tuple = (),
 
 
 def upsert(target: DataFrame, changes: DataFrame, keys, insert_missing: bool = False,
-           collation: str | None = None):
+           collation: str | None = None, touch: tuple | None = None):
     """M5: replace the changed columns of matching keys.  Returns
     ``(new_table, report)`` where ``report`` lists every change key with
     ``matched`` true/false (the 404 case).  Changes must be one row per key
     (see ``windows.latest_per_key``).  ``collation`` matches string keys under
-    that collation (the target keeps its stored key values)."""
+    that collation (the target keeps its stored key values).
+    ``touch=(column, as_of)`` sets that audit column on every changed or
+    inserted row (M8)."""
     keys = _list(keys)
+    if touch:
+        changes = changes.withColumn(touch[0], _ts(touch[1]))
     if collation:
         return _upsert_collated(target, changes, keys, insert_missing, collation)
     cols = [c for c in changes.columns if c not in keys]
@@ -202,7 +215,7 @@ def stamp(new_rows: DataFrame, target: DataFrame, key: str, order, as_of,
     base = target.agg(F.coalesce(F.max(key), F.lit(0)).alias("m")).scalar()
     j = with_pos.join(F.broadcast(offsets), "__pid")
     within = F.col("__mid") - F.shiftleft(F.col("__pid").cast("long"), 33)
-    ts = F.lit(as_of).cast("timestamp_ntz") if not isinstance(as_of, Column) else as_of
+    ts = _ts(as_of)
     return (j.withColumn(key, base + F.coalesce(F.col("__off"), F.lit(0)) + within + 1)
              .withColumn(created, ts).withColumn(updated, ts)
              .drop("__pid", "__mid", "__off"))

@@ -92,3 +92,16 @@ def test_collated_key_matching(spark):
     new, rep = mutate.upsert(target, ch, "username", collation="UNICODE_CI")
     assert [(r.username, r.v) for r in new.collect()] == [("Alice", 5)]
     assert sorted((r.username, r.matched) for r in rep.collect()) == [("ALICE", True), ("carol", False)]
+
+
+def test_touch_sets_updated_at_on_changed_rows_only(spark):
+    import datetime as dt
+    t = spark.createDataFrame([(1, "a", dt.datetime(2020, 1, 1)), (2, "b", dt.datetime(2020, 1, 1))],
+                              "id int, name string, updated_at timestamp_ntz")
+    u = mutate.update(t, F.col("id") == 2, {"name": F.lit("B")}, touch=("updated_at", "2024-05-01 00:00:00"))
+    got = {r.id: r.updated_at for r in u.collect()}
+    assert got == {1: dt.datetime(2020, 1, 1), 2: dt.datetime(2024, 5, 1)}
+    new, _ = mutate.upsert(t, spark.createDataFrame([(1, "A")], "id int, name string"), "id",
+                           touch=("updated_at", "2024-06-01 00:00:00"))
+    got = {r.id: (r.name, r.updated_at) for r in new.collect()}
+    assert got == {1: ("A", dt.datetime(2024, 6, 1)), 2: ("b", dt.datetime(2020, 1, 1))}
