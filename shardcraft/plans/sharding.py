@@ -68,8 +68,9 @@ def io1_read_shards(spark, sf):
     return shard.read_shards(spark, {r.shard_id: f"{path}/shard_id={r.shard_id}" for r in ranges})
 
 
-@register("f1_shard_lookup", """
-SELECT c_custkey AS id, c_name AS username, 2 AS shard_id FROM customer WHERE c_custkey = 700""")
+@register("f1_shard_lookup", f"""WITH {RANGES_CTE}
+SELECT c_custkey AS id, c_name AS username, {shard_case('c_custkey')} AS shard_id
+FROM customer, r WHERE c_custkey = 700""")
 def f1_shard_lookup(spark, sf):
     path, ranges = _written_shards(spark, sf)
     df = spark.read.parquet(path)
