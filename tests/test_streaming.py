@@ -161,3 +161,36 @@ def test_sync_monitor_per_replica(spark):
     r = MON.sync_monitor(src, app, "5 minutes", replicas=["r1", "r2"]).first()
     assert (r.source_changes, r.applied_r1, r.applied_r2) == (2, 2, 1)
     assert r.in_sync_r1 and not r.in_sync_r2
+
+
+def test_change_apply_recovers_from_a_crash_mid_batch(spark, tmp, monkeypatch):
+    changes = B.changes(spark, SF_SMALL)
+    src = os.path.join(tmp, "changes")
+    _write_changes(spark, changes, src, 3)
+    target = B.table(spark, SF_SMALL, "customer").select(F.col("c_custkey").alias("pk"),
+                                                         F.col("c_name").alias("row"))
+    path, ckpt = os.path.join(tmp, "replica"), os.path.join(tmp, "ckpt")
+    CH.init_target(target, path, "pk", buckets=8)
+    original = CH.apply_batch
+
+    def crashing(batch, batch_id, *a, **k):
+        if batch_id == 1:
+            original(batch, batch_id, *a, write_log=False, **k)   # table swapped, log not written
+            raise RuntimeError("simulated driver crash")
+        return original(batch, batch_id, *a, **k)
+
+    monkeypatch.setattr(CH, "apply_batch", crashing)
+    q = CH.apply_changes(CH.read_changes(spark, src, max_files_per_trigger=1, recursive=True),
+                         path, ckpt, "pk", "skip", buckets=8)
+    try:
+        q.awaitTermination(300)
+    except Exception:  # noqa: BLE001 - the simulated crash surfaces as a query failure
+        pass
+    assert q.exception() is not None
+    monkeypatch.setattr(CH, "apply_batch", original)
+    q2 = CH.apply_changes(CH.read_changes(spark, src, max_files_per_trigger=1, recursive=True),
+                          path, ckpt, "pk", "skip", buckets=8)   # restart from the checkpoint
+    q2.awaitTermination(300)
+    got = CH.read_target(spark, path)
+    want = _expected(spark, target, changes, "skip")
+    assert rows(got, ["pk", "row", "_pos"]) == rows(want, ["pk", "row", "_pos"])
