@@ -135,3 +135,20 @@ def test_lab_views_run_statements_as_written(spark):
     uo = sqlapi.run_query(spark, "SELECT user_id, COUNT(order_id) AS n FROM user_orders GROUP BY user_id")
     assert uo.count() == spark.table("users").count()
     assert sqlapi.run_query(spark, "SELECT COUNT(*) AS c FROM order_details").first()["c"] > 0
+
+
+def test_sharded_read_over_jdbc_databases(spark):
+    from shardcraft.operators import shard
+    shards = {}
+    for sid, (lo, hi) in {1: (1, 1000), 2: (1001, 2000)}.items():
+        url = f"jdbc:derby:memory:shard{sid};create=true"
+        users = spark.range(lo, lo + 50).selectExpr("CAST(id AS INT) AS ID", "CONCAT('u', id) AS NAME")
+        jdbc.write_jdbc(users, url, "USERS", mode="overwrite", properties=DERBY)
+        shards[sid] = jdbc.read_jdbc(spark, url, "USERS", "ID", lo, hi, 2, properties=DERBY)
+    logical = shard.read_shards(spark, shards)
+    assert logical.count() == 100
+    assert rows(logical.groupBy("shard_name").count()) == [("shard1", 50), ("shard2", 50)]
+    hit = logical.where((F.col("shard_id") == 2) & (F.col("ID") == 1010))
+    p = plan_text(hit)
+    assert p.count("JDBCRelation") == 1 and "EqualTo(ID,1010)" in p
+    assert rows(hit.select("NAME")) == [("u1010",)]

@@ -133,3 +133,12 @@ def test_sharded_write_files_per_shard(spark, tmp):
         files = [f for f in os.listdir(os.path.join(tmp, f"shard_id={sid}")) if f.endswith(".parquet")]
         assert 1 <= len(files) <= 2
     assert spark.read.parquet(tmp).count() == 3000
+
+
+def test_route_log_with_rules_as_table(spark):
+    rules = spark.createDataFrame(
+        [(r.rule_id, 1, r.match_pattern, r.destination_hostgroup, 1) for r in shard.LAB_RULES],
+        "rule_id int, active int, match_pattern string, destination_hostgroup int, apply int")
+    log = spark.createDataFrame([(1, "DELETE FROM users WHERE id = 2500")], "log_id long, statement string")
+    r = shard.route_log(log, rules, LAB_RANGES, hostgroup_shard=shard.LAB_HOSTGROUP_SHARD).first()
+    assert (r.rule_id, r.hostgroup, r.intended_shard, r.rule_shard, r.misrouted) == (10, 10, 3, 1, True)
