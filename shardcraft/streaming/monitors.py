@@ -3,6 +3,11 @@
 Every function takes streaming or batch DataFrames alike: watermarks are
 ignored by batch plans, so the batch form computes exactly what the stream
 emits once the watermark has passed every window.
+
+Late data: a row whose window was already emitted (its end is behind the
+watermark of the previous micro-batch) is dropped by the windowed monitors
+in append mode; until then it is still counted.  The change apply (T1)
+never drops anything: it orders by log position instead.
 """
 
 from __future__ import annotations

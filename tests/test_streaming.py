@@ -194,3 +194,32 @@ def test_change_apply_recovers_from_a_crash_mid_batch(spark, tmp, monkeypatch):
     got = CH.read_target(spark, path)
     want = _expected(spark, target, changes, "skip")
     assert rows(got, ["pk", "row", "_pos"]) == rows(want, ["pk", "row", "_pos"])
+
+
+def test_service_metrics_drops_rows_behind_the_watermark(spark, tmp):
+    import datetime as dt
+    schema = "log_id long, ts timestamp_ntz, node string, duration_ms double, ok boolean"
+    t = lambda h, m: dt.datetime(2024, 1, 1, h, m)
+    # lateness is judged against the watermark of the previous micro-batch, so
+    # the 00:00 window is finalised one batch after the watermark passes 01:00
+    files = [
+        [(1, t(0, 5), "n0", 10.0, True), (2, t(0, 20), "n0", 20.0, True)],   # on time
+        [(3, t(3, 0), "n0", 30.0, True)],                                      # watermark -> 02:59
+        [(6, t(3, 5), "n0", 35.0, True)],                                      # 00:00 window emitted
+        [(4, t(0, 10), "n0", 40.0, False)],                                    # late: its window is closed
+        [(5, t(10, 0), "n0", 50.0, True)],                                     # closes the later windows
+    ]
+    folder = os.path.join(tmp, "late")
+    import time
+    for i, rows_ in enumerate(files):
+        spark.createDataFrame(rows_, schema).coalesce(1).write.parquet(os.path.join(folder, f"f{i}"))
+        time.sleep(1.1)    # distinct modification times keep the file order
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+              .option("recursiveFileLookup", "true").parquet(folder))
+    q = (MON.service_metrics(stream, "1 hour", watermark="1 minute").writeStream.outputMode("append")
+         .format("memory").queryName("late_q").trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    got = {r.window_start: (r.statements, r.errors) for r in spark.sql("SELECT * FROM late_q").collect()}
+    assert got[t(0, 0)] == (2, 0)              # the late error row was dropped
+    batch = MON.service_metrics(spark.createDataFrame([r for f in files for r in f], schema), "1 hour")
+    assert {r.window_start: r.statements for r in batch.collect()}[t(0, 0)] == 3   # batch keeps it
