@@ -152,3 +152,14 @@ def test_sharded_read_over_jdbc_databases(spark):
     p = plan_text(hit)
     assert p.count("JDBCRelation") == 1 and "EqualTo(ID,1010)" in p
     assert rows(hit.select("NAME")) == [("u1010",)]
+
+
+def test_write_version_never_overwrites(spark, tmp):
+    base = os.path.join(tmp, "table")
+    p1 = sio.write_version(spark.range(3), base, 1)
+    p2 = sio.write_version(spark.range(5), base, 2)
+    assert p1.endswith("v=00000001") and spark.read.parquet(p1).count() == 3
+    assert spark.read.parquet(base).where("v = 2").count() == 5
+    with pytest.raises(Exception):
+        sio.write_version(spark.range(1), base, 1)      # an existing version is immutable
+    assert spark.read.parquet(p2).count() == 5
