@@ -52,7 +52,8 @@ audit = SimpleNamespace(
     node_health=_audit.node_health, config_diff=_audit.config_diff,
     table_inventory=_audit.table_inventory)    # J5, J6, A1, U2, C1, C2, IO10
 aggregates = SimpleNamespace(
-    top_users=_agg.top_users, status_summary=_agg.status_summary, json_avg=_agg.json_avg,
+    top_users=_agg.top_users, status_summary=_agg.status_summary,
+    status_summary_by_order=_agg.status_summary_by_order, json_avg=_agg.json_avg,
     ledger_summary=_agg.ledger_summary, text_profile=_agg.text_profile,
     distribution=_agg.distribution, stats=_agg.stats, stats_diff=_agg.stats_diff)   # A2-A9
 text = SimpleNamespace(relevance=_text.relevance, relevance_by_group=_text.relevance_by_group)  # A13

@@ -48,3 +48,13 @@ def test_two_level_topk_equals_single_level(spark):
     two = topk.by(df, ["-v"], 300, ["id"], fan_in=4)
     assert "WindowGroupLimit" in plan_text(two) and "WindowGroupLimit" not in plan_text(one)
     assert [tuple(r) for r in one.collect()] == [tuple(r) for r in two.collect()]
+
+
+def test_eager_status_summary_equals_row_level(spark):
+    from shardcraft import bindings as B
+    from shardcraft.operators import aggregates
+    row_level = aggregates.status_summary(B.sales(spark, SF_SMALL))
+    eager = aggregates.status_summary_by_order(
+        B.table(spark, SF_SMALL, "lineitem"), B.table(spark, SF_SMALL, "orders"),
+        "l_orderkey", "o_orderkey", "o_orderstatus", "l_extendedprice", "l_quantity")
+    assert sorted(map(tuple, row_level.collect())) == sorted(map(tuple, eager.select(*row_level.columns).collect()))
