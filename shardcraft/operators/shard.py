@@ -164,12 +164,18 @@ def audit(df: DataFrame, key: str, ranges, shard_col: str = "shard_id") -> DataF
             F.lit(False))).alias("ok"))
 
 
-def balance(tables: dict, shard_col: str = "shard_id") -> DataFrame:
+def balance(tables: dict, shard_col: str = "shard_id", weight_col: str = "rows_weight") -> DataFrame:
     """Rows per shard per table, share of the table, and the table's
-    max/mean skew.  The per-table totals are computed on the already
+    max/mean skew.  A table given with a ``weight_col`` column is taken as
+    pre-counted rows (e.g. line items counted per order before the join that
+    finds their shard).  The per-table totals are computed on the already
     aggregated (tables x shards) rows."""
+    def _count(d):
+        if weight_col in d.columns:
+            return F.sum(weight_col).cast("long").alias("rows")
+        return F.count(F.lit(1)).alias("rows")
     counts = reduce(lambda a, b: a.unionByName(b), [
-        d.groupBy(shard_col).agg(F.count(F.lit(1)).alias("rows")).withColumn("table_name", F.lit(t))
+        d.groupBy(shard_col).agg(_count(d)).withColumn("table_name", F.lit(t))
         for t, d in sorted(tables.items())])
     from .aggregates import ratio_fixed
     per_table = counts.groupBy("table_name").agg(

@@ -138,7 +138,12 @@ def a11_shard_balance(spark, sf):
     tables = {
         "users": B.users(spark, sf).select(shard.shard_of("id", ranges).alias("shard_id")),
         "orders": B.shop_orders(spark, sf).select(shard.shard_of("user_id", ranges).alias("shard_id")),
-        "sales": B.sales(spark, sf).select(shard.shard_of("user_id", ranges).alias("shard_id")),
+        # line items counted per order before the join (eager aggregation)
+        "sales": B.table(spark, sf, "lineitem").groupBy("l_orderkey")
+                  .agg(F.count(F.lit(1)).alias("rows_weight"))
+                  .join(B.table(spark, sf, "orders").select("o_orderkey", "o_custkey"),
+                        F.col("l_orderkey") == F.col("o_orderkey"))
+                  .select(shard.shard_of("o_custkey", ranges).alias("shard_id"), "rows_weight"),
     }
     return shard.balance(tables)
 
