@@ -15,7 +15,7 @@ def spread(df: DataFrame, key: Column | str) -> DataFrame:
     column pruning still reach the scan.  Disable with
     ``spark.shardcraft.spreadSmallScans=false``."""
     spark = df.sparkSession
-    if spark.conf.get("spark.shardcraft.spreadSmallScans", "true") != "true":
+    if df.isStreaming or spark.conf.get("spark.shardcraft.spreadSmallScans", "true") != "true":
         return df
     cores = spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < cores:      # planned splits; no job runs

@@ -223,3 +223,17 @@ def test_service_metrics_drops_rows_behind_the_watermark(spark, tmp):
     assert got[t(0, 0)] == (2, 0)              # the late error row was dropped
     batch = MON.service_metrics(spark.createDataFrame([r for f in files for r in f], schema), "1 hour")
     assert {r.window_start: r.statements for r in batch.collect()}[t(0, 0)] == 3   # batch keeps it
+
+
+def test_route_log_runs_on_a_stream(spark, tmp):
+    from shardcraft.operators import shard
+    log = B.query_log(spark, SF_SMALL).select("log_id", "ts", "statement")
+    stream = _stream_of(spark, log, os.path.join(tmp, "qlog"), 2)
+    ranges = shard.equal_ranges(150, 3)
+    routed = shard.route_log(stream, shard.LAB_RULES, ranges, hostgroup_shard=shard.LAB_HOSTGROUP_SHARD)
+    q = (shard.route_summary(routed).writeStream.outputMode("complete").format("memory")
+         .queryName("route_q").trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    want = shard.route_summary(shard.route_log(log, shard.LAB_RULES, ranges,
+                                               hostgroup_shard=shard.LAB_HOSTGROUP_SHARD))
+    assert rows(spark.sql("SELECT * FROM route_q")) == rows(want)
