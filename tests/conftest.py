@@ -27,9 +27,13 @@ def tmp(tmp_path):
     return str(tmp_path)
 
 
+def _none_safe(row):
+    return tuple((v is None, v if v is not None else 0) for v in row)
+
+
 def rows(df, order=None):
     cols = order or df.columns
-    return sorted(tuple(r) for r in df.select(*cols).collect())
+    return sorted((tuple(r) for r in df.select(*cols).collect()), key=_none_safe)
 
 
 def plan_text(df):
