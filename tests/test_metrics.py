@@ -3,7 +3,6 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
 from shardcraft.operators import aggregates, audit, metrics
 
 
