@@ -331,3 +331,62 @@ def io11_lab_order_details_view(spark, sf):
     return sqlapi.run_query(spark, "SELECT order_id, username, product_name, quantity, total_price, "
                                    "order_total, status FROM order_details "
                                    "WHERE order_total > ? AND status = ?", [400000, "F"])
+
+
+# ---------------------------------------------------------------- sinks and maintenance on driver data
+
+DERBY = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+
+
+@register("io2_jdbc_roundtrip", """
+SELECT c_custkey AS id, c_name AS username FROM customer""")
+def io2_jdbc_roundtrip(spark, sf):
+    """The customer table written through JDBC (an in-process Derby database,
+    batches of 500 rows) and read back in 4 key-range slices."""
+    import uuid
+    from ..sources import jdbc
+    url = f"jdbc:derby:memory:io2_{uuid.uuid4().hex[:12]};create=true"
+    c = B.table(spark, sf, "customer").select(F.col("c_custkey").alias("ID"), F.col("c_name").alias("USERNAME"))
+    jdbc.write_jdbc(c, url, "USERS", mode="overwrite", batch_size=500, properties=DERBY)
+    lo, hi = c.agg(F.min("ID"), F.max("ID")).first()
+    back = jdbc.read_jdbc(spark, url, "USERS", "ID", lo, hi + 1, 4, properties=DERBY)
+    return back.select(F.col("ID").cast("bigint").alias("id"), F.col("USERNAME").alias("username"))
+
+
+@register("io3_append_twice", """
+SELECT c_custkey, c_name, c_nationkey FROM customer
+UNION ALL SELECT c_custkey, c_name, c_nationkey FROM customer""")
+def io3_append_twice(spark, sf):
+    """Two batch appends of the customer table into one (nation-partitioned) path."""
+    path = scratch_path(spark, "append")
+    c = B.table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
+    sio.append(c, path, partition_by="c_nationkey")
+    sio.append(c, path, partition_by="c_nationkey")
+    return spark.read.parquet(path).select("c_custkey", "c_name", "c_nationkey")
+
+
+@register("io9_compact_events", """
+SELECT event_id, ts, user_id, event_type, value, props FROM events""")
+def io9_compact_events(spark, sf):
+    """The events table rewritten as ~1 MB files clustered by user and time."""
+    out = scratch_path(spark, "compact")
+    sio.compact(spark, f"{sf.rstrip('/')}/events.parquet", out, target_mb=1, cluster_by=["user_id", "ts"])
+    return spark.read.parquet(out)
+
+
+@register("m4_json_set", """
+SELECT event_id,
+       CAST(json_extract(props, '$.k') AS BIGINT) AS k,
+       CASE WHEN event_type = 'click' THEN event_id * 10 END AS updated,
+       CASE WHEN event_type = 'click' THEN 1 END AS update_count
+FROM events""")
+def m4_json_set(spark, sf):
+    """JSON field update on the click events: ``$.updated`` set, ``$.update_count``
+    incremented from 0, other fields kept; checked through the field values."""
+    e = B.events(spark, sf).select("event_id", "event_type", "props")
+    u = mutate.json_set(e, "props", {"updated": F.col("event_id") * 10}, increments=("update_count",),
+                        cond=F.col("event_type") == "click")
+    return u.select("event_id",
+                    F.get_json_object("props", "$.k").cast("bigint").alias("k"),
+                    F.get_json_object("props", "$.updated").cast("bigint").alias("updated"),
+                    F.get_json_object("props", "$.update_count").cast("int").alias("update_count"))
