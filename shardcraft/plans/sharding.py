@@ -215,3 +215,14 @@ SELECT stmt_type, kind, hostgroup, intended_shard, count(*) AS statements,
 FROM z GROUP BY stmt_type, kind, hostgroup, intended_shard""")
 def s3_route_summary(spark, sf):
     return shard.route_summary(_routed(spark, sf))
+
+
+@register("f2_shard_key_range", f"""WITH {RANGES_CTE}
+SELECT c_custkey AS id, c_name AS username, {shard_case('c_custkey')} AS shard_id
+FROM customer, r WHERE c_custkey BETWEEN 20 AND r.w + 5""")
+def f2_shard_key_range(spark, sf):
+    """F2 on shard-partitioned files: the id range also becomes a shard
+    predicate, so only the directories of the shards it overlaps are listed."""
+    path, ranges = _written_shards(spark, sf)
+    hi = ranges[0].hi + 5           # a range crossing from shard 1 into shard 2
+    return shard.key_range(spark.read.parquet(path), "id", 20, hi, ranges).select("id", "username", "shard_id")

@@ -142,3 +142,13 @@ def test_route_log_with_rules_as_table(spark):
     log = spark.createDataFrame([(1, "DELETE FROM users WHERE id = 2500")], "log_id long, statement string")
     r = shard.route_log(log, rules, LAB_RANGES, hostgroup_shard=shard.LAB_HOSTGROUP_SHARD).first()
     assert (r.rule_id, r.hostgroup, r.intended_shard, r.rule_shard, r.misrouted) == (10, 10, 3, 1, True)
+
+
+def test_key_range_prunes_shard_directories(spark, tmp):
+    users = spark.range(1, 3001).withColumnRenamed("id", "uid")
+    shard.write(users, tmp, "uid", LAB_RANGES)
+    q = shard.key_range(spark.read.parquet(tmp), "uid", 900, 1100, LAB_RANGES)
+    p = plan_text(q)
+    pf = p.split("PartitionFilters: [")[1].split("]")[0]
+    assert pf.startswith("shard_id#") and pf.endswith("IN (1,2)")      # shard 3 is never listed
+    assert q.count() == 201 and sorted(r.shard_id for r in q.select("shard_id").distinct().collect()) == [1, 2]
