@@ -1,4 +1,4 @@
-"""Sources and sinks: JDBC (in-process Derby), append, run documents,
+"""Sources and sinks: append, run documents,
 compaction, inventory, parameterised SQL, validation."""
 
 import json
@@ -7,25 +7,12 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL, plan_text, rows
+from conftest import SF_SMALL, rows
 from shardcraft.operators import audit, metrics
 from shardcraft.sources import io as sio
-from shardcraft.sources import jdbc, sqlapi
+from shardcraft.sources import sqlapi
 from shardcraft.sources.validate import Rules, validate
 
-DERBY = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
-
-
-def test_jdbc_partitioned_read_pushes_filters(spark):
-    url = "jdbc:derby:memory:shardtest;create=true"
-    src = spark.range(0, 2000).selectExpr("CAST(id AS INT) AS ID", "CONCAT('user_', id) AS USERNAME")
-    jdbc.write_jdbc(src, url, "USERS", mode="overwrite", batch_size=500, properties=DERBY)
-    df = jdbc.read_jdbc(spark, url, "USERS", "ID", 0, 2000, 4, properties=DERBY)
-    assert df.rdd.getNumPartitions() == 4
-    q = df.where(F.col("ID").between(1001, 1005)).select("USERNAME")
-    p = plan_text(q)
-    assert "PushedFilters" in p and "LessThanOrEqual(ID,1005)" in p
-    assert rows(q) == [(f"user_{i}",) for i in range(1001, 1006)]
 
 
 def test_append_accumulates(spark, tmp):
@@ -137,23 +124,6 @@ def test_lab_views_run_statements_as_written(spark):
     assert sqlapi.run_query(spark, "SELECT COUNT(*) AS c FROM order_details").first()["c"] > 0
 
 
-def test_sharded_read_over_jdbc_databases(spark):
-    from shardcraft.operators import shard
-    shards = {}
-    for sid, (lo, hi) in {1: (1, 1000), 2: (1001, 2000)}.items():
-        url = f"jdbc:derby:memory:shard{sid};create=true"
-        users = spark.range(lo, lo + 50).selectExpr("CAST(id AS INT) AS ID", "CONCAT('u', id) AS NAME")
-        jdbc.write_jdbc(users, url, "USERS", mode="overwrite", properties=DERBY)
-        shards[sid] = jdbc.read_jdbc(spark, url, "USERS", "ID", lo, hi, 2, properties=DERBY)
-    logical = shard.read_shards(spark, shards)
-    assert logical.count() == 100
-    assert rows(logical.groupBy("shard_name").count()) == [("shard1", 50), ("shard2", 50)]
-    hit = logical.where((F.col("shard_id") == 2) & (F.col("ID") == 1010))
-    p = plan_text(hit)
-    assert p.count("JDBCRelation") == 1 and "EqualTo(ID,1010)" in p
-    assert rows(hit.select("NAME")) == [("u1010",)]
-
-
 def test_write_version_never_overwrites(spark, tmp):
     base = os.path.join(tmp, "table")
     p1 = sio.write_version(spark.range(3), base, 1)
