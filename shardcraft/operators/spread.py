@@ -13,7 +13,12 @@ def spread(df: DataFrame, key: Column | str) -> DataFrame:
     that already has as many splits as cores -- any large table -- is
     returned unchanged, so at scale this adds no shuffle.  Filters and
     column pruning still reach the scan.  Disable with
-    ``spark.shardcraft.spreadSmallScans=false``."""
+    ``spark.shardcraft.spreadSmallScans=false``.
+
+    Meant for scan-side inputs (a read, possibly filtered and projected):
+    the partition count comes from ``rdd.getNumPartitions()``, which for an
+    input that already contains a shuffle would make adaptive execution run
+    that shuffle early.  Streaming inputs are returned unchanged."""
     spark = df.sparkSession
     if df.isStreaming or spark.conf.get("spark.shardcraft.spreadSmallScans", "true") != "true":
         return df
