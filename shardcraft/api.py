@@ -79,7 +79,7 @@ shard = SimpleNamespace(
 stream = SimpleNamespace(
     read_changes=_changes.read_changes, init_target=_changes.init_target,
     apply_changes=_changes.apply_changes, apply_batch=_changes.apply_batch,
-    read_target=_changes.read_target,
+    read_target=_changes.read_target, purge_tombstones=_changes.purge_tombstones,
     replication_lag=_monitors.replication_lag, sync_monitor=_monitors.sync_monitor,
     service_metrics=_monitors.service_metrics, alerts=_monitors.alerts,
     slow_queries=_monitors.slow_queries)       # IO7, T1-T6

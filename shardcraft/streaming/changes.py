@@ -173,3 +173,22 @@ def apply_changes(changes: DataFrame, target_path: str, checkpoint: str, key: st
     w = changes.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     w = w.trigger(**(trigger or {"availableNow": True}))
     return w.start()
+
+
+def purge_tombstones(spark: SparkSession, path: str, before_pos: int, key: str = "pk") -> int:
+    """Compaction of the replica table: drop delete tombstones whose position
+    is older than ``before_pos``.  Tombstones let a late change for a deleted
+    key be recognised as stale; past the horizon that protection is given up.
+    Only buckets holding such tombstones are rewritten (staged, then swapped
+    in).  Returns the number of buckets rewritten."""
+    state = spark.read.parquet(f"{path}/state")
+    old = (F.col("_deleted") & (F.col("_pos") < F.lit(before_pos)))
+    buckets = [r[0] for r in state.where(old).select("bucket").distinct().collect()]  # bounded by bucket count
+    if not buckets:
+        return 0
+    kept = state.where(F.col("bucket").isin(buckets) & ~old)
+    staging = f"{path}/_staging/purge={before_pos}"
+    _by_bucket_files(kept, key, FILES_PER_BUCKET).write.mode("overwrite").partitionBy("bucket").parquet(staging)
+    (spark.read.parquet(staging).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+          .partitionBy("bucket").parquet(f"{path}/state"))
+    return len(buckets)

@@ -237,3 +237,18 @@ def test_route_log_runs_on_a_stream(spark, tmp):
     want = shard.route_summary(shard.route_log(log, shard.LAB_RULES, ranges,
                                                hostgroup_shard=shard.LAB_HOSTGROUP_SHARD))
     assert rows(spark.sql("SELECT * FROM route_q")) == rows(want)
+
+
+def test_purge_tombstones(spark, tmp):
+    path = os.path.join(tmp, "t")
+    target = spark.createDataFrame([(k, f"r{k}") for k in range(20)], "pk long, row string")
+    CH.init_target(target, path, "pk", buckets=4)
+    ch = spark.createDataFrame([(10 + k, None, "D", "t", k, None) for k in range(5)], CH.CHANGE_SCHEMA)
+    CH.apply_batch(ch, 0, path, "pk", "skip", 4)
+    meta = CH.read_target(spark, path, with_meta=True)
+    assert meta.where("_deleted").count() == 5
+    assert CH.purge_tombstones(spark, path, before_pos=13) > 0        # positions 10, 11, 12 go
+    meta = CH.read_target(spark, path, with_meta=True)
+    assert sorted(r.pk for r in meta.where("_deleted").collect()) == [3, 4]
+    assert CH.read_target(spark, path).count() == 15                  # live rows unchanged
+    assert CH.purge_tombstones(spark, path, before_pos=13) == 0
