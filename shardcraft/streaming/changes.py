@@ -133,10 +133,13 @@ def merge(target: DataFrame, eff: DataFrame, key: str = "pk", payload: str = "ro
 
 def apply_batch(batch: DataFrame, batch_id: int, path: str, key: str = "pk",
                 on_duplicate: str = "skip", buckets: int = DEFAULT_BUCKETS,
-                write_log: bool = True) -> dict:
+                write_log: bool = True, count_skips: bool = False) -> dict:
     """T1 micro-batch: apply one batch of changes to the table at ``path``.
-    (``write_log=False`` leaves out the final log entry; tests use it to
-    stand for a crash between the table swap and the log write.)"""
+    ``count_skips`` records in the batch's log entry how many inserts were
+    skipped as duplicates (drift that a skipping replica would hide); it
+    costs one more aggregation over the batch.  (``write_log=False`` leaves
+    out the final log entry; tests use it to stand for a crash between the
+    table swap and the log write.)"""
     spark = batch.sparkSession
     # one log directory per batch id: the check lists a single path, however
     # long the log grows (the folder reads back as a table partitioned by id)
@@ -149,6 +152,11 @@ def apply_batch(batch: DataFrame, batch_id: int, path: str, key: str = "pk",
         return {"batch_id": batch_id, "skipped_batch": True}
     b = batch.withColumn("bucket", bucket_of(key, buckets))
     touched = [r[0] for r in b.select("bucket").distinct().collect()]   # at most `buckets` values
+    skipped = 0
+    if touched and count_skips and on_duplicate == "skip":
+        state0 = spark.read.parquet(f"{path}/state").where(F.col("bucket").isin(touched))
+        skipped = effective_changes(b, state0, key, on_duplicate, count_skips=True) \
+            .agg(F.coalesce(F.sum("skipped"), F.lit(0))).first()[0]
     if touched:
         state = spark.read.parquet(f"{path}/state").where(F.col("bucket").isin(touched))
         eff = effective_changes(b, state, key, on_duplicate)
@@ -160,16 +168,17 @@ def apply_batch(batch: DataFrame, batch_id: int, path: str, key: str = "pk",
               .option("partitionOverwriteMode", "dynamic")
               .partitionBy("bucket").parquet(f"{path}/state"))
     if write_log:
-        spark.createDataFrame([(len(touched),)], "buckets int").write.mode("overwrite").parquet(log_entry)
-    return {"batch_id": batch_id, "buckets": len(touched)}
+        spark.createDataFrame([(len(touched), int(skipped))], "buckets int, skipped long") \
+             .write.mode("overwrite").parquet(log_entry)
+    return {"batch_id": batch_id, "buckets": len(touched), "skipped": int(skipped)}
 
 
 def apply_changes(changes: DataFrame, target_path: str, checkpoint: str, key: str = "pk",
                   on_duplicate: str = "skip", buckets: int = DEFAULT_BUCKETS,
-                  trigger: dict | None = None):
+                  trigger: dict | None = None, count_skips: bool = False):
     """Start the streaming apply; returns the ``StreamingQuery``."""
     def run(df, batch_id):
-        apply_batch(df, batch_id, target_path, key, on_duplicate, buckets)
+        apply_batch(df, batch_id, target_path, key, on_duplicate, buckets, count_skips=count_skips)
     w = changes.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     w = w.trigger(**(trigger or {"availableNow": True}))
     return w.start()

@@ -252,3 +252,15 @@ def test_purge_tombstones(spark, tmp):
     assert sorted(r.pk for r in meta.where("_deleted").collect()) == [3, 4]
     assert CH.read_target(spark, path).count() == 15                  # live rows unchanged
     assert CH.purge_tombstones(spark, path, before_pos=13) == 0
+
+
+def test_apply_batch_counts_skipped_duplicates(spark, tmp):
+    path = os.path.join(tmp, "t")
+    CH.init_target(spark.createDataFrame([(1, "a"), (2, "b")], "pk long, row string"), path, "pk", buckets=4)
+    ch = spark.createDataFrame([(1, None, "I", "t", 1, "dup"), (2, None, "I", "t", 3, "new"),
+                                (3, None, "I", "t", 3, "dup2")], CH.CHANGE_SCHEMA)
+    out = CH.apply_batch(ch, 0, path, "pk", "skip", 4, count_skips=True)
+    assert out["skipped"] == 2
+    log = spark.read.parquet(os.path.join(path, "_applied"))
+    assert log.where("batch_id = 0").first().skipped == 2
+    assert rows(CH.read_target(spark, path).select("pk", "row")) == [(1, "a"), (2, "b"), (3, "new")]
