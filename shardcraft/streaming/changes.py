@@ -133,14 +133,19 @@ def merge(target: DataFrame, eff: DataFrame, key: str = "pk", payload: str = "ro
 
 def apply_batch(batch: DataFrame, batch_id: int, path: str, key: str = "pk",
                 on_duplicate: str = "skip", buckets: int = DEFAULT_BUCKETS,
-                write_log: bool = True, count_skips: bool = False) -> dict:
+                write_log: bool = True, count_skips: bool = False,
+                start_pos: int | None = None) -> dict:
     """T1 micro-batch: apply one batch of changes to the table at ``path``.
     ``count_skips`` records in the batch's log entry how many inserts were
     skipped as duplicates (drift that a skipping replica would hide); it
     costs one more aggregation over the batch.  (``write_log=False`` leaves
     out the final log entry; tests use it to stand for a crash between the
-    table swap and the log write.)"""
+    table swap and the log write.)  ``start_pos`` is the log position of the
+    snapshot the table was initialised from: changes at or before it are
+    already in the snapshot and are ignored, also for keys it does not hold."""
     spark = batch.sparkSession
+    if start_pos is not None:
+        batch = batch.where(F.col("pos") > F.lit(start_pos))
     # one log directory per batch id: the check lists a single path, however
     # long the log grows (the folder reads back as a table partitioned by id)
     log_entry = f"{path}/_applied/batch_id={batch_id}"
@@ -175,10 +180,12 @@ def apply_batch(batch: DataFrame, batch_id: int, path: str, key: str = "pk",
 
 def apply_changes(changes: DataFrame, target_path: str, checkpoint: str, key: str = "pk",
                   on_duplicate: str = "skip", buckets: int = DEFAULT_BUCKETS,
-                  trigger: dict | None = None, count_skips: bool = False):
+                  trigger: dict | None = None, count_skips: bool = False,
+                  start_pos: int | None = None):
     """Start the streaming apply; returns the ``StreamingQuery``."""
     def run(df, batch_id):
-        apply_batch(df, batch_id, target_path, key, on_duplicate, buckets, count_skips=count_skips)
+        apply_batch(df, batch_id, target_path, key, on_duplicate, buckets,
+                    count_skips=count_skips, start_pos=start_pos)
     w = changes.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     w = w.trigger(**(trigger or {"availableNow": True}))
     return w.start()

@@ -264,3 +264,12 @@ def test_apply_batch_counts_skipped_duplicates(spark, tmp):
     log = spark.read.parquet(os.path.join(path, "_applied"))
     assert log.where("batch_id = 0").first().skipped == 2
     assert rows(CH.read_target(spark, path).select("pk", "row")) == [(1, "a"), (2, "b"), (3, "new")]
+
+
+def test_apply_from_snapshot_position(spark, tmp):
+    path = os.path.join(tmp, "t")
+    CH.init_target(spark.createDataFrame([(1, "snap")], "pk long, row string"), path, "pk", buckets=4, pos=100)
+    ch = spark.createDataFrame([(50, None, "I", "t", 2, "before snapshot"), (60, None, "U", "t", 1, "old"),
+                                (150, None, "I", "t", 3, "after")], CH.CHANGE_SCHEMA)
+    CH.apply_batch(ch, 0, path, "pk", "skip", 4, start_pos=100)
+    assert rows(CH.read_target(spark, path).select("pk", "row")) == [(1, "snap"), (3, "after")]
