@@ -98,6 +98,8 @@ def effective_changes(changes: DataFrame, target: DataFrame | None, key: str = "
         c = c.join(t, key, "left").where(F.col("pos") > F.coalesce(F.col("__tpos"), F.lit(-(1 << 62))))
     else:
         c = c.withColumn("__texists", F.lit(False))
+    if on_duplicate == "skip" and not count_skips:
+        return _last_effective_skip(c, key, payload)
     if on_duplicate == "skip":
         c = windows.chunked_lag(c, key, "pos", "op", "__prev_op",
                                 F.floor(F.col("pos") / F.lit(POS_CHUNK)))
@@ -117,6 +119,44 @@ def effective_changes(changes: DataFrame, target: DataFrame | None, key: str = "
         key, "pos", "op", payload, F.coalesce("skipped", F.lit(0)).alias("skipped"))
 
 
+SALTS = 16
+_NEG = -(1 << 62)
+
+
+def _last_effective_skip(c: DataFrame, key: str, payload: str) -> DataFrame:
+    """Last effective change per key under the skip policy, without ordering
+    the changes of a key.  An insert is skipped exactly when the key exists
+    just before it, so: if the last update/delete is an update, it is the
+    answer (later inserts are duplicates); if it is a delete, the first
+    insert after it wins, else the delete; with no update or delete, the
+    first insert wins unless the target already holds the key.  Two partial
+    aggregates and one join; the join of the inserts with the per-key
+    threshold is salted, so one key with very many inserts is spread over
+    ``SALTS`` tasks (the per-key table is replicated ``SALTS`` times)."""
+    agg1 = c.groupBy(key).agg(
+        F.max(F.when(F.col("op") != "I", F.struct("pos", "op", payload))).alias("__x"),
+        F.max(F.coalesce(F.col("__texists"), F.lit(False))).alias("__tex"))
+    need = (agg1.where(F.col("__x").isNull() | (F.col("__x.op") == "D"))
+                .select(key, F.coalesce(F.col("__x.pos"), F.lit(_NEG)).alias("__after"))
+                .withColumn("__s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
+    ins = (c.where(F.col("op") == "I").select(key, "pos", payload)
+            .withColumn("__s", F.pmod(F.xxhash64("pos"), F.lit(SALTS)).cast("int")))
+    first = (ins.join(need, [key, "__s"]).where(F.col("pos") > F.col("__after"))
+                .groupBy(key).agg(F.min(F.struct("pos", payload)).alias("__f")))
+    j = agg1.join(first, key, "left")
+    x, f, tex = F.col("__x"), F.col("__f"), F.col("__tex")
+    is_u = x.isNotNull() & (x["op"] == "U")
+    is_d = x.isNotNull() & (x["op"] == "D")
+    pos = F.when(is_u, x["pos"]).when(is_d, F.coalesce(f["pos"], x["pos"])).when(~tex, f["pos"])
+    op = (F.when(is_u, F.lit("U"))
+           .when(is_d, F.when(f.isNotNull(), F.lit("I")).otherwise(F.lit("D")))
+           .when(~tex & f.isNotNull(), F.lit("I")))
+    row = (F.when(is_u, x[payload]).when(is_d & f.isNotNull(), f[payload])
+            .when(x.isNull() & ~tex, f[payload]))
+    return j.select(key, pos.alias("pos"), op.alias("op"), row.alias(payload)) \
+            .where(F.col("pos").isNotNull())
+
+
 def merge(target: DataFrame, eff: DataFrame, key: str = "pk", payload: str = "row") -> DataFrame:
     """Target rows updated by the effective changes (tombstones for deletes)."""
     e = eff.where(F.col("pos").isNotNull()).select(

@@ -95,11 +95,15 @@ def _replay(start, changes, policy):
 
 @FAST
 @given(ops=st.lists(st.tuples(st.sampled_from("IUD"), st.integers(0, 4)), min_size=1, max_size=40),
-       existing=st.sets(st.integers(0, 4), max_size=3), policy=st.sampled_from(["skip", "upsert"]))
+       existing=st.dictionaries(st.integers(0, 4), st.tuples(st.booleans(), st.sampled_from([-1, 3, 12])),
+                                max_size=4),
+       policy=st.sampled_from(["skip", "upsert"]))
 def test_change_apply_equals_sequential_replay(spark, ops, existing, policy):
+    """Targets may hold live rows or delete tombstones, with stored positions
+    that make some changes stale."""
     changes = [(p, op, pk, f"r{p}") for p, (op, pk) in enumerate(ops)]
-    start = {pk: (f"init{pk}", -1) for pk in existing}
-    t = spark.createDataFrame([(pk, row, pos, False) for pk, (row, pos) in start.items()],
+    start = {pk: (None if dead else f"init{pk}", pos) for pk, (dead, pos) in existing.items()}
+    t = spark.createDataFrame([(pk, row, pos, row is None) for pk, (row, pos) in start.items()],
                               "pk long, row string, _pos long, _deleted boolean")
     ch = spark.createDataFrame([(p, None, op, "t", pk, row) for p, op, pk, row in changes], CH.CHANGE_SCHEMA)
     eff = CH.effective_changes(ch, t, "pk", policy)
