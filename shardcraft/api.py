@@ -82,6 +82,6 @@ stream = SimpleNamespace(
     read_target=_changes.read_target, purge_tombstones=_changes.purge_tombstones,
     replication_lag=_monitors.replication_lag, sync_monitor=_monitors.sync_monitor,
     service_metrics=_monitors.service_metrics, alerts=_monitors.alerts,
-    slow_queries=_monitors.slow_queries)       # IO7, T1-T6
+    slow_queries=_monitors.slow_queries, lag_summary=_monitors.lag_summary)   # IO7, T1-T6
 sqlapi = SimpleNamespace(run_query=_sqlapi.run_query, register_views=_sqlapi.register_views,
                          register_lab_views=_sqlapi.register_lab_views)   # IO11

@@ -152,3 +152,16 @@ SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, {_SHAPE_SQL} AS shape, c
 FROM q WHERE duration_ms > {SLOW_MS} GROUP BY 1, 2""")
 def t6_slow_queries_daily(spark, sf):
     return MON.slow_queries(B.query_log(spark, sf), SLOW_MS, window="1 day")
+
+
+@register("t2_replication_lag_summary", f"""WITH s AS ({B.CHANGES_SQL}), a AS ({APPLIED_SQL}),
+j AS (SELECT s.pos, a.replica,
+             round(date_diff('microsecond', s.commit_ts, a.apply_ts) / 1000000.0, 6) AS lag_s
+      FROM s LEFT JOIN a
+      ON s.pos = a.pos AND a.apply_ts >= s.commit_ts AND a.apply_ts <= s.commit_ts + INTERVAL 1 MINUTE)
+SELECT replica, count(*) AS changes, arg_max(lag_s, pos) AS newest_lag_s, max(lag_s) AS max_lag_s,
+       CAST(sum(CASE WHEN coalesce(lag_s > 10, true) THEN 1 ELSE 0 END) AS BIGINT) AS lagging_changes,
+       coalesce(arg_max(lag_s, pos) > 10, true) AS behind
+FROM j GROUP BY replica""")
+def t2_replication_lag_summary(spark, sf):
+    return MON.lag_summary(MON.replication_lag(B.changes(spark, sf), applied(spark, sf)))

@@ -131,3 +131,16 @@ def slow_queries(log: DataFrame, threshold_ms: float = SLOW_MS, window: str | No
     if window:
         g = g.select(_ntz(F.col("w.start")).alias("window_start"), "shape", "count", "max_ms", "avg_ms")
     return g
+
+
+def lag_summary(lag: DataFrame, max_lag_s: float = MAX_LAG_SECONDS) -> DataFrame:
+    """T2 per replica: the lag of the newest applied change (the figure a
+    replication monitor reports), the worst lag, how many changes were over
+    the limit, and a flag; changes no replica applied form a row with a NULL
+    replica.  Batch form (it aggregates the output of ``replication_lag``)."""
+    return lag.groupBy("replica").agg(
+        F.count(F.lit(1)).alias("changes"),
+        F.max_by("lag_s", "pos").alias("newest_lag_s"),
+        F.max("lag_s").alias("max_lag_s"),
+        F.sum(F.col("lagging").cast("long")).alias("lagging_changes"),
+    ).withColumn("behind", F.coalesce(F.col("newest_lag_s") > max_lag_s, F.lit(True)))
