@@ -257,32 +257,42 @@ def route_log(log: DataFrame, rules, ranges, statement: str = "statement",
     rules = first_of_pattern
     st = F.col(statement)
     first_kw = F.upper(F.regexp_extract(st, r"^\s*([A-Za-z]+)", 1))
-    rid = hg = cap = None
-    for r in rules:
-        pat = ("(?i)" if r.caseless else "") + r.match_pattern
-        m = st.rlike(pat)
-        v_rid, v_hg = F.lit(r.rule_id), F.lit(r.destination_hostgroup)
-        v_cap = F.regexp_extract(st, pat, 1)
-        if rid is None:
-            rid, hg, cap = F.when(m, v_rid), F.when(m, v_hg), F.when(m, v_cap)
-        else:
-            rid, hg, cap = rid.when(m, v_rid), hg.when(m, v_hg), cap.when(m, v_cap)
-    if rid is None:   # no active rule: nothing matches
+    pats = [("(?i)" if r.caseless else "") + r.match_pattern for r in rules]
+    # the index of the first matching rule is found once per statement; the
+    # rule's id and hostgroup are then looked up by index, and only that
+    # rule's pattern is run again to capture the id
+    idx = None
+    for i, pat in enumerate(pats):
+        idx = F.when(st.rlike(pat), F.lit(i)) if idx is None else idx.when(st.rlike(pat), F.lit(i))
+    from .spread import spread
+    log = spread(log, F.xxhash64(F.col(statement)))
+    if idx is None:   # no active rule: nothing matches
+        out = log.withColumn("__ri", F.lit(None).cast("int"))
         rid, hg, cap = F.lit(None).cast("int"), F.lit(None).cast("int"), F.lit(None).cast("string")
+    else:
+        out = log.withColumn("__ri", idx)
+        rid = hg = cap = None
+        for i, (r, pat) in enumerate(zip(rules, pats)):
+            hit = F.col("__ri") == i          # integer comparisons; one capture regex per row
+            v_rid, v_hg, v_cap = F.lit(r.rule_id), F.lit(r.destination_hostgroup), F.regexp_extract(st, pat, 1)
+            if rid is None:
+                rid, hg, cap = F.when(hit, v_rid), F.when(hit, v_hg), F.when(hit, v_cap)
+            else:
+                rid, hg, cap = rid.when(hit, v_rid), hg.when(hit, v_hg), cap.when(hit, v_cap)
     key = F.nullif(cap, F.lit("")).try_cast("bigint")
     hgs = hostgroup_shard or {}
     rule_shard = None
-    for h, s in sorted(hgs.items()):
-        rule_shard = F.when(hg == h, F.lit(s)) if rule_shard is None else rule_shard.when(hg == h, F.lit(s))
-    from .spread import spread
-    log = spread(log, F.xxhash64(F.col(statement)))
-    out = (log.withColumn("stmt_type", first_kw)
+    for h, s_ in sorted(hgs.items()):
+        cond = F.col("hostgroup") == h
+        rule_shard = F.when(cond, F.lit(s_)) if rule_shard is None else rule_shard.when(cond, F.lit(s_))
+    out = (out.withColumn("stmt_type", first_kw)
               .withColumn("kind", F.when(first_kw.isin(*READ_KEYWORDS), F.lit("read"))
                                    .otherwise(F.lit("write")))
               .withColumn("rule_id", rid)
               .withColumn("hostgroup", hg)
               .withColumn("routed_key", key)
-              .withColumn("intended_shard", shard_of(F.col("routed_key"), ranges)))
+              .withColumn("intended_shard", shard_of(F.col("routed_key"), ranges))
+              .drop("__ri"))
     if rule_shard is not None:
         out = (out.withColumn("rule_shard", rule_shard)
                   .withColumn("misrouted", ~F.coalesce(F.col("rule_shard") == F.col("intended_shard"),
