@@ -30,3 +30,12 @@ def test_inventory_names_resolve():
         space = getattr(api, ns)
         for n in names:
             assert callable(getattr(space, n)), f"{ns}.{n}"
+
+
+def test_session_profiles_name_real_sql_settings(spark):
+    """A misspelt key would be silently ignored; Spark only reports a known
+    SQL setting as modifiable at runtime."""
+    from shardcraft.session import CLUSTER_DEFAULTS, LARGE_CLUSTER
+    for key in list(CLUSTER_DEFAULTS) + list(LARGE_CLUSTER):
+        if key.startswith("spark.sql."):
+            assert spark.conf.isModifiable(key), key
