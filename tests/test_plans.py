@@ -58,3 +58,21 @@ def test_eager_status_summary_equals_row_level(spark):
         B.table(spark, SF_SMALL, "lineitem"), B.table(spark, SF_SMALL, "orders"),
         "l_orderkey", "o_orderkey", "o_orderstatus", "l_extendedprice", "l_quantity")
     assert sorted(map(tuple, row_level.collect())) == sorted(map(tuple, eager.select(*row_level.columns).collect()))
+
+
+def test_user_orders_rewrite_equals_left_join(spark):
+    from pyspark.sql import functions as F
+    from shardcraft.operators import joins
+    users = spark.range(0, 50).select(F.col("id"), F.concat(F.lit("u"), F.col("id").cast("string")).alias("username"))
+    # user 7 holds most orders; users 40..49 have none
+    orders = spark.range(0, 3000).select(
+        F.col("id"), F.when(F.col("id") % 4 != 0, F.lit(7)).otherwise(F.col("id") % 40).alias("user_id"),
+        F.col("id").cast("decimal(12,2)").alias("total_amount"), F.lit("O").alias("status"),
+        F.lit("2024-01-01").cast("date").alias("created_at"))
+    got = joins.user_orders(users, orders)
+    u, o = users.alias("u"), orders.alias("o")
+    want = u.join(o, F.col("u.id") == F.col("o.user_id"), "left").select(
+        F.col("u.id").alias("user_id"), "u.username", F.col("o.id").alias("order_id"),
+        "o.total_amount", "o.status", "o.created_at")
+    key = lambda r: tuple((v is None, str(v)) for v in r)
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(map(tuple, want.collect()), key=key)
