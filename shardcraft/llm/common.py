@@ -242,7 +242,7 @@ ENTRY = "kind int, key long, a long, b int"
 
 
 def repeated_keys(df: DataFrame, emit: Callable[[Iterator[pa.RecordBatch]], Iterable[tuple[int, Entries]]],
-                  name: str, limit: int = 1_500_000) -> DataFrame:
+                  name: str, limit: int = 1_000_000) -> DataFrame:
     """Find the keys that occur in at least two distinct entries anywhere.
 
     ``emit`` runs in the tasks of ``df`` and yields ``(kind, (key, a, b))`` arrays.

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, licenses, packing, quality, sharding, token_counts, topk, warc
+from . import decontaminate, jaccard, licenses, packing, quality, sharding, substring, token_counts, topk, warc
 from .common import table
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -48,6 +48,15 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similarity_components(table(spark, sf_dir, "documents"), n=3, num=90, den=100)
+
+
+def op9_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_sentences", "n_removed", "n_words_removed", "text")
+
+
 def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -60,6 +69,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_warc": op5_warc,
     "op6_token_counts": op6_token_counts,
     "op7_sharding": op7_sharding,
+    "op8_jaccard": op8_jaccard,
+    "op9_substring": op9_substring,
     "op10_topk": op10_topk,
 }
 
