@@ -135,6 +135,15 @@ def contamination(documents: DataFrame, benchmark: DataFrame, width: int = 10, b
     return rows.join(merged, "row_id", "left").mapInArrow(_merge, RESULT)
 
 
+def drop_contaminated(documents: DataFrame, benchmark: DataFrame, **parameters) -> DataFrame:
+    """The documents without any benchmark window, with all their columns."""
+    key = F.xxhash64("doc_id", "text")
+    named = documents.select(key.alias("doc_id"), "text")
+    gone = written(contamination(named, benchmark, **parameters).where("contaminated").select("doc_id").distinct(),
+                   "decontaminate-gone")
+    return documents.join(gone.withColumnRenamed("doc_id", "gone_key"), key == F.col("gone_key"), "left_anti")
+
+
 def _row(doc_id, text: bytes, n: int, ranges, items) -> tuple:
     names = sorted(str(x) for x in items)
     hit = sum(e - s for s, e in ranges)

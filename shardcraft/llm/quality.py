@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from .common import U64, mix, range_hashes, slices, text_bytes, written
 
-SCORE = "doc_id long, n_grams long, log_weight double, mean_log_ratio double, gumbel_key double"
+SCORE = "doc_id long, text_hash long, n_grams long, log_weight double, mean_log_ratio double, gumbel_key double"
 
 _KIND = np.zeros(256, np.uint8)          # 0 separator, 1 word, 2 punctuation
 _KIND[48:58] = _KIND[65:91] = _KIND[97:123] = _KIND[128:] = 1
@@ -137,7 +137,7 @@ def scores(docs: DataFrame, ratio: np.ndarray, seed: int) -> DataFrame:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, texts = b.column(0), text_bytes(b.column(1))
+            ids, texts, text_hash = b.column(0), text_bytes(b.column(1)), b.column(2)
             n, total = np.zeros(len(texts), np.int64), np.zeros(len(texts))
             noise = np.zeros(len(texts), U64)
             for s, e in slices(texts):
@@ -150,9 +150,9 @@ def scores(docs: DataFrame, ratio: np.ndarray, seed: int) -> DataFrame:
             own = ids.fill_null(-1).to_numpy(zero_copy_only=False).view(U64)
             u = ((mix(noise ^ mix(own + U64(seed))) >> U64(11)).astype(float) + 0.5) / 2.0 ** 53
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(n), pa.array(total), pa.array(total / np.maximum(n, 1)),
+                [ids, text_hash, pa.array(n), pa.array(total), pa.array(total / np.maximum(n, 1)),
                  pa.array(total - np.log(-np.log(u)))],
-                ["doc_id", "n_grams", "log_weight", "mean_log_ratio", "gumbel_key"])
+                ["doc_id", "text_hash", "n_grams", "log_weight", "mean_log_ratio", "gumbel_key"])
 
     return docs.mapInArrow(score, SCORE)
 
@@ -195,7 +195,7 @@ def kth_largest(rows: DataFrame, col: str, k: int, bins: int = 4096, few: int =
 def classify(documents: DataFrame, labels: DataFrame, buckets: int = 1 << 16, max_labels: int = 20_000,
              seed: int = 7) -> DataFrame:
     """One row per document: :data:`SCORE` and ``kept``."""
-    docs = documents.select("doc_id", "text")
+    docs = documents.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     known = {r["doc_id"]: r["quality"] for r in
              labels.where("doc_id is not null and quality is not null").select("doc_id", "quality")
              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labels).collect()}
@@ -215,3 +215,11 @@ def classify(documents: DataFrame, labels: DataFrame, buckets: int = 1 << 16, ma
     if not k:
         return rows.withColumn("kept", F.lit(False))
     return rows.withColumn("kept", F.col("gumbel_key") >= F.lit(kth_largest(rows, "gumbel_key", k)))
+
+
+def keep_good(documents: DataFrame, labels: DataFrame, **parameters) -> DataFrame:
+    """The documents that :func:`classify` keeps, with all their columns."""
+    gone = written(classify(documents, labels, **parameters).where(~F.col("kept"))
+                   .select(F.col("doc_id").alias("gone_id"), "text_hash").distinct(), "quality-gone")
+    return documents.join(gone, documents["doc_id"].eqNullSafe(gone["gone_id"])
+                          & (F.xxhash64(documents["text"]) == gone["text_hash"]), "left_anti")
