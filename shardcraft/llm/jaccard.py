@@ -17,9 +17,11 @@ size-derived bound are wanted:
 
 Thousands of near copies of one text would meet in every pair, so pairs are
 formed in two passes.  First each segment's rows meet its most central row only;
-links found join rows into components.  Then all pairs of a shared segment that
-lie in *different* components meet.  A pair that is never formed lies within one
-component, so components are exact and no group is expanded into all pairs.
+links found join rows into components.  Then the rows of segments that still
+hold *different* components are dealt into row blocks, and of every two blocks
+that share a segment the block product is accumulated in a task; only links that
+join components leave it.  A pair that is never tested lies within one
+component, so components are exact and no group is expanded into rows of pairs.
 
 Row identity and n-grams are 64-bit hashes.
 
@@ -42,6 +44,7 @@ from pyspark.sql import functions as F
 from .common import SPACE, U64, mix, range_hashes, repeated_keys, slices, text_bytes, words, written
 
 GROWTH = 1.35
+BLOCK_ROWS, BLOCK_GRAMS = 400, 250_000
 EMPTY = U64(0x5851F42D4C957F2D)
 
 
@@ -170,6 +173,76 @@ def _product(num: int, den: int):
     return run
 
 
+def overlaps(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """The block product: n-grams shared by every row of x and of y, accumulated
+    over blocks of the columns that two rows or more have."""
+    owner = np.repeat(np.arange(len(x) + len(y)), [len(g) for g in (*x, *y)])
+    _, column, count = np.unique(np.concatenate([*x, *y]), return_inverse=True, return_counts=True)
+    name = np.cumsum(count > 1) - 1
+    own = count[column] > 1
+    column, owner = name[column[own]], owner[own]
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    out = np.zeros((len(x), len(y)), np.float32)
+    width = 4096
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        s, e = np.searchsorted(column, [start, start + width])
+        part = np.zeros((len(x) + len(y), min(width, int(column[-1]) + 1 - start)), np.float32)
+        part[owner[s:e], column[s:e] - start] = 1
+        out += part[:len(x)] @ part[len(x):].T
+    return out.astype(np.int64)
+
+
+def _block_product(num: int, den: int):
+    def links(rows: list[tuple]) -> tuple[list[int], list[int]]:
+        """Links of rows (block, node, comp, grams) that join further components."""
+        sides = sorted({r[0] for r in rows})
+        x = [r for r in rows if r[0] == sides[0]]
+        y = [r for r in rows if r[0] == sides[-1]]
+        if len({r[2] for r in rows}) < 2:
+            return [], []
+        shared = overlaps([r[3] for r in x], [r[3] for r in y])
+        size = [np.array([len(r[3]) for r in side])[:, None] for side in (x, y)]
+        comp = [np.array([r[2] for r in side]) for side in (x, y)]
+        hit = (den * shared >= num * (size[0] + size[1].T - shared)) & (comp[0][:, None] != comp[1][None, :])
+        root: dict[int, int] = {}
+
+        def top(c):
+            while root.setdefault(c, c) != c:
+                c = root[c]
+            return c
+
+        a, b = [], []
+        for p, q in zip(*np.nonzero(hit)):
+            s, t = top(x[p][2]), top(y[q][2])
+            if s != t:
+                root[max(s, t)] = min(s, t)
+                a.append(x[p][1])
+                b.append(y[q][1])
+        return a, b
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, a, b = None, [], [], []
+
+        def batch():
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+        for rows in batches:
+            for i, j, block, node, comp, grams in zip(*(c.to_pylist() for c in rows.columns)):
+                if (i, j) != now:
+                    if len(held) > 1:
+                        p, q = links(held)
+                        a, b = a + p, b + q
+                    now, held = (i, j), []
+                held.append((block, node, comp, np.frombuffer(grams, U64)))
+            yield batch()
+            a, b = [], []
+        if len(held) > 1:
+            a, b = links(held)
+        yield batch()
+    return run
+
+
 def linked(pairs: DataFrame, vectors: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs whose product entry reaches the bound."""
     both = (pairs.join(vectors.select(F.col("node").alias("a"), F.col("grams").alias("x")), "a")
@@ -245,15 +318,32 @@ def _components_of(docs, rows, shared, n, num, den) -> DataFrame:
     apart = written(placed.join(split.select("key"), "key").select("key", "comp", "node", "n"), "jaccard-open")
     if apart.isEmpty():
         return comps
-    other = apart.select("key", F.col("comp").alias("comp2"), F.col("node").alias("b"), F.col("n").alias("n2"))
-    again = (apart.withColumnRenamed("node", "a").join(other, "key")
-             .where((F.col("comp") < F.col("comp2")) & fits(F.col("n"), F.col("n2"))).select("a", "b").distinct())
-    known = first.select("a", "b").unionAll(first.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    more = written(linked(written(again.join(known, ["a", "b"], "left_anti"), "jaccard-pairs2"), vectors, num, den),
-                   "jaccard-links2")
+    more = written(_open_links(apart, vectors, num, den), "jaccard-links2")
     return comps if more.isEmpty() else written(components(links.unionAll(more)), "jaccard-comps2")
 
 
+def _open_links(apart: DataFrame, vectors: DataFrame, num: int, den: int) -> DataFrame:
+    """Links over components among rows that share a segment, by row blocks.
+
+    A row's home is its most common open segment; a home's rows are dealt by hash
+    into blocks of bounded size.  Blocks that share a segment anywhere meet once."""
+    common = apart.groupBy("key").agg(F.count("*").alias("size"))
+    homes = (apart.join(common, "key").groupBy("node")
+             .agg(F.max(F.struct("size", "key")).alias("h"), F.max("comp").alias("comp"), F.max("n").alias("n"))
+             .select("node", "comp", "n", F.col("h.key").alias("home")))
+    cells = homes.groupBy("home").agg(
+        F.ceil(F.greatest(F.count("*") / BLOCK_ROWS, F.sum("n") / BLOCK_GRAMS)).alias("cells"))
+    placed = written(homes.join(cells, "home").select(
+        "node", "comp", F.xxhash64("home", F.pmod(F.xxhash64("node"), "cells")).alias("block")), "jaccard-blocks")
+    where = apart.join(placed.select("node", "block"), "node").select("key", "block").distinct()
+    met = (where.withColumnRenamed("block", "i").join(where.withColumnRenamed("block", "j"), "key")
+           .where("i <= j").select("i", "j").distinct())
+    sent = (met.withColumn("block", F.explode(F.array_distinct(F.array("i", "j"))))
+            .join(placed.join(vectors, "node"), "block").select("i", "j", "block", "node", "comp", "grams"))
+    return (sent.repartition("i", "j").sortWithinPartitions("i", "j", "block")
+            .mapInArrow(_block_product(num, den), "a long, b long").distinct())
+
+
 def keep_one(documents: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """The documents without near copies: of each component the row with its
     smallest doc_id stays.  Rows without a doc_id or without n-grams stay."""
