@@ -193,53 +193,66 @@ def overlaps(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def _block_product(num: int, den: int):
-    def links(rows: list[tuple]) -> tuple[list[int], list[int]]:
-        """Links of rows (block, node, comp, grams) that join further components."""
-        sides = sorted({r[0] for r in rows})
-        x = [r for r in rows if r[0] == sides[0]]
-        y = [r for r in rows if r[0] == sides[-1]]
-        if len({r[2] for r in rows}) < 2:
-            return [], []
-        shared = overlaps([r[3] for r in x], [r[3] for r in y])
-        size = [np.array([len(r[3]) for r in side])[:, None] for side in (x, y)]
-        comp = [np.array([r[2] for r in side]) for side in (x, y)]
-        hit = (den * shared >= num * (size[0] + size[1].T - shared)) & (comp[0][:, None] != comp[1][None, :])
-        root: dict[int, int] = {}
-
-        def top(c):
-            while root.setdefault(c, c) != c:
-                c = root[c]
-            return c
-
-        a, b = [], []
-        for p, q in zip(*np.nonzero(hit)):
-            s, t = top(x[p][2]), top(y[q][2])
-            if s != t:
-                root[max(s, t)] = min(s, t)
-                a.append(x[p][1])
-                b.append(y[q][1])
-        return a, b
+PACKED = "block long, nodes binary, comps binary, sizes binary, grams binary"
+PACKED_COLUMNS = ("nodes", "comps", "sizes", "grams")
+
+
+def _pack_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by block to one row per block, in binary columns."""
+    now, held = None, []
+
+    def out() -> pa.RecordBatch:
+        nodes, comps, grams = zip(*held)
+        cells = (np.array(nodes, np.int64).tobytes(), np.array(comps, np.int64).tobytes(),
+                 np.array([len(g) // 8 for g in grams], np.int64).tobytes(), b"".join(grams))
+        return pa.RecordBatch.from_arrays([pa.array([now], pa.int64()), *(pa.array([c], pa.binary()) for c in cells)],
+                                          ["block", *PACKED_COLUMNS])
+
+    for rows in batches:
+        for block, node, comp, grams in zip(*(c.to_pylist() for c in rows.columns)):
+            if block != now and held:
+                yield out()
+                held = []
+            now = block
+            held.append((node, comp, grams))
+    if held:
+        yield out()
+
+
+def _unpack(nodes: bytes, comps: bytes, sizes: bytes, grams: bytes):
+    size = np.frombuffer(sizes, np.int64)
+    return (np.frombuffer(nodes, np.int64), np.frombuffer(comps, np.int64), size,
+            np.split(np.frombuffer(grams, U64), np.cumsum(size)[:-1]))
+
+
+def joining_links(x, y, num: int, den: int) -> Iterator[tuple[int, int]]:
+    """Links between two unpacked blocks that join further components."""
+    if len(np.unique(np.concatenate([x[1], y[1]]))) < 2:
+        return
+    shared = overlaps(x[3], y[3])
+    hit = (den * shared >= num * (x[2][:, None] + y[2][None, :] - shared)) & (x[1][:, None] != y[1][None, :])
+    root: dict[int, int] = {}
+
+    def top(c):
+        while root.setdefault(c, c) != c:
+            c = root[c]
+        return c
+
+    for p, q in zip(*np.nonzero(hit)):
+        s, t = top(int(x[1][p])), top(int(y[1][q]))
+        if s != t:
+            root[max(s, t)] = min(s, t)
+            yield int(x[0][p]), int(y[0][q])
+
 
+def _block_product(num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held, a, b = None, [], [], []
-
-        def batch():
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
-        for rows in batches:
-            for i, j, block, node, comp, grams in zip(*(c.to_pylist() for c in rows.columns)):
-                if (i, j) != now:
-                    if len(held) > 1:
-                        p, q = links(held)
-                        a, b = a + p, b + q
-                    now, held = (i, j), []
-                held.append((block, node, comp, np.frombuffer(grams, U64)))
-            yield batch()
-            a, b = [], []
-        if len(held) > 1:
-            a, b = links(held)
-        yield batch()
+        for b in batches:
+            found = []
+            for r in range(b.num_rows):
+                x, y = (_unpack(*(b.column(f"{c}_{k}")[r].as_buffer() for c in PACKED_COLUMNS)) for k in ("i", "j"))
+                found += joining_links(x, y, num, den)
+            yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["a", "b"])
     return run
 
 
@@ -338,9 +351,12 @@ def _open_links(apart: DataFrame, vectors: DataFrame, num: int, den: int) -> Dat
     where = apart.join(placed.select("node", "block"), "node").select("key", "block").distinct()
     met = (where.withColumnRenamed("block", "i").join(where.withColumnRenamed("block", "j"), "key")
            .where("i <= j").select("i", "j").distinct())
-    sent = (met.withColumn("block", F.explode(F.array_distinct(F.array("i", "j"))))
-            .join(placed.join(vectors, "node"), "block").select("i", "j", "block", "node", "comp", "grams"))
-    return (sent.repartition("i", "j").sortWithinPartitions("i", "j", "block")
+    packed = written(placed.join(vectors, "node").select("block", "node", "comp", "grams")
+                     .repartition("block").sortWithinPartitions("block").mapInArrow(_pack_blocks, PACKED),
+                     "jaccard-packed")
+    sides = [packed.select(F.col("block").alias(k), *(F.col(c).alias(f"{c}_{k}") for c in PACKED_COLUMNS))
+             for k in ("i", "j")]
+    return (met.join(sides[0], "i").join(sides[1], "j").where("i < j or length(nodes_i) > 8")
             .mapInArrow(_block_product(num, den), "a long, b long").distinct())
 
 
