@@ -7,8 +7,9 @@ size-derived bound are wanted:
 * Equal rows are one row: documents with the same n-gram set form a class.
 * Columns are cut by hash into blocks.  If ``|x & y| / |x | y| >= t`` and x is
   the smaller, at most ``|x| * (1 - t) / t`` n-grams differ, so of one block more
-  than that at least one column block must agree completely; a few further
-  blocks make up for empty ones.  Rows are put into size levels, each with its own
+  than that at least one column block must agree completely; further blocks make
+  up for empty ones and raise the number that must agree to ``need``, so that rows
+  with fewer shared segments (a passage in common) are discarded unseen.  Rows are put into size levels, each with its own
   number of blocks, and a row also enters the lower level that it can still
   pair with.  Only rows that share such a block segment meet at all: that
   discards pairs below the bound without looking at frequent n-grams.
@@ -43,7 +44,7 @@ from pyspark.sql import functions as F
 
 from .common import SPACE, U64, mix, range_hashes, repeated_keys, slices, text_bytes, words, written
 
-GROWTH = 1.35
+GROWTH, SIZE_BITS = 1.35, 25
 BLOCK_ROWS, BLOCK_GRAMS = 400, 250_000
 EMPTY = U64(0x5851F42D4C957F2D)
 
@@ -81,11 +82,13 @@ class Levels:
     def __init__(self, num: int, den: int):
         self.num, self.den = num, den
         self.low = [1]
-        while self.low[-1] < 1 << 31:
+        while self.low[-1] < 1 << SIZE_BITS:
             self.low.append(max(self.low[-1] + 1, int(self.low[-1] * GROWTH)))
         differ = [(b - 1) * (den - num) // num for b in self.low[1:]]
         self.spare = [1 + d // 50 for d in differ]
-        self.blocks = [d + 1 + s if d else 0 for d, s in zip(differ, self.spare)]     # 0: only equal sets link
+        self.need = [1 + d // 10 for d in differ]
+        self.blocks = [d + n + s if d else 0                                          # 0: only equal sets link
+                       for d, n, s in zip(differ, self.need, self.spare)]
 
     def of(self, size: int) -> list[int]:
         k = int(np.searchsorted(self.low, size, side="right")) - 1
@@ -95,9 +98,10 @@ class Levels:
             k -= 1
         return [k for k in out if self.blocks[k]]
 
-    def segments(self, g: np.ndarray) -> np.ndarray:
-        """Keys of the set's segments in all its levels."""
-        m, out = mix(g), []
+    def segments(self, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Keys of the set's segments in all its levels, and each one's level and
+        the set's size in one number."""
+        m, out, level = mix(g), [], []
         for k in self.of(len(g)):
             n = self.blocks[k]
             part = (g >> U64(32)) * U64(n) >> U64(32)
@@ -107,7 +111,8 @@ class Levels:
             if n - len(start) > self.spare[k]:
                 bare = np.setdiff1d(np.arange(n, dtype=U64), part[start])
                 out.append(mix(mix(bare + U64(k << 40)) ^ EMPTY))
-        return np.concatenate(out) if out else np.zeros(0, U64)
+            level += [np.full(len(x), k << SIZE_BITS | len(g), np.int32) for x in out[len(level):]]
+        return (np.concatenate(out), np.concatenate(level)) if out else (np.zeros(0, U64), np.zeros(0, np.int32))
 
 
 def _emit(n: int, num: int, den: int):
@@ -121,9 +126,9 @@ def _emit(n: int, num: int, den: int):
                 sets.append(sid)
                 sizes.append(len(g))
                 if len(g):
-                    key = levels.segments(g)
+                    key, level = levels.segments(g)
                     if len(key):
-                        held.append((key, sid, len(g)))
+                        held.append((key, sid, level))
                         total += len(key)
                 if total > 200_000:
                     yield 0, _entries(held)
@@ -142,7 +147,7 @@ def _entries(held):
     n = [len(k) for k, _, _ in held]
     return (np.concatenate([k for k, _, _ in held]),
             np.repeat(np.array([s for _, s, _ in held], U64).view(np.int64), n),
-            np.repeat(np.array([z for _, _, z in held], np.int32), n))
+            np.concatenate([z for _, _, z in held]))
 
 
 def _vectors(n: int):
@@ -295,7 +300,10 @@ def similarity_components(documents: DataFrame, n: int = 5, num: int = 80, den:
     met = repeated_keys(docs, _emit(n, num, den), "jaccard-segments")
     rows = met.where("kind > 1").select(F.when(F.col("kind") == 2, F.col("a")).alias("doc_id"),
                                         F.col("key").alias("set_id"), F.col("b").alias("n_shingles"))
-    shared = met.where("kind = 1").select("key", F.col("a").alias("node"), F.col("b").alias("n"))
+    shared = met.where("kind = 1").select(
+        "key", F.col("a").alias("node"), F.shiftright("b", SIZE_BITS).alias("level"),
+        F.col("b").bitwiseAND((1 << SIZE_BITS) - 1).alias("n"))
+    shared = _dense(shared, "node", Levels(num, den).need)
     if shared.isEmpty():
         comps = rows.sparkSession.createDataFrame([], "node long, comp long")
     else:
@@ -310,6 +318,19 @@ def similarity_components(documents: DataFrame, n: int = 5, num: int = 80, den:
         F.when(F.col("comp").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
 
 
+def _dense(shared: DataFrame, across: str, need: list[int], rounds: int = 2) -> DataFrame:
+    """Without rows that can't link: a link of a level shares ``need`` segments of
+    it at least, so a row with fewer segments shared over ``across`` has none, and
+    a segment whose other rows went is shared no longer."""
+    least = F.element_at(F.array(*map(F.lit, need)), F.col("level") + 1)
+    for _ in range(rounds):
+        enough = shared.groupBy("node", "level").agg(F.count("*").alias("segments")).where(F.col("segments") >= least)
+        left = shared.join(enough.select("node", "level"), ["node", "level"])
+        keys = left.groupBy("key").agg(F.min(across).alias("lo"), F.max(across).alias("hi")).where("lo < hi")
+        shared = written(left.join(keys.select("key"), "key").select(*shared.columns), "jaccard-dense")
+    return shared
+
+
 def _components_of(docs, rows, shared, n, num, den) -> DataFrame:
     fits = lambda p, q: F.least(p, q) * den >= F.greatest(p, q) * num
     nodes = shared.groupBy("node").agg(F.count("*").alias("met"))
@@ -328,7 +349,9 @@ def _components_of(docs, rows, shared, n, num, den) -> DataFrame:
     # pass 2: whatever shares a segment over components
     placed = shared.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     split = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
-    apart = written(placed.join(split.select("key"), "key").select("key", "comp", "node", "n"), "jaccard-open")
+    apart = written(placed.join(split.select("key"), "key").select("key", "comp", "node", "level", "n"), "jaccard-open")
+    if not apart.isEmpty():
+        apart = _dense(apart, "comp", Levels(num, den).need)
     if apart.isEmpty():
         return comps
     more = written(_open_links(apart, vectors, num, den), "jaccard-links2")
