@@ -35,6 +35,7 @@ rows; other input columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -85,11 +86,22 @@ class Levels:
         while self.low[-1] < 1 << SIZE_BITS:
             self.low.append(max(self.low[-1] + 1, int(self.low[-1] * GROWTH)))
         differ = [(b - 1) * (den - num) // num for b in self.low[1:]]
-        self.spare = [1 + d // 50 for d in differ]
         self.need = [1 + d // 10 for d in differ]
+        self.spare = [self._empty(low, d + n) for low, d, n in zip(self.low, differ, self.need)]
         self.blocks = [d + n + s if d else 0                                          # 0: only equal sets link
                        for d, n, s in zip(differ, self.need, self.spare)]
 
+    @staticmethod
+    def _empty(low: int, blocks: int) -> int:
+        """Blocks that stay empty for the level's smallest sets, with a margin, when
+        as many are added; about a third more blocks at most (a set with more empty
+        ones matches them too)."""
+        spare, most = 1, blocks * 35 // 100 + 2
+        for _ in range(30):
+            mean = (blocks + spare) * math.exp(-low / (blocks + spare))
+            spare = min(most, math.ceil(mean + 4 * math.sqrt(mean)) + 1)
+        return spare
+
     def of(self, size: int) -> list[int]:
         k = int(np.searchsorted(self.low, size, side="right")) - 1
         out = []
