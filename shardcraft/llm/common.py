@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from shardcraft.session import scratch_path
 
-SLICE_BYTES = 1 << 20          # text bytes handled by one vectorised step
+SLICE_BYTES = 1 << 19          # text bytes handled by one vectorised step
 U64 = np.uint64
 
 
@@ -242,7 +242,7 @@ ENTRY = "kind int, key long, a long, b int"
 
 
 def repeated_keys(df: DataFrame, emit: Callable[[Iterator[pa.RecordBatch]], Iterable[tuple[int, Entries]]],
-                  name: str, limit: int = 600_000) -> DataFrame:
+                  name: str, limit: int = 400_000) -> DataFrame:
     """Find the keys that occur in at least two distinct entries anywhere.
 
     ``emit`` runs in the tasks of ``df`` and yields ``(kind, (key, a, b))`` arrays.

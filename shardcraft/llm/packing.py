@@ -53,7 +53,7 @@ class WordCache:
     PLAIN = re.compile(r"[!-&(-~À-ÖØ-öø-ÿ]+")
     PRE = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 
-    def __init__(self, path: str, limit: int = 250_000):
+    def __init__(self, path: str, limit: int = 120_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -101,20 +101,11 @@ class WordCache:
         return b"".join(parts)
 
 
-_CACHE: dict[str, WordCache] = {}     # lives as long as the Python worker
-
-
-def word_cache(path: str) -> WordCache:
-    if path not in _CACHE:
-        _CACHE[path] = WordCache(path)
-    return _CACHE[path]
-
-
 def _pieces(path: str, end_id: int, capacity: int):
     tail = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, seen = word_cache(path), {}
+        cache, seen = WordCache(path), {}      # freed with the task: workers are reused by other stages
         part = TaskContext.get().partitionId()
         for b in batches:
             cols = [array("q") for _ in range(4)]
