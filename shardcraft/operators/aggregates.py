@@ -31,14 +31,13 @@ def ratio_fixed(num, den, digits: int = 4) -> Column:
     return q.cast("double") / F.lit(float(10 ** digits))
 
 
-def avg_fixed(col, scale: int = 2, digits: int = 4) -> Column:
-    """Average of a non-negative measure recorded with ``scale`` decimals:
-    the sum of units of 10^-scale is exact, and the rounding is
-    :func:`ratio_fixed`, so the result does not depend on the order of
-    addition or on binary rounding of doubles."""
+def avg_fixed(col, scale: int = 12, digits: int = 4) -> Column:
+    """Average rounded half-up to ``digits``, from an exact decimal sum of the
+    values at ``scale`` decimals, so that it does not depend on the order of
+    addition."""
     c = F.col(col) if isinstance(col, str) else col
-    units = F.sum((c.cast(f"decimal(18,{scale})") * F.lit(10 ** scale)).cast("decimal(38,0)"))
-    return ratio_fixed(units, F.count(c).cast("decimal(38,0)") * F.lit(10 ** scale), digits)
+    n = F.nullif(F.count(c).cast("decimal(20,0)"), F.lit(0).cast("decimal(20,0)"))
+    return F.round(F.sum(c.cast(f"decimal(38,{scale})")).cast("decimal(38,12)") / n, digits).cast("double")
 
 
 def top_users(df: DataFrame, since, min_orders: int, n: int,
@@ -105,7 +104,7 @@ def json_avg(df: DataFrame, group, json_col: str, path: str) -> DataFrame:
     group = [group] if isinstance(group, str) else list(group)
     v = json_number(json_col, path)
     return df.groupBy(*group).agg(F.count(F.lit(1)).alias("n"),
-                                  avg_fixed(v, 0).alias("avg_value"))
+                                  avg_fixed(v).alias("avg_value"))
 
 
 def ledger_summary(df: DataFrame, n: int = 50) -> DataFrame:

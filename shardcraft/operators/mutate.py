@@ -81,7 +81,8 @@ def json_set(df: DataFrame, col: str, values: dict, increments: tuple = (),
              cond: Column | None = None) -> DataFrame:
     """M4: set top-level JSON fields (``values``: field -> Column) and add 1
     to the counters in ``increments`` (a missing counter counts as 0); other
-    fields keep their JSON values.  ``cond`` limits the rows touched."""
+    fields keep their JSON values.  NULL, malformed and non-object documents
+    stay as they are.  ``cond`` limits the rows touched."""
     m = F.from_json(F.col(col), "map<string,variant>")
     touched = list(values) + list(increments)
     kept = F.map_filter(m, lambda k, v: ~k.isin(touched))
@@ -93,6 +94,7 @@ def json_set(df: DataFrame, col: str, values: dict, increments: tuple = (),
         pairs += [F.lit(f), F.parse_json((old + 1).cast("string"))]
     new = F.to_json(F.map_concat(F.coalesce(kept, F.create_map().cast("map<string,variant>")),
                                  F.create_map(*pairs)))
+    new = F.when(m.isNotNull(), new).otherwise(F.col(col))     # only objects are changed
     if cond is not None:
         new = F.when(F.coalesce(cond, F.lit(False)), new).otherwise(F.col(col))
     return df.withColumn(col, new)
@@ -229,6 +231,8 @@ def insert_ignore(target: DataFrame, batch: DataFrame, keys, order,
     compares string keys under that collation (e.g. ``UNICODE_CI``)."""
     keys, order = _list(keys), _list(order)
     rest = [c for c in batch.columns if c not in keys and c not in order]
+    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    keyless, batch = batch.where(~whole), batch.where(whole)     # a unique key admits any number of NULLs
     b, bk = _match_keys(batch, keys, collation)
     first = b.groupBy(*bk).agg(F.min(F.struct(*order, *keys, *rest)).alias("__f")) \
              .select(*[F.col("__f")[c].alias(c) for c in keys + order + rest])
@@ -244,4 +248,4 @@ def insert_ignore(target: DataFrame, batch: DataFrame, keys, order,
     else:
         new = first.join(target.select(*keys), keys, "left_anti")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
-                  [target, new.select(*[c for c in target.columns if c in new.columns])])
+                  [target, *(d.select(*[c for c in target.columns if c in d.columns]) for d in (new, keyless))])

@@ -8,6 +8,7 @@ chains (codegen'd, no join, no shuffle) rather than joined tables.
 from __future__ import annotations
 
 from dataclasses import dataclass
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -164,9 +165,11 @@ def audit(df: DataFrame, key: str, ranges, shard_col: str = "shard_id") -> DataF
             F.lit(False))).alias("ok"))
 
 
-def balance(tables: dict, shard_col: str = "shard_id", weight_col: str = "rows_weight") -> DataFrame:
+def balance(tables: dict, shard_ids: list, shard_col: str = "shard_id",
+            weight_col: str = "rows_weight") -> DataFrame:
     """Rows per shard per table, share of the table, and the table's
-    max/mean skew.  A table given with a ``weight_col`` column is taken as
+    max/mean skew over the declared ``shard_ids`` (an empty one counts as 0
+    rows; rows without a shard are reported but don't enter the skew).  A table given with a ``weight_col`` column is taken as
     pre-counted rows (e.g. line items counted per order before the join that
     finds their shard).  The per-table totals are computed on the already
     aggregated (tables x shards) rows."""
@@ -178,14 +181,19 @@ def balance(tables: dict, shard_col: str = "shard_id", weight_col: str = "rows_w
         d.groupBy(shard_col).agg(_count(d)).withColumn("table_name", F.lit(t))
         for t, d in sorted(tables.items())])
     from .aggregates import ratio_fixed
+    spark = counts.sparkSession
+    declared = spark.createDataFrame([(t, s, 0) for t in sorted(tables) for s in shard_ids],
+                                     f"table_name string, {shard_col} int, rows long")
+    counts = counts.unionByName(declared).groupBy("table_name", shard_col).agg(F.sum("rows").alias("rows"))
+    placed = F.col(shard_col).isNotNull()
     per_table = counts.groupBy("table_name").agg(
-        F.sum("rows").alias("table_rows"), F.max("rows").alias("max_rows"),
-        F.count(F.lit(1)).alias("shards"))
+        F.sum("rows").alias("table_rows"), F.sum(F.when(placed, F.col("rows"))).alias("placed_rows"),
+        F.max(F.when(placed, F.col("rows"))).alias("max_rows"))
     return (counts.join(per_table, "table_name")
             .select("table_name", shard_col, "rows",
                     ratio_fixed(F.col("rows") * 100, "table_rows", 4).alias("share_pct"),
                     # max / mean = max * shards / total
-                    ratio_fixed(F.col("max_rows") * F.col("shards"), "table_rows", 4).alias("skew")))
+                    ratio_fixed(F.col("max_rows") * F.lit(len(shard_ids)), "placed_rows", 4).alias("skew")))
 
 
 def aggregate(df: DataFrame, group, aggs) -> DataFrame:
@@ -206,13 +214,25 @@ def cross_shard_join(left: DataFrame, right: DataFrame, key: str, right_key: str
     across shards, so the shard column is part of every join key."""
     rk = right_key or key
     cond = (left[shard_col] == right[shard_col]) & (left[key] == right[rk])
-    return left.join(right, cond, how).drop(right[shard_col])
+    joined = left.join(right, cond, how)
+    if how not in ("full", "right", "outer", "fullouter", "full_outer", "rightouter", "right_outer"):
+        return joined.drop(right[shard_col])
+    both = F.coalesce(left[shard_col], right[shard_col])      # right-only rows keep their shard
+    return (joined.withColumn("__shard", both).drop(left[shard_col]).drop(right[shard_col])
+            .withColumnRenamed("__shard", shard_col))
 
 
 # --------------------------------------------------------------------------
 # S3: query-log routing
 # --------------------------------------------------------------------------
 
+def _capture(st, pat: str):
+    """The first capture group, NULL for a rule without one."""
+    if not re.search(r"(?<!\\)\((?!\?)", pat):
+        return F.lit(None).cast("string")
+    return F.regexp_extract(st, pat, 1)
+
+
 READ_KEYWORDS = ("SELECT", "SHOW", "DESCRIBE", "EXPLAIN")
 
 
@@ -274,7 +294,7 @@ def route_log(log: DataFrame, rules, ranges, statement: str = "statement",
         rid = hg = cap = None
         for i, (r, pat) in enumerate(zip(rules, pats)):
             hit = F.col("__ri") == i          # integer comparisons; one capture regex per row
-            v_rid, v_hg, v_cap = F.lit(r.rule_id), F.lit(r.destination_hostgroup), F.regexp_extract(st, pat, 1)
+            v_rid, v_hg, v_cap = F.lit(r.rule_id), F.lit(r.destination_hostgroup), _capture(st, pat)
             if rid is None:
                 rid, hg, cap = F.when(hit, v_rid), F.when(hit, v_hg), F.when(hit, v_cap)
             else:

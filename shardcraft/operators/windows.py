@@ -21,6 +21,13 @@ def _list(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
+def _join_null_safe(left: DataFrame, right: DataFrame, keys: list) -> DataFrame:
+    """Left join in which NULL keys match each other."""
+    r = right.select(*[F.col(c).alias(f"__k{keys.index(c)}") if c in keys else F.col(c) for c in right.columns])
+    cond = [left[k].eqNullSafe(r[f"__k{i}"]) for i, k in enumerate(keys)]
+    return left.join(r, cond, "left").drop(*[f"__k{i}" for i in range(len(keys))])
+
+
 def suffix_sum(df: DataFrame, part, order: str, value: Column, out: str,
                chunk_width: int = DEFAULT_CHUNK, inclusive: bool = True) -> DataFrame:
     """``out`` = sum of ``value`` over the rows of the same ``part`` whose
@@ -36,7 +43,7 @@ def suffix_sum(df: DataFrame, part, order: str, value: Column, out: str,
     frame = (0 if inclusive else 1, Window.unboundedFollowing)
     local = d.withColumn("__local", F.sum("__v").over(
         Window.partitionBy(*part, "__chunk").orderBy(order).rowsBetween(*frame)))
-    j = local.join(later, [*part, "__chunk"], "left")
+    j = _join_null_safe(local, later, [*part, "__chunk"])
     zero = F.lit(0).cast(j.schema["__v"].dataType)
     return (j.withColumn(out, F.coalesce("__local", zero) + F.coalesce("__later", zero))
              .drop("__v", "__chunk", "__local", "__later"))
@@ -89,7 +96,7 @@ def chunked_lag(df: DataFrame, part, order: str, value: str, out: str, chunk: Co
     last = d.groupBy(*part, "__chunk").agg(F.max_by(value, order).alias("__last"))
     carry = last.withColumn("__carry", F.lag("__last").over(
         Window.partitionBy(*part).orderBy("__chunk"))).drop("__last")
-    j = d.join(carry, [*part, "__chunk"], "left")
+    j = _join_null_safe(d, carry, [*part, "__chunk"])
     return (j.withColumn(out, F.when(F.col("__first"), F.col("__carry")).otherwise(F.col("__lagv")))
              .drop("__chunk", "__lagv", "__first", "__carry"))
 

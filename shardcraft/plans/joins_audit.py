@@ -25,18 +25,12 @@ def _products(spark, sf):
         F.col("p_retailprice").cast("decimal(12,2)").alias("price"))
 
 
-def _recent_pending_orders(spark, sf):
-    o = B.shop_orders(spark, sf)
-    return o.where((F.col("status") == "P") & (F.col("created_at") >= F.date_sub(F.lit(B.AS_OF), 365)))
-
-
 @register("j1_user_orders", f"""WITH u AS ({B.USERS_SQL}), o AS ({B.SHOP_ORDERS_SQL})
 SELECT u.id AS user_id, u.username, o.id AS order_id, o.total_amount, o.status, o.created_at
-FROM u LEFT JOIN (SELECT * FROM o WHERE status = 'P'
-                  AND created_at >= CAST({AS_OF} - INTERVAL 365 DAY AS DATE)) o
+FROM u LEFT JOIN o
   ON u.id = o.user_id""")
 def j1_user_orders(spark, sf):
-    return joins.user_orders(B.users(spark, sf), _recent_pending_orders(spark, sf))
+    return joins.user_orders(B.users(spark, sf), B.shop_orders(spark, sf))
 
 
 @register("j2_order_details", f"""WITH o AS ({B.SHOP_ORDERS_SQL}), u AS ({B.USERS_SQL})
@@ -55,15 +49,14 @@ def j2_order_details(spark, sf):
 @register("j3_customer_spend", f"""WITH u AS ({B.USERS_SQL}), o AS ({B.SHOP_ORDERS_SQL})
 SELECT u.id AS user_id, u.username, count(o.id) AS order_count,
        CAST(coalesce(sum(o.total_amount), 0) AS DECIMAL(18,2)) AS total_spent
-FROM u LEFT JOIN (SELECT * FROM o WHERE created_at >= CAST({AS_OF} - INTERVAL 730 DAY AS DATE)) o
+FROM u LEFT JOIN o
   ON u.id = o.user_id
 WHERE u.segment = 'BUILDING'
 GROUP BY u.id, u.username
 HAVING CAST(coalesce(sum(o.total_amount), 0) AS DECIMAL(18,2)) > 300000
 ORDER BY total_spent DESC, user_id LIMIT 100""")
 def j3_customer_spend(spark, sf):
-    o = B.shop_orders(spark, sf).where(F.col("created_at") >= F.date_sub(F.lit(B.AS_OF), 730))
-    return joins.customer_spend(B.users(spark, sf), o, 300000, 100,
+    return joins.customer_spend(B.users(spark, sf), B.shop_orders(spark, sf), 300000, 100,
                                 user_filter=F.col("segment") == "BUILDING")
 
 

@@ -24,7 +24,6 @@ CLUSTER_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.parquet.aggregatePushdown": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # semi-join reduction: a selective filter on one join side becomes a
     # bloom filter on the other side's scan before the shuffle
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",

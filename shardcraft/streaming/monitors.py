@@ -12,6 +12,8 @@ never drops anything: it orders by log position instead.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -60,8 +62,8 @@ def replication_lag(source: DataFrame, applied: DataFrame, max_lag_s: float = MA
 def sync_monitor(source: DataFrame, applied: DataFrame, window: str = "5 minutes",
                  watermark: str = "1 minute", replicas: list[str] | None = None) -> DataFrame:
     """Per tumbling interval, source changes vs applied changes and an
-    in-sync flag; with ``replicas`` one applied count and flag per replica
-    (each replica should apply every change).  One windowed aggregate over a
+    in-sync flag; with ``replicas`` one applied count and flag per replica, and
+    the interval is in sync if every replica applied every change.  One windowed aggregate over a
     tagged union, with conditional sums instead of a pivot, so it runs as a
     stream."""
     s = source.select(F.col("commit_ts").alias("ts"), F.lit(None).cast("string").alias("replica"),
@@ -75,7 +77,8 @@ def sync_monitor(source: DataFrame, applied: DataFrame, window: str = "5 minutes
     g = u.groupBy(F.window("ts", window).alias("w")).agg(*aggs)
     cols = [_ntz(F.col("w.start")).alias("window_start"), _ntz(F.col("w.end")).alias("window_end"),
             "source_changes", "applied_changes",
-            (F.col("source_changes") == F.col("applied_changes")).alias("in_sync")]
+            reduce(lambda x, y: x & y, [F.col("source_changes") == F.col(f"applied_{r}") for r in replicas]
+                   if replicas else [F.col("source_changes") == F.col("applied_changes")]).alias("in_sync")]
     for r in replicas or []:
         cols += [f"applied_{r}", (F.col("source_changes") == F.col(f"applied_{r}")).alias(f"in_sync_{r}")]
     return g.select(*cols)

@@ -93,7 +93,7 @@ def test_audit_flags_empty_and_misplaced(spark):
 
 def test_balance(spark):
     t = spark.createDataFrame([(1,), (1,), (2,), (3,)], "shard_id int")
-    b = {r.shard_id: r for r in shard.balance({"users": t}).collect()}
+    b = {r.shard_id: r for r in shard.balance({"users": t}, [1, 2, 3]).collect()}
     assert b[1].rows == 2 and b[1].share_pct == 50.0 and b[1].skew == pytest.approx(1.5)
 
 
