@@ -25,8 +25,18 @@ SLICE_BYTES = 1 << 19          # text bytes handled by one vectorised step
 U64 = np.uint64
 
 
+#: rows of one Arrow batch: whole texts and n-gram vectors are large rows
+BATCH_ROWS = 2000
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet under ``spark.checkpoint.dir`` and read it back."""
+    """Write ``df`` as Parquet under ``spark.checkpoint.dir`` and read it back.
+
+    Arrow batches of the session are held at :data:`BATCH_ROWS` rows, which bounds
+    what a task keeps in Python and in Arrow's buffers."""
+    conf = df.sparkSession.conf
+    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
