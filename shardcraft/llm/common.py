@@ -25,18 +25,22 @@ SLICE_BYTES = 1 << 19          # text bytes handled by one vectorised step
 U64 = np.uint64
 
 
-#: rows of one Arrow batch: whole texts and n-gram vectors are large rows
-BATCH_ROWS = 2000
+#: rows and bytes of one Arrow batch: whole texts, n-gram vectors and packed runs are
+#: large rows, and a batch is held by the JVM and by Python, on both ends of a task
+BATCH_ROWS, BATCH_BYTES = 2000, 4 << 20
+ROWS_SETTING, BYTES_SETTING = (f"spark.sql.execution.arrow.max{x}PerBatch" for x in ("Records", "Bytes"))
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under ``spark.checkpoint.dir`` and read it back.
 
-    Arrow batches of the session are held at :data:`BATCH_ROWS` rows, which bounds
+    Arrow batches of the session are held at :data:`BATCH_ROWS` rows and
+    :data:`BATCH_BYTES` bytes (a longer row is a batch of its own), which bounds
     what a task keeps in Python and in Arrow's buffers."""
     conf = df.sparkSession.conf
-    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
-        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    if int(conf.get(ROWS_SETTING)) > BATCH_ROWS:
+        conf.set(ROWS_SETTING, str(BATCH_ROWS))
+        conf.set(BYTES_SETTING, str(BATCH_BYTES))
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
