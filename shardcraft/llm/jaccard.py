@@ -324,7 +324,9 @@ def similarity_components(documents: DataFrame, n: int = 5, num: int = 80, den:
     named = (rows.join(comps.withColumnRenamed("node", "set_id"), "set_id", "left")
              .withColumn("comp", F.when(F.col("n_shingles") > 0, F.coalesce("comp", "set_id"))))
     named = written(named.select("doc_id", "n_shingles", "comp"), "jaccard-rows")
-    least = named.where("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("least"))
+    # written, so that the join deals out both sides anew and splits a large component
+    least = written(named.where("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("least")),
+                    "jaccard-least")
     return named.join(least, "comp", "left").select(
         "doc_id", F.col("n_shingles").cast("long").alias("n_shingles"),
         F.when(F.col("comp").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))

@@ -135,7 +135,8 @@ def remove_repeats(documents: DataFrame, min_words: int = 20) -> DataFrame:
     n_sentences, n_removed, n_words_removed."""
     met = repeated_keys(documents.select("doc_id", "text"), _emit(min_words), "substring-runs")
     places = met.where("kind = 1").select("key", F.col("a").alias("doc_id"), "b")
-    first = places.groupBy("key").agg(F.min(F.struct("doc_id", "b")).alias("first"))
+    # written, so that the join deals out both sides anew and splits a run that very many documents hold
+    first = written(places.groupBy("key").agg(F.min(F.struct("doc_id", "b")).alias("first")), "substring-first")
     gone = (places.join(first, "key").where(F.struct("doc_id", "b") != F.col("first"))
             .groupBy("doc_id").agg(F.collect_list(F.struct("b", "key")).alias("runs")))
     names = [c for c in documents.columns if c not in ("runs", "n_sentences", "n_removed", "n_words_removed")]
