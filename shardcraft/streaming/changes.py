@@ -1,25 +1,32 @@
 """Change-log source (IO7) and change apply into a replica table.
 
-The replica table is a parquet table partitioned by ``bucket`` (a hash of
-the key).  It keeps, per key, the log position ``_pos`` of the last applied
-change and a ``_deleted`` tombstone, which makes apply idempotent: a change
-is applied only if its position is greater than the stored one, so replaying
-a micro-batch (after a failure, or a duplicated file) changes nothing.
-
-Each micro-batch rewrites only the buckets its keys hash to:
-1. the batch is reduced to the last *effective* change per key,
-2. the touched buckets of the table are read (partition pruning) and merged,
-3. the merged buckets are written to a staging table (cuts the lineage, so a
-   lost executor recomputes from the staging files, not from the stream),
-4. the staging table replaces those buckets (dynamic partition overwrite),
-5. the batch id is appended to the apply log; an id already logged is skipped.
+The replica table is a parquet table in buckets (a hash of the key).  It
+keeps, per key, the log position ``_pos`` of the last applied change and a
+``_deleted`` tombstone, which makes apply idempotent: a change is applied only
+if its position is greater than the stored one, so replaying a micro-batch
+(after a failure, or a duplicated file) changes nothing.
+
+Files are never replaced.  ``state/v=<n>/bucket=<b>`` holds the buckets that
+commit ``n`` rewrote, and ``_commits/v=<n>`` is one small file that says, for
+every bucket with rows, which version is current.  Each micro-batch:
+1. the batch is persisted and reduced to the last *effective* change per key,
+2. the touched buckets are read through the newest commit and merged,
+3. the merged buckets are written as a new version,
+4. the commit file is written last; it is one file, renamed into place.
+
+A driver lost before step 4 leaves an unreferenced version, which the retry
+overwrites; the table still reads as before.  A batch id found in a commit since
+the table was initialised is skipped.  One writer at a time is assumed.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.errors import AnalysisException
 
 from ..operators import windows
 
@@ -33,7 +40,6 @@ CHANGE_SCHEMA = T.StructType([
 ])
 
 DEFAULT_BUCKETS = 64
-MAX_BUCKETS = 1 << 16
 POS_CHUNK = 1 << 20
 FILES_PER_BUCKET = 4
 
@@ -61,25 +67,95 @@ def _by_bucket_files(df: DataFrame, key: str, files_per_bucket: int) -> DataFram
     return df.repartition(F.col("bucket"), F.pmod(F.xxhash64(F.col(key), F.lit(1)), F.lit(files_per_bucket)))
 
 
+COMMIT_SCHEMA = ("seq long, base long, batch_id long, buckets int, skipped long, "
+                 "bucket int, version long, table_schema string")
+
+
+def _commits(spark: SparkSession, path: str) -> DataFrame | None:
+    """All commits, None before the first.  Other read errors surface."""
+    try:
+        return spark.read.schema(COMMIT_SCHEMA).option("recursiveFileLookup", "true") \
+                    .parquet(f"{path}/_commits")
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def _current(spark: SparkSession, path: str) -> list:
+    """Rows of the newest commit: one per non-empty bucket (or one with a NULL
+    bucket), so their number is bounded by the table's bucket count."""
+    c = _commits(spark, path)
+    if c is None:
+        return []
+    newest = c.select(F.max("seq").alias("seq")).first().seq
+    return [] if newest is None else c.where(F.col("seq") == newest).collect()
+
+
+def _read_buckets(spark: SparkSession, path: str, commit: list, buckets=None) -> DataFrame:
+    """The listed buckets (all by default) as the commit names them."""
+    schema = T.StructType.fromJson(json.loads(commit[0].table_schema))
+    wanted = None if buckets is None else set(buckets)
+    dirs = [f"{path}/state/v={r.version}/bucket={r.bucket}" for r in commit
+            if r.bucket is not None and (wanted is None or r.bucket in wanted)]
+    if not dirs:
+        return spark.createDataFrame([], schema)
+    full = T.StructType(schema.fields + [T.StructField("v", T.LongType())])
+    return spark.read.schema(full).option("basePath", f"{path}/state").parquet(*dirs).select(*schema.names)
+
+
+def _commit(spark: SparkSession, path: str, df: DataFrame, key: str, rewritten, previous: list,
+            base: int | None, batch_id: int | None, skipped: int, files_per_bucket: int) -> None:
+    """Write ``df`` as the new version of the ``rewritten`` buckets (None: the
+    whole table), then the commit file."""
+    seq = previous[0].seq + 1 if previous else 0
+    out = f"{path}/state/v={seq}"
+    _by_bucket_files(df, key, files_per_bucket).write.mode("overwrite").partitionBy("bucket").parquet(out)
+    schema = T.StructType([f for f in df.schema.fields if f.name != "bucket"]
+                          + [T.StructField("bucket", T.IntegerType())])
+    # a bucket with no row left has no directory and is left out of the commit
+    filled = [r.bucket for r in spark.read.schema(schema).parquet(out).select("bucket").distinct().collect()]
+    touched = set(filled) if rewritten is None else set(rewritten)
+    kept = [] if rewritten is None else [(r.bucket, r.version) for r in previous
+                                         if r.bucket is not None and r.bucket not in touched]
+    current = kept + [(b, seq) for b in filled] or [(None, None)]
+    head = (seq, seq if base is None else base, batch_id, len(touched), int(skipped))
+    spark.createDataFrame([(*head, b, v, schema.json()) for b, v in current], COMMIT_SCHEMA) \
+         .coalesce(1).write.mode("overwrite").parquet(f"{path}/_commits/v={seq}")
+
+
 def init_target(df: DataFrame, path: str, key: str = "pk", buckets: int = DEFAULT_BUCKETS,
                 pos: int = -1, files_per_bucket: int = FILES_PER_BUCKET) -> None:
-    """Write the initial replica table (a snapshot taken at log position ``pos``)."""
-    if not 0 < buckets <= MAX_BUCKETS:
-        raise ValueError("bucket count out of range")
+    """Write the initial replica table (a snapshot taken at log position
+    ``pos``).  On an existing table it replaces every row and starts a new
+    count of batch ids; the bucket count may change."""
+    if buckets <= 0:
+        raise ValueError("bucket count must be positive")
     t = (df.withColumn("_pos", F.lit(pos).cast("long"))
            .withColumn("_deleted", F.lit(False))
            .withColumn("bucket", bucket_of(key, buckets)))
-    _by_bucket_files(t, key, files_per_bucket).write.mode("overwrite").partitionBy("bucket") \
-        .parquet(f"{path}/state")
+    _commit(df.sparkSession, path, t, key, None, _current(df.sparkSession, path),
+            None, None, 0, files_per_bucket)
 
 
 def read_target(spark: SparkSession, path: str, with_meta: bool = False) -> DataFrame:
-    df = spark.read.parquet(f"{path}/state")
+    commit = _current(spark, path)
+    if not commit:
+        raise ValueError(f"no replica table at {path}")
+    df = _read_buckets(spark, path, commit)
     if with_meta:
         return df
     return df.where(~F.col("_deleted")).drop("_deleted", "bucket")
 
 
+def applied_batches(spark: SparkSession, path: str) -> DataFrame:
+    """The batch log since the table was initialised: ``batch_id``, rewritten
+    ``buckets`` and ``skipped`` duplicate inserts."""
+    base = _current(spark, path)[0].base
+    return (_commits(spark, path).where((F.col("base") == base) & F.col("batch_id").isNotNull())
+            .select("batch_id", "buckets", "skipped").distinct())
+
+
 def effective_changes(changes: DataFrame, target: DataFrame | None, key: str = "pk",
                       on_duplicate: str = "skip", payload: str = "row",
                       count_skips: bool = False) -> DataFrame:
@@ -173,48 +249,36 @@ def merge(target: DataFrame, eff: DataFrame, key: str = "pk", payload: str = "ro
 
 def apply_batch(batch: DataFrame, batch_id: int, path: str, key: str = "pk",
                 on_duplicate: str = "skip", buckets: int = DEFAULT_BUCKETS,
-                write_log: bool = True, count_skips: bool = False,
-                start_pos: int | None = None) -> dict:
+                count_skips: bool = False, start_pos: int | None = None) -> dict:
     """T1 micro-batch: apply one batch of changes to the table at ``path``.
-    ``count_skips`` records in the batch's log entry how many inserts were
+    ``count_skips`` records in the batch's commit how many inserts were
     skipped as duplicates (drift that a skipping replica would hide); it
-    costs one more aggregation over the batch.  (``write_log=False`` leaves
-    out the final log entry; tests use it to stand for a crash between the
-    table swap and the log write.)  ``start_pos`` is the log position of the
-    snapshot the table was initialised from: changes at or before it are
-    already in the snapshot and are ignored, also for keys it does not hold."""
+    costs one more aggregation over the batch.  ``start_pos`` is the log
+    position of the snapshot the table was initialised from: changes at or
+    before it are already in the snapshot and are ignored, also for keys it
+    does not hold."""
     spark = batch.sparkSession
+    commit = _current(spark, path)
+    if not commit:
+        raise ValueError(f"no replica table at {path}")
+    base = commit[0].base
+    if _commits(spark, path).where((F.col("base") == base) & (F.col("batch_id") == batch_id)).limit(1).count():
+        return {"batch_id": batch_id, "skipped_batch": True}
     if start_pos is not None:
         batch = batch.where(F.col("pos") > F.lit(start_pos))
-    # one log directory per batch id: the check lists a single path, however
-    # long the log grows (the folder reads back as a table partitioned by id)
-    log_entry = f"{path}/_applied/batch_id={batch_id}"
+    b = batch.withColumn("bucket", bucket_of(key, buckets)).persist()
     try:
-        done = spark.read.parquet(log_entry).limit(1).count()
-    except Exception:  # noqa: BLE001 - no entry: the batch was not applied yet
-        done = 0
-    if done:
-        return {"batch_id": batch_id, "skipped_batch": True}
-    b = batch.withColumn("bucket", bucket_of(key, buckets))
-    touched = [r[0] for r in b.select("bucket").distinct().collect()]   # at most `buckets` values
-    skipped = 0
-    if touched and count_skips and on_duplicate == "skip":
-        state0 = spark.read.parquet(f"{path}/state").where(F.col("bucket").isin(touched))
-        skipped = effective_changes(b, state0, key, on_duplicate, count_skips=True) \
-            .agg(F.coalesce(F.sum("skipped"), F.lit(0))).first()[0]
-    if touched:
-        state = spark.read.parquet(f"{path}/state").where(F.col("bucket").isin(touched))
+        touched = [r[0] for r in b.select("bucket").distinct().collect()]   # at most `buckets` values
+        state = _read_buckets(spark, path, commit, touched)
+        skipped = 0
+        if touched and count_skips and on_duplicate == "skip":
+            skipped = effective_changes(b, state, key, on_duplicate, count_skips=True) \
+                .agg(F.coalesce(F.sum("skipped"), F.lit(0))).first()[0]
         eff = effective_changes(b, state, key, on_duplicate)
         merged = merge(state.drop("bucket"), eff, key).withColumn("bucket", bucket_of(key, buckets))
-        staging = f"{path}/_staging/batch={batch_id}"
-        _by_bucket_files(merged, key, FILES_PER_BUCKET).write.mode("overwrite") \
-            .partitionBy("bucket").parquet(staging)
-        (spark.read.parquet(staging).write.mode("overwrite")
-              .option("partitionOverwriteMode", "dynamic")
-              .partitionBy("bucket").parquet(f"{path}/state"))
-    if write_log:
-        spark.createDataFrame([(len(touched), int(skipped))], "buckets int, skipped long") \
-             .write.mode("overwrite").parquet(log_entry)
+        _commit(spark, path, merged, key, touched, commit, base, batch_id, skipped, FILES_PER_BUCKET)
+    finally:
+        b.unpersist()
     return {"batch_id": batch_id, "buckets": len(touched), "skipped": int(skipped)}
 
 
@@ -235,16 +299,16 @@ def purge_tombstones(spark: SparkSession, path: str, before_pos: int, key: str =
     """Compaction of the replica table: drop delete tombstones whose position
     is older than ``before_pos``.  Tombstones let a late change for a deleted
     key be recognised as stale; past the horizon that protection is given up.
-    Only buckets holding such tombstones are rewritten (staged, then swapped
-    in).  Returns the number of buckets rewritten."""
-    state = spark.read.parquet(f"{path}/state")
+    Only buckets holding such tombstones are rewritten; one that keeps no row
+    leaves the table.  Returns the number of buckets rewritten."""
+    commit = _current(spark, path)
+    if not commit:
+        raise ValueError(f"no replica table at {path}")
+    state = _read_buckets(spark, path, commit)
     old = (F.col("_deleted") & (F.col("_pos") < F.lit(before_pos)))
     buckets = [r[0] for r in state.where(old).select("bucket").distinct().collect()]  # bounded by bucket count
     if not buckets:
         return 0
-    kept = state.where(F.col("bucket").isin(buckets) & ~old)
-    staging = f"{path}/_staging/purge={before_pos}"
-    _by_bucket_files(kept, key, FILES_PER_BUCKET).write.mode("overwrite").partitionBy("bucket").parquet(staging)
-    (spark.read.parquet(staging).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-          .partitionBy("bucket").parquet(f"{path}/state"))
+    kept = _read_buckets(spark, path, commit, buckets).where(~old)
+    _commit(spark, path, kept, key, buckets, commit, commit[0].base, None, 0, FILES_PER_BUCKET)
     return len(buckets)

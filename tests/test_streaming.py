@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, rows
@@ -163,7 +164,9 @@ def test_sync_monitor_per_replica(spark):
     assert r.in_sync_r1 and not r.in_sync_r2
 
 
-def test_change_apply_recovers_from_a_crash_mid_batch(spark, tmp, monkeypatch):
+@pytest.mark.parametrize("step", ["before_write", "after_write"])
+def test_change_apply_recovers_from_a_crash_mid_batch(spark, tmp, monkeypatch, step):
+    """Lost before the new version is written, and between version and commit."""
     changes = B.changes(spark, SF_SMALL)
     src = os.path.join(tmp, "changes")
     _write_changes(spark, changes, src, 3)
@@ -171,15 +174,17 @@ def test_change_apply_recovers_from_a_crash_mid_batch(spark, tmp, monkeypatch):
                                                          F.col("c_name").alias("row"))
     path, ckpt = os.path.join(tmp, "replica"), os.path.join(tmp, "ckpt")
     CH.init_target(target, path, "pk", buckets=8)
-    original = CH.apply_batch
+    original = CH._commit
 
-    def crashing(batch, batch_id, *a, **k):
+    def crashing(spark_, path_, df, key, rewritten, previous, base, batch_id, *a):
         if batch_id == 1:
-            original(batch, batch_id, *a, write_log=False, **k)   # table swapped, log not written
+            if step == "after_write":      # half of the buckets are out, the commit is not
+                df.where("bucket < 4").write.mode("overwrite").partitionBy("bucket") \
+                  .parquet(f"{path_}/state/v={previous[0].seq + 1}")
             raise RuntimeError("simulated driver crash")
-        return original(batch, batch_id, *a, **k)
+        return original(spark_, path_, df, key, rewritten, previous, base, batch_id, *a)
 
-    monkeypatch.setattr(CH, "apply_batch", crashing)
+    monkeypatch.setattr(CH, "_commit", crashing)
     q = CH.apply_changes(CH.read_changes(spark, src, max_files_per_trigger=1, recursive=True),
                          path, ckpt, "pk", "skip", buckets=8)
     try:
@@ -187,7 +192,8 @@ def test_change_apply_recovers_from_a_crash_mid_batch(spark, tmp, monkeypatch):
     except Exception:  # noqa: BLE001 - the simulated crash surfaces as a query failure
         pass
     assert q.exception() is not None
-    monkeypatch.setattr(CH, "apply_batch", original)
+    assert rows(CH.applied_batches(spark, path), ["batch_id"]) == [(0,)]
+    monkeypatch.setattr(CH, "_commit", original)
     q2 = CH.apply_changes(CH.read_changes(spark, src, max_files_per_trigger=1, recursive=True),
                           path, ckpt, "pk", "skip", buckets=8)   # restart from the checkpoint
     q2.awaitTermination(300)
@@ -196,6 +202,32 @@ def test_change_apply_recovers_from_a_crash_mid_batch(spark, tmp, monkeypatch):
     assert rows(got, ["pk", "row", "_pos"]) == rows(want, ["pk", "row", "_pos"])
 
 
+def test_reinitialised_target_holds_only_the_new_rows(spark, tmp):
+    path = os.path.join(tmp, "t")
+    snap = spark.range(100).select(F.col("id").alias("pk"), F.lit("a").alias("row"))
+    CH.init_target(snap, path, "pk", buckets=8)
+    CH.apply_batch(spark.createDataFrame([(1, None, "I", "t", 500, "x")], CH.CHANGE_SCHEMA), 0, path, "pk", "skip", 8)
+    CH.init_target(snap, path, "pk", buckets=4)
+    assert CH.read_target(spark, path).count() == 100
+    # batch ids count from the new snapshot
+    out = CH.apply_batch(spark.createDataFrame([(1, None, "I", "t", 500, "x")], CH.CHANGE_SCHEMA),
+                         0, path, "pk", "skip", 4)
+    assert "skipped_batch" not in out and CH.read_target(spark, path).count() == 101
+
+
+def test_purge_may_empty_buckets_and_the_table(spark, tmp):
+    path = os.path.join(tmp, "t")
+    CH.init_target(spark.range(6).select(F.col("id").alias("pk"), F.lit("r").alias("row")), path, "pk", buckets=4)
+    ch = spark.createDataFrame([(10 + k, None, "D", "t", k, None) for k in range(6)], CH.CHANGE_SCHEMA)
+    CH.apply_batch(ch, 0, path, "pk", "skip", 4)
+    assert CH.purge_tombstones(spark, path, before_pos=15) > 0
+    assert rows(CH.read_target(spark, path, with_meta=True).select("pk")) == [(5,)]
+    assert CH.purge_tombstones(spark, path, before_pos=100) == 1
+    assert CH.read_target(spark, path, with_meta=True).count() == 0
+    CH.apply_batch(spark.createDataFrame([(200, None, "I", "t", 9, "new")], CH.CHANGE_SCHEMA), 1, path, "pk", "skip", 4)
+    assert rows(CH.read_target(spark, path).select("pk", "row")) == [(9, "new")]
+
+
 def test_service_metrics_drops_rows_behind_the_watermark(spark, tmp):
     import datetime as dt
     schema = "log_id long, ts timestamp_ntz, node string, duration_ms double, ok boolean"
@@ -261,8 +293,7 @@ def test_apply_batch_counts_skipped_duplicates(spark, tmp):
                                 (3, None, "I", "t", 3, "dup2")], CH.CHANGE_SCHEMA)
     out = CH.apply_batch(ch, 0, path, "pk", "skip", 4, count_skips=True)
     assert out["skipped"] == 2
-    log = spark.read.parquet(os.path.join(path, "_applied"))
-    assert log.where("batch_id = 0").first().skipped == 2
+    assert CH.applied_batches(spark, path).where("batch_id = 0").first().skipped == 2
     assert rows(CH.read_target(spark, path).select("pk", "row")) == [(1, "a"), (2, "b"), (3, "new")]
 
 
