@@ -37,9 +37,7 @@ def order_details(orders: DataFrame, users: DataFrame, items: DataFrame,
                   products: DataFrame) -> DataFrame:
     """Orders joined to their user, items and products (inner joins).
     The two large inputs (items, orders) are joined first on the order key."""
-    from .spread import spread
-    # single-split inputs are spread by the join key (no-op for large inputs)
-    oi = spread(items, "order_id").select(
+    oi = items.select(
         F.col("order_id").alias("i_order_id"), F.col("product_id").alias("i_product_id"),
         "quantity", "total_price")
     o = orders.select(F.col("id").alias("order_id"), F.col("user_id").alias("o_user_id"),

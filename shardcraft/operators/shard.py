@@ -1,8 +1,8 @@
 """Range sharding as table jobs (S1-S3, A10-A12, U1, K4, F1, J4, IO1).
 
-Shard ranges and routing rules are configuration: a handful of rows whose
-count is checked here before they are inlined.  They become ``CASE WHEN``
-chains (codegen'd, no join, no shuffle) rather than joined tables.
+Shard ranges and routing rules are configuration.  They become ``CASE WHEN``
+blocks of fixed width folded with ``coalesce`` (no join, no shuffle), so one
+plan serves any number of them and no generated method grows with it.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MAX_INLINE = 4096   # ranges / rules that may be inlined into one expression
+CASE_WIDTH = 64     # branches per CASE block
 
 
 @dataclass(frozen=True)
@@ -41,21 +41,32 @@ def equal_ranges(n: int, k: int = 3, start: int = 1) -> list[ShardRange]:
 
 
 def _check(ranges) -> list[ShardRange]:
-    ranges = list(ranges)
-    if not 0 < len(ranges) <= MAX_INLINE:
-        raise ValueError(f"{len(ranges)} ranges; at most {MAX_INLINE} can be inlined")
+    ranges = sorted(ranges, key=lambda r: (r.lo, r.hi))
+    if not ranges:
+        raise ValueError("no shard range")
+    for a, b in zip(ranges, ranges[1:]):
+        if b.lo <= a.hi:
+            raise ValueError(f"ranges of {a.name} and {b.name} overlap")
     return ranges
 
 
+def first_match(branches) -> Column:
+    """The value of the first branch ``(condition, value)`` that holds, else
+    NULL: one CASE per ``CASE_WIDTH`` branches, folded with coalesce.  Values
+    must not be NULL, or a later block would be asked."""
+    blocks = []
+    for i, (cond, value) in enumerate(branches):
+        if i % CASE_WIDTH:
+            blocks[-1] = blocks[-1].when(cond, value)
+        else:
+            blocks.append(F.when(cond, value))
+    return blocks[0] if len(blocks) == 1 else F.coalesce(*blocks)
+
+
 def shard_of(key: Column | str, ranges) -> Column:
     """The shard id whose inclusive range holds ``key``; NULL if none does."""
     k = F.col(key) if isinstance(key, str) else key
-    ranges = _check(ranges)
-    expr = None
-    for r in ranges:
-        cond = k.between(F.lit(r.lo), F.lit(r.hi))
-        expr = F.when(cond, F.lit(r.shard_id)) if expr is None else expr.when(cond, F.lit(r.shard_id))
-    return expr
+    return first_match((k.between(F.lit(r.lo), F.lit(r.hi)), F.lit(r.shard_id)) for r in _check(ranges))
 
 
 def assign(df: DataFrame, key: str, ranges, on_miss: str = "quarantine",
@@ -233,6 +244,16 @@ def _capture(st, pat: str):
     return F.regexp_extract(st, pat, 1)
 
 
+def _can_start(first_kw, rule) -> Column:
+    """False where the statement's first keyword rules the pattern out without
+    running it: a pattern ``^WORD...`` with neither alternatives nor a
+    quantifier on the word needs that word in front."""
+    m = re.match(r"\^([A-Za-z]+)(?![A-Za-z?*{])", rule.match_pattern)
+    if not m or "|" in rule.match_pattern:
+        return F.lit(True)
+    return first_kw.startswith(m.group(1).upper())
+
+
 READ_KEYWORDS = ("SELECT", "SHOW", "DESCRIBE", "EXPLAIN")
 
 
@@ -248,16 +269,11 @@ class Rule:
 
 def _rules(rules) -> list[Rule]:
     if isinstance(rules, DataFrame):
-        n = rules.count()
-        if n > MAX_INLINE:
-            raise ValueError(f"{n} rules; at most {MAX_INLINE} can be inlined")
+        optional = [c for c in ("apply", "active", "caseless") if c in rules.columns]
         rules = [Rule(r["rule_id"], r["match_pattern"], r["destination_hostgroup"],
-                      r["apply"] if "apply" in r else 1, r["active"] if "active" in r else 1)
-                 for r in rules.collect()]
-    rules = sorted((r for r in rules if r.active), key=lambda r: r.rule_id)
-    if len(rules) > MAX_INLINE:
-        raise ValueError("too many rules")
-    return rules
+                      **{c: r[c] for c in optional if r[c] is not None})
+                 for r in rules.collect()]          # configuration rows, not data
+    return sorted((r for r in rules if r.active), key=lambda r: r.rule_id)
 
 
 def route_log(log: DataFrame, rules, ranges, statement: str = "statement",
@@ -281,24 +297,16 @@ def route_log(log: DataFrame, rules, ranges, statement: str = "statement",
     # the index of the first matching rule is found once per statement; the
     # rule's id and hostgroup are then looked up by index, and only that
     # rule's pattern is run again to capture the id
-    idx = None
-    for i, pat in enumerate(pats):
-        idx = F.when(st.rlike(pat), F.lit(i)) if idx is None else idx.when(st.rlike(pat), F.lit(i))
-    from .spread import spread
-    log = spread(log, F.xxhash64(F.col(statement)))
-    if idx is None:   # no active rule: nothing matches
+    if not rules:     # no active rule: nothing matches
         out = log.withColumn("__ri", F.lit(None).cast("int"))
         rid, hg, cap = F.lit(None).cast("int"), F.lit(None).cast("int"), F.lit(None).cast("string")
     else:
-        out = log.withColumn("__ri", idx)
-        rid = hg = cap = None
-        for i, (r, pat) in enumerate(zip(rules, pats)):
-            hit = F.col("__ri") == i          # integer comparisons; one capture regex per row
-            v_rid, v_hg, v_cap = F.lit(r.rule_id), F.lit(r.destination_hostgroup), _capture(st, pat)
-            if rid is None:
-                rid, hg, cap = F.when(hit, v_rid), F.when(hit, v_hg), F.when(hit, v_cap)
-            else:
-                rid, hg, cap = rid.when(hit, v_rid), hg.when(hit, v_hg), cap.when(hit, v_cap)
+        out = log.withColumn("__ri", first_match((_can_start(first_kw, r) & st.rlike(pat), F.lit(i))
+                                                 for i, (r, pat) in enumerate(zip(rules, pats))))
+        ri = F.col("__ri")                    # integer comparisons; one capture regex per row
+        rid = first_match((ri == i, F.lit(r.rule_id)) for i, r in enumerate(rules))
+        hg = first_match((ri == i, F.lit(r.destination_hostgroup)) for i, r in enumerate(rules))
+        cap = first_match((ri == i, _capture(st, pat)) for i, pat in enumerate(pats))
     key = F.nullif(cap, F.lit("")).try_cast("bigint")
     hgs = hostgroup_shard or {}
     rule_shard = None

@@ -11,14 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Map partitions are merged in groups of this many before the final top-k, so
-# the last task sees at most FAN_IN * n rows however many tasks scanned.
-FAN_IN = 1024
-# Single-level merge up to this n: behind a shuffle of ~20k partitions the
-# final task then reads at most ~20M rows.  Above it the two-level merge is
-# used (it costs a per-partition sort, which small n does not need).
-SINGLE_LEVEL_MAX_N = 1000
-
 
 def _order(spec) -> Column:
     """``"price"`` ascending, ``"-price"`` descending, or a Column."""
@@ -37,11 +29,9 @@ def by(df: DataFrame, order: list, n: int, tie: list | None = None,
     task.  With ``fan_in`` the map tasks are first merged in ``fan_in``
     groups (by partition id) with a map-side limited ``row_number() <= n``,
     which bounds the final merge to ``fan_in * n`` rows.  The result is the
-    same for any grouping, so a retried task cannot change it.  By default
-    the two-level merge is used for ``n > SINGLE_LEVEL_MAX_N``."""
+    same for any grouping, so a retried task cannot change it; ask for it
+    when ``n`` times the number of map tasks is more than one task should read."""
     cols = [_order(o) for o in order] + [_order(t) for t in (tie or [])]
-    if fan_in is None and n > SINGLE_LEVEL_MAX_N:
-        fan_in = FAN_IN
     if fan_in:
         g = df.withColumn("__g", F.spark_partition_id() % F.lit(fan_in))
         ranked = g.withColumn("__r", F.row_number().over(Window.partitionBy("__g").orderBy(*cols)))

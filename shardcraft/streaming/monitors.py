@@ -40,17 +40,23 @@ def _seconds(lo, hi):
     return F.timestamp_diff("MICROSECOND", lo, hi) / F.lit(1_000_000.0)
 
 
-def replication_lag(source: DataFrame, applied: DataFrame, max_lag_s: float = MAX_LAG_SECONDS,
-                    bound: str = "1 minute", watermark: str = "1 minute") -> DataFrame:
-    """Per source change and replica: seconds from commit to apply, a flag
-    over ``max_lag_s``, and unmatched changes (apply later than ``bound`` or
-    never) with NULL apply time.  A time-bounded left outer join with
-    watermarks on both sides, so the stream's state stays bounded."""
-    s = _event_time(source.select(F.col("pos").alias("s_pos"), "commit_ts"), "commit_ts", watermark)
-    a = _event_time(applied.select("replica", F.col("pos").alias("a_pos"), "apply_ts"), "apply_ts", watermark)
-    cond = ((F.col("s_pos") == F.col("a_pos"))
-            & (F.col("apply_ts") >= F.col("commit_ts"))
-            & (F.col("apply_ts") <= F.col("commit_ts") + F.expr(f"INTERVAL {bound}")))
+def replication_lag(source: DataFrame, applied: DataFrame, replicas: list[str],
+                    max_lag_s: float = MAX_LAG_SECONDS, bound: str | None = None,
+                    watermark: str = "1 minute") -> DataFrame:
+    """One row per source change and replica of ``replicas``: seconds from
+    commit to apply and a flag over ``max_lag_s``; a change that the replica
+    never applied has a NULL apply time and is flagged.  A stream needs a
+    ``bound`` (an interval such as ``"1 minute"``), after which a change counts
+    as not applied, so that its state stays bounded; a batch needs none."""
+    names = F.explode(F.array(*[F.lit(r) for r in replicas])).alias("replica")
+    s = _event_time(source.select(F.col("pos").alias("s_pos"), "commit_ts"), "commit_ts", watermark) \
+        .select("s_pos", "commit_ts", names)
+    a = _event_time(applied.select(F.col("replica").alias("a_replica"), F.col("pos").alias("a_pos"), "apply_ts"),
+                    "apply_ts", watermark)
+    cond = ((F.col("s_pos") == F.col("a_pos")) & (F.col("replica") == F.col("a_replica"))
+            & (F.col("apply_ts") >= F.col("commit_ts")))
+    if bound:
+        cond = cond & (F.col("apply_ts") <= F.col("commit_ts") + F.expr(f"INTERVAL {bound}"))
     j = s.join(a, cond, "leftOuter")
     lag = _seconds(F.col("commit_ts"), F.col("apply_ts"))
     return j.select(F.col("s_pos").alias("pos"), _ntz(F.col("commit_ts")).alias("commit_ts"), "replica",
@@ -103,19 +109,40 @@ def service_metrics(log: DataFrame, size: str, slide: str | None = None, by: str
 
 
 def alerts(metrics: DataFrame, thresholds: dict | None = None) -> DataFrame:
-    """T5: metric rows that breach a threshold, with the breached rule."""
+    """T5: one row per metric row and breached rule: ``error_rate``,
+    ``query_time`` and, where the metrics have ``avg_connect_ms``,
+    ``connect_time``.  A NULL measure breaches nothing."""
     t = dict(THRESHOLDS, **(thresholds or {}))
-    rule = (F.when(F.col("error_rate") > t["error_rate"], F.lit("error_rate"))
-             .when(F.col("avg_ms") > t["query_ms"], F.lit("query_time")))
-    return metrics.withColumn("alert", rule).where(F.col("alert").isNotNull())
+    rules = [("error_rate", F.col("error_rate") > t["error_rate"]),
+             ("query_time", F.col("avg_ms") > t["query_ms"])]
+    if "avg_connect_ms" in metrics.columns:
+        rules.append(("connect_time", F.col("avg_connect_ms") > t["connect_ms"]))
+    breached = F.array_compact(F.array(*[F.when(cond, F.lit(name)) for name, cond in rules]))
+    return metrics.withColumn("alert", F.explode(breached))
 
 
 def normalise(statement) -> F.Column:
-    """Statement shape: quoted strings and numbers become ``?``, spaces collapse."""
+    """Statement shape: quoted text (with escaped or doubled quotes inside) and
+    numbers become ``?``, an IN list of any length ``IN (?)``, spaces collapse.
+    Each step is one plain pattern without nested repeats, so a very long
+    literal needs no deep matching stack."""
     s = F.col(statement) if isinstance(statement, str) else statement
-    s = F.regexp_replace(s, r"'[^']*'", "?")
-    s = F.regexp_replace(s, r"\b[0-9]+(\.[0-9]+)?\b", "?")
-    return F.regexp_replace(F.trim(s), r"\s+", " ")
+    for pattern, by in SHAPE_STEPS:
+        s = F.regexp_replace(s, pattern, by)
+    return F.trim(s)
+
+
+# (pattern, replacement) in order; understood alike by Java and RE2
+SHAPE_STEPS = [
+    (r"\\.", "_"),                               # an escaped character, so also an escaped quote
+    (r"'[^']*'|\"[^\"]*\"", "?"),               # quoted text; a doubled quote leaves two pieces
+    (r"\?+", "?"),                               # ... which are one literal
+    (r"\b[0-9]+(\.[0-9]+)?\b", "?"),
+    (r"\s+", " "),
+    (r" ?, ?", ", "),
+    (r"\( ?\?", "(?"),
+    (r"(?i)\bIN ?\((\?, )*\? ?\)", "IN (?)"),
+]
 
 
 def slow_queries(log: DataFrame, threshold_ms: float = SLOW_MS, window: str | None = None,
@@ -139,11 +166,12 @@ def slow_queries(log: DataFrame, threshold_ms: float = SLOW_MS, window: str | No
 def lag_summary(lag: DataFrame, max_lag_s: float = MAX_LAG_SECONDS) -> DataFrame:
     """T2 per replica: the lag of the newest applied change (the figure a
     replication monitor reports), the worst lag, how many changes were over
-    the limit, and a flag; changes no replica applied form a row with a NULL
-    replica.  Batch form (it aggregates the output of ``replication_lag``)."""
+    the limit or never applied, and a flag: the newest applied change was over the
+    limit, or the newest change was not applied.  Batch form (it aggregates the output of ``replication_lag``)."""
     return lag.groupBy("replica").agg(
         F.count(F.lit(1)).alias("changes"),
         F.max_by("lag_s", "pos").alias("newest_lag_s"),
         F.max("lag_s").alias("max_lag_s"),
         F.sum(F.col("lagging").cast("long")).alias("lagging_changes"),
+        F.sum(F.col("apply_ts").isNull().cast("long")).alias("missing_changes"),
     ).withColumn("behind", F.coalesce(F.col("newest_lag_s") > max_lag_s, F.lit(True)))

@@ -100,20 +100,20 @@ def test_slow_queries_and_sync_stream_equal_batch(spark, tmp):
 
 
 def test_replication_lag_stream_join(spark, tmp):
-    from shardcraft.plans.streams import applied
+    from shardcraft.plans.streams import REPLICAS, applied
     src = B.changes(spark, SF_SMALL).select("pos", "commit_ts")
     app = applied(spark, SF_SMALL)
     s_stream = _stream_of(spark, src, os.path.join(tmp, "src"), 2)
     a_stream = _stream_of(spark, app.select("pos", "replica", "apply_ts"), os.path.join(tmp, "app"), 2)
-    q = (MON.replication_lag(s_stream, a_stream).writeStream.outputMode("append")
+    q = (MON.replication_lag(s_stream, a_stream, REPLICAS, bound="2 minutes").writeStream.outputMode("append")
          .format("memory").queryName("lag_q").trigger(availableNow=True).start())
     q.awaitTermination(300)
     got = spark.sql("SELECT * FROM lag_q")
-    want = MON.replication_lag(src, app)
+    want = MON.replication_lag(src, app, REPLICAS)
     # matched rows are emitted as they join; all of them must agree with the batch form
-    assert rows(got.where("replica IS NOT NULL")) == rows(want.where("replica IS NOT NULL"))
+    assert rows(got.where("apply_ts IS NOT NULL")) == rows(want.where("apply_ts IS NOT NULL"))
     # unmatched changes are emitted only once the watermark has passed them
-    assert got.where("replica IS NULL").count() <= want.where("replica IS NULL").count()
+    assert got.where("apply_ts IS NULL").count() <= want.where("apply_ts IS NULL").count()
 
 
 def test_sync_monitor_and_alerts_stream_equal_batch(spark, tmp):
@@ -304,3 +304,33 @@ def test_apply_from_snapshot_position(spark, tmp):
                                 (150, None, "I", "t", 3, "after")], CH.CHANGE_SCHEMA)
     CH.apply_batch(ch, 0, path, "pk", "skip", 4, start_pos=100)
     assert rows(CH.read_target(spark, path).select("pk", "row")) == [(1, "snap"), (3, "after")]
+
+
+def test_lag_reports_the_replica_that_misses_a_change(spark):
+    import datetime as dt
+    t = lambda m: dt.datetime(2024, 1, 1, 0, m)
+    src = spark.createDataFrame([(1, t(1)), (2, t(2))], "pos long, commit_ts timestamp_ntz")
+    app = spark.createDataFrame([("r1", 1, t(1)), ("r1", 2, t(9)), ("r2", 1, t(2))],
+                                "replica string, pos long, apply_ts timestamp_ntz")
+    lag = MON.replication_lag(src, app, ["r1", "r2"])
+    assert [(r.pos, r.replica, r.lag_s, r.lagging) for r in lag.orderBy("pos", "replica").collect()] == [
+        (1, "r1", 0.0, False), (1, "r2", 60.0, True), (2, "r1", 420.0, True), (2, "r2", None, True)]
+    assert rows(MON.lag_summary(lag).select("replica", "missing_changes")) == [("r1", 0), ("r2", 1)]
+
+
+def test_alerts_give_every_breached_rule(spark):
+    m = spark.createDataFrame([(1, 0.2, 2000.0, 600.0), (2, 0.0, 1.0, 600.0), (3, None, None, None)],
+                              "id long, error_rate double, avg_ms double, avg_connect_ms double")
+    assert rows(MON.alerts(m).select("id", "alert")) == [
+        (1, "connect_time"), (1, "error_rate"), (1, "query_time"), (2, "connect_time")]
+
+
+def test_statement_shapes(spark):
+    long_list = "IN (" + ", ".join(str(i) for i in range(20000)) + ")"
+    cases = [(r"WHERE a = 'a\'b 9'", "WHERE a = ?"), ("WHERE a = 'it''s'", "WHERE a = ?"),
+             ("WHERE a = ''  AND b=3", "WHERE a = ? AND b=?"), ("x IN (1,2 , 3)", "x IN (?)"),
+             ("x in ('a')", "x IN (?)"), ("x " + long_list, "x IN (?)"),
+             ("VALUES (1, 'a')", "VALUES (?, ?)"), ('a = "q\'s 7"', "a = ?"), (None, None)]
+    d = spark.createDataFrame([(i, c[0]) for i, c in enumerate(cases)], "id long, s string")
+    got = [r.shape for r in d.select("id", MON.normalise("s").alias("shape")).orderBy("id").collect()]
+    assert got == [c[1] for c in cases]
