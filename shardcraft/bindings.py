@@ -40,11 +40,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # sales fact (test_select): lineitem joined to its order
 # --------------------------------------------------------------------------
 
-def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sales(spark: SparkSession, sf_dir: str, min_price=None) -> DataFrame:
+    """``min_price`` adds ``price > min_price`` on the raw column as well, which
+    reaches the scan (the decimal cast does not): rounding to cents never lifts
+    a price from at most ``min_price`` above it."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
     o = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
+    if min_price is not None:
+        li = li.where(F.col("l_extendedprice") > F.lit(float(min_price)))
     return (li.join(o, li.l_orderkey == o.o_orderkey)
             .select(F.col("l_orderkey").alias("order_id"),
                     F.col("l_linenumber").alias("line_no"),

@@ -39,7 +39,9 @@ def presence(source: DataFrame, nodes: dict, keys) -> DataFrame:
     held = tagged.groupBy(*keys).agg(*[
         F.max((F.col("__node") == i).cast("int")).alias(f"__on{i}") for i in range(len(names))])
     src = source.select(*keys).distinct()
-    j = src.join(held, keys, "left")
+    for k in keys:
+        held = held.withColumnRenamed(k, f"__k_{k}")
+    j = src.join(held, reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys]), "left")
     flags = [F.coalesce(F.col(f"__on{i}") == 1, F.lit(False)) for i in range(len(names))]
     return j.select(*keys, *[f.alias(f"on_{n}") for f, n in zip(flags, names)],
                     reduce(lambda a, b: a & b, flags).alias("all_present"))
@@ -61,23 +63,27 @@ def row_digest(cols: list[str]) -> Column:
 
 
 def diff(src: DataFrame, dst: DataFrame, keys, compare: list[str] | None = None,
-         exact: bool = False) -> DataFrame:
+         exact: bool = True) -> DataFrame:
     """Keys only in the source, only in the replica, or with changed
-    content.  By default only the keys and a 96-bit digest of the other
-    columns are shuffled; ``exact=True`` shuffles the columns and compares
-    them with NULL-safe equality."""
+    content.  Columns are compared with NULL-safe equality, keys too, so a row
+    with a NULL key meets its counterpart.  ``exact=False`` shuffles only the
+    keys and a 96-bit digest of the other columns, which may miss a change."""
     keys = _keys(keys)
     compare = compare or [c for c in src.columns if c not in keys]
-    if exact:
+    if exact or not compare:
         a = src.select(*keys, *[F.col(c).alias(f"__a_{c}") for c in compare]).withColumn("__a", F.lit(1))
         b = dst.select(*keys, *[F.col(c).alias(f"__b_{c}") for c in compare]).withColumn("__b", F.lit(1))
         same = reduce(lambda x, y: x & y,
-                      [F.col(f"__a_{c}").eqNullSafe(F.col(f"__b_{c}")) for c in compare])
+                      [F.col(f"__a_{c}").eqNullSafe(F.col(f"__b_{c}")) for c in compare], F.lit(True))
     else:
         a = src.select(*keys, row_digest(compare).alias("__da")).withColumn("__a", F.lit(1))
         b = dst.select(*keys, row_digest(compare).alias("__db")).withColumn("__b", F.lit(1))
         same = F.col("__da") == F.col("__db")
-    j = a.join(b, keys, "full")
+    for k in keys:
+        b = b.withColumnRenamed(k, f"__k_{k}")
+    j = a.join(b, reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys]), "full")
+    j = j.select(*[F.coalesce(k, f"__k_{k}").alias(k) for k in keys],
+                 *[c for c in j.columns if c not in keys and not c.startswith("__k_")])
     status = (F.when(F.col("__b").isNull(), F.lit("only_source"))
                .when(F.col("__a").isNull(), F.lit("only_replica"))
                .when(~same, F.lit("changed")))
@@ -96,13 +102,18 @@ def diff_summary(d: DataFrame) -> DataFrame:
 HEALTH_VARS = ["wsrep_cluster_size", "wsrep_cluster_status", "wsrep_connected", "wsrep_ready"]
 
 
-def node_health(status: DataFrame, expected_size: int) -> DataFrame:
-    """Status pairs pivoted to one row per (node, snapshot); healthy iff
+def node_health(status: DataFrame, expected_size: int, nodes: list[str] | None = None) -> DataFrame:
+    """With ``nodes`` every listed node has a row per snapshot, unhealthy
+    where it reported nothing; of repeated values the largest counts.  Status pairs pivoted to one row per (node, snapshot); healthy iff
     size as expected, status Primary, connected ON and ready ON; ``cluster_agrees``
     is false when the nodes of one snapshot report different cluster status."""
     p = (status.where(F.col("variable_name").isin(HEALTH_VARS))
                .groupBy("node", "snapshot_ts").pivot("variable_name", HEALTH_VARS)
-               .agg(F.first("variable_value")))
+               .agg(F.max("variable_value")))
+    if nodes:
+        listed = status.select("snapshot_ts").distinct().withColumn(
+            "node", F.explode(F.array(*[F.lit(n) for n in nodes])))
+        p = listed.join(p, ["node", "snapshot_ts"], "left")
     healthy = (F.coalesce(F.col("wsrep_cluster_size").try_cast("int") == expected_size, F.lit(False))
                & F.coalesce(F.col("wsrep_cluster_status") == "Primary", F.lit(False))
                & F.coalesce(F.upper("wsrep_connected") == "ON", F.lit(False))
@@ -126,7 +137,7 @@ def config_diff(instances: dict) -> DataFrame:
                     .withColumn("instance", F.lit(n)) for n in names])
     # one row per variable with a column per instance, then one row per
     # (variable, other instance) by exploding a fixed-size array
-    p = long.groupBy("variable_name").pivot("instance", names).agg(F.first("value"))
+    p = long.groupBy("variable_name").pivot("instance", names).agg(F.max("value"))
     pairs = F.array(*[F.struct(F.lit(n).alias("instance"), F.col(f"`{n}`").alias("value"))
                       for n in names[1:]])
     j = (p.select("variable_name", F.col(f"`{base}`").alias("base_value"), F.explode(pairs).alias("o"))

@@ -36,15 +36,16 @@ def user_orders(users: DataFrame, orders: DataFrame) -> DataFrame:
 def order_details(orders: DataFrame, users: DataFrame, items: DataFrame,
                   products: DataFrame) -> DataFrame:
     """Orders joined to their user, items and products (inner joins).
+    ``unit_price`` is the item's own where items have one, else the product's.
     The two large inputs (items, orders) are joined first on the order key."""
     oi = items.select(
         F.col("order_id").alias("i_order_id"), F.col("product_id").alias("i_product_id"),
-        "quantity", "total_price")
+        "quantity", "total_price", *[c for c in ("unit_price",) if c in items.columns])
     o = orders.select(F.col("id").alias("order_id"), F.col("user_id").alias("o_user_id"),
                       F.col("total_amount").alias("order_total"), "status", "created_at")
     u = users.select(F.col("id").alias("u_id"), "username")
     p = products.select(F.col("id").alias("p_id"), F.col("name").alias("product_name"),
-                        F.col("price").alias("unit_price"))
+                        *([] if "unit_price" in items.columns else [F.col("price").alias("unit_price")]))
     j = (oi.join(o, oi.i_order_id == o.order_id)
            .join(u, F.col("o_user_id") == F.col("u_id"))
            .join(p, F.col("i_product_id") == F.col("p_id")))

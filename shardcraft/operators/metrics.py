@@ -95,10 +95,14 @@ def write_runs(df: DataFrame, path: str, mode: str = "append") -> None:
     df.write.mode(mode).json(path)
 
 
+RUN_SCHEMA = ("container string, timestamp string, tests struct<select: struct<tests: array<struct<"
+              "test_name: string, duration_ms: double, rows_returned: bigint, success: boolean>>>>")
+
+
 def read_runs(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """IO5: read run documents back and flatten ``tests.select.tests[]`` to
-    one row per test."""
-    docs = spark.read.option("multiLine", multi_line).json(path)
+    one row per test.  The schema is stated, so the files are read once."""
+    docs = spark.read.schema(RUN_SCHEMA).option("multiLine", multi_line).json(path)
     t = docs.select("container", "timestamp",
                     F.explode_outer("tests.select.tests").alias("t"))
     return t.select("container", "timestamp", F.col("t.test_name").alias("test_name"),

@@ -161,15 +161,16 @@ def ranges_df(spark: SparkSession, ranges) -> DataFrame:
 
 
 def audit(df: DataFrame, key: str, ranges, shard_col: str = "shard_id") -> DataFrame:
-    """A10: rows, min and max key per declared shard, ``ok`` when the shard is
-    non-empty and its keys lie inside the declared range."""
+    """A10: rows, min and max key per shard, ``ok`` when the shard is declared,
+    non-empty and its keys lie inside the declared range.  Rows in an undeclared
+    shard, or in none, form a row without a name and range, not ``ok``."""
     spark = df.sparkSession
     g = df.groupBy(shard_col).agg(F.count(F.lit(1)).alias("rows"),
                                   F.min(key).alias("min_key"), F.max(key).alias("max_key"))
-    r = F.broadcast(ranges_df(spark, ranges))   # size checked by _check
-    j = r.join(g, shard_col, "left")
+    r = ranges_df(spark, ranges).withColumnRenamed("shard_id", "__declared")
+    j = r.join(g, F.col("__declared") == F.col(shard_col), "full")     # both sides have a row per shard
     return j.select(
-        shard_col, "shard_name", "range_lo", "range_hi",
+        F.coalesce("__declared", shard_col).alias(shard_col), "shard_name", "range_lo", "range_hi",
         F.coalesce(F.col("rows"), F.lit(0)).alias("rows"), "min_key", "max_key",
         ((F.coalesce(F.col("rows"), F.lit(0)) > 0) & F.coalesce(
             (F.col("min_key") >= F.col("range_lo")) & (F.col("max_key") <= F.col("range_hi")),

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import bindings as B
-from ..operators import audit, joins
+from ..operators import audit, joins, metrics
 from .registry import register
 
 AS_OF = B.AS_OF_SQL
@@ -133,7 +133,105 @@ def u2_snapshot_diff_summary(spark, sf):
         audit.diff(B.source_orders(spark, sf), B.replica_orders(spark, sf), "o_orderkey", exact=True))
 
 
-@register("io10_table_inventory")
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+          "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
+
+
+# bytes and file counts depend on the files, not the rows: tests look at those
+@register("io10_table_inventory", "\nUNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS rows FROM {t}" for t in TABLES))
 def io10_table_inventory(spark, sf):
-    names = ["customer", "orders", "lineitem", "events", "documents"]
-    return audit.table_inventory({n: B.table(spark, sf, n) for n in names})
+    return audit.table_inventory({n: B.table(spark, sf, n) for n in TABLES}).select("table_name", "rows")
+
+
+# Status pairs of the cluster nodes, from the hours of the query log: a node is
+# connected in an hour in which it logged anything, ready if at most half of its
+# statements failed, and Primary if it ran at least two; the size it sees is
+# the number of nodes with statements.
+_PAIRS_SQL = f"""q AS ({B.QUERY_LOG_SQL}),
+h AS (SELECT node, date_trunc('hour', ts) AS snapshot_ts, count(*) AS n,
+             count(*) FILTER (NOT ok) AS failed FROM q GROUP BY 1, 2),
+z AS (SELECT snapshot_ts, count(*) AS size FROM h GROUP BY 1)"""
+
+
+def _status_pairs(spark, sf):
+    h = B.query_log(spark, sf).groupBy("node", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("snapshot_ts")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum((~F.col("ok")).cast("long")).alias("failed"))
+    j = h.join(h.groupBy("snapshot_ts").agg(F.count(F.lit(1)).alias("size")), "snapshot_ts")
+    values = [F.col("size").cast("string"),
+              F.when(F.col("n") >= 2, F.lit("Primary")).otherwise(F.lit("non-Primary")), F.lit("ON"),
+              F.when(F.col("failed") * 2 <= F.col("n"), F.lit("ON")).otherwise(F.lit("OFF"))]
+    pairs = F.array(*[F.struct(F.lit(name).alias("variable_name"), v.alias("variable_value"))
+                      for name, v in zip(audit.HEALTH_VARS, values)])
+    return j.select("node", "snapshot_ts", F.explode(pairs).alias("p")).select("node", "snapshot_ts", "p.*")
+
+
+@register("c1_node_health", f"""WITH {_PAIRS_SQL},
+l AS (SELECT snapshot_ts, 'node' || CAST(i AS VARCHAR) AS node FROM z, range({B.NODE_COUNT}) r(i)),
+p AS (SELECT l.snapshot_ts, l.node,
+             CASE WHEN h.n IS NOT NULL THEN CAST(z.size AS VARCHAR) END AS wsrep_cluster_size,
+             CASE WHEN h.n >= 2 THEN 'Primary' WHEN h.n IS NOT NULL THEN 'non-Primary' END AS wsrep_cluster_status,
+             CASE WHEN h.n IS NOT NULL THEN 'ON' END AS wsrep_connected,
+             CASE WHEN h.failed * 2 <= h.n THEN 'ON' WHEN h.n IS NOT NULL THEN 'OFF' END AS wsrep_ready
+      FROM l JOIN z ON l.snapshot_ts = z.snapshot_ts
+      LEFT JOIN h ON l.snapshot_ts = h.snapshot_ts AND l.node = h.node)
+SELECT *, coalesce(wsrep_cluster_size = '{B.NODE_COUNT}' AND wsrep_cluster_status = 'Primary'
+                   AND wsrep_connected = 'ON' AND wsrep_ready = 'ON', false) AS healthy,
+       min(coalesce(wsrep_cluster_status, '?')) OVER s = max(coalesce(wsrep_cluster_status, '?')) OVER s
+         AS cluster_agrees
+FROM p WINDOW s AS (PARTITION BY snapshot_ts)""")
+def c1_node_health(spark, sf):
+    return audit.node_health(_status_pairs(spark, sf), B.NODE_COUNT, [f"node{i}" for i in range(B.NODE_COUNT)])
+
+
+# Two "instances": the users' statement counts before and from 2024-01-16.
+_HALF = "2024-01-16"
+
+
+@register("c2_config_diff", f"""WITH v AS (
+SELECT 'user_' || CAST(user_id AS VARCHAR) AS variable_name,
+       nullif(count(*) FILTER (ts < TIMESTAMP '{_HALF}'), 0) AS a,
+       nullif(count(*) FILTER (ts >= TIMESTAMP '{_HALF}'), 0) AS b FROM events GROUP BY user_id)
+SELECT 'later' AS instance, variable_name, CAST(a AS VARCHAR) AS base_value, CAST(b AS VARCHAR) AS value,
+       CASE WHEN a IS NULL THEN 'added' WHEN b IS NULL THEN 'removed' ELSE 'changed' END AS status,
+       round(CAST(b AS DOUBLE) / a, 4) AS ratio
+FROM v WHERE a IS DISTINCT FROM b""")
+def c2_config_diff(spark, sf):
+    e = B.events(spark, sf)
+
+    def instance(rows):
+        return rows.groupBy(F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("variable_name")) \
+                   .agg(F.count(F.lit(1)).cast("string").alias("variable_value"))
+    half = F.lit(_HALF).cast("timestamp_ntz")
+    return audit.config_diff({"earlier": instance(e.where(F.col("ts") < half)),
+                              "later": instance(e.where(F.col("ts") >= half))})
+
+
+# Two "runs": the same halves; rows per measure are its throughput, the longest
+# read its time.
+@register("a15_compare_runs", f"""WITH e AS (
+SELECT ts >= TIMESTAMP '{_HALF}' AS late, value,
+       CASE WHEN event_type IN ('signup', 'purchase') THEN 'insert' WHEN event_type = 'error' THEN 'update'
+            ELSE 'select' END AS measure FROM events),
+p AS (SELECT measure, CASE WHEN measure = 'select' THEN 'time' ELSE 'throughput' END AS kind,
+             CASE WHEN measure = 'select' THEN max(value) FILTER (NOT late) ELSE count(*) FILTER (NOT late) END AS a,
+             CASE WHEN measure = 'select' THEN max(value) FILTER (late) ELSE count(*) FILTER (late) END AS b
+      FROM e GROUP BY measure),
+g AS (SELECT measure, kind, a AS base_value, b AS other_value,
+             round(CASE WHEN kind = 'time' THEN (a - b) / nullif(a, 0) * 100 ELSE (b - a) / nullif(a, 0) * 100 END, 2) AS gain_pct
+      FROM p),
+u AS (SELECT * FROM g UNION ALL
+      SELECT 'overall', 'mixed', NULL, NULL, round(sum(coalesce(gain_pct, 0)) / 3, 2) FROM g)
+SELECT *, CASE WHEN gain_pct > 0 THEN 'IMPROVED' WHEN gain_pct < 0 THEN 'DEGRADED' ELSE 'UNCHANGED' END AS verdict
+FROM u""")
+def a15_compare_runs(spark, sf):
+    kind = F.col("event_type")
+    e = B.events(spark, sf).select(
+        F.when(F.col("ts") < F.lit(_HALF).cast("timestamp_ntz"), F.lit("earlier")).otherwise(F.lit("later")).alias("run_id"),
+        F.when(kind.isin("signup", "purchase"), F.lit("insert")).when(kind == "error", F.lit("update"))
+         .otherwise(F.lit("select")).alias("measure"), "value")
+    g = e.groupBy("run_id", "measure").agg(F.count(F.lit(1)).cast("double").alias("n"), F.max("value").alias("longest"))
+    time = F.col("measure") == "select"
+    return metrics.compare_runs(g.select(
+        "run_id", "measure", F.when(time, F.lit("time")).otherwise(F.lit("throughput")).alias("kind"),
+        F.when(time, F.col("longest")).otherwise(F.col("n")).alias("value")), "earlier", "later")

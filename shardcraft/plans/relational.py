@@ -55,7 +55,7 @@ def f4_recent_events(spark, sf):
 SELECT order_id, line_no, user_id, product_id, quantity, price, order_date, status
 FROM sales WHERE status IN ('O', 'P') AND price > 100 AND order_date >= {_days_before(30)}""")
 def f5_multi_filter(spark, sf):
-    return filters.multi_filter(B.sales(spark, sf), "status", ["O", "P"], "price", 100,
+    return filters.multi_filter(B.sales(spark, sf, 100), "status", ["O", "P"], "price", 100,
                                 "order_date", B.AS_OF, "30 days")
 
 
@@ -84,7 +84,7 @@ SELECT order_id, line_no, user_id, product_id, price, status FROM sales
 WHERE status = 'O' AND price > 100
 ORDER BY price DESC, order_id, line_no, user_id, product_id LIMIT 1000""")
 def k1_top_price(spark, sf):
-    s = (B.sales(spark, sf).where((F.col("status") == "O") & (F.col("price") > 100))
+    s = (B.sales(spark, sf, 100).where((F.col("status") == "O") & (F.col("price") > 100))
          .select("order_id", "line_no", "user_id", "product_id", "price", "status"))
     return topk.by(s, ["-price"], 1000, ["order_id", "line_no", "user_id", "product_id"])
 
@@ -94,7 +94,7 @@ SELECT {_SALES_COLS} FROM sales
 WHERE status IN ('O', 'P') AND price > 100 AND order_date >= {_days_before(365)}
 ORDER BY price DESC, order_date DESC, order_id, line_no, user_id, product_id, quantity LIMIT 5000""")
 def k2_top_multi_key(spark, sf):
-    s = filters.multi_filter(B.sales(spark, sf), "status", ["O", "P"], "price", 100,
+    s = filters.multi_filter(B.sales(spark, sf, 100), "status", ["O", "P"], "price", 100,
                              "order_date", B.AS_OF, "365 days")
     return topk.by(s, ["-price", "-order_date"], 5000,
                    ["order_id", "line_no", "user_id", "product_id", "quantity"])

@@ -146,12 +146,12 @@ def t4_service_metrics_sliding(spark, sf):
     return MON.service_metrics(B.query_log(spark, sf), "1 hour", "30 minutes")
 
 
-# The driver's hourly averages lie around 250 ms, so that limit makes both rules fire.
+# The driver's hourly averages lie around 50 ms, so a limit of 100 ms makes both rules fire.
 @register("t5_alerts", f"""WITH m AS ({T4_SQL})
 SELECT *, 'error_rate' AS alert FROM m WHERE error_rate > 0.05
-UNION ALL SELECT *, 'query_time' FROM m WHERE avg_ms > 250.0""")
+UNION ALL SELECT *, 'query_time' FROM m WHERE avg_ms > 100.0""")
 def t5_alerts(spark, sf):
-    return MON.alerts(MON.service_metrics(B.query_log(spark, sf), "1 hour"), {"query_ms": 250.0})
+    return MON.alerts(MON.service_metrics(B.query_log(spark, sf), "1 hour"), {"query_ms": 100.0})
 
 
 def _shape_sql() -> str:

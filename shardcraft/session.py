@@ -2,7 +2,7 @@
 
 Everything here is plain Spark configuration.  On a cluster the session is
 created by the platform; :func:`configure` only fills in settings that are
-unset, so cluster-wide values always win.
+unset, so cluster-wide values win; only the session time zone is always UTC.
 """
 
 from __future__ import annotations

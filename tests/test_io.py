@@ -71,10 +71,16 @@ def test_table_inventory(spark):
     assert r.rows == 150 and r.bytes == os.path.getsize(f"{SF_SMALL}/customer.parquet") and r.files == 1
 
 
-def test_sql_api_rejects_writes(spark):
+def test_sql_api_rejects_writes(spark, tmp):
     spark.range(5).createOrReplaceTempView("t_ids")
     assert sqlapi.run_query(spark, "SELECT id FROM t_ids WHERE id > ?", [2]).count() == 2
-    for bad in ["DROP TABLE t_ids", "  insert into t_ids values (1)", "/* x */ DELETE FROM t_ids",
+    assert sqlapi.run_query(spark, "SELECT ';' AS c").first().c == ";"
+    assert sqlapi.run_query(spark, "SELECT id FROM t_ids WHERE id = :k", {"k": 2}).count() == 1
+    assert sqlapi.run_query(spark, "SHOW TABLES").count() > 0
+    for bad in ["WITH x AS (SELECT 1 AS id) INSERT INTO t_ids SELECT * FROM x",
+                f"WITH x AS (SELECT 1 AS id) INSERT OVERWRITE DIRECTORY '{tmp}/d' USING parquet SELECT * FROM x",
+                "FROM t_ids INSERT INTO t_a SELECT id INSERT INTO t_b SELECT id",
+                "CREATE TABLE t_c AS SELECT 1 AS id", "DROP TABLE t_ids", "  insert into t_ids values (1)", "/* x */ DELETE FROM t_ids",
                 "SELECT 1; DROP TABLE t_ids"]:
         with pytest.raises(sqlapi.WriteRejected):
             sqlapi.run_query(spark, bad)

@@ -70,3 +70,21 @@ def test_error_rate_connect_threshold(spark):
                                 "node string, ok boolean, ms double, connect_ms double")
     r = {x.node: x for x in metrics.error_rate(log, "node", "ok", "ms", connect="connect_ms").collect()}
     assert r["n1"].avg_connect_ms == 650.0 and r["n1"].connect_breach and not r["n2"].connect_breach
+
+
+def test_node_health_lists_a_silent_node(spark):
+    st = spark.createDataFrame([("n1", "t1", v, x) for v, x in zip(audit.HEALTH_VARS, ["2", "Primary", "ON", "ON"])],
+                               "node string, snapshot_ts string, variable_name string, variable_value string")
+    h = {r.node: r for r in audit.node_health(st, 2, ["n1", "n2"]).collect()}
+    assert h["n1"].healthy and not h["n2"].healthy and not h["n2"].cluster_agrees
+
+
+def test_diff_keys_only_and_null_keys(spark):
+    a = spark.createDataFrame([(1, "x"), (None, "y"), (3, "z")], "k long, v string")
+    b = spark.createDataFrame([(1, "x"), (None, "changed"), (4, "z")], "k long, v string")
+    got = sorted((r.k or 0, r.status) for r in audit.diff(a, b, "k").collect())
+    assert got == [(0, "changed"), (3, "only_source"), (4, "only_replica")]
+    got = sorted((r.k, r.status) for r in audit.diff(a.select("k"), b.select("k"), "k").collect())
+    assert got == [(3, "only_source"), (4, "only_replica")]
+    seen = {r.k: r.all_present for r in audit.presence(a, {"b": b}, "k").collect()}
+    assert seen == {1: True, None: True, 3: False}

@@ -152,3 +152,16 @@ def test_key_range_prunes_shard_directories(spark, tmp):
     pf = p.split("PartitionFilters: [")[1].split("]")[0]
     assert pf.startswith("shard_id#") and pf.endswith("IN (1,2)")      # shard 3 is never listed
     assert q.count() == 201 and sorted(r.shard_id for r in q.select("shard_id").distinct().collect()) == [1, 2]
+
+
+def test_any_number_of_ranges_and_undeclared_shards(spark):
+    from shardcraft.operators import shard as S
+    ranges = S.equal_ranges(5000, 500)
+    d = spark.range(1, 5002).withColumn("s", S.shard_of("id", ranges))
+    assert d.where("id <= 5000 AND s <> floor((id - 1) / 10) + 1").count() == 0
+    assert d.where("s IS NULL").count() == 1
+    with pytest.raises(ValueError):
+        S.shard_of("id", [S.ShardRange(1, 1, 10), S.ShardRange(2, 10, 20)])
+    rows_ = spark.createDataFrame([(1, 1), (2, 9), (3, None)], "id long, shard_id int")
+    out = {r.shard_id: (r.rows, r.ok) for r in S.audit(rows_, "id", [S.ShardRange(1, 1, 5)]).collect()}
+    assert out == {1: (1, True), 9: (1, False), None: (1, False)}
