@@ -256,7 +256,7 @@ ENTRY = "kind int, key long, a long, b int"
 
 
 def repeated_keys(df: DataFrame, emit: Callable[[Iterator[pa.RecordBatch]], Iterable[tuple[int, Entries]]],
-                  name: str, limit: int = 400_000) -> DataFrame:
+                  name: str, limit: int = 400_000, splits: int = 8) -> DataFrame:
     """Find the keys that occur in at least two distinct entries anywhere.
 
     ``emit`` runs in the tasks of ``df`` and yields ``(kind, (key, a, b))`` arrays.
@@ -269,10 +269,11 @@ def repeated_keys(df: DataFrame, emit: Callable[[Iterator[pa.RecordBatch]], Iter
     known to be repeated and travel in evenly spread runs.  A key that holds a
     third of all entries therefore brings at most one entry per flush to its
     bucket.  Memory is bounded by ``limit`` entries on the map side and by
-    one bucket, an eighth of a shuffle partition, on the other.
+    one bucket, ``1 / splits`` of a shuffle partition, on the other.  A task sends
+    a packed row to every bucket it has entries for, so few entries want few buckets.
     """
     parts = shuffle_partitions(df.sparkSession)
-    buckets = parts * 8
+    buckets = parts * splits
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         box = _Outbox(buckets, limit)

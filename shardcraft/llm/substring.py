@@ -1,21 +1,27 @@
 """Substring deduplication over sliding sentence spans.
 
-A text is cut into sentences (at line ends and at ``.!?`` before white space); a
-sentence of more than ``LONG`` words is cut further after words chosen by their
-hash, so that the cuts move with the text.  From every sentence the shortest
-run of consecutive sentences, two at least, with ``min_words`` words is taken,
-forwards and backwards, and hashed word by word (lower case, without
-punctuation).  All runs of the corpus meet by hash; the first place of a
-repeated run (smallest doc_id, then position) stays and the sentences that any
-other place covers are removed.
-
-Whether a run is the shortest one depends on its own words only, so a repeated
-passage yields the same runs wherever it stands, and the forward and backward
-runs together cover it from its first whole sentence to its last.
+A text is cut into sentences (at line ends and at ``.!?`` before white space), and
+each sentence after the word with the least hash of every ``UNIT`` neighbouring words,
+so that no piece has more than ``UNIT`` words and the cuts move with the text.  From
+every piece the shortest run of whole pieces with ``min_words`` words is
+hashed word by word (lower case, without punctuation), and all runs of the corpus meet
+by hash.  The first place of a repeated run (smallest doc_id, then position) stays.
+
+A word that is ``UNIT`` words or more from both ends of a repeated passage is a
+cut at all its places or at none, and whole sentences are cut alike everywhere.  So any
+passage of ``min_words + 4 * UNIT - 3`` words (49), wherever it starts or ends and
+with or without punctuation, and any whole sentences of ``min_words`` words, hold a
+common run.
+
+Runs end at cuts, passages at any word.  Where removed runs begin or end in a text, all
+places of that run are compared again, by every window of ``min_words`` words
+from ``BEFORE`` words before the run to ``AFTER`` words after its start; that reaches
+the ends of the passage.  A later place loses the words of its repeated runs and
+windows; where a passage overlaps its own first place, that stays whole.
 
 Defined results: null texts stay null and empty ones empty; rows without a
 doc_id pass unchanged; repeated rows (equal id and text) are one document and keep
-or lose the same sentences; an empty table gives no rows; other input columns pass
+or lose the same words; an empty table gives no rows; other input columns pass
 through.
 """
 
@@ -25,12 +31,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import NOT_WORD, U64, range_hashes, repeated_keys, slices, text_bytes, words, written
 
-LONG, CUT = 24, 8
+UNIT = 8                      # words of a piece at most
+BEFORE, AFTER = 2 * UNIT, 3 * UNIT
 _STOP = np.zeros(256, bool)
 _STOP[[33, 46, 63]] = True
 _BLANK = np.zeros(256, bool)
@@ -38,47 +46,53 @@ _BLANK[[9, 10, 13, 32]] = True
 
 
 class Spans:
-    """Sentences and runs of some texts, in arrays.
+    """Words, sentences and runs of some texts, in arrays.
 
-    ``start``/``doc``: first byte (within its text) and text of each sentence;
-    ``key``/``run_doc``/``first``/``last``/``mark``: hash, text and sentence range
-    of each run, and its name within the text (2 * first sentence if it is the
-    shortest run forwards, else 2 * last sentence + 1)."""
+    ``start``/``hash``/``sentence``: first byte (within its text), hash and sentence of
+    each word; ``doc_word``/``doc_run``: each text's first word and run;
+    ``key``/``run_doc``/``first``/``last``: hash, text and word range of each run, one
+    for each piece of a text but the last ones."""
 
     def __init__(self, texts: list[bytes], min_words: int):
         buf, doc_start, ws, we, wdoc = words(texts, NOT_WORD)
-        self.n_docs = len(texts)
-        h = range_hashes(buf, ws, we)
+        n = len(ws)
+        self.hash = range_hashes(buf, ws, we)
         blank = np.r_[_BLANK[buf[1:]], True] if len(buf) else np.zeros(0, bool)
         ends = np.concatenate([[0], np.cumsum((buf == 10) | _STOP[buf] & blank)])
-        stop = np.ones(len(ws), bool)             # the sentence ends after this word
-        if len(ws):
+        stop = np.ones(n, bool)                   # the piece ends after this word
+        if n:
             stop[:-1] = (ends[ws[1:]] > ends[we[:-1]]) | (wdoc[1:] != wdoc[:-1])
-        begin = np.flatnonzero(np.r_[True, stop[:-1]]) if len(ws) else np.zeros(0, np.int64)
-        size = np.diff(np.r_[begin, len(ws)])
-        stop |= np.repeat(size > LONG, size) & (h % U64(CUT) == 0)
-        begin = np.flatnonzero(np.r_[True, stop[:-1]]) if len(ws) else np.zeros(0, np.int64)
-        total = np.r_[begin, len(ws)]             # words before each sentence
-        self.doc, self.size = wdoc[begin], np.diff(total)
-        n = len(begin)
-        lead = np.r_[True, self.doc[1:] != self.doc[:-1]] if n else np.zeros(0, bool)
-        self.start = np.where(lead, 0, ws[begin] - doc_start[self.doc]) if n else np.zeros(0, np.int64)
-        self.doc_first = np.searchsorted(self.doc, np.arange(self.n_docs))
-        self.doc_last = np.searchsorted(self.doc, np.arange(self.n_docs), side="right")
-        i = np.arange(n)
-        ahead = np.maximum(i + 1, np.searchsorted(total, total[:-1] + min_words) - 1)
-        forward = ahead < self.doc_last[self.doc] if n else np.zeros(0, bool)
-        back = np.minimum(i - 1, np.searchsorted(total, total[1:] - min_words, side="right") - 1)
-        backward = (back >= self.doc_first[self.doc]) & (ahead[np.maximum(back, 0)] != i) if n else forward
-        self.first = np.r_[i[forward], back[backward]]
-        self.last = np.r_[ahead[forward], i[backward]]
-        self.run_doc = self.doc[self.first]
-        self.key = range_hashes(h, total[self.first], total[self.last + 1])
-        base = self.doc_first[self.run_doc]
-        self.mark = np.r_[2 * i[forward], 2 * i[backward] + 1] - 2 * base
-
-
-def _emit(min_words: int):
+        self.sentence = np.cumsum(stop) - stop
+        if n >= UNIT:
+            least = UNIT - 1 - np.argmin(np.lib.stride_tricks.sliding_window_view(self.hash, UNIT)[:, ::-1], axis=1)
+            whole = self.sentence[UNIT - 1:] == self.sentence[:n - UNIT + 1]
+            stop[(np.arange(len(least)) + least)[whole]] = True
+        edges = np.r_[0, np.flatnonzero(stop) + 1]
+        begin = edges[:-1]
+        self.doc_word = np.searchsorted(wdoc, np.arange(len(texts) + 1))
+        self.start = ws - doc_start[wdoc]
+        self.start[self.doc_word[:-1][np.diff(self.doc_word) > 0]] = 0
+        doc = wdoc[begin]
+        full = begin + min_words <= self.doc_word[doc + 1]
+        self.first, self.run_doc = begin[full], doc[full]
+        self.last = edges[np.searchsorted(edges, self.first + min_words)]
+        self.key = range_hashes(self.hash, self.first, self.last)
+        self.doc_run = np.searchsorted(self.run_doc, np.arange(len(texts) + 1))
+
+    def covered(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Which words lie in one of the word ranges."""
+        step = np.bincount(starts, minlength=len(self.hash) + 1) - np.bincount(ends, minlength=len(self.hash) + 1)
+        return np.cumsum(step[:-1]) > 0
+
+
+def _listed(col: pa.Array, s: int, e: int) -> tuple[np.ndarray, pa.Array]:
+    """The values in the lists of some rows, and the row of each, from 0."""
+    part = col.slice(s, e - s)
+    n = pc.fill_null(pc.list_value_length(part), 0).to_numpy(zero_copy_only=False)
+    return np.repeat(np.arange(e - s), n), part.flatten()
+
+
+def _emit_runs(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]):
         for b in batches:
             known = np.flatnonzero(b.column(0).is_valid().to_numpy(zero_copy_only=False))
@@ -86,41 +100,74 @@ def _emit(min_words: int):
             texts = text_bytes(b.column(1).take(pa.array(known)))
             for s, e in slices(texts):
                 x = Spans(texts[s:e], min_words)
-                yield 0, (x.key, ids[s:e][x.run_doc], x.mark)
+                yield 0, (x.key, ids[s:e][x.run_doc], np.arange(len(x.key)) - x.doc_run[x.run_doc])
     return run
 
 
+def _emit_windows(min_words: int):
+    """All windows about the runs with the listed numbers."""
+    def run(batches: Iterator[pa.RecordBatch]):
+        for b in batches:
+            ids, texts = b.column(0).to_numpy(zero_copy_only=False), text_bytes(b.column(1))
+            for s, e in slices(texts):
+                x = Spans(texts[s:e], min_words)
+                d, near = _listed(b.column(2), s, e)
+                at = x.doc_run[d] + near.to_numpy(zero_copy_only=False)
+                own = at < x.doc_run[d + 1]       # another text may have the same doc_id
+                d, at = d[own], x.first[at[own]]
+                lo, hi = np.maximum(at - BEFORE, x.doc_word[d]), np.minimum(at + AFTER, x.doc_word[d + 1] - min_words)
+                w = np.flatnonzero(x.covered(lo, hi + 1))
+                d = np.searchsorted(x.doc_word, w, side="right") - 1
+                yield 0, (range_hashes(x.hash, w, w + min_words), ids[s:e][d], w - x.doc_word[d])
+    return run
+
+
+def _gone(x: Spans, d: np.ndarray, found: pa.Array, min_words: int) -> np.ndarray:
+    """The words in the listed runs and windows of texts ``d``."""
+    whole, b, key, own = (found.field(i).to_numpy(zero_copy_only=False) for i in range(4))
+    starts, ends = [], []
+    for kind in (True, False):
+        k = whole == kind
+        e, want = d[k], key[k]
+        base, n = (x.doc_run, len(x.key)) if kind else (x.doc_word, len(x.hash) - min_words + 1)
+
+        def place(number):
+            """Word range of a run or window, and whether this text has it: another may have the same doc_id."""
+            at = base[e] + number
+            same = (number >= 0) & (at < base[e + 1]) & (at < n)
+            at = np.where(same, at, 0)
+            if not same.any():
+                return at, at, same
+            have = x.key[at] if kind else range_hashes(x.hash, at, at + min_words)
+            begin, end = (x.first[at], x.last[at]) if kind else (at, at + min_words)
+            return begin, end, same & (have.view(np.int64) == want)
+
+        begin, end, here = place(b[k])
+        _, stays, inside = place(own[k])          # the first place is in this text, too
+        starts.append(np.minimum(np.where(inside, np.maximum(begin, stays), begin), end)[here])
+        ends.append(end[here])
+    return x.covered(np.concatenate(starts), np.concatenate(ends))
+
+
 def _strip(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = text_bytes(b.column("text"))
-            runs = b.column("runs")
             out, n, gone, lost = [], [], [], []
             for s, e in slices(texts):
                 x = Spans(texts[s:e], min_words)
-                drop = np.zeros(len(x.doc) + 1, np.int32)
-                own = {}
-                for r in range(s, e):
-                    if runs[r].is_valid:
-                        for m in runs[r].values.to_pylist():
-                            own[r - s, m["b"]] = m["key"]
-                if own:
-                    mark, key = x.mark.tolist(), x.key.view(np.int64).tolist()
-                    for t, d in enumerate(x.run_doc.tolist()):
-                        if own.get((d, mark[t])) == key[t]:
-                            drop[x.first[t]] += 1
-                            drop[x.last[t] + 1] -= 1
-                hit = np.cumsum(drop[:-1]) > 0
+                hit = _gone(x, *_listed(b.column("runs"), s, e), min_words)
                 for d in range(e - s):
-                    a, z = x.doc_first[d], x.doc_last[d]
+                    a, z = x.doc_word[d], x.doc_word[d + 1]
                     text, cut = texts[s + d], hit[a:z]
                     if cut.any():
-                        at = np.r_[x.start[a:z], len(text)].tolist()
-                        text = b"".join(text[at[k]:at[k + 1]] for k in np.flatnonzero(~cut))
+                        turn = np.flatnonzero(np.diff(np.r_[True, cut, True]))   # kept and removed words take turns
+                        at = np.r_[x.start[a:z], len(text)][turn].tolist()
+                        text = b"".join(text[i:j] for i, j in zip(at[::2], at[1::2]))
                     out.append(text)
-                    n.append(int(z - a))
-                    gone.append(int(cut.sum()))
-                    lost.append(int(x.size[a:z][cut].sum()))
+                    n.append(int(x.sentence[z - 1] - x.sentence[a]) + 1 if z > a else 0)
+                    gone.append(len(np.unique(x.sentence[a:z][cut])))
+                    lost.append(int(cut.sum()))
             valid = b.column("text").is_valid().to_pylist()
             text = pa.array([t.decode() if v else None for t, v in zip(out, valid)], pa.string())
             cols = [text if c == "text" else b.column(c) for c in b.schema.names if c != "runs"]
@@ -130,15 +177,35 @@ def _strip(min_words: int):
     return run
 
 
-def remove_repeats(documents: DataFrame, min_words: int = 20) -> DataFrame:
-    """The documents with repeated sentences removed from ``text``, and columns
-    n_sentences, n_removed, n_words_removed."""
-    met = repeated_keys(documents.select("doc_id", "text"), _emit(min_words), "substring-runs")
+def _placed(met: DataFrame, name: str) -> DataFrame:
+    """Every place of a repeated key: whether it is a ``later`` one, and where the first
+    one is if it is in the same document (``own``, else -1)."""
     places = met.where("kind = 1").select("key", F.col("a").alias("doc_id"), "b")
     # written, so that the join deals out both sides anew and splits a run that very many documents hold
-    first = written(places.groupBy("key").agg(F.min(F.struct("doc_id", "b")).alias("first")), "substring-first")
-    gone = (places.join(first, "key").where(F.struct("doc_id", "b") != F.col("first"))
-            .groupBy("doc_id").agg(F.collect_list(F.struct("b", "key")).alias("runs")))
+    first = written(places.groupBy("key").agg(F.min(F.struct("doc_id", "b")).alias("first")), name)
+    return places.join(first, "key").select(
+        "key", "doc_id", "b", (F.struct("doc_id", "b") != F.col("first")).alias("later"),
+        F.when(F.col("first.doc_id") == F.col("doc_id"), F.col("first.b")).otherwise(-1).alias("own"))
+
+
+def remove_repeats(documents: DataFrame, min_words: int = 20) -> DataFrame:
+    """The documents with repeated passages removed from ``text``, and columns
+    n_sentences, n_removed (sentences that lost words), n_words_removed."""
+    docs = documents.select("doc_id", "text")
+    runs = written(_placed(repeated_keys(docs, _emit_runs(min_words), "substring-runs"), "substring-first"),
+                   "substring-places")
+    line = Window.partitionBy("doc_id").orderBy("b")
+    inner = [(step("b", 1).over(line) == F.col("b") + by) & step("later", 1).over(line)
+             for step, by in ((F.lag, -1), (F.lead, 1))]
+    ends = runs.select("key", "later", F.coalesce(inner[0] & inner[1], F.lit(False)).alias("inner"))
+    ends = written(ends.where("later and not inner").select("key").distinct(), "substring-ends")
+    near = written(runs.join(ends, "key", "left_semi").groupBy("doc_id").agg(F.collect_list("b").alias("near")),
+                   "substring-near")
+    windows = _placed(repeated_keys(docs.join(near, "doc_id").select("doc_id", "text", "near"),
+                                    _emit_windows(min_words), "substring-windows", splits=2),
+                      "substring-first-windows")
+    gone = (runs.withColumn("whole", F.lit(True)).unionByName(windows.withColumn("whole", F.lit(False))).where("later")
+            .groupBy("doc_id").agg(F.collect_list(F.struct("whole", "b", "key", "own")).alias("runs")))
     names = [c for c in documents.columns if c not in ("runs", "n_sentences", "n_removed", "n_words_removed")]
     joined = documents.select(*names).join(written(gone, "substring-gone"), "doc_id", "left").select(*names, "runs")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.select(*names).schema)

@@ -291,6 +291,48 @@ def test_substring_removes_later_places_only(docs):
     assert [r["n_removed"] for r in substring.remove_repeats(twice).collect()] == [0, 0]
 
 
+@pytest.mark.parametrize("punctuated", [True, False])
+def test_substring_passages_at_any_word(docs, punctuated):
+    """Passages of 51 to 80 words inside host sentences go to their last word."""
+    rng = random.Random(19)
+
+    def text(n):
+        return [f"u{rng.randrange(10**9)}" + ("." if punctuated and rng.random() < 0.08 else "") for _ in range(n)]
+
+    texts, want = [], []
+    for size in range(51, 81):
+        passage = text(size)
+        for copy in range(3):
+            a, z = text(rng.randrange(0, 40)), text(rng.randrange(0, 40))
+            texts.append(" ".join([*a, *passage, *z]))
+            want.append(" ".join([*a, *z]) if copy else texts[-1])
+    got = {r["doc_id"]: r for r in substring.remove_repeats(docs(texts)).collect()}
+    assert [got[i]["text"].split() for i in range(len(texts))] == [w.split() for w in want]
+    assert [got[i]["n_words_removed"] for i in range(len(texts))] == [len(t.split()) - len(w.split())
+                                                                     for t, w in zip(texts, want)]
+
+
+def test_substring_example_of_merged_sentences(docs):
+    """Three 17-word sentences behind unterminated phrases: only one whole sentence is common."""
+    s = [" ".join(f"s{k}w{i}" for i in range(17)) for k in range(3)]
+    texts = ["one two three " + ". ".join(s) + " and on.", "a phrase of five words " + ". ".join(s) + " until here."]
+    got = {r["doc_id"]: r["text"] for r in substring.remove_repeats(docs(texts)).collect()}
+    assert got == {0: texts[0], 1: "a phrase of five words until here."}
+
+
+def test_substring_ends_of_nested_and_own_passages(docs):
+    """A text whose passage is partly in an earlier one, and one that repeats itself."""
+    w = [f"w{i}" for i in range(200)]
+    part, whole = w[40:100], w[20:120]
+    texts = [["x1", *part, "x2"], ["y1", *whole, "y2"], ["z1", *whole, "z2"], ["a", "b"] * 40, ["v", *w[120:180], *w[120:180]]]
+    got = {r["doc_id"]: r["text"].split() for r in substring.remove_repeats(docs([" ".join(t) for t in texts])).collect()}
+    assert got[0] == texts[0]
+    assert got[1] == ["y1", *w[20:40], *w[100:120], "y2"]
+    assert got[2] == ["z1", "z2"]
+    assert len(got[3]) >= 20 and got[3] == texts[3][:len(got[3])]
+    assert got[4] == ["v", *w[120:180]]
+
+
 # -------------------------------------------------------------------- top-k (10)
 
 def test_topk(spark):
