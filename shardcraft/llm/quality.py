@@ -3,9 +3,10 @@
 Two generative bag-of-n-gram models are estimated over ``buckets`` hash
 buckets: the *target* model from documents labelled good, the *raw* model from
 every document of the corpus.  A document's importance weight is the ratio of
-its probabilities under both; documents are drawn without replacement, in
-proportion to their weights, by Gumbel top-k: the k largest of
-``log weight + Gumbel noise``.
+its probabilities under both.  Total weights follow a document's length, so the weight
+drawn by is that of ``LENGTH`` n-grams at the document's mean log ratio: documents are
+drawn without replacement, in proportion to it, by Gumbel top-k: the k largest of
+``LENGTH * mean log ratio + Gumbel noise``.  k and the draw order documents alike.
 
 N-grams (1 to 3) run over word *classes* (letter case, length, digits, repetition
 of the previous word) and single punctuation characters rather than spellings,
@@ -37,6 +38,8 @@ from .common import U64, mix, range_hashes, slices, text_bytes, written
 
 SCORE = "doc_id long, text_hash long, n_grams long, log_weight double, mean_log_ratio double, gumbel_key double"
 
+LENGTH = 1000
+
 _KIND = np.zeros(256, np.uint8)          # 0 separator, 1 word, 2 punctuation
 _KIND[48:58] = _KIND[65:91] = _KIND[97:123] = _KIND[128:] = 1
 _KIND[33:48] = _KIND[58:65] = _KIND[91:97] = _KIND[123:127] = 2
@@ -149,9 +152,10 @@ def scores(docs: DataFrame, ratio: np.ndarray, seed: int) -> DataFrame:
                 noise[s:e] = range_hashes(np.frombuffer(b"".join(texts[s:e]), np.uint8), end - size, end)
             own = ids.fill_null(-1).to_numpy(zero_copy_only=False).view(U64)
             u = ((mix(noise ^ mix(own + U64(seed))) >> U64(11)).astype(float) + 0.5) / 2.0 ** 53
+            mean = total / np.maximum(n, 1)
             yield pa.RecordBatch.from_arrays(
-                [ids, text_hash, pa.array(n), pa.array(total), pa.array(total / np.maximum(n, 1)),
-                 pa.array(total - np.log(-np.log(u)))],
+                [ids, text_hash, pa.array(n), pa.array(total), pa.array(mean),
+                 pa.array(LENGTH * mean - np.log(-np.log(u)))],
                 ["doc_id", "text_hash", "n_grams", "log_weight", "mean_log_ratio", "gumbel_key"])
 
     return docs.mapInArrow(score, SCORE)

@@ -134,6 +134,27 @@ def test_quality_separates_held_out_labels(spark, docs):
     assert quality.classify(docs(texts), labels.limit(0)).where("not kept").count() == 0
 
 
+def test_quality_keeps_long_documents_above_the_cut(spark, docs):
+    """Long documents with a slightly negative mean ratio don't give way to short junk."""
+    rng = random.Random(31)
+
+    def clean(n, loud):
+        w = ["".join(rng.choices("abcdefgh", k=rng.randrange(2, 8))) for _ in range(n)]
+        return " ".join(x.upper() if rng.random() < loud else x for x in w)
+
+    def junk(n):
+        return " ".join(rng.choice(["#1", "99%", "$$", "7;7", "{x1}"]) for _ in range(n))
+
+    texts = [clean(60, 0) for _ in range(120)] + [clean(6000, 0.2) for _ in range(3)] + [junk(60) for _ in range(40)]
+    labels = spark.createDataFrame([(i, int(i < 123)) for i in [*range(120), *range(123, 163)]], "doc_id long, quality int")
+    got = {r["doc_id"]: r for r in quality.classify(docs(texts), labels).collect()}
+    bad, good = [got[i]["mean_log_ratio"] for i in range(123, 163)], [got[i]["mean_log_ratio"] for i in range(120)]
+    for i in range(120, 123):
+        assert got[i]["mean_log_ratio"] < 0 and got[i]["log_weight"] < min(got[j]["log_weight"] for j in range(123, 163))
+        assert got[i]["mean_log_ratio"] > (max(bad) + min(good)) / 2
+    assert {i for i, r in got.items() if r["kept"]} == set(range(123))
+
+
 def test_kth_largest_with_ties(spark):
     v = [random.Random(5).choice([0.5, 1.5, -3.0, 7.25]) for _ in range(300)]
     df = spark.createDataFrame([(x,) for x in v], "v double")
