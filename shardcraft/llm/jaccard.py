@@ -399,7 +399,22 @@ def _open_links(apart: DataFrame, vectors: DataFrame, num: int, den: int) -> Dat
 
 def keep_one(documents: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """The documents without near copies: of each component the row with its
-    smallest doc_id stays.  Rows without a doc_id or without n-grams stay."""
-    comps = similarity_components(documents, n, num, den)
-    gone = comps.where("doc_id <> component_id").select("doc_id").distinct()
-    return documents.join(written(gone, "jaccard-gone"), "doc_id", "left_anti")
+    smallest doc_id stays (rows without one come last; of several texts with that doc_id
+    the one with the smallest hash).  A row is known by its doc_id and text, so another
+    text with the same doc_id is judged by itself; of equal rows one stays.  Rows without
+    n-grams are only held against equal rows."""
+    key = F.xxhash64("doc_id", "text")
+    comps = similarity_components(documents.select(key.alias("doc_id"), "text"), n, num, den)
+    ids = written(documents.select(key.alias("row"), "doc_id").groupBy("row")
+                  .agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n")), "jaccard-ids")
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), "row")
+    named = written(comps.select(F.col("doc_id").alias("row"), F.col("component_id").alias("comp")).distinct()
+                    .join(ids, "row").select("comp", "row", order.alias("place")), "jaccard-named")
+    # written, so that the join deals out both sides anew and splits a large component
+    least = written(named.groupBy("comp").agg(F.min("place").alias("least")), "jaccard-kept")
+    gone = written(named.join(least, "comp").where(F.col("place") != F.col("least")).select("row"), "jaccard-gone")
+    again = written(ids.where("n > 1").select("row").join(gone, "row", "left_anti"), "jaccard-again")
+    kept = documents.join(gone.unionAll(again), key == F.col("row"), "left_anti")
+    if again.isEmpty():
+        return kept
+    return kept.unionAll(documents.join(again, key == F.col("row"), "left_semi").dropDuplicates(["doc_id", "text"]))

@@ -297,6 +297,17 @@ def test_jaccard_components(docs, n, num):
     assert kept == {c for _, c in got.values()}
 
 
+def test_jaccard_keep_one_knows_rows_by_id_and_text(spark):
+    rng = random.Random(38)
+    base, own, other = (prose(rng, 80, 10**6) for _ in range(3))
+    rows = [(1, base), (2, base + " tail"), (2, own), (3, own), (4, other), (4, other), (4, other),
+            (None, base), (None, "alone " * 9), (None, "alone " * 9), (5, ""), (6, ""), (7, None)]
+    df = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, rank int")
+    got = [(r["doc_id"], r["text"]) for r in jaccard.keep_one(df).collect()]
+    want = [(1, base), (2, own), (4, other), (None, "alone " * 9), (5, ""), (6, ""), (7, None)]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 # ----------------------------------------------------------------- substring (9)
 
 def test_substring_removes_later_places_only(docs):
