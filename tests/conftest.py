@@ -6,9 +6,6 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_CHECK = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -24,16 +21,3 @@ def spark():
 @pytest.fixture()
 def tmp(tmp_path):
     return str(tmp_path)
-
-
-def _none_safe(row):
-    return tuple((v is None, v if v is not None else 0) for v in row)
-
-
-def rows(df, order=None):
-    cols = order or df.columns
-    return sorted((tuple(r) for r in df.select(*cols).collect()), key=_none_safe)
-
-
-def plan_text(df):
-    return df._jdf.queryExecution().executedPlan().toString()

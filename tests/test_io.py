@@ -7,7 +7,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL, rows
+from support import SF_SMALL, rows
 from shardcraft.operators import audit, metrics
 from shardcraft.sources import io as sio
 from shardcraft.sources import sqlapi

@@ -4,7 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from shardcraft.operators import mutate
 
 

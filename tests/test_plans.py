@@ -1,7 +1,7 @@
 """Plan shape: pushdown, pruning, top-k, no Python in the hot path."""
 
 import __spark_entry__ as E
-from conftest import SF_SMALL, plan_text
+from support import SF_SMALL, plan_text
 
 
 def _plan(spark, name):

@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from shardcraft.functions import generate
 from shardcraft.operators import audit, shard, windows
 from shardcraft.streaming import changes as CH

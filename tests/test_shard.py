@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_text, rows
+from support import plan_text, rows
 from shardcraft.operators import shard
 
 LAB_RANGES = [shard.ShardRange(1, 1, 1000), shard.ShardRange(2, 1001, 2000), shard.ShardRange(3, 2001, 3000)]

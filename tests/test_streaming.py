@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL, rows
+from support import SF_SMALL, rows
 from shardcraft import bindings as B
 from shardcraft.streaming import changes as CH
 from shardcraft.streaming import monitors as MON

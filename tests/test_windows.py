@@ -5,7 +5,7 @@ from decimal import Decimal
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import plan_text, rows
+from support import plan_text, rows
 from shardcraft.functions import generate
 from shardcraft.operators import windows
 
