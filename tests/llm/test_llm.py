@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from llm_support import docs  # noqa: F401
 from pyspark.sql import functions as F
 
 from shardcraft.llm import (common, decontaminate, jaccard, licenses, packing, quality, sharding, substring,
