@@ -43,7 +43,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
         conf.set(BYTES_SETTING, str(BATCH_BYTES))
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by :func:`written` that no later step reads."""
+    for df in tables:
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(df.written_at)
+        path.getFileSystem(conf).delete(path, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

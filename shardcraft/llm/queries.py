@@ -10,7 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, licenses, packing, quality, sharding, substring, token_counts, topk, warc
+from . import (collocations, decontaminate, jaccard, licenses, packing, quality, sharding, substring, token_counts,
+               topk, warc)
 from .common import table
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -61,6 +62,10 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_decontamination": op2_decontamination,
@@ -72,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard": op8_jaccard,
     "op9_substring": op9_substring,
     "op10_topk": op10_topk,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLES: dict[str, str] = {
@@ -93,4 +99,28 @@ WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CA
      r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
            FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""",
+    "op13_collocations": r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang,
+                  unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                         'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+     w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+     k AS (SELECT unnest([1, 2, 3, 4]) AS k),
+     i AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, k WHERE len(w) >= k),
+     f AS (SELECT lang, k, w[i:i + k - 1] AS ws, count(*) AS f FROM i GROUP BY ALL),
+     n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+     c AS (SELECT * FROM f WHERE k > 1 AND f >= 30),
+     j AS (SELECT *, unnest(range(1, k)) AS j FROM c),
+     s AS (SELECT j.lang, j.ws, j.k, j.f AS a, l.f AS l, r.f AS r, j.j,
+                  (CAST(2000000 AS HUGEINT) * j.f) // (l.f + r.f) AS score
+           FROM j JOIN f l ON l.lang = j.lang AND l.k = j.j AND l.ws = j.ws[1:j.j]
+                  JOIN f r ON r.lang = j.lang AND r.k = j.k - j.j AND r.ws = j.ws[j.j + 1:j.k]),
+     b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, ws ORDER BY score, j) = 1),
+     q AS (SELECT lang, ws, k, f, d, unnest(range(1, k - d + 2)) AS i
+           FROM (SELECT *, unnest(range(2, k)) AS d FROM c WHERE k > 2)),
+     gone AS (SELECT DISTINCT c.lang, c.ws FROM q JOIN c ON c.lang = q.lang AND c.k = q.d AND c.ws = q.ws[q.i:q.i + q.d - 1]
+              WHERE 100 * q.f >= 80 * c.f),
+     o AS (SELECT b.lang, array_to_string(b.ws, ' ') AS phrase, a, l, r, CAST(score AS BIGINT) AS score
+           FROM b ANTI JOIN gone g ON g.lang = b.lang AND g.ws = b.ws),
+     t AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM o)
+SELECT lang, rank, phrase, a, l, r, n, score FROM t JOIN n USING (lang) WHERE rank <= 2000""",
 }
