@@ -10,8 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (collocations, decontaminate, jaccard, licenses, packing, quality, sharding, substring, token_counts,
-               topk, warc)
+from . import (collocations, decontaminate, jaccard, licenses, packing, quality, sharding, spelling, substring,
+               token_counts, topk, warc)
 from .common import table
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -62,6 +62,10 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(table(spark, sf_dir, "documents"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
@@ -77,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard": op8_jaccard,
     "op9_substring": op9_substring,
     "op10_topk": op10_topk,
+    "op12_spelling": op12_spelling,
     "op13_collocations": op13_collocations,
 }
 
