@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (collocations, decontaminate, jaccard, licenses, packing, quality, sharding, spelling, substring,
+from . import (collocations, decontaminate, jaccard, licenses, minhash, packing, quality, sharding, spelling, substring,
                token_counts, topk, warc)
 from .common import table
 
@@ -62,6 +62,10 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), n=2, num=80, den=100)
+
+
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_groups(table(spark, sf_dir, "documents"))
 
@@ -81,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard": op8_jaccard,
     "op9_substring": op9_substring,
     "op10_topk": op10_topk,
+    "op11_minhash": op11_minhash,
     "op12_spelling": op12_spelling,
     "op13_collocations": op13_collocations,
 }
