@@ -12,16 +12,17 @@
    that goes on is confirmed by counting the intersection of the full sets.
 4. **Components** by alternating large-star and small-star (:mod:`.stars`).
 
-Pairs are formed in three rounds, so that thousands of near copies aren't expanded
+Pairs are formed in two rounds, so that thousands of near copies aren't expanded
 into all their pairs.  First, every class meets the class of its key that is in most
 keys.  Then only keys whose classes are still in *different* components are open: in each, the
-classes outside the key's largest component meet all others, and each proposes the
-``BEST`` others with the most agreeing signatures.  What is open after that proposes every
-other class that passes the signature test.  A pair that shares a band and is never
-tested lies within one component, so components don't depend on the order.
+classes outside the key's largest component meet all others in cells that carry
+the signatures and the sets.  A pair of one component, or of two that the cell has joined by then,
+needs no test, and only links that join components leave a cell.  So a pair that
+shares a band and is never tested lies within one component, and what travels is
+classes, never pairs.
 
-Cells, a block of proposing classes with a share of the key's classes, have bounded
-size: a key that holds a third of all classes is cut into many.
+A cell is a block of outer classes with a share of the others, which pass by one at a time:
+a key that holds a third of all classes is cut into many cells of bounded size.
 
 Defined results: null and empty texts and texts without a word have an empty set and
 are their own component; a text of fewer words than a shingle is one shingle; rows without a doc_id
@@ -45,8 +46,9 @@ from .stars import components
 
 ROWS, BANDS = 4, 32
 MARGIN = 0.2                   # of agreeing minima below the bound
-BEST = 4                       # others that a class proposes in the second round
-CELL, SHARE = 200, 4000        # proposing classes of a cell, and classes they meet
+CELL, CELL_GRAMS = 200, 1 << 20   # outer classes of a cell, and their shingles
+SHARE = 4000                   # classes that they meet in one task
+UNIT = 50_000                  # classes of a component whose open keys are taken together
 GROUP = 500                    # pairs of one class that are confirmed in one go
 WORDS_HELD = 200_000           # word hashes kept by a task
 
@@ -119,9 +121,10 @@ def _vectors(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = Shingles(n)
         for b in batches:
+            grams = [sets(t) for t in text_bytes(b.column(1))]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([sets(t).tobytes() for t in text_bytes(b.column(1))], pa.binary())],
-                ["node", "grams"])
+                [b.column(0), pa.array([len(g) for g in grams], pa.int64()),
+                 pa.array([g.tobytes() for g in grams], pa.binary())], ["node", "size", "grams"])
     return run
 
 
@@ -141,8 +144,13 @@ def _bands(batches: Iterator[pa.RecordBatch]):
 
 # -------------------------------------------------------------- verification
 
-def _short(sig: bytes) -> np.ndarray:
-    return np.frombuffer(sig, np.uint32).astype(np.uint16)
+def similar(x: np.ndarray, y: np.ndarray, num: int, den: int) -> bool:
+    """Whether two sorted sets reach the bound."""
+    if min(len(x), len(y)) * den < num * max(len(x), len(y)):
+        return False
+    at = np.minimum(np.searchsorted(x, y), len(x) - 1)
+    both = int(np.count_nonzero(x[at] == y))
+    return den * both >= num * (len(x) + len(y) - both)
 
 
 def _agreeing(least: int):
@@ -168,13 +176,7 @@ def _confirm(num: int, den: int):
                 if b is None:
                     own.append(g)
                     continue
-                for x in own:
-                    if min(len(x), len(g)) * den < num * max(len(x), len(g)):
-                        continue
-                    at = np.minimum(np.searchsorted(x, g), len(x) - 1)
-                    both = int(np.count_nonzero(x[at] == g))
-                    if den * both >= num * (len(x) + len(g) - both):
-                        found.append((a[0], b))
+                found += [(a[0], b) for x in own if similar(x, g, num, den)]
             yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["a", "b"])
     return run
 
@@ -185,6 +187,7 @@ def confirmed(pairs: DataFrame, vectors: DataFrame, num: int, den: int) -> DataF
     salts = written(pairs.groupBy("a").agg(F.ceil(F.count("*") / GROUP).alias("salts")), "minhash-salts")
     groups = pairs.join(salts, "a").select("a", F.pmod(F.xxhash64("b"), "salts").alias("salt"), "b")
     own = salts.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"))
+    vectors = vectors.select("node", "grams")
     rows = (groups.join(vectors.withColumnRenamed("node", "b"), "b").select("a", "salt", "b", "grams")
             .unionAll(own.join(vectors.withColumnRenamed("node", "a"), "a")
                       .select("a", "salt", F.lit(None).cast("long").alias("b"), "grams")))
@@ -192,62 +195,81 @@ def confirmed(pairs: DataFrame, vectors: DataFrame, num: int, den: int) -> DataF
             .mapInArrow(_confirm(num, den), "a long, b long").distinct())
 
 
-def _propose(least: int, best: int | None):
-    """Rows (cell, other, node, comp, sig) sorted by cell and ``other``: a cell's proposing
-    classes, then those they meet."""
+def _join_open(num: int, den: int, least: int):
+    """Rows (cell, other, node, comp, sig, grams) sorted by cell and ``other``: a cell's
+    outer classes, then one by one the classes they meet.  Out come links that join components."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, own, met = None, [], []
-
-        def out() -> Iterator[pa.RecordBatch]:
-            if not own or not met:
-                return
-            node, comp = (np.array([m[k] for m in met]) for k in (0, 1))
-            sig = np.stack([m[2] for m in met])
-            a, b = [], []
-            for x, c, s in own:
-                share = (sig == s).sum(axis=1)
-                at = np.flatnonzero((share >= least) & (comp != c))
-                if best is not None and len(at) > best:
-                    at = at[np.argsort(-share[at], kind="stable")[:best]]
-                a.append(np.full(len(at), x))
-                b.append(node[at])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in (a, b)], ["a", "b"])
+        now, own, sigs, top = None, [], None, {}
+
+        def root(c: int) -> int:
+            while top.setdefault(c, c) != c:
+                c = top[c]
+            return c
 
         for batch in batches:
-            for cell, other, node, comp, sig in zip(*(c.to_pylist() for c in batch.columns)):
+            found = []
+            cells, others, nodes, comps, short = (batch.column(i).to_pylist() for i in range(5))
+            for i, cell in enumerate(cells):
                 if cell != now:
-                    yield from out()
-                    now, own, met = cell, [], []
-                (met if other else own).append((node, comp, _short(sig)))
-        yield from out()
+                    now, own, sigs, top = cell, [], None, {}
+                node, comp, sig = nodes[i], comps[i], np.frombuffer(short[i], np.uint32)
+                y = np.frombuffer(batch.column(5)[i].as_buffer(), U64)
+                if not others[i]:
+                    own.append((node, comp, y, sig))
+                    continue
+                if sigs is None:
+                    sigs = np.stack([o[3] for o in own])
+                for k in np.flatnonzero((sigs == sig).sum(axis=1) >= least):
+                    a, c, x, _ = own[k]
+                    p, q = root(c), root(comp)
+                    if p != q and similar(x, y, num, den):
+                        top[max(p, q)] = min(p, q)
+                        found.append((a, node))
+            yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
     return run
 
 
-def proposals(entries: DataFrame, comps: DataFrame, sigs: DataFrame, least: int, best: int | None) -> DataFrame | None:
-    """Pairs (a, b) of classes that share a key, are in different components and
-    have agreeing signatures; None if no key is open."""
+def open_links(entries: DataFrame, comps: DataFrame, sigs: DataFrame, vectors: DataFrame, num: int, den: int,
+               least: int) -> DataFrame | None:
+    """Links between classes that share a key and are in different components; None if no key is open.
+
+    In an open key every class outside the key's largest component meets all of the key's
+    classes.  Keys with the same largest component are taken together, so that a class
+    travels once for all of them, as long as they have no more than ``UNIT`` classes."""
     placed = entries.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     split = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
     opened = written(placed.join(split, "key").select("key", "node", "comp"), "minhash-open")
     if opened.isEmpty():
         return None
-    sizes = written(opened.groupBy("key", "comp").agg(F.count("*").alias("n")), "minhash-sizes")
-    keys = written(sizes.groupBy("key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "comp")).alias("largest")).select(
-        "key", F.col("largest.comp").alias("main"),
-        F.ceil((F.col("n") - F.col("largest.n")) / CELL).alias("cells"), F.ceil(F.col("n") / SHARE).alias("shares")),
-        "minhash-keys")
-    rows = opened.join(keys, "key")
+    sizes = opened.groupBy("key", "comp").agg(F.count("*").alias("n"))
+    main = written(sizes.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("c")).select("key", F.col("c.comp").alias("main")),
+                   "minhash-main")
+    rows = written(opened.join(main, "key").select("key", "main", "node", "comp"), "minhash-rows")
+    large = written(rows.groupBy("main").agg(F.count("*").alias("n")).where(F.col("n") > UNIT * BANDS).select("main", "n"),
+                    "minhash-large")
+    rows = written(rows.join(large, "main", "left").select(
+        F.when(F.col("n").isNull(), F.concat(F.lit("m"), "main")).otherwise(F.concat(F.lit("k"), "key")).alias("unit"),
+        "node", "comp", (F.col("comp") != F.col("main")).alias("outer")).distinct()
+        .join(vectors.select("node", "size"), "node"), "minhash-units")
+    wide = F.greatest(F.col("n") / CELL, F.col("grams") / CELL_GRAMS)
+    units = written(rows.groupBy("unit").agg(
+        F.sum(F.col("outer").cast("long")).alias("n"), F.sum(F.when(F.col("outer"), F.col("size"))).alias("grams"),
+        F.ceil(F.count("*") / SHARE).alias("shares")).select("unit", F.ceil(wide).alias("cells"), "shares"), "minhash-cells")
+    rows = rows.join(units, "unit")
     until = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     dealt = lambda n, seed: F.pmod(F.xxhash64("node", F.lit(seed)), n)
-    own = rows.where("comp != main").select("key", dealt("cells", 1).alias("i"), until("shares").alias("j"), "node", "comp",
-                                            F.lit(0).alias("other"))
-    met = rows.select("key", until("cells").alias("i"), dealt("shares", 2).alias("j"), "node", "comp", F.lit(1).alias("other"))
-    cells = own.unionAll(met).select(F.concat_ws(":", "key", "i", "j").alias("cell"), "other", "node", "comp")
-    pairs = (cells.join(sigs, "node").select("cell", "other", "node", "comp", "sig")
-             .repartition(shuffle_partitions(entries.sparkSession), "cell").sortWithinPartitions("cell", "other")
-             .mapInArrow(_propose(least, best), "a long, b long"))
-    return written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "minhash-pairs")
+    own = rows.where("outer").select("unit", dealt("cells", 1).alias("i"), until("shares").alias("j"), "node", "comp",
+                                     F.lit(0).alias("other"))
+    met = rows.select("unit", until("cells").alias("i"), dealt("shares", 2).alias("j"), "node", "comp", F.lit(1).alias("other"))
+    cells = own.unionAll(met).select(F.concat_ws(":", "unit", "i", "j").alias("cell"), "other", "node", "comp")
+    out = (cells.join(sigs, "node").join(vectors.select("node", "grams"), "node")
+           .select("cell", "other", "node", "comp", "sig", "grams")
+           .repartition(shuffle_partitions(entries.sparkSession), "cell").sortWithinPartitions("cell", "other")
+           .mapInArrow(_join_open(num, den, least), "a long, b long"))
+    out = written(out, "minhash-links")
+    discard(opened, main)
+    return out
 
 
 # ----------------------------------------------------------------- operator
@@ -278,7 +300,7 @@ def _components_of(docs: DataFrame, entries: DataFrame, sigs: DataFrame, n: int,
         return none
     met = written(entries.groupBy("node").agg(F.count("*").alias("met")), "minhash-met")
     vectors = written(docs.withColumnRenamed("doc_id", "node").join(met.select("node"), "node")
-                      .select("node", "text").distinct().mapInArrow(_vectors(n), "node long, grams binary"), "minhash-vectors")
+                      .select("node", "text").distinct().mapInArrow(_vectors(n), "node long, size long, grams binary"), "minhash-vectors")
     # first round: every class and the class of its key that is in most keys
     ranked = entries.join(met, "node")
     centre = written(ranked.groupBy("key").agg(F.max(F.struct("met", "node")).alias("c")).select("key", "c.node")
@@ -289,14 +311,9 @@ def _components_of(docs: DataFrame, entries: DataFrame, sigs: DataFrame, n: int,
     pairs = written(pairs.mapInArrow(_agreeing(least), "a long, b long"), "minhash-pairs")
     links = written(confirmed(pairs, vectors, num, den), "minhash-links")
     discard(pairs, met, centre)
-    for best in (BEST, None):
-        comps = written(components(links), "minhash-components")
-        pairs = proposals(entries, comps, sigs, least, best)
-        if pairs is None:
-            break
-        more = written(confirmed(pairs, vectors, num, den).unionAll(links).distinct(), "minhash-links")
-        discard(pairs, links, comps)
-        links = more
-    else:
-        comps = written(components(links), "minhash-components")
-    return comps
+    comps = written(components(links), "minhash-components")
+    # second round: what shares a key over components
+    more = open_links(entries, comps, sigs, vectors, num, den, least)
+    if more is None or more.isEmpty():
+        return comps
+    return written(components(links.unionAll(more)), "minhash-components")

@@ -56,8 +56,11 @@ def test_near_duplicates_equal_all_pairs(spark, docs, n, num):  # noqa: F811
     assert sorted(map(tuple, got.collect())) == plain_components(list(enumerate(texts, 1000)), n, num, 100)
 
 
-def test_a_large_family_spread_about_the_bound(spark, docs, monkeypatch):  # noqa: F811
-    """Copies that miss the first centre are found in the later rounds, in several cells."""
+@pytest.mark.parametrize("unit", [50_000, 0])
+def test_a_large_family_spread_about_the_bound(spark, docs, monkeypatch, unit):  # noqa: F811
+    """Copies that miss the first centre are found in the second round, in several cells,
+    with a component's keys together or each by itself."""
+    monkeypatch.setattr(minhash, "UNIT", unit)
     rng = random.Random(5)
     texts = family_rows(rng, 1, 260, 90)
     monkeypatch.setattr(minhash, "CELL", 20)
