@@ -2,9 +2,10 @@
 share of the rows.
 
 A plain ``Window.partitionBy(key)`` sends every row of a key to one task.
-Here the ordered axis is cut into chunks: per-chunk totals are reduced with a
-partial aggregate, carried across chunks by a window over the (few) chunk
-rows, and the row-level window runs per ``(key, chunk)``.  Top-n per key uses
+Here the rows are cut into balanced runs of (key, order) at sampled quantiles
+(:mod:`.runs`): totals per run and key are reduced with a partial aggregate, carried across
+runs by a window over those few rows, and the row-level window runs per
+``(run, key)`` after the one exchange of rows.  Top-n per key uses
 ``row_number() <= n``, which Spark plans with a map-side ``WindowGroupLimit``,
 so a hot key contributes at most n rows per map task to the shuffle.
 """
@@ -14,48 +15,38 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_CHUNK = 1 << 16
+from .runs import RUN, carried, dealt, in_runs, with_carry
 
 
 def _list(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
-def _join_null_safe(left: DataFrame, right: DataFrame, keys: list) -> DataFrame:
-    """Left join in which NULL keys match each other."""
-    r = right.select(*[F.col(c).alias(f"__k{keys.index(c)}") if c in keys else F.col(c) for c in right.columns])
-    cond = [left[k].eqNullSafe(r[f"__k{i}"]) for i, k in enumerate(keys)]
-    return left.join(r, cond, "left").drop(*[f"__k{i}" for i in range(len(keys))])
-
-
-def suffix_sum(df: DataFrame, part, order: str, value: Column, out: str,
-               chunk_width: int = DEFAULT_CHUNK, inclusive: bool = True) -> DataFrame:
-    """``out`` = sum of ``value`` over the rows of the same ``part`` whose
-    ``order`` is >= this row's (``inclusive``) — computed per chunk of
-    ``chunk_width`` consecutive ``order`` values."""
+def suffix_sum(df: DataFrame, part, order: str, value: Column, out: str, inclusive: bool = True,
+               runs: int | None = None) -> DataFrame:
+    """``out`` = sum of ``value`` over the rows of the same ``part`` that follow this one by
+    ``order`` (and this row's own, if ``inclusive``).  NULL keys are one key."""
     part = _list(part)
-    d = df.withColumn("__v", value).withColumn("__chunk", F.floor(F.col(order) / F.lit(chunk_width)))
-    totals = d.groupBy(*part, "__chunk").agg(F.sum("__v").alias("__tot"))
-    later = (totals.withColumn("__later", F.sum("__tot").over(
-                 Window.partitionBy(*part).orderBy("__chunk")
-                       .rowsBetween(1, Window.unboundedFollowing)))
-                   .drop("__tot"))
+    d = in_runs(df.withColumn("__v", value), part, order, runs)
+    totals = d.groupBy(RUN, *part).agg(F.sum("__v").alias("__tot"))
+    after = Window.partitionBy(*part).orderBy(RUN).rowsBetween(1, Window.unboundedFollowing)
+    later = carried(totals, part, F.sum("__tot").over(after), "__later")
     frame = (0 if inclusive else 1, Window.unboundedFollowing)
-    local = d.withColumn("__local", F.sum("__v").over(
-        Window.partitionBy(*part, "__chunk").orderBy(order).rowsBetween(*frame)))
-    j = _join_null_safe(local, later, [*part, "__chunk"])
-    zero = F.lit(0).cast(j.schema["__v"].dataType)
-    return (j.withColumn(out, F.coalesce("__local", zero) + F.coalesce("__later", zero))
-             .drop("__v", "__chunk", "__local", "__later"))
+    local = dealt(d, runs).withColumn("__local", F.sum("__v").over(
+        Window.partitionBy(RUN, *part).orderBy(order).rowsBetween(*frame)))
+    zero = F.lit(0).cast(d.schema["__v"].dataType)
+    return (with_carry(local, later, part)
+            .withColumn(out, F.coalesce("__local", zero) + F.coalesce("__later", zero))
+            .drop("__v", RUN, "__local", "__later"))
 
 
-def ledger_balance(df: DataFrame, chunk_width: int = DEFAULT_CHUNK) -> DataFrame:
+def ledger_balance(df: DataFrame, runs: int | None = None) -> DataFrame:
     """The balance column left by sequential replay of the transfers.
     Each debit inserts a 0-balance row and then subtracts its amount from every
     row of its account, so a row ends at minus the sum of its own and all
     later debits of the account (ordered by id); credits add nothing."""
     debit = F.when(F.col("transaction_type") == "DEBIT", F.col("amount")).otherwise(F.lit(0))
-    s = suffix_sum(df, "account_id", "id", debit.cast("decimal(15,2)"), "__debits", chunk_width)
+    s = suffix_sum(df, "account_id", "id", debit.cast("decimal(15,2)"), "__debits", runs=runs)
     return s.withColumn("balance", (-F.col("__debits")).cast("decimal(18,2)")).drop("__debits")
 
 
@@ -85,20 +76,18 @@ def last_n(df: DataFrame, series, ts: str, n: int, value: str, avg_over: int = 5
                 .withColumn("recency", F.col("__rn").cast("long")).drop("__rn"))
 
 
-def chunked_lag(df: DataFrame, part, order: str, value: str, out: str, chunk: Column) -> DataFrame:
-    """``out`` = ``value`` of the previous row (by ``order``) within ``part``,
-    computed per chunk; the first row of a chunk takes the last value of the
-    previous non-empty chunk."""
+def balanced_lag(df: DataFrame, part, order: str, value: str, out: str, runs: int | None = None) -> DataFrame:
+    """``out`` = ``value`` of the previous row (by ``order``) within ``part``; a key's first
+    row in a run takes the last value of the key's previous run.  NULL keys are one key."""
     part = _list(part)
-    d = df.withColumn("__chunk", chunk)
-    w = Window.partitionBy(*part, "__chunk").orderBy(order)
-    d = d.withColumn("__lagv", F.lag(value).over(w)).withColumn("__first", F.row_number().over(w) == 1)
-    last = d.groupBy(*part, "__chunk").agg(F.max_by(value, order).alias("__last"))
-    carry = last.withColumn("__carry", F.lag("__last").over(
-        Window.partitionBy(*part).orderBy("__chunk"))).drop("__last")
-    j = _join_null_safe(d, carry, [*part, "__chunk"])
-    return (j.withColumn(out, F.when(F.col("__first"), F.col("__carry")).otherwise(F.col("__lagv")))
-             .drop("__chunk", "__lagv", "__first", "__carry"))
+    d = in_runs(df, part, order, runs)
+    totals = d.groupBy(RUN, *part).agg(F.max_by(value, order).alias("__last"))
+    carry = carried(totals, part, F.lag("__last").over(Window.partitionBy(*part).orderBy(RUN)), "__carry")
+    w = Window.partitionBy(RUN, *part).orderBy(order)
+    local = dealt(d, runs).withColumn("__lagv", F.lag(value).over(w)).withColumn("__first", F.row_number().over(w) == 1)
+    return (with_carry(local, carry, part)
+            .withColumn(out, F.when(F.col("__first"), F.col("__carry")).otherwise(F.col("__lagv")))
+            .drop(RUN, "__lagv", "__first", "__carry"))
 
 
 def counter_deltas(snapshots: DataFrame, keys=("node", "variable_name"), ts: str = "snapshot_ts",
@@ -106,7 +95,7 @@ def counter_deltas(snapshots: DataFrame, keys=("node", "variable_name"), ts: str
     """Per counter, the increase since the previous snapshot.  A counter
     that went down was reset (server restart): the delta is then the new value."""
     keys = _list(keys)
-    d = chunked_lag(snapshots, keys, ts, value, "__prev", F.to_date(ts))
+    d = balanced_lag(snapshots, keys, ts, value, "__prev")
     delta = (F.when(F.col("__prev").isNull(), F.lit(None))
               .when(F.col(value) < F.col("__prev"), F.col(value))
               .otherwise(F.col(value) - F.col("__prev")))

@@ -11,12 +11,6 @@ from ..operators import metrics, windows
 from .registry import register
 from .sqlfrag import avg_sql, ratio_sql
 
-# Chunk width for the ledger's running balance: small enough that even the
-# sf0.01 data (10,000 event ids) spans two chunks per account, so the oracle
-# check exercises the carry between chunks (tests cover tiny widths too).
-LEDGER_CHUNK = 8192
-
-
 @register("w1_ledger_balance", f"""WITH ledger AS ({B.LEDGER_SQL})
 SELECT id, account_id, transaction_type, amount, transaction_date,
        CAST(-sum(CASE WHEN transaction_type = 'DEBIT' THEN amount ELSE 0 END)
@@ -24,7 +18,7 @@ SELECT id, account_id, transaction_type, amount, transaction_date,
                   ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS DECIMAL(18,2)) AS balance
 FROM ledger""")
 def w1_ledger_balance(spark, sf):
-    return windows.ledger_balance(B.ledger(spark, sf), LEDGER_CHUNK)
+    return windows.ledger_balance(B.ledger(spark, sf))
 
 
 @register("w2_latest_per_key", f"""WITH c AS ({B.CHANGES_SQL})

@@ -40,7 +40,6 @@ CHANGE_SCHEMA = T.StructType([
 ])
 
 DEFAULT_BUCKETS = 64
-POS_CHUNK = 1 << 20
 FILES_PER_BUCKET = 4
 
 
@@ -177,8 +176,7 @@ def effective_changes(changes: DataFrame, target: DataFrame | None, key: str = "
     if on_duplicate == "skip" and not count_skips:
         return _last_effective_skip(c, key, payload)
     if on_duplicate == "skip":
-        c = windows.chunked_lag(c, key, "pos", "op", "__prev_op",
-                                F.floor(F.col("pos") / F.lit(POS_CHUNK)))
+        c = windows.balanced_lag(c, key, "pos", "op", "__prev_op")
         existed = F.when(F.col("__prev_op").isNull(), F.coalesce(F.col("__texists"), F.lit(False))) \
                    .otherwise(F.col("__prev_op") != "D")
         c = c.withColumn("__effective", ~((F.col("op") == "I") & existed))

@@ -60,7 +60,7 @@ def test_diff_finds_exactly_the_drift(spark, data, changed, dropped):
 def test_chunked_suffix_sum_equals_window(spark, vals, width):
     data = [(i, k, v) for i, (k, v) in enumerate(vals)]
     df = spark.createDataFrame(data, "id long, k int, v long")
-    got = windows.suffix_sum(df, "k", "id", F.col("v"), "s", chunk_width=width)
+    got = windows.suffix_sum(df, "k", "id", F.col("v"), "s", runs=width)
     want = df.withColumn("s", F.sum("v").over(
         Window.partitionBy("k").orderBy("id").rowsBetween(0, Window.unboundedFollowing)))
     assert rows(got, ["id", "s"]) == rows(want, ["id", "s"])

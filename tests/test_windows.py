@@ -1,13 +1,15 @@
 """Windows: the chunked forms equal plain windows; W1 equals sequential replay."""
 
+import random
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from support import plan_text, rows
 from shardcraft.functions import generate
-from shardcraft.operators import windows
+from shardcraft.operators import runs, windows
 
 
 def _replay(transfers):
@@ -27,7 +29,7 @@ def test_ledger_balance_equals_replay(spark):
     led = generate.ledger(spark, 300, seed=7)
     # a hot account: a third of all transfers hit account 1
     hot = led.withColumn("account_id", F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("account_id")))
-    got = {r.id: r.balance for r in windows.ledger_balance(hot, chunk_width=16).collect()}
+    got = {r.id: r.balance for r in windows.ledger_balance(hot, runs=16).collect()}
     src = sorted((r.id, r.account_id, r.transaction_type, r.amount) for r in hot.collect())
     assert got == _replay(src)
 
@@ -35,16 +37,16 @@ def test_ledger_balance_equals_replay(spark):
 def test_suffix_sum_matches_plain_window(spark):
     df = spark.range(0, 2000).select(F.col("id"), (F.col("id") % 3).alias("k"),
                                      (F.col("id") * 7 % 11).alias("v"))
-    chunked = windows.suffix_sum(df, "k", "id", F.col("v"), "s", chunk_width=37)
+    chunked = windows.suffix_sum(df, "k", "id", F.col("v"), "s", runs=37)
     plain = df.withColumn("s", F.sum("v").over(
         Window.partitionBy("k").orderBy("id").rowsBetween(0, Window.unboundedFollowing)))
     assert rows(chunked, ["id", "s"]) == rows(plain, ["id", "s"])
 
 
-def test_chunked_lag_matches_plain_lag(spark):
+def test_balanced_lag_matches_plain_lag(spark):
     df = spark.range(0, 1000).select(F.col("id"), (F.col("id") % 2).alias("k"),
                                      (F.col("id") * 13 % 17).alias("v"))
-    got = windows.chunked_lag(df, "k", "id", "v", "p", F.floor(F.col("id") / 33))
+    got = windows.balanced_lag(df, "k", "id", "v", "p", runs=9)
     ref = df.withColumn("p", F.lag("v").over(Window.partitionBy("k").orderBy("id")))
     assert rows(got, ["id", "p"]) == rows(ref, ["id", "p"])
 
@@ -72,3 +74,43 @@ def test_last_n_uses_group_limit(spark):
     r = {(x.s, x.recency): x for x in out.collect()}
     assert r[(1, 1)].ts == 4999 and r[(1, 1)].moving_avg == (9.0 + 7.0) / 2
     assert len(r) == 6
+
+
+def test_a_hot_account_with_sparse_ids_is_spread_over_all_runs(spark):
+    """A third of all rows on one account, ids 10**12 apart: every run gets its share, and
+    the rows are exchanged once."""
+    n, width = 3000, 12
+    df = spark.range(0, n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-7)).otherwise(F.col("id")).alias("k"),
+        (F.col("id") * 10 ** 12).alias("id"), (F.col("id") % 11).alias("v"))
+    dealt = runs.dealt(runs.in_runs(df, ["k"], "id", width), width)
+    sizes = [r.n for r in dealt.where("k = -7").groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == n // 3 and len(sizes) >= width // 3 and max(sizes) <= 2 * n // width
+    out = windows.suffix_sum(df, "k", "id", F.col("v"), "s", runs=width)
+    plain = df.withColumn("s", F.sum("v").over(
+        Window.partitionBy("k").orderBy("id").rowsBetween(0, Window.unboundedFollowing)))
+    assert rows(out, ["id", "s"]) == rows(plain, ["id", "s"])
+    row_exchanges = [x for x in plan_text(out).split("\n") if "Exchange" in x and "passthrough" in x]
+    assert len(row_exchanges) == 1
+
+
+@pytest.mark.parametrize("kind", ["bigint", "string", "timestamp_ntz", "decimal(12,3)", "date"])
+def test_runs_over_other_types_and_null_keys(spark, kind):
+    rng = random.Random(kind)
+    data = [(rng.choice([None, "a'b", "c\\d", "e"]), i, rng.randrange(9)) for i in range(400)]
+    df = spark.createDataFrame(data, "k string, id long, v long")
+    axis = {"string": F.lpad(F.col("id").cast("string"), 5, "0"),
+            "timestamp_ntz": F.timestamp_seconds("id").cast("timestamp_ntz"),
+            "date": F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int"))}.get(kind, F.col("id").cast(kind))
+    df = df.withColumn("o", axis)
+    w = Window.partitionBy("k").orderBy("o")
+    got = windows.balanced_lag(df, "k", "o", "v", "p", runs=13)
+    assert rows(got, ["id", "p"]) == rows(df.withColumn("p", F.lag("v").over(w)), ["id", "p"])
+    got = windows.suffix_sum(df, "k", "o", F.col("v"), "s", inclusive=False, runs=13)
+    plain = df.withColumn("s", F.coalesce(F.sum("v").over(w.rowsBetween(1, Window.unboundedFollowing)), F.lit(0)))
+    assert rows(got, ["id", "s"]) == rows(plain, ["id", "s"])
+
+
+def test_runs_of_an_empty_table(spark):
+    df = spark.createDataFrame([], "k string, id long, v long")
+    assert windows.balanced_lag(df, "k", "id", "v", "p").collect() == []
