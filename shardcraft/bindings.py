@@ -208,8 +208,7 @@ FROM events
 
 def replica_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A drifted copy of ``orders``: some keys missing, some prices changed."""
-    o = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    o = table(spark, sf_dir, "orders")
     return (o.where(F.pmod("o_orderkey", F.lit(97)) != 5)
              .withColumn("o_totalprice",
                          F.when(F.pmod("o_orderkey", F.lit(89)) == 3, F.col("o_totalprice") + 1)
@@ -217,20 +216,17 @@ def replica_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REPLICA_ORDERS_SQL = """
-SELECT o_orderkey, o_custkey, o_orderstatus,
-       CASE WHEN o_orderkey % 89 = 3 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
-       o_orderdate
+SELECT * REPLACE (CASE WHEN o_orderkey % 89 = 3 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice)
 FROM orders WHERE o_orderkey % 97 <> 5
 """
 
 SOURCE_ORDERS_SQL = """
-SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate FROM orders
+SELECT * FROM orders
 """
 
 
 def source_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    return table(spark, sf_dir, "orders")
 
 
 def heavy(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -93,5 +93,5 @@ def relevance_by_group(df: DataFrame, id_col: str, group_col: str, text_col: str
     s = relevance(df, id_col, text_col, query, keep=[group_col], materialize=materialize)
     from ..operators.aggregates import avg_fixed
     g = s.groupBy(group_col).agg(F.count(F.lit(1)).alias("record_count"),
-                                 avg_fixed("score", 6, 4).alias("avg_relevance"))
+                                 avg_fixed("score", 4).alias("avg_relevance"))
     return g.orderBy(F.col("avg_relevance").desc(), F.col(group_col)).limit(n)

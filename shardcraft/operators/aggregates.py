@@ -3,22 +3,18 @@
 Every aggregate here is decomposable (count/sum/min/max/avg), so Spark plans a
 partial aggregate before the exchange: a hot group costs one partial row per
 map task, never a third of the table in one task.  Averages are reported as
-``round(sum/count, digits)`` in double so that engines agree on the digits.
+``round(sum/count, digits)`` in double, from exact sums, so that engines agree on the digits.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import topk
 
 
-def avg_round(col, digits: int = 4, scale: int = 2) -> Column:
-    """Average rounded to ``digits`` (see :func:`avg_fixed`)."""
-    return avg_fixed(col, scale, digits)
-
-
 def ratio_fixed(num, den, digits: int = 4) -> Column:
     """``num / den`` for non-negative integer-valued columns, rounded half-up
     to ``digits`` with integer arithmetic (``(2·num·10^d + den) div 2·den``),
@@ -31,13 +27,17 @@ def ratio_fixed(num, den, digits: int = 4) -> Column:
     return q.cast("double") / F.lit(float(10 ** digits))
 
 
-def avg_fixed(col, scale: int = 12, digits: int = 4) -> Column:
-    """Average rounded half-up to ``digits``, from an exact decimal sum of the
-    values at ``scale`` decimals, so that it does not depend on the order of
-    addition."""
+def avg_fixed(col, digits: int = 4) -> Column:
+    """Average rounded half-up to ``digits``.  It comes from the exact sum of the
+    values as decimals, so it doesn't depend on the order of addition; where
+    values (beyond 1e26, not finite) or their sum don't fit a decimal, it is the plain
+    average of the doubles."""
     c = F.col(col) if isinstance(col, str) else col
-    n = F.nullif(F.count(c).cast("decimal(20,0)"), F.lit(0).cast("decimal(20,0)"))
-    return F.round(F.sum(c.cast(f"decimal(38,{scale})")).cast("decimal(38,12)") / n, digits).cast("double")
+    exact = c.try_cast("decimal(38,12)")
+    n = F.nullif(F.count(exact).cast("decimal(20,0)"), F.lit(0).cast("decimal(20,0)"))
+    mean = F.round(F.try_sum(exact) / n, digits).cast("double")
+    return F.when(F.count(exact) == F.count(c), F.coalesce(mean, F.round(F.avg(c.cast("double")), digits))) \
+            .otherwise(F.round(F.avg(c.cast("double")), digits))
 
 
 def top_users(df: DataFrame, since, min_orders: int, n: int,
@@ -48,7 +48,7 @@ def top_users(df: DataFrame, since, min_orders: int, n: int,
     g = (df.where(F.col(date_col) >= since)
            .groupBy(user_col)
            .agg(F.count(F.lit(1)).alias("order_count"),
-                avg_round(price_col).alias("avg_price"),
+                avg_fixed(price_col).alias("avg_price"),
                 F.sum(qty_col).cast("bigint").alias("total_quantity"))
            .where(F.col("order_count") > min_orders))
     return topk.by(g, ["-avg_price"], n, [user_col])
@@ -60,7 +60,7 @@ def status_summary(df: DataFrame, status_col: str = "status", price_col: str = "
     optionally after a predicate (A4 passes a JSON-number predicate)."""
     if where is not None:
         df = df.where(where)
-    aggs = [F.count(F.lit(1)).alias("count"), avg_round(price_col).alias("avg_price"),
+    aggs = [F.count(F.lit(1)).alias("count"), avg_fixed(price_col).alias("avg_price"),
             F.min(price_col).alias("min_price"), F.max(price_col).alias("max_price")]
     if qty_col:
         aggs.append(F.sum(qty_col).cast("bigint").alias("total_quantity"))
@@ -73,19 +73,22 @@ def status_summary_by_order(items: DataFrame, orders: DataFrame, item_order: str
     aggregation).  The join shuffles by order key anyway; aggregating first
     lets each map task merge the lines of an order, so the large side
     shuffles one partial row per order instead of one row per line.  The
-    per-order partials (count, exact price units, min, max, quantity) combine
-    exactly into the per-status result of :func:`status_summary`."""
-    price = F.col(price_col).cast("decimal(12,2)")
+    per-order partials (counts, exact price sum, min, max, quantity) combine
+    exactly into the per-status result of :func:`status_summary`.  ``price_col`` is a
+    decimal column; its scale is kept."""
+    price = F.col(price_col)
+    if not isinstance(items.schema[price_col].dataType, T.DecimalType):
+        raise TypeError(f"{price_col} must be a decimal column")
+    scale = items.schema[price_col].dataType.scale
     per_order = items.groupBy(F.col(item_order).alias("__ok")).agg(
-        F.count(F.lit(1)).alias("__n"),
-        F.sum((price * F.lit(100)).cast("decimal(38,0)")).alias("__units"),
+        F.count(F.lit(1)).alias("__n"), F.count(price).alias("__priced"), F.sum(price).alias("__sum"),
         F.min(price).alias("__min"), F.max(price).alias("__max"),
         F.sum(F.col(qty_col).cast("int")).alias("__qty"))
     o = orders.select(F.col(order_key).alias("__ok"), F.col(status_col).alias("status"))
     j = per_order.join(o, "__ok")
     return j.groupBy("status").agg(
         F.sum("__n").alias("count"),
-        ratio_fixed(F.sum("__units"), F.sum("__n") * F.lit(100), 4).alias("avg_price"),
+        ratio_fixed(F.sum("__sum") * F.lit(10 ** scale), F.sum("__priced") * F.lit(10 ** scale), 4).alias("avg_price"),
         F.min("__min").alias("min_price"), F.max("__max").alias("max_price"),
         F.sum("__qty").cast("bigint").alias("total_quantity"))
 
@@ -125,13 +128,13 @@ def text_profile(df: DataFrame, group: str, text_col: str, min_count: int = 10,
                  where: Column | None = None) -> DataFrame:
     """Per group: count, average byte length of the text (MySQL LENGTH
     counts bytes), optional average of a JSON number as DECIMAL(10,6);
-    groups with more than ``min_count`` rows, largest first."""
+    groups with more than ``min_count`` rows."""
     if where is not None:
         df = df.where(where)
     aggs = [F.count(F.lit(1)).alias("count"),
-            avg_fixed(F.octet_length(text_col), 0).alias("avg_text_length")]
+            avg_fixed(F.octet_length(text_col)).alias("avg_text_length")]
     if json_col:
-        aggs.append(avg_fixed(json_number(json_col, json_path).cast("decimal(10,6)"), 6, 6)
+        aggs.append(avg_fixed(json_number(json_col, json_path).cast("decimal(10,6)"), 6)
                     .alias("avg_random_val"))
     return (df.groupBy(group).agg(*aggs)
               .where(F.col("count") > min_count))
@@ -145,28 +148,30 @@ def distribution(df: DataFrame, col: str) -> DataFrame:
               .withColumn("share_pct", ratio_fixed(F.col("rows") * 100, total, 4)))
 
 
+def _stats(c: Column, prefix: str) -> list[Column]:
+    return [F.count(c).alias(prefix + "n"), avg_fixed(c).alias(prefix + "avg"),
+            F.round(F.min(c), 4).alias(prefix + "min"), F.round(F.max(c), 4).alias(prefix + "max"),
+            F.round(F.stddev_pop(c), 4).alias(prefix + "stddev")]
+
+
 def stats(df: DataFrame, group, col: str, prefix: str = "") -> DataFrame:
     """Avg / min / max / population stddev per group, rounded to 4 digits."""
     group = [group] if isinstance(group, str) else list(group)
-    c = F.col(col).cast("double")
-    return df.groupBy(*group).agg(
-        F.count(c).alias(prefix + "n"),
-        avg_fixed(c).alias(prefix + "avg"),
-        F.round(F.min(c), 4).alias(prefix + "min"),
-        F.round(F.max(c), 4).alias(prefix + "max"),
-        F.round(F.stddev_pop(c), 4).alias(prefix + "stddev"))
-
-
-def stats_diff(a: DataFrame, b: DataFrame, group) -> DataFrame:
-    """Compare two samples per group; a missing or empty sample counts as
-    zeros (as the reference's reducer returns zeros for an empty list)."""
+    return df.groupBy(*group).agg(*_stats(F.col(col).cast("double"), prefix))
+
+
+def stats_diff(a: DataFrame, b: DataFrame, group, col: str = "v") -> DataFrame:
+    """Compare two samples per group in one aggregate over both; a missing or
+    empty sample counts as zeros (as the reference's reducer returns zeros for an empty
+    list).  Rows without a group are one group."""
     group = [group] if isinstance(group, str) else list(group)
-    sa, sb = stats(a, group, "v", "a_"), stats(b, group, "v", "b_")
-    j = sa.join(sb, group, "full")
+    v, none = F.col(col).cast("double"), F.lit(None).cast("double")
+    both = a.select(*group, v.alias("__a"), none.alias("__b")).unionAll(
+        b.select(*group, none.alias("__a"), v.alias("__b")))
+    j = both.groupBy(*group).agg(*_stats(F.col("__a"), "a_"), *_stats(F.col("__b"), "b_"))
     out = [F.col(g) for g in group]
     for m in ("n", "avg", "min", "max", "stddev"):
-        ca = F.coalesce(F.col("a_" + m), F.lit(0))
-        cb = F.coalesce(F.col("b_" + m), F.lit(0))
+        ca, cb = (F.coalesce(F.col(s + m), F.lit(0)) for s in ("a_", "b_"))
         out += [ca.alias("a_" + m), cb.alias("b_" + m)]
         if m != "n":
             out.append(F.round(ca - cb, 4).alias("diff_" + m))

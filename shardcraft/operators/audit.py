@@ -48,9 +48,11 @@ def presence(source: DataFrame, nodes: dict, keys) -> DataFrame:
 
 
 def missing(source: DataFrame, node: DataFrame, keys) -> DataFrame:
-    """Source keys absent from one node."""
+    """Source keys absent from one node.  NULL keys match each other, as in :func:`presence`."""
     keys = _keys(keys)
-    return source.select(*keys).join(node.select(*keys), keys, "left_anti")
+    held = node.select(*[F.col(k).alias(f"__k_{k}") for k in keys])
+    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys])
+    return source.select(*keys).join(held, same, "left_anti")
 
 
 def row_digest(cols: list[str]) -> Column:

@@ -77,13 +77,24 @@ def update_batches(df: DataFrame, key: str, size: int, max_rows: int, counter: s
     })
 
 
+def _json_fields(col: str) -> Column:
+    """The fields of a JSON object; NULL for anything else and for repeated fields."""
+    return F.try_variant_get(F.try_parse_json(F.col(col)), "$", "map<string,variant>")
+
+
+def json_settable(col: str) -> Column:
+    """Whether :func:`json_set` can change the document."""
+    return _json_fields(col).isNotNull()
+
+
 def json_set(df: DataFrame, col: str, values: dict, increments: tuple = (),
              cond: Column | None = None) -> DataFrame:
     """M4: set top-level JSON fields (``values``: field -> Column) and add 1
     to the counters in ``increments`` (a missing counter counts as 0); other
-    fields keep their JSON values.  NULL, malformed and non-object documents
-    stay as they are.  ``cond`` limits the rows touched."""
-    m = F.from_json(F.col(col), "map<string,variant>")
+    fields keep their JSON values.  NULL, malformed and non-object documents and
+    documents that name a field twice stay as they are (:func:`json_settable` tells
+    them).  ``cond`` limits the rows touched."""
+    m = _json_fields(col)
     touched = list(values) + list(increments)
     kept = F.map_filter(m, lambda k, v: ~k.isin(touched))
     pairs = []

@@ -238,11 +238,32 @@ def cross_shard_join(left: DataFrame, right: DataFrame, key: str, right_key: str
 # S3: query-log routing
 # --------------------------------------------------------------------------
 
+def capture_groups(pattern: str) -> int:
+    """How many capture groups a (Java) pattern has, named ones included; brackets in
+    character classes, escapes and quoted parts don't count."""
+    n, i, depth = 0, 0, 0
+    while i < len(pattern):
+        two = pattern[i:i + 2]
+        if two == r"\Q":
+            end = pattern.find(r"\E", i + 2)
+            i = len(pattern) if end < 0 else end + 2
+            continue
+        if two[0] == "\\":
+            i += 2
+            continue
+        if two[0] == "[":
+            depth += 1
+        elif two[0] == "]" and depth:
+            depth -= 1
+        elif two[0] == "(" and not depth:
+            n += two != "(?" or bool(re.match(r"\(\?<[A-Za-z]", pattern[i:]))
+        i += 1
+    return n
+
+
 def _capture(st, pat: str):
     """The first capture group, NULL for a rule without one."""
-    if not re.search(r"(?<!\\)\((?!\?)", pat):
-        return F.lit(None).cast("string")
-    return F.regexp_extract(st, pat, 1)
+    return F.regexp_extract(st, pat, 1) if capture_groups(pat) else F.lit(None).cast("string")
 
 
 def _can_start(first_kw, rule) -> Column:

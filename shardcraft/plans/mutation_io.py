@@ -292,26 +292,26 @@ order_items AS (SELECT l_orderkey AS order_id, l_linenumber AS line_no, l_partke
                        CAST(l_quantity AS INTEGER) AS quantity,
                        CAST(l_extendedprice AS DECIMAL(10,2)) AS total_price FROM lineitem)"""
 
-BUYERS_SINCE = (
-    "SELECT user_id, count(*) AS order_count, avg(price) AS avg_price, sum(quantity) AS total_qty "
-    "FROM perf_test_select WHERE order_date >= :since GROUP BY user_id "
-    "HAVING order_count > :more_than ORDER BY avg_price DESC, user_id LIMIT :top")
+STATUS_BY_MONTH = """
+SELECT trunc(order_date, 'MM') AS month, status, count(DISTINCT user_id) AS buyers,
+       max(price) AS dearest, sum(price * quantity) AS turnover
+FROM perf_test_select
+WHERE order_date BETWEEN :first AND :last AND quantity >= :pieces
+GROUP BY trunc(order_date, 'MM'), status
+HAVING count(DISTINCT user_id) >= :buyers"""
 
 
 @register("io11_lab_complex_group_by", f"""{_LAB_CTES}
-SELECT user_id, COUNT(*) as order_count,
-       CAST(CAST((CAST(sum(price) * 100 AS HUGEINT) * 20000 + count(*)) // (2 * count(*)) AS DECIMAL(38,0))
-            * 0.000001 AS DECIMAL(16,6)) as avg_price,
-       CAST(SUM(quantity) AS BIGINT) as total_qty
-FROM perf_test_select WHERE order_date >= DATE '2001-05-03'
-GROUP BY user_id HAVING COUNT(*) > 2 ORDER BY AVG(price) DESC, user_id LIMIT 100""")
+SELECT CAST(date_trunc('month', order_date) AS DATE) AS month, status, count(DISTINCT user_id) AS buyers,
+       max(price) AS dearest, CAST(sum(price * quantity) AS DECIMAL(33,2)) AS turnover
+FROM perf_test_select WHERE order_date >= DATE '1999-01-01' AND order_date <= DATE '2001-07-31' AND quantity >= 10
+GROUP BY ALL HAVING count(DISTINCT user_id) >= 2""")
 def io11_lab_complex_group_by(spark, sf):
-    """A parameterised GROUP BY: users with more than two sales in the last 90
-    days, by average price."""
+    """A parameterised GROUP BY with a distinct count, by month and status."""
     import datetime as _dt
     sqlapi.register_lab_views(spark, sf)
-    return sqlapi.run_query(spark, BUYERS_SINCE,
-                            {"since": B.AS_OF - _dt.timedelta(days=90), "more_than": 2, "top": 100})
+    return sqlapi.run_query(spark, STATUS_BY_MONTH,
+                            {"first": _dt.date(1999, 1, 1), "last": _dt.date(2001, 7, 31), "pieces": 10, "buyers": 2})
 
 
 @register("io11_lab_order_details_view", f"""{_LAB_CTES},

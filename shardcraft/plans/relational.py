@@ -138,8 +138,9 @@ FROM sales GROUP BY status""")
 def a3_status_summary(spark, sf):
     # same result as aggregates.status_summary(B.sales(spark, sf)), with the
     # line items aggregated per order before the join
+    price = F.col("l_extendedprice").cast("decimal(12,2)").alias("l_extendedprice")
     return aggregates.status_summary_by_order(
-        B.table(spark, sf, "lineitem"), B.table(spark, sf, "orders"),
+        B.table(spark, sf, "lineitem").select("l_orderkey", price, "l_quantity"), B.table(spark, sf, "orders"),
         "l_orderkey", "o_orderkey", "o_orderstatus", "l_extendedprice", "l_quantity")
 
 

@@ -1,43 +1,75 @@
 """Parameterised SQL over registered views (IO11).
 
-Read statements only.  Spark's parser reads the statement and its logical plan
-decides: a command, an insert or a write to a directory anywhere in the plan is
-rejected, in whatever clause order it was written.  SHOW, DESCRIBE and EXPLAIN
-are commands that only report, and pass.  Parameters are bound by Spark (``?``
-or ``:name`` markers), never spliced into the text.
+Read statements only.  Spark's parser reads the statement, and it passes only if
+every node of the parsed plan, of its common table expressions and of its subqueries, is on the
+list of reading nodes.  Whatever the list doesn't name is rejected: commands, inserts in
+any clause order, writes to a directory, EXECUTE IMMEDIATE, scripts, TRANSFORM.  So
+are the functions that call any Java method, and names that are only known at
+run time.  SHOW and DESCRIBE statements and EXPLAIN report and pass, by the class of
+their plan.  Parameters are bound by Spark (``?`` or ``:name`` markers), never
+spliced into the text.
 """
 
 from __future__ import annotations
 
-from py4j.java_gateway import is_instance_of
 from pyspark.errors import ParseException
 from pyspark.sql import DataFrame, SparkSession
 
-_LOGICAL = "org.apache.spark.sql.catalyst.plans.logical."
-WRITING_NODES = [_LOGICAL + n for n in ("Command", "ParsedStatement", "InsertIntoDir")]
-REPORTS = ("SHOW", "DESCRIBE", "DESC", "EXPLAIN")
+#: classes of parsed plans that only read
+READING = set("""
+Project Filter Join Aggregate Sort GlobalLimit LocalLimit Offset Tail Distinct Union Intersect Except
+SubqueryAlias UnresolvedSubqueryColumnAliases UnresolvedRelation UnresolvedWith UnresolvedHaving UnresolvedHint
+UnresolvedInlineTable UnresolvedTableValuedFunction UnresolvedTVFAliases ResolvedInlineTable LocalRelation
+OneRowRelation Range Generate LateralJoin AsOfJoin Pivot Unpivot Sample Window WithWindowDefinition Expand
+UnresolvedOrdinal PipeOperator NameParameterizedQuery PosParameterizedQuery
+""".split())
+#: classes of plans that report, with what they name
+REPORTING = set("""
+ShowTables ShowTablesCommand ShowTableExtended ShowNamespaces ShowColumns ShowColumnsCommand ShowFunctions ShowCreateTable
+ShowTableProperties ShowPartitions ShowViews ShowCatalogsCommand ShowCurrentNamespaceCommand
+DescribeRelation DescribeColumn DescribeFunction DescribeNamespace DescribeTablePartition DescribeQueryCommand ExplainCommand
+""".split())
+NAMES = {"CurrentNamespace", "UnresolvedNamespace", "UnresolvedTableOrView", "UnresolvedTable", "UnresolvedView",
+         "UnresolvedFunctionName"}
+CALLING_OUT = {"reflect", "java_method", "try_reflect"}
 
 
 class WriteRejected(ValueError):
     pass
 
 
+def _each(seq):
+    return (seq.apply(i) for i in range(seq.size()))
+
+
+def _class(node) -> str:
+    return node.getClass().getSimpleName().rstrip("$")
+
+
 def _nodes(plan):
+    """The plan's nodes with those of its common table expressions and subqueries."""
     yield plan
-    children = plan.children()
-    for i in range(children.size()):
-        yield from _nodes(children.apply(i))
+    for side in (plan.children(), plan.innerChildren()):
+        for child in _each(side):
+            yield from _nodes(child)
+
+
+def _harmless(expression) -> bool:
+    kind = _class(expression)
+    if kind == "ExpressionWithUnresolvedIdentifier":
+        return False
+    if kind == "UnresolvedFunction" and expression.nameParts().last().lower() in CALLING_OUT:
+        return False
+    return all(map(_harmless, _each(expression.children())))
 
 
 def statement_kind(spark: SparkSession, sql: str) -> str:
-    """``"read"`` or ``"write"``; text that is not one statement is a ParseException."""
+    """``"read"`` or ``"write"`` (all that isn't known to read); text that is not one
+    statement is a ParseException."""
     plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql)
-    words = sql.split(None, 1)
-    if words and words[0].upper() in REPORTS:
-        return "read"
-    gateway = spark.sparkContext._gateway
-    writes = any(is_instance_of(gateway, n, kind) for n in _nodes(plan) for kind in WRITING_NODES)
-    return "write" if writes else "read"
+    allowed = REPORTING | NAMES if _class(plan) in REPORTING else READING
+    reads = all(_class(n) in allowed and all(map(_harmless, _each(n.expressions()))) for n in _nodes(plan))
+    return "read" if reads else "write"
 
 
 def register_views(spark: SparkSession, tables: dict) -> None:

@@ -67,7 +67,7 @@ def _by_bucket_files(df: DataFrame, key: str, files_per_bucket: int) -> DataFram
 
 
 COMMIT_SCHEMA = ("seq long, base long, batch_id long, buckets int, skipped long, "
-                 "bucket int, version long, table_schema string")
+                 "bucket int, version long, table_schema string, table_buckets int")
 
 
 def _commits(spark: SparkSession, path: str) -> DataFrame | None:
@@ -104,9 +104,10 @@ def _read_buckets(spark: SparkSession, path: str, commit: list, buckets=None) ->
 
 
 def _commit(spark: SparkSession, path: str, df: DataFrame, key: str, rewritten, previous: list,
-            base: int | None, batch_id: int | None, skipped: int, files_per_bucket: int) -> None:
+            base: int | None, batch_id: int | None, skipped: int, files_per_bucket: int,
+            table_buckets: int) -> None:
     """Write ``df`` as the new version of the ``rewritten`` buckets (None: the
-    whole table), then the commit file."""
+    whole table), then the commit file, which keeps the table's bucket count."""
     seq = previous[0].seq + 1 if previous else 0
     out = f"{path}/state/v={seq}"
     _by_bucket_files(df, key, files_per_bucket).write.mode("overwrite").partitionBy("bucket").parquet(out)
@@ -119,7 +120,7 @@ def _commit(spark: SparkSession, path: str, df: DataFrame, key: str, rewritten,
                                          if r.bucket is not None and r.bucket not in touched]
     current = kept + [(b, seq) for b in filled] or [(None, None)]
     head = (seq, seq if base is None else base, batch_id, len(touched), int(skipped))
-    spark.createDataFrame([(*head, b, v, schema.json()) for b, v in current], COMMIT_SCHEMA) \
+    spark.createDataFrame([(*head, b, v, schema.json(), table_buckets) for b, v in current], COMMIT_SCHEMA) \
          .coalesce(1).write.mode("overwrite").parquet(f"{path}/_commits/v={seq}")
 
 
@@ -134,7 +135,7 @@ def init_target(df: DataFrame, path: str, key: str = "pk", buckets: int = DEFAUL
            .withColumn("_deleted", F.lit(False))
            .withColumn("bucket", bucket_of(key, buckets)))
     _commit(df.sparkSession, path, t, key, None, _current(df.sparkSession, path),
-            None, None, 0, files_per_bucket)
+            None, None, 0, files_per_bucket, buckets)
 
 
 def read_target(spark: SparkSession, path: str, with_meta: bool = False) -> DataFrame:
@@ -254,12 +255,14 @@ def apply_batch(batch: DataFrame, batch_id: int, path: str, key: str = "pk",
     costs one more aggregation over the batch.  ``start_pos`` is the log
     position of the snapshot the table was initialised from: changes at or
     before it are already in the snapshot and are ignored, also for keys it
-    does not hold."""
+    does not hold.  The table's own bucket count holds; ``buckets`` is only asked for
+    tables whose commits don't name one."""
     spark = batch.sparkSession
     commit = _current(spark, path)
     if not commit:
         raise ValueError(f"no replica table at {path}")
     base = commit[0].base
+    buckets = commit[0].table_buckets or buckets     # as the table was made, whatever the caller says
     if _commits(spark, path).where((F.col("base") == base) & (F.col("batch_id") == batch_id)).limit(1).count():
         return {"batch_id": batch_id, "skipped_batch": True}
     if start_pos is not None:
@@ -274,7 +277,7 @@ def apply_batch(batch: DataFrame, batch_id: int, path: str, key: str = "pk",
                 .agg(F.coalesce(F.sum("skipped"), F.lit(0))).first()[0]
         eff = effective_changes(b, state, key, on_duplicate)
         merged = merge(state.drop("bucket"), eff, key).withColumn("bucket", bucket_of(key, buckets))
-        _commit(spark, path, merged, key, touched, commit, base, batch_id, skipped, FILES_PER_BUCKET)
+        _commit(spark, path, merged, key, touched, commit, base, batch_id, skipped, FILES_PER_BUCKET, buckets)
     finally:
         b.unpersist()
     return {"batch_id": batch_id, "buckets": len(touched), "skipped": int(skipped)}
@@ -308,5 +311,6 @@ def purge_tombstones(spark: SparkSession, path: str, before_pos: int, key: str =
     if not buckets:
         return 0
     kept = _read_buckets(spark, path, commit, buckets).where(~old)
-    _commit(spark, path, kept, key, buckets, commit, commit[0].base, None, 0, FILES_PER_BUCKET)
+    _commit(spark, path, kept, key, buckets, commit, commit[0].base, None, 0, FILES_PER_BUCKET,
+            commit[0].table_buckets or DEFAULT_BUCKETS)
     return len(buckets)

@@ -139,3 +139,28 @@ def test_write_version_never_overwrites(spark, tmp):
     with pytest.raises(Exception):
         sio.write_version(spark.range(1), base, 1)      # an existing version is immutable
     assert spark.read.parquet(p2).count() == 5
+
+
+@pytest.mark.parametrize("sql", [
+    "SELECT a FROM t WHERE x IN (SELECT y FROM u) ORDER BY 1 LIMIT 3", "WITH c AS (SELECT 1 AS x) SELECT * FROM c",
+    "SELECT count(*) AS c FROM t GROUP BY a HAVING c > 1", "SELECT sum(x) OVER (PARTITION BY a) FROM t",
+    "SELECT * FROM VALUES (1), (2) AS v(a) UNION SELECT 1", "FROM t |> SELECT a", "TABLE t", "SELECT DISTINCT a FROM t OFFSET 3",
+    "SELECT * FROM a JOIN b USING (x) LEFT JOIN c ON a.y = c.y", "SELECT * FROM t LATERAL VIEW explode(a) e",
+    "SELECT 'java_method(1)' AS word", "show tables", " DESCRIBE t", "SHOW COLUMNS IN t", "EXPLAIN SELECT 1",
+    "SELECT /*+ BROADCAST(t) */ * FROM t TABLESAMPLE (10 PERCENT)", "SELECT * FROM t WHERE a = ?"])
+def test_reading_statements_pass(spark, sql):
+    assert sqlapi.statement_kind(spark, sql) == "read"
+
+
+@pytest.mark.parametrize("sql", [
+    "EXECUTE IMMEDIATE \"INSERT OVERWRITE DIRECTORY '/tmp/x' USING parquet SELECT 1\"",
+    "SELECT java_method('java.lang.System', 'setProperty', 'a', 'b')", "SELECT 1 WHERE `Reflect`('a', 'b') = 1",
+    "SELECT * FROM (SELECT try_reflect('java.lang.System', 'exit'))", "WITH c AS (SELECT reflect('a', 'b') AS x) SELECT * FROM c",
+    "SELECT (SELECT max(java_method('a', 'b')))", "SELECT IDENTIFIER('java_method')('a', 'b')",
+    "FROM t INSERT INTO u SELECT * INSERT INTO v SELECT *", "WITH c AS (SELECT 1) INSERT INTO u SELECT * FROM c",
+    "INSERT OVERWRITE DIRECTORY '/tmp/x' USING parquet SELECT 1", "CREATE TABLE u AS SELECT 1", "DROP VIEW t", "SET a = b",
+    "CACHE TABLE t", "ADD JAR '/x.jar'", "DELETE FROM t", "CALL system.p()", "USE x", "TRUNCATE TABLE t", "REFRESH TABLE t",
+    "SELECT TRANSFORM (a) USING 'sh' AS (b) FROM t", "SELECT 1; SELECT 2", "not a statement", ""])
+def test_anything_else_is_rejected(spark, sql):
+    with pytest.raises(sqlapi.WriteRejected):
+        sqlapi.run_query(spark, sql)

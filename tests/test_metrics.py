@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from shardcraft.operators import aggregates, audit, metrics
+from shardcraft.operators import aggregates, audit, metrics, mutate, shard
+from support import rows
 
 
 def test_compare_runs(spark):
@@ -88,3 +89,45 @@ def test_diff_keys_only_and_null_keys(spark):
     assert got == [(3, "only_source"), (4, "only_replica")]
     seen = {r.k: r.all_present for r in audit.presence(a, {"b": b}, "k").collect()}
     assert seen == {1: True, None: True, 3: False}
+
+
+def test_averages_keep_small_and_large_values(spark):
+    df = spark.createDataFrame([("a", .004), ("a", .004), ("b", 1e30), ("b", 3e30), ("c", 1.0), ("c", None), ("d", None),
+                                ("e", float("inf"))], "k string, price double")
+    got = dict(rows(df.groupBy("k").agg(aggregates.avg_fixed("price").alias("avg")), ["k", "avg"]))
+    assert got == {"a": .004, "b": 2e30, "c": 1.0, "d": None, "e": float("inf")}
+    got = aggregates.status_summary(df.where("k = 'a'"), "k", qty_col=None).first()
+    assert (got["avg_price"], got["min_price"]) == (.004, .004)
+
+
+def test_stats_diff_of_rows_without_a_group(spark):
+    a = spark.createDataFrame([(None, 1.0), ("x", 2.0)], "k string, v double")
+    b = spark.createDataFrame([(None, 3.0), (None, 5.0)], "k string, v double")
+    assert rows(aggregates.stats_diff(a, b, "k"), ["k", "a_n", "b_n", "diff_avg"]) == [("x", 1, 0, 2.0), (None, 1, 2, -3.0)]
+
+
+def test_missing_and_presence_agree_on_null_keys(spark):
+    src = spark.createDataFrame([(1, None), (None, "a"), (2, "b")], "i int, s string")
+    node = spark.createDataFrame([(1, None), (None, "a")], "i int, s string")
+    assert rows(audit.missing(src, node, ["i", "s"])) == [(2, "b")]
+    assert rows(audit.presence(src, {"n": node}, ["i", "s"]).where("not on_n").select("i", "s")) == [(2, "b")]
+
+
+def test_json_set_leaves_documents_with_repeated_fields(spark):
+    df = spark.createDataFrame([('{"a":1,"a":2}',), ('{"a":1}',)], "j string")
+    out = mutate.json_set(df, "j", {"u": F.lit(1)}, ("c",)).withColumn("ok", mutate.json_settable("j"))
+    assert rows(out) == [('{"a":1,"a":2}', False), ('{"a":1,"u":1,"c":1}', True)]
+
+
+@pytest.mark.parametrize("pattern, groups", [
+    (r"^SELECT.*id = (\d+)", 1), (r"^SELECT (?<id>\d+)", 1), (r"^CALL [(]", 0), (r"\(x\)", 0), (r"(?:a|b)(?i)(?=c)(?<!d)(e)(f)", 2),
+    (r"\Q(\E(a)", 1), (r"[^()]+[a&&[(]]", 0), ("", 0)])
+def test_capture_groups(pattern, groups):
+    assert shard.capture_groups(pattern) == groups
+
+
+def test_routing_by_named_group_and_bracket(spark):
+    log = spark.createDataFrame([("SELECT 42",), ("CALL (7)",)], "statement string")
+    rules = [shard.Rule(1, r"^SELECT (?<id>\d+)", 10), shard.Rule(2, r"^CALL [(]", 20)]
+    got = shard.route_log(log, rules, shard.equal_ranges(100, 2))
+    assert rows(got, ["statement", "rule_id", "routed_key"]) == [("CALL (7)", 2, None), ("SELECT 42", 1, 42)]

@@ -334,3 +334,18 @@ def test_statement_shapes(spark):
     d = spark.createDataFrame([(i, c[0]) for i, c in enumerate(cases)], "id long, s string")
     got = [r.shape for r in d.select("id", MON.normalise("s").alias("shape")).orderBy("id").collect()]
     assert got == [c[1] for c in cases]
+
+
+def test_another_bucket_count_does_not_repeat_keys(spark, tmp):
+    """The table's own bucket count holds, whatever a batch is called with."""
+    path = os.path.join(tmp, "replica")
+    snap = spark.range(100).select(F.col("id").alias("pk"), F.lit("old").alias("row"))
+    CH.init_target(snap, path, buckets=8)
+    batch = spark.range(0, 100, 9).select(
+        (F.col("id") + 1).alias("pos"), F.lit("U").alias("op"), F.col("id").alias("pk"), F.lit("new").alias("row"))
+    CH.apply_batch(batch, 0, path, buckets=64)
+    got = CH.read_target(spark, path)
+    assert got.count() == got.select("pk").distinct().count() == 100
+    assert got.where("row = 'new'").count() == 12
+    CH.purge_tombstones(spark, path, 10 ** 6)
+    assert CH._current(spark, path)[0].table_buckets == 8
