@@ -9,8 +9,8 @@ if its position is greater than the stored one, so replaying a micro-batch
 Files are never replaced.  ``state/v=<n>/bucket=<b>`` holds the buckets that
 commit ``n`` rewrote, and ``_commits/v=<n>`` is one small file that says, for
 every bucket with rows, which version is current.  Each micro-batch:
-1. the batch is persisted and reduced to the last *effective* change per key,
-2. the touched buckets are read through the newest commit and merged,
+1. the batch is persisted and the touched buckets are found,
+2. these are read through the newest commit and folded with the changes in one pass,
 3. the merged buckets are written as a new version,
 4. the commit file is written last; it is one file, renamed into place.
 
@@ -23,12 +23,13 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 from ..operators import windows
+from ..operators.runs import RUN, dealt, in_runs
 
 CHANGE_SCHEMA = T.StructType([
     T.StructField("pos", T.LongType()),
@@ -246,6 +247,44 @@ def merge(target: DataFrame, eff: DataFrame, key: str = "pk", payload: str = "ro
         F.when(hit, F.col("__op") == "D").otherwise(F.col("_deleted")).alias("_deleted"))
 
 
+def fold_changes(target: DataFrame, changes: DataFrame, key: str = "pk", on_duplicate: str = "skip",
+                 payload: str = "row", runs: int | None = None) -> DataFrame:
+    """The target after the changes (key, payload, ``_pos``, ``_deleted``), in one pass over both.
+
+    The target's row is one more event of its key, at its ``_pos`` and after the changes
+    up to there, which it replaces.  What a stretch of a key's events does is
+    told by its last event that is no insert and the first insert after that, and two
+    stretches in a row fold into one: the later last event counts, else the earlier first
+    insert.  The events are exchanged once, into balanced runs of (key, position), so a key with
+    very many changes is spread; one summary for each run and key is exchanged by key."""
+    if on_duplicate not in ("skip", "upsert"):
+        raise ValueError(on_duplicate)
+    c = changes.select(key, (F.col("pos") * 2).alias("__at"), "pos", "op", payload)
+    if on_duplicate == "upsert":
+        c = c.withColumn("op", F.when(F.col("op") == "I", F.lit("U")).otherwise(F.col("op")))
+    held = F.when(F.col("_deleted"), F.lit("gone")).otherwise(F.lit("kept"))
+    t = target.select(key, (F.col("_pos") * 2 + 1).alias("__at"), F.col("_pos").alias("pos"), held.alias("op"), payload)
+    event = F.struct("__at", "op", "pos", payload)
+    insert = F.col("op") == "I"
+    in_run = Window.partitionBy(RUN, key)
+    d = dealt(in_runs(c.unionAll(t), [key], "__at", runs), runs).withColumn(
+        "__last", F.max(F.when(~insert, event)).over(in_run))
+    after = insert & (F.col("__last").isNull() | (F.col("__at") > F.col("__last.__at")))
+    parts = d.groupBy(RUN, key).agg(F.max("__last").alias("last"), F.min(F.when(after, event)).alias("first"))
+    none = F.lit(None).cast(parts.schema["last"].dataType)
+    folded = parts.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(RUN, "last", "first"))).alias("parts")).select(
+        key, F.aggregate("parts", F.struct(none.alias("last"), none.alias("first")), lambda have, part: F.struct(
+            F.coalesce(part["last"], have["last"]).alias("last"),
+            F.when(part["last"].isNotNull(), part["first"]).otherwise(F.coalesce(have["first"], part["first"])).alias("first"),
+        )).alias("s"))           # at most one part for each run
+    last, first = F.col("s.last"), F.col("s.first")
+    absent = last.isNull() | last["op"].isin("D", "gone")
+    wins = F.when(absent & first.isNotNull(), first).otherwise(last)
+    return folded.select(key, wins.alias("w")).select(
+        key, F.when(F.col("w.op") != "D", F.col(f"w.{payload}")).alias(payload), F.col("w.pos").alias("_pos"),
+        F.col("w.op").isin("D", "gone").alias("_deleted"))
+
+
 def apply_batch(batch: DataFrame, batch_id: int, path: str, key: str = "pk",
                 on_duplicate: str = "skip", buckets: int = DEFAULT_BUCKETS,
                 count_skips: bool = False, start_pos: int | None = None) -> dict:
@@ -275,8 +314,7 @@ def apply_batch(batch: DataFrame, batch_id: int, path: str, key: str = "pk",
         if touched and count_skips and on_duplicate == "skip":
             skipped = effective_changes(b, state, key, on_duplicate, count_skips=True) \
                 .agg(F.coalesce(F.sum("skipped"), F.lit(0))).first()[0]
-        eff = effective_changes(b, state, key, on_duplicate)
-        merged = merge(state.drop("bucket"), eff, key).withColumn("bucket", bucket_of(key, buckets))
+        merged = fold_changes(state, b, key, on_duplicate).withColumn("bucket", bucket_of(key, buckets))
         _commit(spark, path, merged, key, touched, commit, base, batch_id, skipped, FILES_PER_BUCKET, buckets)
     finally:
         b.unpersist()

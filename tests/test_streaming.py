@@ -1,11 +1,12 @@
 """Streaming = batch: the change apply and the monitors, fed file by file."""
 
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from support import SF_SMALL, rows
+from support import SF_SMALL, plan_text, rows
 from shardcraft import bindings as B
 from shardcraft.streaming import changes as CH
 from shardcraft.streaming import monitors as MON
@@ -349,3 +350,33 @@ def test_another_bucket_count_does_not_repeat_keys(spark, tmp):
     assert got.where("row = 'new'").count() == 12
     CH.purge_tombstones(spark, path, 10 ** 6)
     assert CH._current(spark, path)[0].table_buckets == 8
+
+
+@pytest.mark.parametrize("policy", ["skip", "upsert"])
+@pytest.mark.parametrize("runs", [1, 7])
+def test_fold_equals_sequential_replay(spark, policy, runs):
+    """Random changes with a hot key, tombstones, stale and repeated positions."""
+    rng = random.Random(runs)
+    state = {k: (f"t{k}" if rng.random() < .7 else None, rng.choice([-1, 40, 200])) for k in range(40) if k % 3}
+    log = [(p, rng.choice("IIUD"), rng.choice([1, 2, 2, 2, rng.randrange(60)]), f"r{p}") for p in range(400)]
+    log += rng.sample(log, 50)
+    want = {k: [row, pos, row is None] for k, (row, pos) in state.items()}
+    for pos, op, k, row in sorted(set(log)):
+        have = want.get(k, [None, -2, True])
+        if pos <= have[1] or policy == "skip" and op == "I" and not have[2]:
+            continue
+        want[k] = [None if op == "D" else row, pos, op == "D"]
+    target = spark.createDataFrame([(k, r, p, r is None) for k, (r, p) in state.items()],
+                                   "pk long, row string, _pos long, _deleted boolean")
+    df = spark.createDataFrame(log, "pos long, op string, pk long, row string").repartition(3)
+    out = CH.fold_changes(target, df, on_duplicate=policy, runs=runs)
+    assert rows(out, ["pk", "row", "_pos", "_deleted"]) == sorted((k, *v) for k, v in want.items())
+
+
+def test_fold_exchanges_rows_once_and_summaries_once(spark):
+    target = spark.range(50).select(F.col("id").alias("pk"), F.lit("t").alias("row"), F.lit(0).cast("long").alias("_pos"),
+                                    F.lit(False).alias("_deleted"))
+    changes = spark.range(1, 90).select(F.col("id").alias("pos"), F.lit("U").alias("op"), (F.col("id") % 60).alias("pk"),
+                                        F.lit("c").alias("row"))
+    plan = plan_text(CH.fold_changes(target, changes))
+    assert plan.count("Exchange ") == 2 and "Join" not in plan
