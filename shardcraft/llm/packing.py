@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from .common import local_ranks, rank_bases, written
 
 PIECE = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part int, rank long")
+TEXT_CHARS = 4 << 20           # characters that are looked up at once, about
 RESULT = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, `offset` long")
 
 
@@ -45,60 +46,93 @@ class WordCache:
 
     The tokenizer drops white space and never joins over it, so a text's ids
     are the ids of its chunks in order.  Chunks of plain letters, digits and
-    punctuation are split into pre-tokens here and only unseen pre-tokens reach the
-    tokenizer's model; anything else goes through the whole tokenizer.  Two
-    generations of bounded size hold what was seen last.
+    punctuation are split into pre-tokens here.  A batch's unseen pre-tokens go to the
+    tokenizer in one text, each followed by a mark that has an id of its own; chunks of
+    anything else go as they are.  Two generations of bounded size hold what was
+    seen last.
     """
 
     PLAIN = re.compile(r"[!-&(-~À-ÖØ-öø-ÿ]+")
     PRE = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+    MARK = "\x02"
+    KEPT_WHOLE = re.compile("[\x1c-\x1f]")      # str.split() would cut here, the tokenizer doesn't
 
-    def __init__(self, path: str, limit: int = 120_000):
+    def __init__(self, path: str, limit: int = 250_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.limit = limit
-        self.young, self.old, self.pre = {}, {}, {}
-        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        rest = [b for b in range(256) if b not in printable]
-        self.letters = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(rest)}
-
-    def _whole(self, text: str) -> bytes:
-        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-
-    def _pretoken(self, p: str) -> bytes:
-        got = self.pre.get(p)
-        if got is None:
-            if len(self.pre) >= self.limit:
-                self.pre = {}
-            s = p if p.isascii() else "".join(map(self.letters.__getitem__, p.encode()))
-            got = self.pre[p] = array("I", [t.id for t in self.tokenizer.model.tokenize(s)]).tobytes()
-        return got
-
-    def _chunk(self, chunk: str) -> bytes:
-        got = self.old.get(chunk)
-        if got is None:
-            if self.PLAIN.fullmatch(chunk) and "<|" not in chunk:
-                got = b"".join(map(self._pretoken, self.PRE.findall(chunk.lower())))
-            else:
-                got = self._whole(chunk)
-        self.young[chunk] = got
-        return got
+        self.young, self.old, self.pre, self.old_pre = {}, {}, {}, {}
+        self.mark = self.tokenizer.encode(f"a {self.MARK} a", add_special_tokens=False).ids[1:-1]
+        ids = self.tokenizer.encode(f"a{self.MARK}", add_special_tokens=False).ids
+        if len(self.mark) != 1 or ids[1:] != self.mark:
+            self.mark = None                     # another vocabulary: pre-tokens go one by one
+
+    def _encoded(self, texts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn_pre(self, unseen: list[str]) -> None:
+        if self.mark is None:
+            self.pre.update(zip(unseen, self._encoded(unseen)))
+            return
+        for s in range(0, len(unseen), 20_000):
+            some = unseen[s:s + 20_000]
+            raw = self._encoded([f" {self.MARK} ".join(some)])[0]
+            ends = np.flatnonzero(np.frombuffer(raw, np.uint32) == self.mark[0]) * 4
+            if len(ends) != len(some) - 1:       # a pre-token that holds the mark
+                self.pre.update(zip(some, self._encoded(some)))
+                continue
+            at = [0, *(ends + 4).tolist()]
+            self.pre.update((p, raw[i:j]) for p, i, j in zip(some, at, [*ends.tolist(), len(raw)]))
+
+    def _learn(self, chunks: list[str]) -> None:
+        plain = [c for c in chunks if self.PLAIN.fullmatch(c) and "<|" not in c]
+        split = [self.PRE.findall(c.lower()) for c in plain]
+        if len(self.pre) >= self.limit:
+            self.pre, self.old_pre = {}, self.pre
+        wanted = {p for s in split for p in s}.difference(self.pre)
+        again = wanted.intersection(self.old_pre)
+        self.pre.update((p, self.old_pre[p]) for p in again)
+        self._learn_pre(list(wanted - again))
+        get = self.pre.__getitem__
+        self.young.update((c, b"".join(map(get, s))) for c, s in zip(plain, split))
+        if len(plain) < len(chunks):
+            others = list(set(chunks).difference(plain))
+            self.young.update(zip(others, self._encoded(others)))
+
+    def ids_of(self, texts: list[str]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of every text."""
+        whole = [bool(self.KEPT_WHOLE.search(t)) for t in texts]
+        chunks = [[] if w else t.split() for t, w in zip(texts, whole)]
+        if len(self.young) >= self.limit:
+            self.young, self.old = {}, self.young
+        wanted = set().union(*chunks).difference(self.young)
+        again = wanted.intersection(self.old)
+        self.young.update((c, self.old[c]) for c in again)
+        if len(again) < len(wanted):
+            self._learn(list(wanted - again))
+        get = self.young.__getitem__
+        out = [b"".join(map(get, c)) for c in chunks]
+        odd = [i for i, w in enumerate(whole) if w]
+        for i, ids in zip(odd, self._encoded([texts[i] for i in odd])):
+            out[i] = ids
+        return out
 
     def ids(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
-        if "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text:
-            return self._whole(text)            # str.split() would cut at these, the tokenizer doesn't
-        chunks = text.split()
-        parts = list(map(self.young.get, chunks))
-        if None in parts:
-            for i, p in enumerate(parts):
-                if p is None:
-                    c = chunks[i]
-                    parts[i] = self.young.get(c) or self._chunk(c)
-            if len(self.young) >= self.limit:
-                self.young, self.old = {}, self.young
-        return b"".join(parts)
+        return self.ids_of([text])[0]
+
+
+def _ids(cache: WordCache, texts: pa.Array) -> Iterator[bytes]:
+    """Ids of every text (null: empty), for some texts at a time."""
+    some, size = [], 0
+    for t in texts.to_pylist():
+        some.append(t or "")
+        size += len(some[-1])
+        if size >= TEXT_CHARS:
+            yield from cache.ids_of(some)
+            some, size = [], 0
+    if some:
+        yield from cache.ids_of(some)
 
 
 def _pieces(path: str, end_id: int, capacity: int):
@@ -110,8 +144,8 @@ def _pieces(path: str, end_id: int, capacity: int):
         for b in batches:
             cols = [array("q") for _ in range(4)]
             docs = []
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                ids = cache.ids(text or "") + tail
+            for doc, ids in zip(b.column(0).to_pylist(), _ids(cache, b.column(1))):
+                ids += tail
                 n = len(ids) // 4
                 for s in range(0, n, capacity):
                     piece = ids[4 * s:4 * (s + capacity)]

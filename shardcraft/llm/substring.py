@@ -13,10 +13,11 @@ passage of ``min_words + 4 * UNIT - 3`` words (49), wherever it starts or ends a
 with or without punctuation, and any whole sentences of ``min_words`` words, hold a
 common run.
 
-Runs end at cuts, passages at any word.  Where removed runs begin or end in a text, all
-places of that run are compared again, by every window of ``min_words`` words
+Runs end at cuts, passages at any word.  Where removed runs begin or end in a text, that
+place and the run's first place are compared again, by every window of ``min_words`` words
 from ``BEFORE`` words before the run to ``AFTER`` words after its start; that reaches
-the ends of the passage.  A later place loses the words of its repeated runs and
+the ends of the passage.  A place inside a passage takes no part, wherever else its run
+is an end.  A later place loses the words of its repeated runs and
 windows; where a passage overlaps its own first place, that stays whole.
 
 Defined results: null texts stay null and empty ones empty; rows without a
@@ -35,10 +36,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import NOT_WORD, U64, range_hashes, repeated_keys, slices, text_bytes, words, written
+from .common import NOT_WORD, U64, discard, range_hashes, repeated_keys, slices, text_bytes, words, written
 
 UNIT = 8                      # words of a piece at most
 BEFORE, AFTER = 2 * UNIT, 3 * UNIT
+RUNS = "__substring_runs"     # helper column
+COUNTS = ("n_sentences", "n_removed", "n_words_removed")
 _STOP = np.zeros(256, bool)
 _STOP[[33, 46, 63]] = True
 _BLANK = np.zeros(256, bool)
@@ -156,7 +159,7 @@ def _strip(min_words: int):
             out, n, gone, lost = [], [], [], []
             for s, e in slices(texts):
                 x = Spans(texts[s:e], min_words)
-                hit = _gone(x, *_listed(b.column("runs"), s, e), min_words)
+                hit = _gone(x, *_listed(b.column(RUNS), s, e), min_words)
                 for d in range(e - s):
                     a, z = x.doc_word[d], x.doc_word[d + 1]
                     text, cut = texts[s + d], hit[a:z]
@@ -170,43 +173,53 @@ def _strip(min_words: int):
                     lost.append(int(cut.sum()))
             valid = b.column("text").is_valid().to_pylist()
             text = pa.array([t.decode() if v else None for t, v in zip(out, valid)], pa.string())
-            cols = [text if c == "text" else b.column(c) for c in b.schema.names if c != "runs"]
+            cols = [text if c == "text" else b.column(c) for c in b.schema.names if c != RUNS]
             yield pa.RecordBatch.from_arrays(
                 [*cols, *(pa.array(v, pa.int64()) for v in (n, gone, lost))],
-                [*(c for c in b.schema.names if c != "runs"), "n_sentences", "n_removed", "n_words_removed"])
+                [*(c for c in b.schema.names if c != RUNS), "n_sentences", "n_removed", "n_words_removed"])
     return run
 
 
 def _placed(met: DataFrame, name: str) -> DataFrame:
-    """Every place of a repeated key: whether it is a ``later`` one, and where the first
-    one is if it is in the same document (``own``, else -1)."""
+    """Every place of a repeated key: whether it is a ``later`` one, where the ``first`` one
+    is, and its number if it is in the same document (``own``, else -1)."""
     places = met.where("kind = 1").select("key", F.col("a").alias("doc_id"), "b")
     # written, so that the join deals out both sides anew and splits a run that very many documents hold
     first = written(places.groupBy("key").agg(F.min(F.struct("doc_id", "b")).alias("first")), name)
     return places.join(first, "key").select(
         "key", "doc_id", "b", (F.struct("doc_id", "b") != F.col("first")).alias("later"),
-        F.when(F.col("first.doc_id") == F.col("doc_id"), F.col("first.b")).otherwise(-1).alias("own"))
+        F.when(F.col("first.doc_id") == F.col("doc_id"), F.col("first.b")).otherwise(-1).alias("own"), "first")
 
 
 def remove_repeats(documents: DataFrame, min_words: int = 20) -> DataFrame:
     """The documents with repeated passages removed from ``text``, and columns
-    n_sentences, n_removed (sentences that lost words), n_words_removed."""
+    n_sentences, n_removed (sentences that lost words), n_words_removed, which take the place of
+    input columns of these names; :func:`strip_repeats` leaves every input column."""
     docs = documents.select("doc_id", "text")
     runs = written(_placed(repeated_keys(docs, _emit_runs(min_words), "substring-runs"), "substring-first"),
                    "substring-places")
     line = Window.partitionBy("doc_id").orderBy("b")
     inner = [(step("b", 1).over(line) == F.col("b") + by) & step("later", 1).over(line)
              for step, by in ((F.lag, -1), (F.lead, 1))]
-    ends = runs.select("key", "later", F.coalesce(inner[0] & inner[1], F.lit(False)).alias("inner"))
-    ends = written(ends.where("later and not inner").select("key").distinct(), "substring-ends")
-    near = written(runs.join(ends, "key", "left_semi").groupBy("doc_id").agg(F.collect_list("b").alias("near")),
-                   "substring-near")
+    ends = runs.select("doc_id", "b", "first", "later", F.coalesce(inner[0] & inner[1], F.lit(False)).alias("inner"))
+    ends = written(ends.where("later and not inner"), "substring-ends")
+    near = ends.select("doc_id", "b").unionAll(ends.select("first.doc_id", "first.b")).distinct()
+    near = written(near.groupBy("doc_id").agg(F.collect_list("b").alias("near")), "substring-near")
     windows = _placed(repeated_keys(docs.join(near, "doc_id").select("doc_id", "text", "near"),
                                     _emit_windows(min_words), "substring-windows", splits=2),
                       "substring-first-windows")
-    gone = (runs.withColumn("whole", F.lit(True)).unionByName(windows.withColumn("whole", F.lit(False))).where("later")
-            .groupBy("doc_id").agg(F.collect_list(F.struct("whole", "b", "key", "own")).alias("runs")))
-    names = [c for c in documents.columns if c not in ("runs", "n_sentences", "n_removed", "n_words_removed")]
-    joined = documents.select(*names).join(written(gone, "substring-gone"), "doc_id", "left").select(*names, "runs")
+    discard(ends, near)
+    gone = (runs.drop("first").withColumn("whole", F.lit(True))
+            .unionByName(windows.drop("first").withColumn("whole", F.lit(False))).where("later")
+            .groupBy("doc_id").agg(F.collect_list(F.struct("whole", "b", "key", "own")).alias(RUNS)))
+    names = [c for c in documents.columns if c not in COUNTS]
+    joined = documents.select(*names).join(written(gone, "substring-gone"), "doc_id", "left").select(*names, RUNS)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.select(*names).schema)
     return joined.mapInArrow(_strip(min_words), f"{fields}, n_sentences long, n_removed long, n_words_removed long")
+
+
+def strip_repeats(documents: DataFrame, min_words: int = 20) -> DataFrame:
+    """The documents with repeated passages removed from ``text`` and all other columns as they are."""
+    own = {c: f"__own_{c}" for c in COUNTS if c in documents.columns}
+    out = remove_repeats(documents.withColumnsRenamed(own), min_words)
+    return out.drop(*COUNTS).withColumnsRenamed({v: k for k, v in own.items()}).select(*documents.columns)

@@ -409,3 +409,26 @@ def test_repeated_keys_match_counter(spark, docs):
     got = {(r["key"], r["a"]) for r in common.repeated_keys(df, emit, "t", limit=50).collect()}
     many = Counter(keys)
     assert got == {(k, i) for i, k in enumerate(keys) if many[k] > 1}
+
+
+def test_repeats_are_stripped_beside_clashing_columns(spark):
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(i, f"start{i} {passage} end{i}", 77, 78, "r", 5) for i in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_removed int, n_sentences int, runs string, first int")
+    out = substring.strip_repeats(df)
+    assert out.columns == df.columns
+    got = {r.doc_id: r for r in out.collect()}
+    assert got[0].text == rows[0][1] and all(p not in got[i].text for i in range(1, 5) for p in ("p0 ", "p30 ", "p59 "))
+    assert all(tuple(r)[2:] == (77, 78, "r", 5) for r in got.values())
+
+
+def test_word_cache_batches_equal_the_tokenizer():
+    from tokenizers import Tokenizer
+
+    rng = random.Random(4)
+    texts = ["", " ", "it's <|endoftext|> x", "a\x02b \x02 \x02\x02", "Ünï ßtraße 12.", "\x1c odd", "x" * 9000, "naïve — “q” 中文 é",
+             *("".join(rng.choice("aB3é .,'-\x02 \n") for _ in range(rng.randrange(80))) for _ in range(400))]
+    tok, cache = Tokenizer.from_file(TOKENIZER), packing.WordCache(TOKENIZER, limit=50)
+    for s in (0, 0, 200):
+        got = cache.ids_of(texts[s:s + 200])
+        assert [np.frombuffer(g, "<u4").tolist() for g in got] == [tok.encode(t, add_special_tokens=False).ids for t in texts[s:s + 200]]
