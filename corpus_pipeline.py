@@ -2,6 +2,12 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and works on all that its predecessor
 kept; all but the last return the columns of ``documents``.
+
+Null and empty texts pass every stage and pack into one piece with the end id alone;
+rows without a doc_id pass, too, but are only held against equal rows; of repeated rows
+(equal id and text) one stays; ties go to the smaller doc_id; very long texts are taken
+whole; an empty table packs into no rows; other columns keep their values, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -27,7 +33,7 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def without_repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated sentences removed; ``n_chars`` follows the text."""
-    out = substring.remove_repeats(docs)
+    out = substring.strip_repeats(docs)
     return out.select(*[F.char_length("text").cast("long").alias(c) if c == "n_chars" else F.col(c)
                         for c in docs.columns])
 
