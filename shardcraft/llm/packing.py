@@ -20,6 +20,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import re
 import zlib
 from array import array
@@ -122,6 +123,12 @@ class WordCache:
         return self.ids_of([text])[0]
 
 
+@functools.lru_cache(maxsize=1)
+def worker_cache(path: str) -> WordCache:
+    """The worker's cache, kept from task to task; its size is bounded."""
+    return WordCache(path)
+
+
 def _ids(cache: WordCache, texts: pa.Array) -> Iterator[bytes]:
     """Ids of every text (null: empty), for some texts at a time."""
     some, size = [], 0
@@ -139,7 +146,7 @@ def _pieces(path: str, end_id: int, capacity: int):
     tail = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, seen = WordCache(path), {}      # freed with the task: workers are reused by other stages
+        cache, seen = worker_cache(path), {}
         part = TaskContext.get().partitionId()
         for b in batches:
             cols = [array("q") for _ in range(4)]
