@@ -1,8 +1,6 @@
-"""Batch forms of the streaming jobs over the driver tables.
-
-The streaming jobs run the same functions on streaming DataFrames (see
-``tests/test_streaming.py`` for stream = batch equivalence); here they run
-once over the whole change log and query log.
+"""The streaming jobs over the driver tables (T1-T6), as batches over the whole change log
+and query log and, from the same functions, as streams: windowed append output and a
+stream-stream outer join with watermarks, run to the end of the log.
 """
 
 from __future__ import annotations
@@ -13,6 +11,7 @@ from .. import bindings as B
 from ..session import scratch_path
 from ..streaming import changes as CH
 from ..streaming import monitors as MON
+from ..streaming import replay
 from .registry import register
 from .sqlfrag import ratio_sql
 
@@ -75,8 +74,7 @@ _SKIP = ("NOT (op = 'I' AND CASE WHEN prev_op IS NULL THEN coalesce(texists, fal
 
 def _apply(spark, sf, policy):
     t = _replica_target(spark, sf)
-    eff = CH.effective_changes(B.changes(spark, sf), t, "pk", policy)
-    return CH.merge(t, eff, "pk").where(~F.col("_deleted")).drop("_deleted")
+    return CH.fold_changes(t, B.changes(spark, sf), "pk", policy).where(~F.col("_deleted")).drop("_deleted")
 
 
 @register("t1_apply_changes", _T1_SQL.format(effective=_SKIP))
@@ -96,14 +94,17 @@ j AS (SELECT s.pos, s.commit_ts, r.replica, a.apply_ts,
       LEFT JOIN a ON s.pos = a.pos AND r.replica = a.replica AND a.apply_ts >= s.commit_ts)"""
 
 
-@register("t2_replication_lag", f"""WITH {_LAG_SQL}
+T2_SQL = f"""WITH {_LAG_SQL}
 SELECT pos, commit_ts, replica, apply_ts, round(lag, 6) AS lag_s, coalesce(lag > 10, true) AS lagging
-FROM j""")
+FROM j"""
+
+
+@register("t2_replication_lag", T2_SQL)
 def t2_replication_lag(spark, sf):
     return MON.replication_lag(B.changes(spark, sf), applied(spark, sf), REPLICAS)
 
 
-@register("t3_sync_monitor", f"""WITH s AS ({B.CHANGES_SQL}), a AS ({APPLIED_SQL}),
+T3_SQL = f"""WITH s AS ({B.CHANGES_SQL}), a AS ({APPLIED_SQL}),
 u AS (SELECT commit_ts AS ts, NULL AS replica FROM s UNION ALL SELECT apply_ts, replica FROM a),
 g AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start,
              count(*) FILTER (replica IS NULL) AS source_changes,
@@ -115,7 +116,10 @@ SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, source_chan
        source_changes = applied_replica1 AND source_changes = applied_replica2 AS in_sync,
        applied_replica1, source_changes = applied_replica1 AS in_sync_replica1,
        applied_replica2, source_changes = applied_replica2 AS in_sync_replica2
-FROM g""")
+FROM g"""
+
+
+@register("t3_sync_monitor", T3_SQL)
 def t3_sync_monitor(spark, sf):
     return MON.sync_monitor(B.changes(spark, sf), applied(spark, sf), "5 minutes", replicas=REPLICAS)
 
@@ -172,10 +176,13 @@ def t6_slow_queries(spark, sf):
     return MON.slow_queries(B.query_log(spark, sf), SLOW_MS)
 
 
-@register("t6_slow_queries_daily", f"""WITH q AS ({B.QUERY_LOG_SQL})
+T6_DAILY_SQL = f"""WITH q AS ({B.QUERY_LOG_SQL})
 SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, {_SHAPE_SQL} AS shape, count(*) AS count,
        round(max(duration_ms), 4) AS max_ms, (CAST((sum(CAST(CAST(duration_ms AS DECIMAL(18,2)) * 100 AS BIGINT)) * 200 + count(duration_ms)) // (2 * count(duration_ms)) AS DOUBLE) / 10000.0) AS avg_ms
-FROM q WHERE duration_ms > {SLOW_MS} GROUP BY 1, 2""")
+FROM q WHERE duration_ms > {SLOW_MS} GROUP BY 1, 2"""
+
+
+@register("t6_slow_queries_daily", T6_DAILY_SQL)
 def t6_slow_queries_daily(spark, sf):
     return MON.slow_queries(B.query_log(spark, sf), SLOW_MS, window="1 day")
 
@@ -200,3 +207,41 @@ def t1_apply_changes_stream(spark, sf):
     CH.apply_changes(CH.read_changes(spark, log), target, scratch_path(spark, "apply"),
                      "pk", "skip", buckets=8).awaitTermination()
     return CH.read_target(spark, target).select("pk", "row", "_pos")
+
+
+# ---------------------------------------------------------------- the monitors as streams
+
+def _stream(spark, df, ts, name, **values):
+    return replay.as_stream(df, ts, scratch_path(spark, name), values=values)
+
+
+def _to_end(spark, stream, name):
+    return replay.run_to_end(stream, scratch_path(spark, name), scratch_path(spark, f"{name}-checkpoint"))
+
+
+@register("t2_replication_lag_stream", T2_SQL)
+def t2_replication_lag_stream(spark, sf):
+    """Stream-stream left outer join; a change counts as not applied after ten minutes."""
+    s = _stream(spark, B.changes(spark, sf).select("pos", "commit_ts"), "commit_ts", "lag-source")
+    a = _stream(spark, applied(spark, sf), "apply_ts", "lag-applied")
+    return _to_end(spark, MON.replication_lag(s, a, REPLICAS, bound="10 minutes"), "lag")
+
+
+@register("t3_sync_monitor_stream", T3_SQL)
+def t3_sync_monitor_stream(spark, sf):
+    """One windowed aggregate over the union of both streams."""
+    s = _stream(spark, B.changes(spark, sf).select("pos", "commit_ts"), "commit_ts", "sync-source")
+    a = _stream(spark, applied(spark, sf), "apply_ts", "sync-applied")
+    return _to_end(spark, MON.sync_monitor(s, a, "5 minutes", replicas=REPLICAS), "sync")
+
+
+@register("t4_service_metrics_stream", T4_SQL)
+def t4_service_metrics_stream(spark, sf):
+    log = B.query_log(spark, sf).select("ts", "node", "duration_ms", "ok")
+    return _to_end(spark, MON.service_metrics(_stream(spark, log, "ts", "service-log"), "1 hour"), "service")
+
+
+@register("t6_slow_queries_stream", T6_DAILY_SQL)
+def t6_slow_queries_stream(spark, sf):
+    log = B.query_log(spark, sf).select("ts", "statement", "duration_ms")
+    return _to_end(spark, MON.slow_queries(_stream(spark, log, "ts", "slow-log", duration_ms=SLOW_MS + 1), SLOW_MS, window="1 day"), "slow")

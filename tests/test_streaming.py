@@ -380,3 +380,22 @@ def test_fold_exchanges_rows_once_and_summaries_once(spark):
                                         F.lit("c").alias("row"))
     plan = plan_text(CH.fold_changes(target, changes))
     assert plan.count("Exchange ") == 2 and "Join" not in plan
+
+
+def test_sentinel_closes_the_last_window_and_stays_out(spark, tmp):
+    from shardcraft.streaming import replay
+    log = spark.sql("SELECT timestamp_ntz'2024-01-01 00:00:30' AS ts, 'n1' AS node, 5.0D AS duration_ms, true AS ok")
+    stream = replay.as_stream(log, "ts", os.path.join(tmp, "log"))
+    out = replay.run_to_end(MON.service_metrics(stream, "1 hour"), os.path.join(tmp, "out"), os.path.join(tmp, "ckpt"))
+    assert rows(out) == rows(MON.service_metrics(log, "1 hour")) and out.count() == 1
+
+
+def test_unmatched_changes_come_out_of_the_stream_join(spark, tmp):
+    from shardcraft.streaming import replay
+    src = spark.sql("SELECT id AS pos, timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, int(id)) AS commit_ts FROM range(20)")
+    app = src.where("pos % 4 != 1").select(F.lit("r").alias("replica"), "pos", (F.col("commit_ts") + F.expr("INTERVAL 3 SECONDS")).alias("apply_ts"))
+    s = replay.as_stream(src, "commit_ts", os.path.join(tmp, "s"))
+    a = replay.as_stream(app, "apply_ts", os.path.join(tmp, "a"))
+    out = replay.run_to_end(MON.replication_lag(s, a, ["r"], bound="1 minute"), os.path.join(tmp, "o"), os.path.join(tmp, "c"))
+    assert rows(out) == rows(MON.replication_lag(src, app, ["r"]))
+    assert out.where("apply_ts IS NULL").count() == 5
