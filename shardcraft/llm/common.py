@@ -29,10 +29,13 @@ U64 = np.uint64
 #: large rows, and a batch is held by the JVM and by Python, on both ends of a task
 BATCH_ROWS, BATCH_BYTES = 2000, 4 << 20
 ROWS_SETTING, BYTES_SETTING = (f"spark.sql.execution.arrow.max{x}PerBatch" for x in ("Records", "Bytes"))
+#: removes the shuffle files of an execution when it ends
+CLEANUP_SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet under ``spark.checkpoint.dir`` and read it back.
+    """Write ``df`` as Parquet under ``spark.checkpoint.dir`` and read it back.  The write's
+    own shuffle files go when it has ended, since nothing reads them again.
 
     Arrow batches of the session are held at :data:`BATCH_ROWS` rows and
     :data:`BATCH_BYTES` bytes (a longer row is a batch of its own), which bounds
@@ -42,7 +45,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
         conf.set(ROWS_SETTING, str(BATCH_ROWS))
         conf.set(BYTES_SETTING, str(BATCH_BYTES))
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    before = conf.get(CLEANUP_SETTING, "false")
+    conf.set(CLEANUP_SETTING, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(CLEANUP_SETTING, before)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.written_at = path
     return out
