@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .runs import lower_slot
+
 CASE_WIDTH = 64     # branches per CASE block
 
 
@@ -63,10 +65,22 @@ def first_match(branches) -> Column:
     return blocks[0] if len(blocks) == 1 else F.coalesce(*blocks)
 
 
+def _longs(values) -> Column:
+    """A constant array, folded by the optimizer from one literal."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+
+
 def shard_of(key: Column | str, ranges) -> Column:
-    """The shard id whose inclusive range holds ``key``; NULL if none does."""
+    """The shard id whose inclusive range holds ``key``; NULL if none does.  A few ranges
+    are a CASE; more are found by binary search in their sorted bounds, so that neither the plan nor
+    the work per row grows with their number."""
     k = F.col(key) if isinstance(key, str) else key
-    return first_match((k.between(F.lit(r.lo), F.lit(r.hi)), F.lit(r.shard_id)) for r in _check(ranges))
+    ranges = _check(ranges)
+    if len(ranges) <= CASE_WIDTH:
+        return first_match((k.between(F.lit(r.lo), F.lit(r.hi)), F.lit(r.shard_id)) for r in ranges)
+    at = lower_slot(k, _longs(r.lo for r in ranges), len(ranges)) - 1
+    return F.when(k <= F.get(_longs(r.hi for r in ranges), at),
+                  F.get(_longs(r.shard_id for r in ranges), at)).cast("int")
 
 
 def assign(df: DataFrame, key: str, ranges, on_miss: str = "quarantine",

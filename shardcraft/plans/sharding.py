@@ -49,6 +49,16 @@ def s1_shard_quarantine(spark, sf):
     return bad
 
 
+@register("s1_many_ranges", """
+SELECT c_custkey AS id, c_name AS username,
+       CAST(CASE WHEN c_custkey BETWEEN 0 AND 299999 AND c_custkey % 3 < 2 THEN c_custkey // 3 + 1 END AS INTEGER) AS shard_id
+FROM customer""")
+def s1_many_ranges(spark, sf):
+    """100,000 declared ranges of two keys each, with a gap of one key between them."""
+    ranges = [shard.ShardRange(i + 1, 3 * i, 3 * i + 1) for i in range(100_000)]
+    return shard.assign(B.users(spark, sf).select("id", "username"), "id", ranges, on_miss="keep")
+
+
 def _written_shards(spark, sf):
     """Write the in-range users as one directory per shard."""
     ranges = _ranges(spark, sf)

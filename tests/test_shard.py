@@ -165,3 +165,17 @@ def test_any_number_of_ranges_and_undeclared_shards(spark):
     rows_ = spark.createDataFrame([(1, 1), (2, 9), (3, None)], "id long, shard_id int")
     out = {r.shard_id: (r.rows, r.ok) for r in S.audit(rows_, "id", [S.ShardRange(1, 1, 5)]).collect()}
     assert out == {1: (1, True), 9: (1, False), None: (1, False)}
+
+
+def test_many_ranges_equal_a_search_in_order(spark):
+    """Uneven ranges with gaps, keys at every bound, outside and NULL; the plan has no CASE per range."""
+    bounds, at = [], -500
+    for i in range(300):
+        bounds.append(shard.ShardRange(i * 7, at, at + i % 4))
+        at += i % 4 + 1 + i % 3
+    keys = [None, *range(-510, at + 10)]
+    df = spark.createDataFrame([(k,) for k in keys], "id long")
+    out = shard.assign(df, "id", bounds[::-1], on_miss="keep")
+    want = [(k, next((r.shard_id for r in bounds if k is not None and r.lo <= k <= r.hi), None)) for k in keys]
+    assert rows(out, ["id", "shard_id"]) == rows(spark.createDataFrame(want, "id long, shard_id int"))
+    assert plan_text(out).count("CASE") <= 8
