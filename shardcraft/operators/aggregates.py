@@ -74,21 +74,24 @@ def status_summary_by_order(items: DataFrame, orders: DataFrame, item_order: str
     lets each map task merge the lines of an order, so the large side
     shuffles one partial row per order instead of one row per line.  The
     per-order partials (counts, exact price sum, min, max, quantity) combine
-    exactly into the per-status result of :func:`status_summary`.  ``price_col`` is a
-    decimal column; its scale is kept."""
-    price = F.col(price_col)
-    if not isinstance(items.schema[price_col].dataType, T.DecimalType):
-        raise TypeError(f"{price_col} must be a decimal column")
-    scale = items.schema[price_col].dataType.scale
+    exactly into the per-status result of :func:`status_summary`.  A decimal price keeps its
+    scale; any other is summed with 12 decimals."""
+    price, kind = F.col(price_col), items.schema[price_col].dataType
+    if isinstance(kind, T.DecimalType):
+        mean = ratio_fixed(F.sum("__sum") * F.lit(10 ** kind.scale), F.sum("__priced") * F.lit(10 ** kind.scale), 4)
+        exact = price
+    else:
+        mean = F.round(F.sum("__sum") / F.nullif(F.sum("__priced"), F.lit(0)).cast("decimal(20,0)"), 4).cast("double")
+        exact = price.cast("decimal(38,12)")
     per_order = items.groupBy(F.col(item_order).alias("__ok")).agg(
-        F.count(F.lit(1)).alias("__n"), F.count(price).alias("__priced"), F.sum(price).alias("__sum"),
+        F.count(F.lit(1)).alias("__n"), F.count(price).alias("__priced"), F.sum(exact).alias("__sum"),
         F.min(price).alias("__min"), F.max(price).alias("__max"),
         F.sum(F.col(qty_col).cast("int")).alias("__qty"))
     o = orders.select(F.col(order_key).alias("__ok"), F.col(status_col).alias("status"))
     j = per_order.join(o, "__ok")
     return j.groupBy("status").agg(
         F.sum("__n").alias("count"),
-        ratio_fixed(F.sum("__sum") * F.lit(10 ** scale), F.sum("__priced") * F.lit(10 ** scale), 4).alias("avg_price"),
+        mean.alias("avg_price"),
         F.min("__min").alias("min_price"), F.max("__max").alias("max_price"),
         F.sum("__qty").cast("bigint").alias("total_quantity"))
 

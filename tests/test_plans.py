@@ -52,12 +52,18 @@ def test_two_level_topk_equals_single_level(spark):
 
 def test_eager_status_summary_equals_row_level(spark):
     from shardcraft import bindings as B
+    from pyspark.sql import functions as F
     from shardcraft.operators import aggregates
-    row_level = aggregates.status_summary(B.sales(spark, SF_SMALL))
-    eager = aggregates.status_summary_by_order(
-        B.table(spark, SF_SMALL, "lineitem"), B.table(spark, SF_SMALL, "orders"),
-        "l_orderkey", "o_orderkey", "o_orderstatus", "l_extendedprice", "l_quantity")
-    assert sorted(map(tuple, row_level.collect())) == sorted(map(tuple, eager.select(*row_level.columns).collect()))
+    for kind in ("decimal(12,2)", "double"):       # the price as the sales table has it, and as it is stored
+        items = B.table(spark, SF_SMALL, "lineitem").withColumn("l_extendedprice", F.col("l_extendedprice").cast(kind))
+        orders = B.table(spark, SF_SMALL, "orders")
+        sales = items.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+            F.col("o_orderstatus").alias("status"), F.col("l_extendedprice").alias("price"),
+            F.col("l_quantity").cast("int").alias("quantity"))
+        row_level = aggregates.status_summary(sales if kind == "double" else B.sales(spark, SF_SMALL))
+        eager = aggregates.status_summary_by_order(
+            items, orders, "l_orderkey", "o_orderkey", "o_orderstatus", "l_extendedprice", "l_quantity")
+        assert sorted(map(tuple, row_level.collect())) == sorted(map(tuple, eager.select(*row_level.columns).collect()))
 
 
 def test_user_orders_rewrite_equals_left_join(spark):
