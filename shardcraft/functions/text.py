@@ -9,11 +9,17 @@ Per query term the term frequency is computed inside the row
 (``size(filter(tokens, t -> t = term))``), so no token table is exploded or
 shuffled.  The corpus statistics (N and df per term) are one partial
 aggregate; the scores read them as an uncorrelated scalar subquery.
+
+Averages per group need no score per row: a score depends on the row's term
+frequencies alone, so one scan counts the rows of every (group, term
+frequencies), and statistics, weights and averages come from those few rows.
 """
 
 from __future__ import annotations
 
 import re
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -72,26 +78,41 @@ def relevance(df: DataFrame, id_col: str, text_col: str, query: str,
         from ..session import checkpoint_dir
         checkpoint_dir(df.sparkSession)
         tf = tf.checkpoint(eager=True)
-    # one scalar subquery (referenced once): the idf^2 weight of every term
-    k = len(terms)
-    counts = tf.agg(F.count(F.lit(1)).alias("n"),
-                    *[F.sum((F.col("__tf")[i] > 0).cast("long")).alias(f"df{i}") for i in range(k)])
+    return tf.withColumn("__w", _weights(tf.withColumn("__n", F.lit(1)), len(terms))).select(
+        *keep, _score(len(terms)).alias("score"))
+
+
+def _weights(tf: DataFrame, k: int) -> Column:
+    """The idf^2 weight of every term as one scalar subquery over rows that
+    stand for ``__n`` texts with the term frequencies ``__tf``."""
+    counts = tf.agg(F.sum("__n").alias("n"),
+                    *[F.sum(F.when(F.col("__tf")[i] > 0, F.col("__n")).otherwise(0)).alias(f"df{i}")
+                      for i in range(k)])
     idf = [F.when(F.col(f"df{i}") > 0, F.log10(F.col("n") / F.col(f"df{i}"))).otherwise(F.lit(0.0))
            for i in range(k)]
-    weights = counts.select(F.array(*[x * x for x in idf])).scalar()
-    tf = tf.withColumn("__w", weights)
-    score = None
-    for i in range(k):
-        part = F.col("__tf")[i] * F.col("__w")[i]
-        score = part if score is None else score + part
-    return tf.select(*keep, F.round(score, 6).alias("score"))
+    return counts.select(F.array(*[x * x for x in idf])).scalar()
+
+
+def _score(k: int) -> Column:
+    return F.round(reduce(add, [F.col("__tf")[i] * F.col("__w")[i] for i in range(k)]), 6)
 
 
 def relevance_by_group(df: DataFrame, id_col: str, group_col: str, text_col: str,
-                       query: str, n: int = 100, materialize: bool = True) -> DataFrame:
-    """Per group: rows and average relevance, top ``n`` by average."""
-    s = relevance(df, id_col, text_col, query, keep=[group_col], materialize=materialize)
-    from ..operators.aggregates import avg_fixed
-    g = s.groupBy(group_col).agg(F.count(F.lit(1)).alias("record_count"),
-                                 avg_fixed("score", 4).alias("avg_relevance"))
+                       query: str, n: int = 100) -> DataFrame:
+    """Per group: rows and average relevance, top ``n`` by average.  Both
+    readers of the counted rows share one exchange, so the text is scanned once."""
+    terms = query_terms(query)
+    if not terms:
+        raise ValueError("query has no terms")
+    k = len(terms)
+    like = (term_frequencies(df, text_col, terms, [group_col])
+            .groupBy(group_col, "__tf").agg(F.count(F.lit(1)).alias("__n")))
+    # a text that is NULL has no score; it counts as a row, but not in the average
+    scored = like.withColumn("__w", _weights(like, k)).select(
+        group_col, "__n", _score(k).cast("decimal(18,6)").alias("__score"))
+    n_scored = F.sum(F.when(F.col("__score").isNotNull(), F.col("__n"))).cast("decimal(20,0)")
+    total = F.sum(F.col("__score") * F.col("__n").cast("decimal(20,0)")).cast("decimal(38,12)")
+    g = scored.groupBy(group_col).agg(
+        F.sum("__n").alias("record_count"),
+        F.round(total / n_scored, 4).cast("double").alias("avg_relevance"))
     return g.orderBy(F.col("avg_relevance").desc(), F.col(group_col)).limit(n)
