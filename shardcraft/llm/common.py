@@ -119,14 +119,47 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POW["p"][:n], _POW["q"][:n]
 
 
+#: a Mersenne prime, a base of its field and the base's inverse
+PRIME = U64((1 << 31) - 1)
+_BASE = 1_220_703_125
+_BASE_INV = pow(_BASE, -1, int(PRIME))
+#: ranges longer than this are also hashed in the prime field
+FIELD_FROM = 64
+_FIELD: dict[str, np.ndarray] = {}
+
+
+def _field_powers(base: int, n: int) -> np.ndarray:
+    out = np.ones(1, U64)
+    while len(out) < n:
+        out = np.concatenate([out, out * U64(pow(base, len(out), int(PRIME))) % PRIME])
+    return out
+
+
+def _field_sums(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Polynomial hashes of the ranges modulo :data:`PRIME`."""
+    n = len(values) + 1
+    if len(_FIELD.get("p", ())) < n:
+        _FIELD["p"], _FIELD["q"] = _field_powers(_BASE, n), _field_powers(_BASE_INV, n)
+    sums = np.zeros(n, U64)
+    np.cumsum((values.astype(U64) % PRIME + U64(1)) * _FIELD["p"][:n - 1] % PRIME, out=sums[1:])
+    return (sums[ends] - sums[starts]) % PRIME * _FIELD["q"][starts] % PRIME
+
+
 def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of ``values[s:e]`` for each range; equal contents hash
     equally wherever they stand (polynomial prefix sums, then mixed with the
-    length)."""
+    length).  Sums modulo 2**64 agree for some long regular sequences whatever
+    their base, so ranges over :data:`FIELD_FROM` values carry a second sum,
+    modulo a prime."""
     p, q = powers(len(values) + 1)
     sums = np.zeros(len(values) + 1, U64)
     np.cumsum((values.astype(U64) + U64(1)) * p[:-1], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * q[starts] + mix((ends - starts).astype(U64)))
+    size = (ends - starts).astype(U64)
+    own = (sums[ends] - sums[starts]) * q[starts] + mix(size)
+    long = np.flatnonzero(size > FIELD_FROM)
+    if len(long):
+        own[long] += mix(_field_sums(values, starts[long], ends[long]) + size[long])
+    return mix(own)
 
 
 ASCII_LOWER = np.arange(256, dtype=np.uint8)

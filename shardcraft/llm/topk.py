@@ -12,10 +12,10 @@ reaches the lists' end, so results are exact.
 Components are scaled to integers first, so scores are exact integers.
 
 Defined results: vectors that are null, or hold a null or non-finite component,
-and rows without an id take no part; ``vec_id`` names a vector: rows that repeat it
-count once, with the smallest vector; a query's own id is no candidate; only
-vectors of equal length are compared; ties go to the smaller id; other input
-columns are ignored.
+and rows without an id take no part; rows that repeat a ``vec_id`` are candidates of
+their own, one result row each, and as queries share one list of ``k``; a query's own
+id is no candidate; only vectors of equal length are compared; ties go to the smaller
+id; other input columns are ignored.
 """
 
 from __future__ import annotations
@@ -39,8 +39,7 @@ def integer_vectors(embeddings: DataFrame, scale: int) -> DataFrame:
     x = F.col("embedding")
     sound = F.forall(x, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < F.lit(float("inf"))))
     return (embeddings.where(F.col("vec_id").isNotNull() & x.isNotNull() & F.coalesce(sound, F.lit(False)))
-            .select("vec_id", F.transform(x, lambda e: F.floor(e.cast("double") * scale)).alias("v"))
-            .groupBy("vec_id").agg(F.min("v").alias("v")))
+            .select("vec_id", F.transform(x, lambda e: F.floor(e.cast("double") * scale)).alias("v")))
 
 
 def _blocks(rows: int):

@@ -383,6 +383,34 @@ def test_topk(spark):
     assert set(got) == set(range(0, 300, 20))
 
 
+def test_topk_rows_that_repeat_an_id(spark):
+    rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [2.0, 0.0]), (1, [2.0, 0.0]), (2, [0.5, 3.0]), (20, [1.0, 1.0]), (20, [0.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    got = defaultdict(list)
+    for r in topk.top_k(df, F.col("vec_id") % 20 == 0, k=4, block_rows=2, query_rows=1).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((r["vec_id"], r["score"]))
+    assert got[0] == [(1, 8192), (1, 8192), (1, 4096), (20, 4096)]
+    assert got[20] == [(2, 14336), (2, 12288), (1, 8192), (1, 8192)]
+
+
+# ------------------------------------------------------------------ hashes
+
+def test_regular_sequences_hash_apart():
+    """Two sequences whose sums modulo 2**64 agree for every odd base."""
+    bits = [bin(i).count("1") % 2 for i in range(2048)]
+    x, y = (np.array([97 + (b ^ s) for b in bits], np.uint8) for s in (0, 1))
+    both = np.concatenate([x, y, [0], x])
+    h = common.range_hashes(both, np.array([0, 2048, 4097]), np.array([2048, 4096, 6145]))
+    assert h[0] != h[1] and h[0] == h[2]
+
+
+def test_jaccard_keeps_regular_words_apart(docs):
+    x = "".join("ab"[bin(i).count("1") % 2] for i in range(2048))
+    y = x.translate(str.maketrans("ab", "ba"))
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.similarity_components(docs([x, y, x, y])).collect()}
+    assert got == {0: 0, 1: 1, 2: 0, 3: 1}
+
+
 # ------------------------------------------------------------------ empty tables
 
 def test_empty_tables(spark, docs):
