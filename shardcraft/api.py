@@ -47,8 +47,10 @@ joins = SimpleNamespace(
     user_orders=_joins.user_orders, order_details=_joins.order_details,
     customer_spend=_joins.customer_spend, cross_shard=_shard.cross_shard_join)   # J1-J4
 audit = SimpleNamespace(
-    orphans=_joins.orphans, presence=_audit.presence, missing=_audit.missing,
-    count_compare=_audit.count_compare, diff=_audit.diff, diff_summary=_audit.diff_summary,
+    orphans=_joins.orphans, presence=_audit.presence, presence_bitmaps=_audit.presence_bitmaps,
+    missing=_audit.missing, count_compare=_audit.count_compare, diff=_audit.diff,
+    diff_summary=_audit.diff_summary, range_digests=_audit.range_digests, coarser=_audit.coarser,
+    differing_ranges=_audit.differing_ranges, diff_in_ranges=_audit.diff_in_ranges,
     node_health=_audit.node_health, config_diff=_audit.config_diff,
     table_inventory=_audit.table_inventory)    # J5, J6, A1, U2, C1, C2, IO10
 aggregates = SimpleNamespace(

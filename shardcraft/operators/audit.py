@@ -47,6 +47,49 @@ def presence(source: DataFrame, nodes: dict, keys) -> DataFrame:
                     reduce(lambda a, b: a & b, flags).alias("all_present"))
 
 
+BITS = 32768            # keys covered by one bitmap
+
+
+def key_bitmaps(copies: dict, key: str) -> DataFrame:
+    """Per bucket of :data:`BITS` consecutive integer keys one bitmap per copy (column of
+    the copy's name): what is shuffled is at most 4 KiB a bucket, copy and task, not the keys.
+    Rows with a NULL key are counted in a bucket NULL, whose bitmap has bit 0 set."""
+    k = F.col("__k")
+    tagged = reduce(lambda a, b: a.unionByName(b), [
+        df.select(F.col(key).cast("long").alias("__k"), F.lit(i).alias("__copy"))
+        for i, (_, df) in enumerate(sorted(copies.items()))])
+    at = F.coalesce(F.bitmap_bit_position(k), F.lit(0).cast("long"))
+    return tagged.groupBy(F.bitmap_bucket_number(k).alias("bucket")).agg(*[
+        F.bitmap_construct_agg(F.when(F.col("__copy") == i, at)).alias(n)
+        for i, n in enumerate(sorted(copies))])
+
+
+def _bit(bitmap: Column, at: Column) -> Column:
+    """Whether bit ``at`` of a bitmap is set."""
+    byte = F.ascii(F.decode(F.substring(bitmap, F.shiftright(at, 3) + 1, F.lit(1)), "ISO-8859-1"))
+    return byte.bitwiseAND(F.element_at(F.array(*[F.lit(1 << b) for b in range(8)]), at.bitwiseAND(F.lit(7)) + 1)) != 0
+
+
+def presence_bitmaps(source: DataFrame, nodes: dict, key: str) -> DataFrame:
+    """J6 for one dense integer key: the same rows as :func:`presence`, from bitmaps. The copies
+    meet as one bitmap a bucket; keys come into being again only as result rows.
+    For keys that are sparse in their range (fewer than some 500 in 32,768) or not
+    integers :func:`presence` is the better form."""
+    names = sorted(nodes)
+    if source.schema[key].dataType.typeName() not in ("byte", "short", "integer", "long"):
+        raise ValueError(f"bitmaps need an integer key, {key} is {source.schema[key].dataType.simpleString()}")
+    maps = key_bitmaps({"s": source, **{f"n{i}": nodes[n] for i, n in enumerate(names)}}, key)
+    bit = F.explode(F.filter(F.sequence(F.lit(0), F.lit(BITS - 1)), lambda i: _bit(F.col("s"), i)))
+    held = maps.withColumn("__at", bit)
+    # buckets count from 1 for positive keys, and downwards from 0 for the others
+    value = F.when(F.col("bucket") > 0, (F.col("bucket") - 1) * BITS + F.col("__at") + 1) \
+             .otherwise(F.col("bucket") * BITS - F.col("__at"))
+    flags = [_bit(F.col(f"n{i}"), F.col("__at")) for i in range(len(names))]
+    return held.select(value.cast(source.schema[key].dataType).alias(key),
+                       *[f.alias(f"on_{n}") for f, n in zip(flags, names)],
+                       reduce(lambda a, b: a & b, flags).alias("all_present"))
+
+
 def missing(source: DataFrame, node: DataFrame, keys) -> DataFrame:
     """Source keys absent from one node.  NULL keys match each other, as in :func:`presence`."""
     keys = _keys(keys)
@@ -92,6 +135,87 @@ def diff(src: DataFrame, dst: DataFrame, keys, compare: list[str] | None = None,
     return j.select(*keys, status.alias("status")).where(F.col("status").isNotNull())
 
 
+RANGE_BITS = 12         # a range of the digest tree's leaves spans 2**12 keys
+_INTEGERS = ("byte", "short", "integer", "long")
+
+
+def range_digests(df: DataFrame, key: str, bits: int = RANGE_BITS, columns: list[str] | None = None) -> DataFrame:
+    """Per range of ``2**bits`` integer keys (``bucket = key >> bits``) the rows and four
+    sums of hash halves, 128 bits in all, over the key and the columns.  Sums
+    add up, so the digest of a wider range is the sum of its parts: a table of digests stored beside
+    a copy is the leaf level of a digest tree, and :func:`coarser` gives any level above.
+    Rows with a NULL key form the bucket NULL."""
+    if df.schema[key].dataType.typeName() not in _INTEGERS:
+        raise ValueError(f"key ranges need an integer key, {key} is {df.schema[key].dataType.simpleString()}")
+    cols = [key] + sorted(c for c in (columns or df.columns) if c != key)
+    nulls = F.concat(*[F.col(c).isNull().cast("int").cast("string") for c in cols])
+    low = F.lit(0xFFFFFFFF)
+    hashed = df.select(F.shiftright(F.col(key).cast("long"), bits).alias("bucket"),
+                       *[F.xxhash64(F.lit(seed), *[F.col(c) for c in cols], nulls).alias(f"h{seed}") for seed in (1, 2)])
+    return hashed.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[F.sum(half).alias(f"d{seed}{name}") for seed in (1, 2)
+          for name, half in (("l", F.col(f"h{seed}").bitwiseAND(low)),
+                             ("h", F.shiftrightunsigned(F.col(f"h{seed}"), 32)))])
+
+
+def coarser(digests: DataFrame, levels: int) -> DataFrame:
+    """The digests of ranges ``2**levels`` times as wide."""
+    sums = [c for c in digests.columns if c != "bucket"]
+    return (digests.withColumn("bucket", F.shiftright("bucket", levels)).groupBy("bucket")
+            .agg(*[F.sum(c).alias(c) for c in sums]))
+
+
+def differing_ranges(src: DataFrame, dst: DataFrame) -> DataFrame:
+    """The buckets whose digests differ, with both row counts (0: no row there)."""
+    sums = [c for c in src.columns if c != "bucket"]
+    b = dst.select(*[F.col(c).alias(f"__{c}") for c in dst.columns])
+    j = src.join(b, F.col("bucket").eqNullSafe(F.col("__bucket")), "full")
+    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in sums])
+    return j.where(~same).select(F.coalesce("bucket", "__bucket").alias("bucket"),
+                                 F.coalesce("rows", F.lit(0)).alias("rows_source"),
+                                 F.coalesce("__rows", F.lit(0)).alias("rows_replica"))
+
+
+def in_ranges(key: str, ranges: DataFrame, bits: int, most: int = 128) -> Column:
+    """A filter on ``key`` that holds for every listed range.  With over ``most`` ranges the
+    tree is climbed until that many are left: the filter gets wider, never
+    narrower.  It consists of plain comparisons, so it reaches the files' statistics."""
+    level = 0
+    while True:
+        at = ranges.select(F.shiftright("bucket", level).alias("b")).distinct().limit(most + 2).collect()
+        if sum(r.b is not None for r in at) <= most:
+            break
+        level += 3
+    width = 1 << (bits + level)
+    spans: list[list[int]] = []
+    for b in sorted(r.b for r in at if r.b is not None):
+        if spans and spans[-1][1] == b * width - 1:
+            spans[-1][1] = (b + 1) * width - 1
+        else:
+            spans.append([b * width, (b + 1) * width - 1])
+    tests = [F.col(key).between(F.lit(lo), F.lit(hi)) for lo, hi in spans]
+    if any(r.b is None for r in at):
+        tests.append(F.col(key).isNull())
+    return reduce(lambda x, y: x | y, tests, F.lit(False))
+
+
+def diff_in_ranges(src: DataFrame, dst: DataFrame, key: str, compare: list[str] | None = None,
+                   bits: int = RANGE_BITS, src_digests: DataFrame | None = None,
+                   dst_digests: DataFrame | None = None) -> DataFrame:
+    """:func:`diff` for copies that differ in few places.  Digests per key range (stored
+    ones, if given, which saves reading the copy) say which ranges differ, and only these are read and
+    compared exactly; a change goes unseen only if all 128 bits of its range's digest agree."""
+    from ..session import checkpoint_dir
+    checkpoint_dir(src.sparkSession)
+    columns = [key, *(compare or [c for c in src.columns if c != key])]
+    a, b = (given if given is not None else range_digests(df, key, bits, columns)
+            for df, given in ((src, src_digests), (dst, dst_digests)))
+    ranges = differing_ranges(a, b).select("bucket").checkpoint()
+    near = in_ranges(key, ranges, bits)
+    return diff(src.where(near), dst.where(near), key, compare)
+
+
 def diff_summary(d: DataFrame) -> DataFrame:
     return d.groupBy("status").agg(F.count(F.lit(1)).alias("rows"))
 

@@ -229,6 +229,68 @@ def aggregate(df: DataFrame, group, aggs) -> DataFrame:
     return df.groupBy(*group).agg(*aggs)
 
 
+@dataclass(frozen=True)
+class States:
+    """What a shard stores of its rows, so that an aggregate over all shards needs
+    the shards' states only.  Per column: ``sums`` (exact decimal sum and count of values), ``bounds`` (least and
+    greatest value), ``distinct`` (a HyperLogLog sketch; for exact distinct counts
+    use :func:`aggregate` over the rows) and ``quantiles`` (a KLL sketch of doubles)."""
+    group: tuple[str, ...]
+    sums: tuple[str, ...] = ()
+    bounds: tuple[str, ...] = ()
+    distinct: tuple[str, ...] = ()
+    quantiles: tuple[str, ...] = ()
+
+    def of(self, df: DataFrame) -> DataFrame:
+        """One row per group: the states of ``df``'s rows.  Sums of doubles depend on
+        the order of addition; give them as decimals."""
+        aggs = [F.count(F.lit(1)).alias("rows")]
+        for c in self.sums:
+            aggs += [F.sum(c).alias(f"{c}_sum"), F.count(c).alias(f"{c}_n")]
+        for c in self.bounds:
+            aggs += [F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max")]
+        aggs += [F.hll_sketch_agg(c).alias(f"{c}_hll") for c in self.distinct]
+        aggs += [F.kll_sketch_agg_double(F.col(c).cast("double")).alias(f"{c}_kll") for c in self.quantiles]
+        return df.groupBy(*self.group).agg(*aggs)
+
+    def merged(self, states: DataFrame) -> DataFrame:
+        """The states of all shards' rows from the states of each."""
+        aggs = [F.sum("rows").alias("rows")]
+        for c in self.sums:
+            kind = states.schema[f"{c}_sum"].dataType
+            aggs += [F.sum(f"{c}_sum").cast(kind).alias(f"{c}_sum"), F.sum(f"{c}_n").alias(f"{c}_n")]
+        for c in self.bounds:
+            aggs += [F.min(f"{c}_min").alias(f"{c}_min"), F.max(f"{c}_max").alias(f"{c}_max")]
+        aggs += [F.hll_union_agg(f"{c}_hll").alias(f"{c}_hll") for c in self.distinct]
+        aggs += [F.kll_merge_agg_double(f"{c}_kll").alias(f"{c}_kll") for c in self.quantiles]
+        return states.groupBy(*self.group).agg(*aggs)
+
+    def results(self, states: DataFrame, at: tuple[float, ...] = (0.5,)) -> DataFrame:
+        """Sums, counts, averages, bounds, estimated distinct counts and quantiles (array, at ``at``)."""
+        cols = [F.col(c) for c in self.group] + [F.col("rows")]
+        for c in self.sums:
+            cols += [F.col(f"{c}_sum"), F.col(f"{c}_n"),
+                     (F.col(f"{c}_sum") / F.nullif(F.col(f"{c}_n"), F.lit(0))).alias(f"{c}_avg")]
+        for c in self.bounds:
+            cols += [F.col(f"{c}_min"), F.col(f"{c}_max")]
+        cols += [F.hll_sketch_estimate(f"{c}_hll").alias(f"{c}_distinct") for c in self.distinct]
+        cols += [F.when(F.kll_sketch_get_n_double(f"{c}_kll") > 0, F.kll_sketch_get_quantile_double(
+            f"{c}_kll", F.array(*[F.lit(float(q)) for q in at]))).alias(f"{c}_quantiles") for c in self.quantiles]
+        return states.select(*cols)
+
+
+def write_states(shards: dict, path: str, states: States, shard_col: str = "shard_id") -> None:
+    """The states of every shard under ``path/shard_id=<id>``; a shard whose rows
+    changed is written again alone, the others' states stay."""
+    for sid, df in sorted(shards.items()):
+        states.of(df).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{shard_col}={sid}")
+
+
+def read_states(spark: SparkSession, path: str, states: States) -> DataFrame:
+    """The merged states of all shards written under ``path``."""
+    return states.merged(spark.read.parquet(path))
+
+
 def ordered(df: DataFrame, key: str) -> DataFrame:
     """K4: globally ordered union (range-partitioned sort)."""
     return df.orderBy(F.col(key).asc_nulls_last(), F.col("shard_id").asc_nulls_last())
@@ -390,3 +452,12 @@ LAB_RULES = [
     Rule(12, r"^DELETE.*WHERE.*id\s*=\s*(\d+)", 30),
 ]
 LAB_HOSTGROUP_SHARD = {10: 1, 20: 2, 30: 3}
+
+# The cluster lab's routing rules (rule id, pattern, hostgroup).
+CLUSTER_RULES = [
+    Rule(1, r"^SELECT .* FOR UPDATE", 10),
+    Rule(2, r"^SELECT", 10),
+    Rule(3, r"^INSERT", 10),
+    Rule(4, r"^UPDATE", 10),
+    Rule(5, r"^DELETE", 10),
+]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import bindings as B
 from ..operators import audit, joins, metrics
+from ..session import scratch_path
 from .registry import register
 
 AS_OF = B.AS_OF_SQL
@@ -88,6 +89,17 @@ def j6_presence(spark, sf):
                           "o_orderkey")
 
 
+@register("j6_presence_bitmaps", f"""WITH r1 AS ({B.REPLICA_ORDERS_SQL}),
+r2 AS (SELECT o_orderkey FROM orders WHERE o_orderkey % 101 <> 7)
+SELECT DISTINCT o.o_orderkey, r1.o_orderkey IS NOT NULL AS on_replica1, r2.o_orderkey IS NOT NULL AS on_replica2,
+       r1.o_orderkey IS NOT NULL AND r2.o_orderkey IS NOT NULL AS all_present
+FROM orders o LEFT JOIN r1 ON r1.o_orderkey = o.o_orderkey LEFT JOIN r2 ON r2.o_orderkey = o.o_orderkey""")
+def j6_presence_bitmaps(spark, sf):
+    return audit.presence_bitmaps(B.source_orders(spark, sf),
+                                  {"replica1": B.replica_orders(spark, sf), "replica2": _replica2(spark, sf)},
+                                  "o_orderkey")
+
+
 @register("j6_missing", f"""WITH r1 AS ({B.REPLICA_ORDERS_SQL})
 SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM r1)""")
 def j6_missing(spark, sf):
@@ -133,6 +145,39 @@ def u2_snapshot_diff_summary(spark, sf):
         audit.diff(B.source_orders(spark, sf), B.replica_orders(spark, sf), "o_orderkey", exact=True))
 
 
+_CHANGED = """s.o_custkey IS DISTINCT FROM r.o_custkey OR s.o_orderstatus IS DISTINCT FROM r.o_orderstatus
+   OR s.o_totalprice IS DISTINCT FROM r.o_totalprice OR s.o_orderdate IS DISTINCT FROM r.o_orderdate
+   OR s.o_orderpriority IS DISTINCT FROM r.o_orderpriority"""
+
+
+@register("u2_differing_ranges", f"""WITH r AS ({B.REPLICA_ORDERS_SQL}),
+b AS (SELECT coalesce(s.o_orderkey, r.o_orderkey) >> 6 AS bucket, s.o_orderkey IS NOT NULL AS in_s,
+             r.o_orderkey IS NOT NULL AS in_r,
+             s.o_orderkey IS NULL OR r.o_orderkey IS NULL OR {_CHANGED} AS differs
+      FROM orders s FULL JOIN r ON s.o_orderkey = r.o_orderkey)
+SELECT bucket, count(*) FILTER (in_s) AS rows_source, count(*) FILTER (in_r) AS rows_replica
+FROM b GROUP BY bucket HAVING bool_or(differs)""")
+def u2_differing_ranges(spark, sf):
+    """Ranges of 64 keys whose stored digests differ."""
+    copies = {"source": B.source_orders(spark, sf), "replica": B.replica_orders(spark, sf)}
+    stored = {}
+    for name, df in copies.items():
+        path = scratch_path(spark, f"digests-{name}")
+        audit.range_digests(df, "o_orderkey", bits=6).write.parquet(path)
+        stored[name] = spark.read.parquet(path)
+    return audit.differing_ranges(stored["source"], stored["replica"])
+
+
+@register("u2_range_diff", f"""WITH r AS ({B.REPLICA_ORDERS_SQL})
+SELECT coalesce(s.o_orderkey, r.o_orderkey) AS o_orderkey,
+       CASE WHEN r.o_orderkey IS NULL THEN 'only_source' WHEN s.o_orderkey IS NULL THEN 'only_replica'
+            ELSE 'changed' END AS status
+FROM orders s FULL JOIN r ON s.o_orderkey = r.o_orderkey
+WHERE r.o_orderkey IS NULL OR s.o_orderkey IS NULL OR {_CHANGED}""")
+def u2_range_diff(spark, sf):
+    return audit.diff_in_ranges(B.source_orders(spark, sf), B.replica_orders(spark, sf), "o_orderkey")
+
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 

@@ -69,6 +69,11 @@ def _written_shards(spark, sf):
     return path, ranges
 
 
+def _read_each(spark, path, ranges):
+    """Every written shard as a table of its own."""
+    return {r.shard_id: spark.read.parquet(f"{path}/shard_id={r.shard_id}") for r in ranges}
+
+
 @register("io1_read_shards", f"""WITH {RANGES_CTE}
 SELECT c_custkey AS id, c_name AS username, {shard_case('c_custkey')} AS shard_id,
        'shard' || CAST({shard_case('c_custkey')} AS VARCHAR) AS shard_name
@@ -91,16 +96,16 @@ def f1_shard_lookup(spark, sf):
 SELECT c_custkey AS id, c_name AS username, {shard_case('c_custkey')} AS shard_id
 FROM customer, r WHERE {shard_case('c_custkey')} IS NOT NULL""")
 def u1_union_guarded(spark, sf):
-    u = B.users(spark, sf).select("id", "username")
-    return shard.union_guarded({1: u, 2: u, 3: u}, _ranges(spark, sf), "id")
+    path, ranges = _written_shards(spark, sf)
+    return shard.union_guarded(_read_each(spark, path, ranges), ranges, "id")
 
 
 @register("k4_ordered_union", f"""WITH {RANGES_CTE}
 SELECT c_custkey AS id, c_name AS username, {shard_case('c_custkey')} AS shard_id
 FROM customer, r WHERE {shard_case('c_custkey')} IS NOT NULL ORDER BY id""")
 def k4_ordered_union(spark, sf):
-    u = B.users(spark, sf).select("id", "username")
-    return shard.ordered(shard.union_guarded({1: u, 2: u, 3: u}, _ranges(spark, sf), "id"), "id")
+    path, ranges = _written_shards(spark, sf)
+    return shard.ordered(shard.union_guarded(_read_each(spark, path, ranges), ranges, "id"), "id")
 
 
 _AUDIT_SQL = """WITH {ranges},
@@ -164,13 +169,39 @@ def a11_shard_balance(spark, sf):
 SELECT status, count(*) AS orders, CAST(sum(total_amount) AS DECIMAL(22,2)) AS total_amount
 FROM o, r WHERE {shard_case('o.user_id')} IS NOT NULL GROUP BY status""")
 def a12_cross_shard_aggregate(spark, sf):
-    o = B.shop_orders(spark, sf)
-    logical = shard.union_guarded({1: o, 2: o, 3: o}, _ranges(spark, sf), "user_id")
+    path, ranges = _written_orders(spark, sf)
+    logical = shard.union_guarded(_read_each(spark, path, ranges), ranges, "user_id")
     return shard.aggregate(logical, "status", [
         F.count(F.lit(1)).alias("orders"),
         F.sum("total_amount").cast("decimal(22,2)").alias("total_amount")])
 
 
+def _written_orders(spark, sf):
+    """Write the orders of in-range users as one directory per shard."""
+    ranges = _ranges(spark, sf)
+    good, _ = shard.assign(B.shop_orders(spark, sf), "user_id", ranges)
+    path = scratch_path(spark, "orders_sharded")
+    shard.write(good.drop("shard_id"), path, "user_id", ranges)
+    return path, ranges
+
+
+ORDER_STATES = shard.States(("status",), sums=("total_amount",), bounds=("user_id", "created_at"))
+
+
+@register("a12_stored_states", f"""WITH {RANGES_CTE}, o AS ({B.SHOP_ORDERS_SQL})
+SELECT status, count(*) AS rows, CAST(sum(total_amount) AS DECIMAL(22,2)) AS total_amount_sum,
+       count(total_amount) AS total_amount_n, min(user_id) AS user_id_min, max(user_id) AS user_id_max,
+       min(created_at) AS created_at_min, max(created_at) AS created_at_max
+FROM o, r WHERE {shard_case('o.user_id')} IS NOT NULL GROUP BY status""")
+def a12_stored_states(spark, sf):
+    """The aggregate from states stored per shard: the shards' rows aren't read again."""
+    path, ranges = _written_orders(spark, sf)
+    stored = scratch_path(spark, "order_states")
+    shard.write_states(_read_each(spark, path, ranges), stored, ORDER_STATES)
+    merged = shard.read_states(spark, stored, ORDER_STATES)
+    return merged.withColumn("total_amount_sum", F.col("total_amount_sum").cast("decimal(22,2)"))
+
+
 @register("j4_cross_shard_join", """
 SELECT o_orderkey // 3 AS local_id, o_orderkey % 3 + 1 AS shard_id, o_custkey, l_linenumber, l_partkey
 FROM orders JOIN lineitem ON l_orderkey // 3 = o_orderkey // 3 AND l_orderkey % 3 = o_orderkey % 3""")
@@ -229,6 +260,25 @@ def s3_route_summary(spark, sf):
     return shard.route_summary(_routed(spark, sf))
 
 
+def _first_rule(value) -> str:
+    return "CASE " + " ".join(f"WHEN regexp_matches(statement, '(?i){r.match_pattern}') THEN {value(r)}"
+                              for r in shard.CLUSTER_RULES) + " END"
+
+
+@register("s3_cluster_rules", f"""WITH q AS ({B.QUERY_LOG_SQL}),
+x AS (SELECT log_id, upper(regexp_extract(statement, '^\\s*([A-Za-z]+)', 1)) AS stmt_type,
+             {_first_rule(lambda r: r.rule_id)} AS rule_id,
+             {_first_rule(lambda r: r.destination_hostgroup)} AS hostgroup FROM q)
+SELECT log_id, stmt_type, CASE WHEN stmt_type IN ('SELECT', 'SHOW', 'DESCRIBE', 'EXPLAIN') THEN 'read' ELSE 'write' END AS kind,
+       rule_id, hostgroup FROM x""")
+def s3_cluster_rules(spark, sf):
+    """The log under the cluster's rules: every statement type goes to one hostgroup, by
+    rules without a key."""
+    q = B.query_log(spark, sf).select("log_id", "statement")
+    return (shard.route_log(q, shard.CLUSTER_RULES, _ranges(spark, sf))
+            .select("log_id", "stmt_type", "kind", "rule_id", "hostgroup"))
+
+
 @register("f2_shard_key_range", f"""WITH {RANGES_CTE}
 SELECT c_custkey AS id, c_name AS username, {shard_case('c_custkey')} AS shard_id
 FROM customer, r WHERE c_custkey BETWEEN 20 AND r.w + 5""")
