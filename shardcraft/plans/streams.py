@@ -15,6 +15,20 @@ from ..streaming import replay
 from .registry import register
 from .sqlfrag import ratio_sql
 
+# Statement shapes of the driver's log as plain replacements, which DuckDB understands;
+# its statements hold quoted text and decimal numbers only
+# (pattern, replacement) in order; understood alike by Java and RE2
+SHAPE_STEPS = [
+    (r"\\.", "_"),                               # an escaped character, so also an escaped quote
+    (r"'[^']*'|\"[^\"]*\"", "?"),               # quoted text; a doubled quote leaves two pieces
+    (r"\?+", "?"),                               # ... which are one literal
+    (r"\b[0-9]+(\.[0-9]+)?\b", "?"),
+    (r"\s+", " "),
+    (r" ?, ?", ", "),
+    (r"\( ?\?", "(?"),
+    (r"(?i)\bIN ?\((\?, )*\? ?\)", "IN (?)"),
+]
+
 # Slow-statement threshold for the driver's query log, whose durations are
 # 0-500 ms (the reference's 2 s limit would select nothing).
 SLOW_MS = 200.0
@@ -160,7 +174,7 @@ def t5_alerts(spark, sf):
 
 def _shape_sql() -> str:
     s = "statement"
-    for pattern, by in MON.SHAPE_STEPS:
+    for pattern, by in SHAPE_STEPS:
         s = "regexp_replace({}, '{}', '{}', 'g')".format(s, pattern.replace("'", "''"), by)
     return f"trim({s})"
 

@@ -121,27 +121,44 @@ def alerts(metrics: DataFrame, thresholds: dict | None = None) -> DataFrame:
     return metrics.withColumn("alert", F.explode(breached))
 
 
+# The kinds of token of a statement, tried in this order at every place.  Repeats are
+# possessive, so a literal of any length needs no deep matching stack; what isn't closed ends with the text.
+_QUOTED = r"%(q)s[^%(q)s\\]*+(?:(?:\\.|%(q)s%(q)s)[^%(q)s\\]*+)*+%(q)s?+"
+SPACE_TOKEN = r"(?:\s++|/\*(?:.*?\*/|.*+)|--(?=\s|\z)[^\n]*+|#[^\n]*+)++"
+LITERAL_TOKEN = "|".join([
+    "[xXbBnN]?+" + _QUOTED % {"q": "'"}, _QUOTED % {"q": '"'},
+    r"0[xX][0-9A-Fa-f]++(?![\w$])", r"0[bB][01]++(?![\w$])",
+    r"(?:[0-9]++(?:\.[0-9]*+)?+|\.[0-9]++)(?:[eE][+-]?+[0-9]++)?+(?![\w$])"])
+OTHER_TOKEN = r"`[^`]*+`?+|[\w$\x{80}-\x{10FFFF}]++|."
+TOKEN = f"(?s){SPACE_TOKEN}|{LITERAL_TOKEN}|{OTHER_TOKEN}"
+
+
 def normalise(statement) -> F.Column:
-    """Statement shape: quoted text (with escaped or doubled quotes inside) and
-    numbers become ``?``, an IN list of any length ``IN (?)``, spaces collapse.
-    Each step is one plain pattern without nested repeats, so a very long
-    literal needs no deep matching stack."""
+    """Statement shape: a lexer cuts the statement into blanks and comments, literals, and
+    anything else.  Literals (quoted text with escaped or doubled quotes, hex and
+    bit strings, numbers with fraction and exponent) become ``?``, blanks and
+    comments one space; names stay as they are, also where they hold digits or, in
+    backticks, anything.  Then an IN list of any length is ``IN (?)``."""
     s = F.col(statement) if isinstance(statement, str) else statement
-    for pattern, by in SHAPE_STEPS:
+    s = F.array_join(F.transform(F.regexp_extract_all(s, F.lit(TOKEN), 0), _shape_of), "")
+    for pattern, by in LIST_STEPS:
         s = F.regexp_replace(s, pattern, by)
     return F.trim(s)
 
 
-# (pattern, replacement) in order; understood alike by Java and RE2
-SHAPE_STEPS = [
-    (r"\\.", "_"),                               # an escaped character, so also an escaped quote
-    (r"'[^']*'|\"[^\"]*\"", "?"),               # quoted text; a doubled quote leaves two pieces
-    (r"\?+", "?"),                               # ... which are one literal
-    (r"\b[0-9]+(\.[0-9]+)?\b", "?"),
-    (r"\s+", " "),
-    (r" ?, ?", ", "),
+def _shape_of(token) -> F.Column:
+    """The token's part of the shape.  A token's first characters name its kind, except
+    for names that begin like a literal."""
+    blank = token.rlike(r"^(?:\s|#|/\*|--)")
+    unsure = token.rlike(r"^[0-9.xXbBnN'\"]")
+    return (F.when(blank, F.lit(" "))
+             .when(unsure & token.rlike(rf"(?s)^(?:{LITERAL_TOKEN})\z"), F.lit("?")).otherwise(token))
+
+
+LIST_STEPS = [
+    (" ?, ?", ", "),
     (r"\( ?\?", "(?"),
-    (r"(?i)\bIN ?\((\?, )*\? ?\)", "IN (?)"),
+    (r"(?i)\bIN ?\((?:\?, )*+\? ?\)", "IN (?)"),
 ]
 
 

@@ -331,7 +331,14 @@ def test_statement_shapes(spark):
     cases = [(r"WHERE a = 'a\'b 9'", "WHERE a = ?"), ("WHERE a = 'it''s'", "WHERE a = ?"),
              ("WHERE a = ''  AND b=3", "WHERE a = ? AND b=?"), ("x IN (1,2 , 3)", "x IN (?)"),
              ("x in ('a')", "x IN (?)"), ("x " + long_list, "x IN (?)"),
-             ("VALUES (1, 'a')", "VALUES (?, ?)"), ('a = "q\'s 7"', "a = ?"), (None, None)]
+             ("VALUES (1, 'a')", "VALUES (?, ?)"), ('a = "q\'s 7"', "a = ?"), (None, None),
+             # comments, hex, exponents, names with digits, escapes outside quotes, open ends
+             ("SELECT 1e5, 0xFF, .5, 3., 2.5E-3, x'0F', b'01'", "SELECT ?, ?, ?, ?, ?, ?, ?"),
+             ("SELECT a -- it's 5\nFROM t /* 'x' 7 */ WHERE b=1 # tail 'q", "SELECT a FROM t WHERE b=?"),
+             ("SELECT t1.c2, `9 o'clock`, 1st FROM db2.t$3", "SELECT t1.c2, `9 o'clock`, 1st FROM db2.t$3"),
+             (r"a \. b = 'c:\\' AND d = 'e'", r"a \. b = ? AND d = ?"),
+             ("a = 'open 5", "a = ?"), ("/* open 5", ""), ("a--1", "a--?"), ("", ""), ("é1 = 'ü''\n'", "é1 = ?"),
+             ("a = '" + r"\'x''" * 50000 + "' AND b = 2", "a = ? AND b = ?"), ("x" * 200000 + " = 5", "x" * 200000 + " = ?")]
     d = spark.createDataFrame([(i, c[0]) for i, c in enumerate(cases)], "id long, s string")
     got = [r.shape for r in d.select("id", MON.normalise("s").alias("shape")).orderBy("id").collect()]
     assert got == [c[1] for c in cases]
