@@ -351,6 +351,16 @@ def io9_compact_events(spark, sf):
     return spark.read.parquet(out)
 
 
+@register("io9_compact_z_order", """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice FROM lineitem""")
+def io9_compact_z_order(spark, sf):
+    """Line items rewritten so that filters on the part, the supplier or the date skip files."""
+    out = scratch_path(spark, "z-order")
+    sio.compact(spark, f"{sf.rstrip('/')}/lineitem.parquet", out, z_order_by=["l_partkey", "l_suppkey", "l_shipdate"])
+    return spark.read.parquet(out).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                                          "l_shipdate", "l_extendedprice")
+
+
 @register("io5_run_documents", """
 SELECT 'day ' || CAST(CAST(ts AS DATE) AS VARCHAR) AS container, CAST(max(ts) AS VARCHAR) AS timestamp,
        event_type AS test_name, max(value) AS duration_ms, count(*) AS rows_returned,

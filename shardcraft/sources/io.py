@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import audit
+from ..operators.runs import RUN, in_runs
 
 
 def append(df: DataFrame, path: str, partition_by=None, fmt: str = "parquet") -> None:
@@ -37,10 +38,27 @@ def snapshot_copy(spark: SparkSession, tables: dict, dst: str, keys: dict) -> Da
     return r.withColumn("verified", F.col("in_sync") & (F.col("diff_rows") == 0))
 
 
+def z_order(df: DataFrame, cols: list[str], name: str = "__z") -> DataFrame:
+    """Adds a space-filling key of several columns: each value's quantile (of 2**8, by a bounded sample,
+    so skewed values and any sortable type spread alike), the quantiles' bits interleaved. Rows near
+    each other in the key are near in every column. NULLs come first."""
+    bits = 9                                       # quantile numbers are 0 to 256
+    for i, c in enumerate(cols):
+        df = in_runs(df, [], c, 1 << (bits - 1)).withColumnRenamed(RUN, f"{name}{i}")
+    k = len(cols)
+    if bits * k > 63:
+        raise ValueError("at most 7 columns")
+    terms = [F.shiftleft(F.shiftright(F.col(f"{name}{i}"), b).bitwiseAND(F.lit(1)).cast("long"), b * k + k - 1 - i)
+             for b in range(bits) for i in range(k)]
+    return df.withColumn(name, reduce(lambda x, y: x.bitwiseOR(y), terms)).drop(*[f"{name}{i}" for i in range(k)])
+
+
 def compact(spark: SparkSession, path: str, out: str, target_mb: int = 256,
-            cluster_by=None, fmt: str = "parquet") -> int:
+            cluster_by=None, fmt: str = "parquet", z_order_by: list[str] | None = None) -> int:
     """IO9: rewrite many small files as files of about ``target_mb``, range
     clustered and sorted by ``cluster_by`` so min/max statistics skip well.
+    ``z_order_by`` clusters by several columns at once (:func:`z_order`): filters on
+    any of them skip files, where ``cluster_by`` serves its first column.
     Writes to a new path (the old one stays readable until it is swapped).
     Returns the number of output partitions."""
     df = spark.read.format(fmt).load(path)
@@ -48,7 +66,13 @@ def compact(spark: SparkSession, path: str, out: str, target_mb: int = 256,
               .groupBy("f").agg(F.max("s").alias("s")).agg(F.coalesce(F.sum("s"), F.lit(0))).first()[0]
     n = max(1, math.ceil(total / (target_mb * 1024 * 1024)))
     cols = [cluster_by] if isinstance(cluster_by, str) else list(cluster_by or [])
-    if cols:
+    if cols and z_order_by:
+        raise ValueError("either cluster_by or z_order_by")
+    if z_order_by:
+        tie = F.xxhash64(*[F.col(c) for c in df.columns])
+        df = (z_order(df, z_order_by).repartitionByRange(n, "__z", tie)
+              .sortWithinPartitions("__z", *z_order_by).drop("__z"))
+    elif cols:
         # a deterministic row hash as the last range key lets one hot value of
         # the clustering key span several files, while keys stay globally ordered
         tie = F.xxhash64(*[F.col(c) for c in df.columns])

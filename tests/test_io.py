@@ -22,6 +22,33 @@ def test_append_accumulates(spark, tmp):
     assert spark.read.parquet(tmp).count() == 20
 
 
+def test_z_order_lets_every_column_skip_files(spark, tmp):
+    src = os.path.join(tmp, "src")
+    df = spark.range(0, 30_000, 1, 4).select(
+        "id", F.pmod(F.xxhash64("id"), F.lit(5000)).alias("a"),
+        F.when(F.col("id") % 50 > 0, F.concat(F.lit("v"), F.lpad(F.pmod(F.hash("id"), F.lit(700)).cast("string"), 3, "0"))).alias("b"))
+    df.write.parquet(src)
+    size = sum(os.path.getsize(os.path.join(src, f)) for f in os.listdir(src) if f.endswith(".parquet"))
+    touched = {}
+    for name, how in (("range", {"cluster_by": ["a", "b"]}), ("z", {"z_order_by": ["a", "b"]})):
+        out = os.path.join(tmp, name)
+        n = sio.compact(spark, src, out, target_mb=size / 32 / (1 << 20), **how)
+        kept = spark.read.parquet(out)
+        assert n in (32, 33) and rows(kept) == rows(df)
+        spans = kept.groupBy("_metadata.file_path").agg(
+            F.min("a").alias("a0"), F.max("a").alias("a1"), F.min("b").alias("b0"), F.max("b").alias("b1"))
+        touched[name] = (spans.where("a0 <= 120 AND a1 >= 100").count(), spans.where("b0 <= 'v120' AND b1 >= 'v100'").count())
+    assert touched["range"][1] >= 30 and touched["z"][1] <= 16 and touched["z"][0] <= 16
+    with pytest.raises(ValueError, match="either"):
+        sio.compact(spark, src, os.path.join(tmp, "x"), cluster_by="a", z_order_by=["b"])
+
+
+def test_z_order_of_an_empty_table_and_equal_values(spark):
+    assert sio.z_order(spark.createDataFrame([], "a int, b string"), ["a", "b"]).count() == 0
+    same = sio.z_order(spark.createDataFrame([(1, None)] * 5, "a int, b string"), ["a", "b"])
+    assert same.select("__z").distinct().count() == 1
+
+
 RUN = {"container": "mysql-default", "timestamp": "2024-01-01T00:00:00Z", "total_duration_ms": 10.0,
        "tests": {"insert": {"records_per_second": "5000"},
                  "select": {"total_duration_ms": 30.0,
