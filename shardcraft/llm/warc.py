@@ -12,8 +12,9 @@ broadcasts it only below its own threshold; otherwise a join with skew
 splitting is used.
 
 Reading: archives are streamed record by record in bounded buffers.  A record
-is checked by its gzip checksum, version line, header lines, length and digest.  After a
-failed check the reader searches for the next valid member (or version line in
+is checked by its gzip checksum, version line, header lines (folded ones too), length and
+digest (hex, base32 or base64); a member may hold any number of records.  A record is held
+in memory as a whole, an archive never is.  After a failed check the reader searches for the next valid member (or version line in
 an archive that isn't compressed), goes on from there, and logs the skipped bytes
 as a quarantined gap.
 
@@ -25,6 +26,7 @@ archives and no rows; other input columns are ignored.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 import zlib
@@ -44,6 +46,9 @@ MANIFEST = "archive string, bytes long, records long"
 READ = ("archive string, position long, kind string, page_id long, record_type string, payload_bytes long, "
         "payload_digest string, refers_to long, uri string, payload binary, gap_bytes long, reason string")
 CHUNK = 1 << 20
+READ_TASKS = 20_000
+#: digest algorithms of archives and their lengths
+DIGEST_BYTES = {"md5": 16, "sha1": 20, "sha256": 32, "sha512": 64}
 _MEMBER = b"\x1f\x8b\x08"
 _VERSION = re.compile(rb"WARC/\d+\.\d+\r?\n")
 
@@ -162,20 +167,44 @@ def parse_head(head: bytes) -> dict[str, str]:
     lines = head.split(b"\r\n")
     if not _VERSION.fullmatch(lines[0] + b"\n"):
         raise Damaged("no version line")
-    out = {}
+    out, last = {}, None
     for line in lines[1:]:
+        if line[:1] in (b" ", b"\t") and last:      # a folded line goes on with the one before
+            out[last] += " " + line.decode("utf-8", "replace").strip()
+            continue
         name, colon, value = line.partition(b":")
         if not colon:
             raise Damaged("bad header line")
-        out[name.decode("latin-1").strip().lower()] = value.decode("utf-8", "replace").strip()
+        last = name.decode("latin-1").strip().lower()
+        out[last] = value.decode("utf-8", "replace").strip()
     if not out.get("content-length", "").isdigit():
         raise Damaged("no length")
     return out
 
 
+def digest_of(label: str) -> tuple[str, str] | None:
+    """Algorithm and lower-case hex value of a digest header, which holds hex, base32 or
+    base64; None without one, or with an algorithm that isn't known."""
+    kind, _, value = label.partition(":")
+    kind, value = kind.strip().lower(), value.strip()
+    if kind not in DIGEST_BYTES:
+        return None
+    n, bare = DIGEST_BYTES[kind], value.rstrip("=")
+    try:
+        if len(value) == 2 * n:
+            return kind, bytes.fromhex(value).hex()
+        if len(bare) == -(-n * 8 // 5):
+            return kind, base64.b32decode(bare.upper() + "=" * (-len(bare) % 8)).hex()
+        if len(bare) == -(-n * 8 // 6):
+            return kind, base64.b64decode(bare + "=" * (-len(bare) % 4), validate=True).hex()
+    except ValueError:
+        pass
+    raise Damaged("digest not readable")
+
+
 def check(head: dict[str, str], block: bytes) -> None:
-    kind, _, value = head.get("warc-block-digest", "").partition(":")
-    if kind == "sha1" and hashlib.sha1(block).hexdigest() != value.lower():
+    told = digest_of(head.get("warc-block-digest", ""))
+    if told and hashlib.new(told[0], block).hexdigest() != told[1]:
         raise Damaged("block digest differs")
 
 
@@ -193,28 +222,65 @@ def split_record(data: bytes) -> tuple[dict[str, str], bytes, int]:
     return head, block, end + 8 + n
 
 
-def read_member(src: Source, pos: int) -> tuple[dict[str, str], bytes, int]:
-    """The record in the gzip member at ``pos`` and the position after it."""
-    z, out = zlib.decompressobj(31), []
-    while not z.eof:
-        piece = src.read(pos)
-        if not piece:
-            raise Damaged("member not ended")
+class Member:
+    """The gzip member at ``pos``, decompressed forward piece by piece."""
+
+    def __init__(self, src: Source, pos: int):
+        self.src, self.pos, self.z = src, pos, zlib.decompressobj(31)
+        self.buf, self.full = bytearray(), False
+
+    def more(self) -> bool:
+        """Lengthen :attr:`buf`; False at the member's end, after its checksum held."""
+        if self.z.eof:
+            return False
+        piece = self.z.unconsumed_tail
+        if not piece and not self.full:
+            piece = self.src.read(self.pos)
+            if not piece:
+                raise Damaged("member not ended")
+            self.pos += len(piece)
         try:
-            out.append(z.decompress(piece))
+            out = self.z.decompress(piece, CHUNK)
         except zlib.error as e:
             raise Damaged(f"gzip: {str(e)[:60]}") from e
-        if len(out) == 1 and out[0] and not out[0].startswith(b"WARC/"[:len(out[0])]):
+        self.buf += out
+        self.full = len(out) == CHUNK
+        if self.z.eof:
+            self.pos -= len(self.z.unused_data)
+        return True
+
+
+def read_member(src: Source, pos: int) -> Iterator[tuple[dict[str, str], bytes]]:
+    """The records in the gzip member at ``pos``; returns the position after it.  One
+    record is held back until the next one, or the member's end, has been checked."""
+    m, held = Member(src, pos), None
+    while True:
+        while len(m.buf) < 5 and m.more():
+            pass
+        if not m.buf:
+            break
+        if not m.buf.startswith(b"WARC/"):
             raise Damaged("no version line")
-        pos += len(piece) - len(z.unused_data)
-    data = b"".join(out)
-    head, block, n = split_record(data)
-    if n != len(data):
-        raise Damaged("more than one record in a member")
-    return head, block, pos
-
-
-def read_plain(src: Source, pos: int) -> tuple[dict[str, str], bytes, int]:
+        while (end := m.buf.find(b"\r\n\r\n")) < 0:
+            if len(m.buf) > 2 * CHUNK or not m.more():
+                raise Damaged("header not ended")
+        stop = end + 8 + int(parse_head(bytes(m.buf[:end]))["content-length"])
+        while len(m.buf) < stop:
+            if not m.more():
+                raise Damaged("length differs")
+        head, block, _ = split_record(bytes(m.buf[:stop]))
+        del m.buf[:stop]
+        if held:
+            yield held
+        held = head, block
+    if not held:
+        raise Damaged("empty member")
+    yield held
+    return m.pos
+
+
+def read_plain(src: Source, pos: int) -> Iterator[tuple[dict[str, str], bytes]]:
+    """The record at ``pos`` of an archive that isn't compressed; returns the position after it."""
     end = src.find(b"\r\n\r\n", pos)
     if end < 0 or end - pos > CHUNK:
         raise Damaged("header not ended")
@@ -230,31 +296,52 @@ def read_plain(src: Source, pos: int) -> tuple[dict[str, str], bytes, int]:
         data.append(src.read(at, stop - at))
         at += len(data[-1])
     head, block, _ = split_record(b"".join(data))
-    return head, block, stop
+    yield head, block
+    return stop
+
+
+class Marks:
+    """The next place of either mark, each searched once however often it is asked for."""
+
+    def __init__(self, src: Source):
+        self.src, self.next = src, {_MEMBER: -1, b"WARC/": -1}
+
+    def after(self, pos: int) -> int:
+        for mark, at in self.next.items():
+            if at <= pos:
+                found = self.src.find(mark, pos + 1)
+                self.next[mark] = found if found >= 0 else self.src.size
+        return min(self.next.values())
 
 
 def salvage(src: Source) -> Iterator[tuple]:
     """``("record", position, head, block)`` and ``("gap", position, bytes, reason)``
-    in file order; together they cover the archive."""
-    pos, gap, why = 0, None, ""
+    in file order; together they cover the archive.  Records of one member share its
+    position; a member that is damaged after some sound records is a gap as a whole."""
+    pos, gap, why, marks = 0, None, "", Marks(src)
     while pos < src.size:
         start = src.read(pos, 3)
         if len(start) < 3:
             start += src.read(pos + len(start), 3 - len(start))
-        read = read_member if start[:2] == _MEMBER[:2] else read_plain
-        try:
-            head, block, after = read(src, pos)
-        except Damaged as e:
+        read = (read_member if start[:2] == _MEMBER[:2] else read_plain)(src, pos)
+        failed = None
+        while failed is None:
+            try:
+                head, block = next(read)
+            except StopIteration as end:
+                pos = end.value
+                break
+            except Damaged as e:
+                failed = e
+                continue
+            if gap is not None:
+                yield "gap", gap, pos - gap, why
+                gap = None
+            yield "record", pos, head, block
+        if failed is not None:
             if gap is None:
-                gap, why = pos, str(e)
-            found = [x for x in (src.find(_MEMBER, pos + 1), src.find(b"WARC/", pos + 1)) if x >= 0]
-            pos = min(found, default=src.size)
-            continue
-        if gap is not None:
-            yield "gap", gap, pos - gap, why
-            gap = None
-        yield "record", pos, head, block
-        pos = after
+                gap, why = pos, str(failed)
+            pos = marks.after(pos)
     if gap is not None:
         yield "gap", gap, src.size - gap, why
 
@@ -264,6 +351,15 @@ def _page(urn: str | None) -> int | None:
     return int(m.group(1)) if m else None
 
 
+def _told(head: dict[str, str]) -> str | None:
+    """The payload digest a revisit tells, as hex; None if it tells none that can be read."""
+    try:
+        told = digest_of(head.get("warc-payload-digest", ""))
+    except Damaged:
+        return None
+    return told[1] if told else None
+
+
 def _read(with_payload: bool):
     def rows(archive: str) -> Iterator[tuple]:
         store, path = fs.FileSystem.from_uri(archive)
@@ -274,7 +370,7 @@ def _read(with_payload: bool):
                     continue
                 payload = y.partition(b"\r\n\r\n")[2] if x.get("content-type", "").startswith("application/http") else y
                 whole = x.get("warc-type") != "revisit"
-                digest = hashlib.sha1(payload).hexdigest() if whole else x.get("warc-payload-digest", "")[5:]
+                digest = hashlib.sha1(payload).hexdigest() if whole else _told(x)
                 size = len(payload) if whole else int(x.get("x-payload-length", 0))
                 yield (archive, pos, "record", _page(x.get("warc-record-id")), x.get("warc-type"), size, digest,
                        _page(x.get("warc-refers-to")), x.get("warc-target-uri"), payload if with_payload else None,
@@ -304,8 +400,12 @@ def _read(with_payload: bool):
 
 def read_archives(archives: DataFrame, with_payload: bool = True) -> DataFrame:
     """Records and quarantined gaps of the archives named in column ``archive``,
-    see :data:`READ`; one task reads whole archives, in bounded buffers."""
-    return archives.select("archive").repartition("archive").mapInArrow(_read(with_payload), READ)
+    see :data:`READ`; one task reads whole archives, in bounded buffers and a record at a time.
+    Names are dealt out to as many tasks as there are archives (at most
+    :data:`READ_TASKS`): names are tiny, so their bytes say nothing about the work."""
+    names = archives.select("archive")
+    tasks = max(1, min(names.count(), READ_TASKS))
+    return names.repartition(tasks).mapInArrow(_read(with_payload), READ)
 
 
 def round_trip(pages: DataFrame, min_bytes: int = 1000) -> DataFrame:

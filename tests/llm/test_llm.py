@@ -217,6 +217,60 @@ def test_warc_salvage(spark, tmp_path, compressed):
     assert gaps == [(starts[2], len(parts[2])), (starts[4], 7), (starts[4] + 7 + len(parts[4]), len(parts[5]) - 30)]
 
 
+def _foreign(i, digest, folded=False):
+    """A record as other writers make it."""
+    import base64
+    block = f"HTTP/1.1 200 OK\r\n\r\n<p>{i} {'y' * 300}</p>".encode()
+    raw = hashlib.sha1(block).digest()
+    value = {"base32": "sha1:" + base64.b32encode(raw).decode(), "base64": "SHA1:" + base64.b64encode(raw).decode(),
+             "sha256": "sha256:" + hashlib.sha256(block).hexdigest(), "other": "blake3:zz", "none": None,
+             "wrong": "sha1:" + "A" * 32}[digest]
+    uri = "http://h/a\r\n \tb" if folded else "http://h/a"
+    head = ["WARC/1.0", "WARC-Type: response", f"WARC-Record-ID: <urn:page:{i}>", f"WARC-Target-URI: {uri}",
+            "Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
+    head += [f"WARC-Block-Digest: {value}"] if value else []
+    return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def _gzip(data):
+    z = zlib.compressobj(6, zlib.DEFLATED, 31)
+    return z.compress(data) + z.flush()
+
+
+def test_warc_foreign_archives(spark, tmp_path):
+    made = [_foreign(i, d, i == 1) for i, d in enumerate(["base32", "base64", "sha256", "other", "none"])]
+    files = {"plain.warc": b"".join(made), "each.warc.gz": b"".join(map(_gzip, made)), "one.warc.gz": _gzip(b"".join(made)),
+             "two.warc.gz": _gzip(b"".join(made[:3])) + _gzip(b"".join(made[3:]))}
+    for name, data in files.items():
+        (tmp_path / name).write_bytes(data)
+    frame = spark.createDataFrame([(str(tmp_path / n),) for n in files], "archive string")
+    rows = warc.read_archives(frame).collect()
+    assert all(r["kind"] == "record" for r in rows)
+    for name in files:
+        mine = sorted((r for r in rows if r["archive"].endswith(name)), key=lambda r: r["page_id"])
+        assert [r["page_id"] for r in mine] == [0, 1, 2, 3, 4]
+        assert mine[1]["uri"] == "http://h/a b" and mine[0]["uri"] == "http://h/a"
+        assert all(r["payload"] == f"<p>{r['page_id']} {'y' * 300}</p>".encode() for r in mine)
+
+
+def test_warc_damage_in_a_member_of_several_records(spark, tmp_path):
+    good = [_foreign(i, "base32") for i in range(4)]
+    first = _gzip(good[0] + good[1] + _foreign(9, "wrong") + good[2])
+    (tmp_path / "a.warc.gz").write_bytes(first + _gzip(good[3]))
+    rows = warc.read_archives(spark.createDataFrame([(str(tmp_path / "a.warc.gz"),)], "archive string")).collect()
+    assert sorted(r["page_id"] for r in rows if r["kind"] == "record") == [0, 3]    # 1 is held back for the check after it
+    assert [(r["position"], r["gap_bytes"], r["reason"]) for r in rows if r["kind"] == "gap"] == [
+        (0, len(first), "block digest differs")]
+
+
+def test_warc_archives_are_dealt_to_tasks(spark, tmp_path):
+    for i in range(8):
+        (tmp_path / f"{i}.warc.gz").write_bytes(_gzip(_foreign(i, "base32")))
+    frame = spark.createDataFrame([(str(tmp_path / f"{i}.warc.gz"),) for i in range(8)], "archive string")
+    tasks = warc.read_archives(frame).withColumn("task", F.spark_partition_id()).select("task").distinct().count()
+    assert tasks > 3
+
+
 # -------------------------------------------------------------- token counts (6)
 
 def test_token_counts(docs):
