@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import audit
 from ..operators.runs import RUN, in_runs
@@ -53,12 +54,32 @@ def z_order(df: DataFrame, cols: list[str], name: str = "__z") -> DataFrame:
     return df.withColumn(name, reduce(lambda x, y: x.bitwiseOR(y), terms)).drop(*[f"{name}{i}" for i in range(k)])
 
 
+def sort_bytes(df: DataFrame):
+    """Bytes of all rows in a sort's memory, about: fixed-width slots, variable parts rounded up,
+    and the sort's own pointers (counted twice, since they grow by doubling). Nested values
+    count by their JSON text, four times."""
+    fixed = 8 * len(df.columns) + 8 * -(-len(df.columns) // 64) + 48
+    parts = [F.lit(fixed)]
+    for f in df.schema:
+        col = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            parts.append(F.octet_length(col) + 8)
+        elif isinstance(f.dataType, T.DecimalType):
+            parts.append(F.lit(16))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+            parts.append(F.octet_length(F.to_json(F.struct(col))) * 4)
+    return F.sum(reduce(lambda a, b: a + b, [F.coalesce(p, F.lit(0)).cast("long") for p in parts]))
+
+
 def compact(spark: SparkSession, path: str, out: str, target_mb: int = 256,
-            cluster_by=None, fmt: str = "parquet", z_order_by: list[str] | None = None) -> int:
+            cluster_by=None, fmt: str = "parquet", z_order_by: list[str] | None = None,
+            sort_mb: int = 1024) -> int:
     """IO9: rewrite many small files as files of about ``target_mb``, range
     clustered and sorted by ``cluster_by`` so min/max statistics skip well.
     ``z_order_by`` clusters by several columns at once (:func:`z_order`): filters on
     any of them skip files, where ``cluster_by`` serves its first column.
+    A file is sorted in one task, so rows that take over ``sort_mb`` in memory make a further
+    file: rows that compress well would else fill a task's memory before they fill a file.
     Writes to a new path (the old one stays readable until it is swapped).
     Returns the number of output partitions."""
     df = spark.read.format(fmt).load(path)
@@ -68,6 +89,8 @@ def compact(spark: SparkSession, path: str, out: str, target_mb: int = 256,
     cols = [cluster_by] if isinstance(cluster_by, str) else list(cluster_by or [])
     if cols and z_order_by:
         raise ValueError("either cluster_by or z_order_by")
+    if cols or z_order_by:
+        n = max(n, math.ceil((df.agg(sort_bytes(df)).first()[0] or 0) / (sort_mb * 1024 * 1024)))
     if z_order_by:
         tie = F.xxhash64(*[F.col(c) for c in df.columns])
         df = (z_order(df, z_order_by).repartitionByRange(n, "__z", tie)

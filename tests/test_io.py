@@ -92,6 +92,23 @@ def test_compact_clusters_by_key(spark, tmp):
     assert len([f for f in os.listdir(out) if f.endswith(".parquet")]) == 1
 
 
+def test_compact_bounds_a_tasks_memory_when_rows_compress_well(spark, tmp):
+    src = os.path.join(tmp, "src")
+    spark.range(0, 40_000, 1, 4).select(
+        "id", F.pmod("id", F.lit(7)).alias("k"), F.lit("x" * 400).alias("s"), F.array(F.lit(1.5)).alias("odd name"),
+        F.when(F.col("id") % 2 == 0, F.lit("y")).alias("t")).write.parquet(src)
+    whole = spark.read.parquet(src)
+    for name, how in (("range", {"cluster_by": ["k", "id"]}), ("z", {"z_order_by": ["k", "id"]})):
+        out = os.path.join(tmp, name)
+        n = sio.compact(spark, src, out, sort_mb=4, **how)
+        files = [r[0] for r in spark.read.parquet(out).groupBy("_metadata.file_path").count().select("count").collect()]
+        assert n >= 5 and len(files) >= 5 and max(files) * 500 < 8 << 20      # was one file, sorted in one task
+        assert spark.read.parquet(out).exceptAll(whole).isEmpty() and spark.read.parquet(out).count() == 40_000
+    assert sio.compact(spark, src, os.path.join(tmp, "plain"), sort_mb=4) == 1      # nothing is sorted
+    spark.createDataFrame([], "k int, s string").write.parquet(os.path.join(tmp, "none"))
+    assert sio.compact(spark, os.path.join(tmp, "none"), os.path.join(tmp, "still"), cluster_by="k") == 1
+
+
 def test_table_inventory(spark):
     inv = audit.table_inventory({"customer": spark.read.parquet(f"{SF_SMALL}/customer.parquet")})
     r = inv.first()
