@@ -43,27 +43,27 @@ RESULT = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
 # ---------------------------------------------------------------- tokenising
 
 class WordCache:
-    """Token ids of texts, from the tokenizer, kept per whitespace-separated chunk.
+    """Token ids of texts, from the tokenizer, kept per pre-token.
 
     The tokenizer drops white space and never joins over it, so a text's ids
-    are the ids of its chunks in order.  Chunks of plain letters, digits and
-    punctuation are split into pre-tokens here.  A batch's unseen pre-tokens go to the
-    tokenizer in one text, each followed by a mark that has an id of its own; chunks of
-    anything else go as they are.  Two generations of bounded size hold what was
-    seen last.
+    are the ids of its chunks in order.  Stretches of plain letters, digits and
+    punctuation are split into pre-tokens here; a chunk with anything else goes as it is,
+    known by a leading space.  A batch's unseen pre-tokens go to the
+    tokenizer in one text, each followed by a mark that has an id of its own.  Two
+    generations of bounded size hold what was seen last.
     """
 
-    PLAIN = re.compile(r"[!-&(-~À-ÖØ-öø-ÿ]+")
-    PRE = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+    ODD = re.compile(r"[^\s!-&(-~À-ÖØ-öø-ÿ]|<\|")
+    APART = re.compile(r"([0-9]|[^a-zß-öø-ÿ0-9\s]+)")      # pre-tokens that white space need not part
     MARK = "\x02"
     KEPT_WHOLE = re.compile("[\x1c-\x1f]")      # str.split() would cut here, the tokenizer doesn't
 
-    def __init__(self, path: str, limit: int = 250_000):
+    def __init__(self, path: str, limit: int = 400_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.limit = limit
-        self.young, self.old, self.pre, self.old_pre = {}, {}, {}, {}
+        self.young, self.old = {}, {}
         self.mark = self.tokenizer.encode(f"a {self.MARK} a", add_special_tokens=False).ids[1:-1]
         ids = self.tokenizer.encode(f"a{self.MARK}", add_special_tokens=False).ids
         if len(self.mark) != 1 or ids[1:] != self.mark:
@@ -72,48 +72,52 @@ class WordCache:
     def _encoded(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn_pre(self, unseen: list[str]) -> None:
+    def _learn(self, unseen: list[str]) -> None:
+        odd = [p for p in unseen if p[0] == " "]
+        self.young.update(zip(odd, self._encoded([p[1:] for p in odd])))
+        unseen = [p for p in unseen if p[0] != " "] if odd else unseen
         if self.mark is None:
-            self.pre.update(zip(unseen, self._encoded(unseen)))
+            self.young.update(zip(unseen, self._encoded(unseen)))
             return
         for s in range(0, len(unseen), 20_000):
             some = unseen[s:s + 20_000]
             raw = self._encoded([f" {self.MARK} ".join(some)])[0]
             ends = np.flatnonzero(np.frombuffer(raw, np.uint32) == self.mark[0]) * 4
             if len(ends) != len(some) - 1:       # a pre-token that holds the mark
-                self.pre.update(zip(some, self._encoded(some)))
+                self.young.update(zip(some, self._encoded(some)))
                 continue
             at = [0, *(ends + 4).tolist()]
-            self.pre.update((p, raw[i:j]) for p, i, j in zip(some, at, [*ends.tolist(), len(raw)]))
-
-    def _learn(self, chunks: list[str]) -> None:
-        plain = [c for c in chunks if self.PLAIN.fullmatch(c) and "<|" not in c]
-        split = [self.PRE.findall(c.lower()) for c in plain]
-        if len(self.pre) >= self.limit:
-            self.pre, self.old_pre = {}, self.pre
-        wanted = {p for s in split for p in s}.difference(self.pre)
-        again = wanted.intersection(self.old_pre)
-        self.pre.update((p, self.old_pre[p]) for p in again)
-        self._learn_pre(list(wanted - again))
-        get = self.pre.__getitem__
-        self.young.update((c, b"".join(map(get, s))) for c, s in zip(plain, split))
-        if len(plain) < len(chunks):
-            others = list(set(chunks).difference(plain))
-            self.young.update(zip(others, self._encoded(others)))
+            self.young.update((p, raw[i:j]) for p, i, j in zip(some, at, [*ends.tolist(), len(raw)]))
+
+    def _plain(self, text: str) -> list[str]:
+        return self.APART.sub(r" \1 ", text.lower()).split()
+
+    def _split(self, text: str) -> list[str]:
+        """A text's pre-tokens, and its odd chunks with a leading space."""
+        if not self.ODD.search(text):
+            return self._plain(text)
+        out, at, text = [], 0, " ".join(text.split())
+        while m := self.ODD.search(text, at):
+            start, end = max(at, text.rfind(" ", at, m.start()) + 1), text.find(" ", m.start())
+            end = len(text) if end < 0 else end
+            out += self._plain(text[at:start])
+            out.append(" " + text[start:end])
+            at = end
+        return out + self._plain(text[at:])
 
     def ids_of(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of every text."""
         whole = [bool(self.KEPT_WHOLE.search(t)) for t in texts]
-        chunks = [[] if w else t.split() for t, w in zip(texts, whole)]
+        split = [[] if w else self._split(t) for t, w in zip(texts, whole)]
         if len(self.young) >= self.limit:
             self.young, self.old = {}, self.young
-        wanted = set().union(*chunks).difference(self.young)
+        wanted = set().union(*split).difference(self.young)
         again = wanted.intersection(self.old)
-        self.young.update((c, self.old[c]) for c in again)
+        self.young.update((p, self.old[p]) for p in again)
         if len(again) < len(wanted):
             self._learn(list(wanted - again))
         get = self.young.__getitem__
-        out = [b"".join(map(get, c)) for c in chunks]
+        out = [b"".join(map(get, s)) for s in split]
         odd = [i for i, w in enumerate(whole) if w]
         for i, ids in zip(odd, self._encoded([texts[i] for i in odd])):
             out[i] = ids

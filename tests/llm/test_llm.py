@@ -514,3 +514,15 @@ def test_word_cache_batches_equal_the_tokenizer():
     for s in (0, 0, 200):
         got = cache.ids_of(texts[s:s + 200])
         assert [np.frombuffer(g, "<u4").tolist() for g in got] == [tok.encode(t, add_special_tokens=False).ids for t in texts[s:s + 200]]
+
+
+def test_word_cache_learns_a_word_once_in_all_its_spellings():
+    from tokenizers import Tokenizer
+
+    tok, cache = Tokenizer.from_file(TOKENIZER), packing.WordCache(TOKENIZER)
+    texts = ["Word, word. (WORD) word7word", "word’s word; a<|b word", "word\u00a0word, don't word"]
+    got = cache.ids_of(texts)
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    plain = {p for p in cache.young if p[0] != " "}
+    assert plain == {"word", ",", ".", "(", ")", "7", ";"}             # was an entry for each chunk
+    assert {p for p in cache.young if p[0] == " "} == {" word’s", " a<|b", " don't"}
