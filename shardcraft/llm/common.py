@@ -5,6 +5,8 @@
 * access to Arrow string columns as UTF-8 bytes, in slices of bounded size;
 * vectorised word splitting and hashing;
 * gap-free numbering of rows within a key without a single-task window;
+* a bitmap of hashed keys, that tells most rows without a match apart before a join
+  moves them;
 * a global "which keys occur more than once" exchange that combines on the
   map side, so that no key ever gathers more than one entry per task.
 """
@@ -16,7 +18,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shardcraft.session import scratch_path
@@ -234,6 +236,36 @@ def rank_bases(ranked: DataFrame, key: str) -> DataFrame:
     return counts.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0)))
 
 
+# ------------------------------------------------------ rows that may match
+
+BITS_A_KEY, MOST_BITS = 16, 1 << 26
+
+
+def split_by(df: DataFrame, key: Column, keys: DataFrame, most_bits: int = MOST_BITS) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``df`` whose ``key`` (a hash, never null) may be in the only column of the written
+    table ``keys``, and the rows that surely have no match there.
+
+    The first part holds every match and a few rows more, so a join of it alone gives the matches and
+    the second part needs none: whole texts are not shuffled to meet a few ids.  The keys
+    are hashed into bitmaps of :data:`BITS_A_KEY` bits a key, ``most_bits`` (8 MB) at most,
+    which is what is broadcast however many keys there are."""
+    bits = 1 << 15
+    while bits < min(most_bits, BITS_A_KEY * keys.count()):
+        bits *= 2
+
+    def spot(c: Column) -> Column:
+        return F.pmod(F.xxhash64(c), F.lit(bits)) + 1
+
+    at = spot(F.col(keys.columns[0]))
+    maps = keys.groupBy(F.bitmap_bucket_number(at).alias("__map")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("__bits"))
+    place = F.bitmap_bit_position(spot(key))
+    byte = F.conv(F.hex(F.expr("__bits").substr((F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    here = (F.bitmap_bucket_number(spot(key)) == F.col("__map")) & (
+        F.getbit(byte, F.pmod(place, F.lit(8)).cast("int")) == 1)
+    return df.join(F.broadcast(maps), here, "left_semi"), df.join(F.broadcast(maps), here, "left_anti")
+
+
 # ------------------------------------------------- keys that occur repeatedly
 
 class _Outbox:

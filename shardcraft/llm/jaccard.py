@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, U64, mix, range_hashes, repeated_keys, slices, text_bytes, words, written
+from .common import SPACE, U64, discard, mix, range_hashes, repeated_keys, slices, split_by, text_bytes, words, written
 
 GROWTH, SIZE_BITS = 1.35, 25
 BLOCK_ROWS, BLOCK_GRAMS = 400, 250_000
@@ -294,9 +294,11 @@ def components(links: DataFrame) -> DataFrame:
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u")
+        last = edges
         edges = written(small.select(F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")),
                                                        F.struct(F.col("v").alias("u"), F.col("m").alias("v"))))
                                      .alias("e")).select("e.u", "e.v").where("u > v").distinct(), "components")
+        discard(last)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break
@@ -316,14 +318,17 @@ def similarity_components(documents: DataFrame, n: int = 5, num: int = 80, den:
         "key", F.col("a").alias("node"), F.shiftright("b", SIZE_BITS).alias("level"),
         F.col("b").bitwiseAND((1 << SIZE_BITS) - 1).alias("n"))
     shared = _dense(shared, "node", Levels(num, den).need)
+    done = [met, shared]
     if shared.isEmpty():
         comps = rows.sparkSession.createDataFrame([], "node long, comp long")
     else:
         comps = _components_of(docs, rows, shared, n, num, den)
+        done.append(comps)
     # a class stands for its component; sets without n-grams stand for themselves
     named = (rows.join(comps.withColumnRenamed("node", "set_id"), "set_id", "left")
              .withColumn("comp", F.when(F.col("n_shingles") > 0, F.coalesce("comp", "set_id"))))
     named = written(named.select("doc_id", "n_shingles", "comp"), "jaccard-rows")
+    discard(*done)
     # written, so that the join deals out both sides anew and splits a large component
     least = written(named.where("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("least")),
                     "jaccard-least")
@@ -337,11 +342,13 @@ def _dense(shared: DataFrame, across: str, need: list[int], rounds: int = 2) ->
     it at least, so a row with fewer segments shared over ``across`` has none, and
     a segment whose other rows went is shared no longer."""
     least = F.element_at(F.array(*map(F.lit, need)), F.col("level") + 1)
-    for _ in range(rounds):
+    for i in range(rounds):
         enough = shared.groupBy("node", "level").agg(F.count("*").alias("segments")).where(F.col("segments") >= least)
         left = shared.join(enough.select("node", "level"), ["node", "level"])
         keys = left.groupBy("key").agg(F.min(across).alias("lo"), F.max(across).alias("hi")).where("lo < hi")
-        shared = written(left.join(keys.select("key"), "key").select(*shared.columns), "jaccard-dense")
+        last, shared = shared, written(left.join(keys.select("key"), "key").select(*shared.columns), "jaccard-dense")
+        if i:
+            discard(last)
     return shared
 
 
@@ -351,7 +358,8 @@ def _components_of(docs, rows, shared, n, num, den) -> DataFrame:
     wanted = written(rows.where("doc_id is not null and n_shingles > 0").groupBy("set_id")
                      .agg(F.min("doc_id").alias("doc_id")).join(nodes, F.col("set_id") == F.col("node"))
                      .select("doc_id").distinct(), "jaccard-wanted")
-    vectors = written(docs.join(wanted, "doc_id").select("doc_id", "text")
+    about, _ = split_by(docs, F.xxhash64("doc_id"), wanted.select(F.xxhash64("doc_id")))
+    vectors = written(about.join(wanted, "doc_id").select("doc_id", "text")
                       .mapInArrow(_vectors(n), "node long, grams binary"), "jaccard-vectors")
     # pass 1: each segment's rows against the one that meets others most often
     ranked = shared.join(nodes, "node")
@@ -359,17 +367,24 @@ def _components_of(docs, rows, shared, n, num, den) -> DataFrame:
     first = written(ranked.join(centre, "key").where((F.col("node") != F.col("c.node")) & fits(F.col("n"), F.col("c.n")))
                     .select(F.col("node").alias("b"), F.col("c.node").alias("a")).distinct(), "jaccard-pairs")
     links = written(linked(first, vectors, num, den), "jaccard-links")
+    discard(wanted, first)
     comps = written(components(links), "jaccard-comps")
     # pass 2: whatever shares a segment over components
     placed = shared.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     split = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
     apart = written(placed.join(split.select("key"), "key").select("key", "comp", "node", "level", "n"), "jaccard-open")
+    done = [vectors, links, apart]
     if not apart.isEmpty():
         apart = _dense(apart, "comp", Levels(num, den).need)
-    if apart.isEmpty():
-        return comps
-    more = written(_open_links(apart, vectors, num, den), "jaccard-links2")
-    return comps if more.isEmpty() else written(components(links.unionAll(more)), "jaccard-comps2")
+        done.append(apart)
+    if not apart.isEmpty():
+        more = _open_links(apart, vectors, num, den)
+        done.append(more)
+        if not more.isEmpty():
+            done.append(comps)
+            comps = written(components(links.unionAll(more)), "jaccard-comps2")
+    discard(*done)
+    return comps
 
 
 def _open_links(apart: DataFrame, vectors: DataFrame, num: int, den: int) -> DataFrame:
@@ -393,8 +408,10 @@ def _open_links(apart: DataFrame, vectors: DataFrame, num: int, den: int) -> Dat
                      "jaccard-packed")
     sides = [packed.select(F.col("block").alias(k), *(F.col(c).alias(f"{c}_{k}") for c in PACKED_COLUMNS))
              for k in ("i", "j")]
-    return (met.join(sides[0], "i").join(sides[1], "j").where("i < j or length(nodes_i) > 8")
-            .mapInArrow(_block_product(num, den), "a long, b long").distinct())
+    out = written(met.join(sides[0], "i").join(sides[1], "j").where("i < j or length(nodes_i) > 8")
+                  .mapInArrow(_block_product(num, den), "a long, b long").distinct(), "jaccard-links2")
+    discard(placed, packed)
+    return out
 
 
 def keep_one(documents: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -414,7 +431,9 @@ def keep_one(documents: DataFrame, n: int = 5, num: int = 80, den: int = 100) ->
     least = written(named.groupBy("comp").agg(F.min("place").alias("least")), "jaccard-kept")
     gone = written(named.join(least, "comp").where(F.col("place") != F.col("least")).select("row"), "jaccard-gone")
     again = written(ids.where("n > 1").select("row").join(gone, "row", "left_anti"), "jaccard-again")
-    kept = documents.join(gone.unionAll(again), key == F.col("row"), "left_anti")
+    maybe, kept = split_by(documents, key, gone.unionAll(again))
+    kept = kept.unionAll(maybe.join(gone.unionAll(again), key == F.col("row"), "left_anti"))
     if again.isEmpty():
         return kept
-    return kept.unionAll(documents.join(again, key == F.col("row"), "left_semi").dropDuplicates(["doc_id", "text"]))
+    more, _ = split_by(documents, key, again)
+    return kept.unionAll(more.join(again, key == F.col("row"), "left_semi").dropDuplicates(["doc_id", "text"]))

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, mix, range_hashes, slices, text_bytes, written
+from .common import U64, mix, range_hashes, slices, split_by, text_bytes, written
 
 SCORE = "doc_id long, text_hash long, n_grams long, log_weight double, mean_log_ratio double, gumbel_key double"
 
@@ -225,5 +225,7 @@ def keep_good(documents: DataFrame, labels: DataFrame, **parameters) -> DataFram
     """The documents that :func:`classify` keeps, with all their columns."""
     gone = written(classify(documents, labels, **parameters).where(~F.col("kept"))
                    .select(F.col("doc_id").alias("gone_id"), "text_hash").distinct(), "quality-gone")
-    return documents.join(gone, documents["doc_id"].eqNullSafe(gone["gone_id"])
-                          & (F.xxhash64(documents["text"]) == gone["text_hash"]), "left_anti")
+    maybe, kept = split_by(documents, F.xxhash64("doc_id", F.xxhash64("text")),
+                           gone.select(F.xxhash64("gone_id", "text_hash")))
+    return kept.unionAll(maybe.join(gone, maybe["doc_id"].eqNullSafe(gone["gone_id"])
+                                    & (F.xxhash64(maybe["text"]) == gone["text_hash"]), "left_anti"))

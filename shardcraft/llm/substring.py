@@ -36,7 +36,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import NOT_WORD, U64, discard, range_hashes, repeated_keys, slices, text_bytes, words, written
+from .common import (NOT_WORD, U64, discard, range_hashes, repeated_keys, slices, split_by, text_bytes, words,
+                     written)
 
 UNIT = 8                      # words of a piece at most
 BEFORE, AFTER = 2 * UNIT, 3 * UNIT
@@ -205,7 +206,8 @@ def remove_repeats(documents: DataFrame, min_words: int = 20) -> DataFrame:
     ends = written(ends.where("later and not inner"), "substring-ends")
     near = ends.select("doc_id", "b").unionAll(ends.select("first.doc_id", "first.b")).distinct()
     near = written(near.groupBy("doc_id").agg(F.collect_list("b").alias("near")), "substring-near")
-    windows = _placed(repeated_keys(docs.join(near, "doc_id").select("doc_id", "text", "near"),
+    about, _ = split_by(docs, F.xxhash64("doc_id"), near.select(F.xxhash64("doc_id")))
+    windows = _placed(repeated_keys(about.join(near, "doc_id").select("doc_id", "text", "near"),
                                     _emit_windows(min_words), "substring-windows", splits=2),
                       "substring-first-windows")
     discard(ends, near)
@@ -213,7 +215,10 @@ def remove_repeats(documents: DataFrame, min_words: int = 20) -> DataFrame:
             .unionByName(windows.drop("first").withColumn("whole", F.lit(False))).where("later")
             .groupBy("doc_id").agg(F.collect_list(F.struct("whole", "b", "key", "own")).alias(RUNS)))
     names = [c for c in documents.columns if c not in COUNTS]
-    joined = documents.select(*names).join(written(gone, "substring-gone"), "doc_id", "left").select(*names, RUNS)
+    gone = written(gone, "substring-gone")
+    hit, rest = split_by(documents.select(*names), F.xxhash64("doc_id"), gone.select(F.xxhash64("doc_id")))
+    none = F.lit(None).cast(gone.schema[RUNS].dataType).alias(RUNS)
+    joined = hit.join(gone, "doc_id", "left").select(*names, RUNS).unionAll(rest.select(*names, none))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.select(*names).schema)
     return joined.mapInArrow(_strip(min_words), f"{fields}, n_sentences long, n_removed long, n_words_removed long")
 

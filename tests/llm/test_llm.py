@@ -526,3 +526,32 @@ def test_word_cache_learns_a_word_once_in_all_its_spellings():
     plain = {p for p in cache.young if p[0] != " "}
     assert plain == {"word", ",", ".", "(", ")", "7", ";"}             # was an entry for each chunk
     assert {p for p in cache.young if p[0] == " "} == {" word’s", " a<|b", " don't"}
+
+
+def test_rows_without_a_match_are_told_apart_before_a_join(spark):
+    df = spark.createDataFrame([(i if i % 11 else None, f"t{i}") for i in range(4000)], "doc_id long, text string").repartition(5)
+    keys = common.written(spark.createDataFrame([(i,) for i in range(0, 9000, 9)], "k long"), "t")
+    for most in (common.MOST_BITS, 1 << 15):
+        maybe, rest = common.split_by(df, F.coalesce("doc_id", F.lit(-1)), keys, most)
+        a, b = ([r.text for r in x.collect()] for x in (maybe, rest))
+        matches = {f"t{i}" for i in range(0, 4000, 9) if i % 11}
+        assert sorted(a + b) == sorted(f"t{i}" for i in range(4000)) and matches <= set(a) and len(a) < 700
+    maybe, rest = common.split_by(df, F.xxhash64("doc_id"), keys.where("false"))
+    assert maybe.count() == 0 and rest.count() == 4000
+
+
+def test_texts_without_a_match_are_not_shuffled(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rng = random.Random(6)
+        texts = [" ".join(f"w{rng.randrange(9000)}" for _ in range(80)) for _ in range(300)]
+        rows = [(i, t) for i, t in enumerate(texts)] + [(1000 + i, t) for i, t in enumerate(texts[:9])] + [(None, None), (7, texts[7])]
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        for out, n in ((jaccard.keep_one(df), 301), (substring.strip_repeats(df), 311)):
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            assert "Union" in plan and "LeftAnti" in plan          # most rows pass beside the join
+            got = [r.text for r in out.collect()]
+            assert set(texts) | {None} <= set(got) and len(got) == n
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
