@@ -15,7 +15,7 @@
 3. **Summed across shards.**  An interval's size is the n-gram's count in its
    shard.  (first part, last part, count) entries travel packed to the part's bucket, are
    summed there, and the frequent ones get a number.  Each shard is told the numbers
-   of its own frequent n-grams and drops the words that none of them covers.
+   of its own frequent n-grams, packed as well, and drops the words that none of them covers.
 
 Counts are exact: nothing is sampled and no local count is too small to travel.
 Buckets grow in number with the words of the corpus, so a bucket, like a shard, is
@@ -37,10 +37,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import discard, shuffle_partitions, text_bytes, written
+from .common import discard, shuffle_partitions, split_by, text_bytes, written
 
 SHARD_WORDS = 1 << 20          # words and breaks of a shard, about
 BUCKET_ENTRIES = 400_000       # n-gram entries of a bucket, about
+PACKED_ROWS = 1 << 20          # entries that are packed at once, about
 TEXT_BYTES = 1 << 20           # a longer text may be cut between pieces
 BREAK = 0                      # symbol between pieces
 
@@ -210,7 +211,9 @@ class Shard:
         self.words, self.grams, self.numbers = words, grams, numbers
 
     def cell(self) -> bytes:
-        parts = [packed(self.words.astype(np.int32)), packed(self.grams.astype(np.int32)), packed(self.numbers)]
+        plain = np.array_equal(self.grams, self.words - 1)         # single words are their own n-grams
+        parts = [packed(self.words.astype(np.int32)), b"" if plain else packed(self.grams.astype(np.int32)),
+                 packed(self.numbers)]
         head = np.array([len(self.words), len(self.numbers), *map(len, parts)], np.int64).tobytes()
         return head + b"".join(parts)
 
@@ -218,7 +221,8 @@ class Shard:
     def of(cls, cell: bytes) -> Shard:
         n, m, a, b, c = (int(x) for x in np.frombuffer(cell, np.int64, 5))
         at = 40
-        return cls(unpacked(cell[at:at + a], n, np.int32), unpacked(cell[at + a:at + a + b], n, np.int32),
+        words = unpacked(cell[at:at + a], n, np.int32)
+        return cls(words, unpacked(cell[at + a:at + a + b], n, np.int32) if b else words - 1,
                    unpacked(cell[at + a + b:at + a + b + c], m))
 
     @classmethod
@@ -283,40 +287,74 @@ def bucket_of(p: np.ndarray, s: np.ndarray, buckets: int) -> np.ndarray:
     return ((h >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
+TOLD = "shard long, size long, cell binary"
+
+
+def _told_cells(shard: np.ndarray, a: np.ndarray, b: np.ndarray, number: np.ndarray) -> list[tuple[int, int, bytes]]:
+    """(shard, size, cell): (a, b, number) entries packed per shard, in the given order."""
+    order = np.argsort(shard, kind="stable")
+    shard = shard[order]
+    cut = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1], True]) if len(shard) else [0]
+    out = []
+    for s, e in zip(cut[:-1], cut[1:]):
+        own = order[s:e]
+        parts = [packed(np.diff(a[own], prepend=0)), packed(b[own]), packed(np.diff(number[own], prepend=0))]
+        out.append((int(shard[s]), int(e - s), np.array([len(x) for x in parts], np.int64).tobytes() + b"".join(parts)))
+    return out
+
+
+def _told_entries(size: int, cell: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    at = np.r_[24, np.frombuffer(cell, np.int64, 3).cumsum() + 24]
+    a, b, number = (unpacked(cell[s:e], size) for s, e in zip(at[:-1], at[1:]))
+    return np.cumsum(a), b, np.cumsum(number)
+
+
+def _pack_told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(shard, a, number) rows packed per shard, some at a time."""
+    held, n = [], 0
+
+    def out() -> pa.RecordBatch:
+        shard, a, number = (np.concatenate(x) for x in zip(*held))
+        order = np.argsort(a, kind="stable")
+        cells = _told_cells(shard[order], a[order], np.zeros(len(a), np.int64), number[order])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(x), t) for x, t in zip(zip(*cells), (pa.int64(), pa.int64(), pa.binary()))],
+            ["shard", "size", "cell"])
+
+    for b in batches:
+        if b.num_rows:
+            held.append(tuple(c.to_numpy() for c in b.columns))
+            n += b.num_rows
+        if n >= PACKED_ROWS:
+            yield out()
+            held, n = [], 0
+    if held:
+        yield out()
+
+
 COUNTED = "shard long, bucket long, size long, cell binary"
 
 
 def _count(buckets: int, depth: int):
-    """Rows (shard, kind, a, b, number, size, cell) sorted by shard and kind: what the
+    """Rows (shard, kind, size, cell) sorted by shard and kind: what the
     shard was told, then its cell.  Out come its entries per bucket, and the shard."""
 
-    def told(rows):
-        a, b, number = (np.concatenate(x) for x in zip(*rows)) if rows else (np.zeros(0, np.int64),) * 3
-        return a, b, number
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, rows = None, []
         for batch in batches:
-            shards = batch.column("shard").to_numpy()
-            cuts = np.flatnonzero(np.r_[True, shards[1:] != shards[:-1]]) if len(shards) else []
-            for start, end in zip(cuts, np.r_[cuts[1:], len(shards)] if len(shards) else []):
-                part = batch.slice(start, end - start)
-                if shards[start] != now:
-                    now, rows = shards[start], []
-                kind = part.column("kind").to_numpy()
-                n = int((kind == 0).sum())
-                if n:
-                    rows.append(tuple(part.column(c).slice(0, n).fill_null(0).to_numpy() for c in ("a", "b", "number")))
-                if n == part.num_rows:
+            for number, kind, size, cell in zip(*(batch.column(c).to_pylist() for c in ("shard", "kind", "size", "cell"))):
+                if number != now:
+                    now, rows = number, []
+                if kind == 0:
+                    rows.append(_told_entries(size, cell))
                     continue
-                a, b, number = told(rows)
-                cell = part.column("cell")[n].as_py()
+                told = [np.concatenate(x) for x in zip(*rows)] if rows else [np.zeros(0, np.int64)] * 3
+                rows = []
                 if depth == 1:
-                    shard = Shard.first(unpacked(cell, part.column("size")[n].as_py(), np.int32), a, number)
+                    shard = Shard.first(unpacked(cell, size, np.int32), told[0], told[2])
                 else:
-                    shard = Shard.of(cell).deeper(a, b, number, depth)
-                rows = []
-                yield from out(int(now), shard)
+                    shard = Shard.of(cell).deeper(*told, depth)
+                yield from out(number, shard)
 
     def out(number: int, shard: Shard) -> Iterator[pa.RecordBatch]:
         p, s, n = shard.entries(depth)
@@ -338,12 +376,14 @@ def _count(buckets: int, depth: int):
     return run
 
 
-SUMMED = "shard long, a long, b long, number long, f long"
+SUMMED = "shard long, a long, b long, number long, f long, size long, cell binary"
 
 
 def _sum(least: int):
     """Entries sorted by bucket: frequent n-grams (``shard`` null, with their counts),
-    and per shard the ones that it has."""
+    and per shard the ones that it has, packed."""
+    names = ["shard", "a", "b", "number", "f", "size", "cell"]
+    types = [*[pa.int64()] * 6, pa.binary()]
 
     def merged(bucket: int, held: list) -> Iterator[pa.RecordBatch]:
         p, s, n = (np.concatenate([h[k] for h in held]) for k in (1, 2, 3))
@@ -355,13 +395,20 @@ def _sum(least: int):
         many = f >= least
         number = bucket << 32 | np.cumsum(many) - 1
         own = np.repeat(many, np.diff(np.r_[start, len(p)]))
-        for k, rows in ((0, np.flatnonzero(own)), (1, start[many])):
-            if not len(rows):
-                continue
-            of = np.searchsorted(start, rows, side="right") - 1
+        rows = np.flatnonzero(own)
+        if not len(rows):
+            return
+        of = np.searchsorted(start, rows, side="right") - 1
+        cells = _told_cells(shard[rows], p[rows], s[rows], number[of])
+        for e in range(0, len(cells), 500):
+            shards, size, cell = zip(*cells[e:e + 500])
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(len(rows), pa.int64()) if k else pa.array(shard[rows]), pa.array(p[rows]), pa.array(s[rows]),
-                 pa.array(number[of]), pa.array(f[of])], ["shard", "a", "b", "number", "f"])
+                [pa.array(shards), *(pa.nulls(len(size), pa.int64()) for _ in range(4)), pa.array(size),
+                 pa.array(cell, pa.binary())], schema=pa.schema(list(zip(names, types))))
+        rows = start[many]
+        yield pa.RecordBatch.from_arrays(
+            [pa.nulls(len(rows), pa.int64()), pa.array(p[rows]), pa.array(s[rows]), pa.array(number[many]), pa.array(f[many]),
+             pa.nulls(len(rows), pa.int64()), pa.nulls(len(rows), pa.binary())], schema=pa.schema(list(zip(names, types))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, []
@@ -400,28 +447,26 @@ def mine_phrases(documents: DataFrame, least: int = 30, longest: int = 4,
     buckets = max(parts, -(-every // BUCKET_ENTRIES))
     level = known.select("number", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "f",
                          F.array("f").alias("heads"), F.array("f").alias("tails"))
-    told = (vocabulary.select("shard", "lang", "word", F.col("number").alias("local"))
+    frequent, _ = split_by(vocabulary, F.xxhash64("lang", "word"), known.select(F.xxhash64("lang", "word")))
+    told = (frequent.select("shard", "lang", "word", F.col("number").alias("local"))
             .join(known.select("lang", "word", "number"), ["lang", "word"])
-            .select("shard", F.col("local").cast("long").alias("a"), F.lit(0).cast("long").alias("b"), "number"))
+            .select("shard", F.col("local").cast("long").alias("a"), "number").mapInArrow(_pack_told, TOLD))
     cells = raw.where("cell is not null").select("shard", "size", "cell")
     levels, before = [], [raw]
     for depth in range(1, longest):
-        none = F.lit(None)
-        rows = told.select("shard", F.lit(0).alias("kind"), "a", "b", "number", none.cast("long").alias("size"),
-                           none.cast("binary").alias("cell")).unionAll(
-            cells.select("shard", F.lit(1).alias("kind"), none.cast("long").alias("a"), none.cast("long").alias("b"),
-                         none.cast("long").alias("number"), "size", "cell"))
+        rows = told.select("shard", F.lit(0).alias("kind"), "size", "cell").unionAll(
+            cells.select("shard", F.lit(1).alias("kind"), "size", "cell"))
         counted = written(rows.repartition(parts, "shard").sortWithinPartitions("shard", "kind")
                           .mapInArrow(_count(buckets, depth), COUNTED), f"phrases-counted-{depth + 1}")
+        discard(*before)
+        before = [counted]
         summed = written(counted.where("bucket >= 0").repartition(parts, "bucket").sortWithinPartitions("bucket")
                          .mapInArrow(_sum(least), SUMMED), f"phrases-summed-{depth + 1}")
-        longer = summed.where("shard is null")
+        longer = summed.where("shard is null").select("a", "b", "number", "f")
         levels.append(_extended(level, longer))
         level = written(_joined(level, longer), f"phrases-level-{depth + 1}")
-        told = summed.where("shard is not null").select("shard", "a", "b", "number")
+        told = summed.where("shard is not null").select("shard", "size", "cell")
         cells = counted.where("bucket < 0").select("shard", "size", "cell")
-        discard(*before)
-        before = [counted]
     levels.append(level.withColumns({"right_f": F.lit(None).cast("long"), "left_f": F.lit(None).cast("long")}))
     phrases = None
     for i, df in enumerate(levels):

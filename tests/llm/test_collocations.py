@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from shardcraft.llm import collocations
@@ -74,3 +75,22 @@ def test_long_texts_are_cut_between_pieces():
     cuts = list(collocations._cuts(text))
     assert b"".join(cuts) == text and len(cuts) > 2 and all(c.endswith(b"\n") for c in cuts[:-1])
     assert list(collocations._cuts(b"")) == [b""]
+
+
+def test_what_shards_are_told_is_packed():
+    rng = np.random.default_rng(5)
+    n = 20_000
+    shard, a, number = rng.integers(0, 3, n), np.sort(rng.integers(0, 1 << 40, n)), np.arange(n) + (7 << 32)
+    b = rng.integers(0, 1 << 20, n)
+    cells = collocations._told_cells(shard, a, b, number)
+    assert [c[0] for c in cells] == [0, 1, 2] and sum(len(c[2]) for c in cells) < 11 * n    # rows took 29 bytes each
+    for k, size, cell in cells:
+        for got, want in zip(collocations._told_entries(size, cell), (a, b, number)):
+            assert got.tolist() == want[shard == k].tolist()
+    words = np.r_[0, rng.integers(0, 900, n)].astype(np.int32)
+    first = collocations.Shard(words, words - 1, np.arange(900))
+    deep = collocations.Shard(words, np.where(words > 800, words - 700, -1).astype(np.int32), np.arange(900))
+    assert len(first.cell()) < 2 * n and len(first.cell()) < len(deep.cell())
+    for x in (first, deep):
+        y = collocations.Shard.of(x.cell())
+        assert (x.words == y.words).all() and (x.grams == y.grams).all() and (x.numbers == y.numbers).all()
