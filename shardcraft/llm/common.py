@@ -4,6 +4,7 @@
   that survive a lost executor);
 * access to Arrow string columns as UTF-8 bytes, in slices of bounded size;
 * vectorised word splitting and hashing;
+* what a reused Python worker keeps between tasks, one operator's at a time;
 * gap-free numbering of rows within a key without a single-task window;
 * a bitmap of hashed keys, that tells most rows without a match apart before a join
   moves them;
@@ -193,6 +194,28 @@ def words(texts: list[bytes], separators: np.ndarray):
     return buf, doc_start, start, end, doc
 
 
+# -------------------------------------------- what a Python worker keeps
+
+_KEPT: dict[tuple, object] = {}
+
+
+def kept(key: tuple, make: Callable[[], object]) -> object:
+    """``make()``, kept by a reused Python worker from task to task: one thing at a time,
+    until something else is asked for or another operator's task calls :func:`let_go`."""
+    if key not in _KEPT:
+        let_go()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def let_go() -> None:
+    """Drop what earlier tasks left in this Python worker.  Spark reuses workers over jobs, so the
+    cache of one operator would lie beside the next one's data as long as the session lives."""
+    for held in (_KEPT, _POW, _FIELD):
+        held.clear()
+    pa.default_memory_pool().release_unused()
+
+
 # ---------------------------------------------------------------- numbering
 
 def local_ranks(keys: np.ndarray, seen: dict[int, int]) -> np.ndarray:

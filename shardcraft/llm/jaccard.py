@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, U64, discard, mix, range_hashes, repeated_keys, slices, split_by, text_bytes, words, written
+from .common import SPACE, U64, discard, let_go, mix, range_hashes, repeated_keys, slices, split_by, text_bytes, words, written
 
 GROWTH, SIZE_BITS = 1.35, 25
 BLOCK_ROWS, BLOCK_GRAMS = 400, 250_000
@@ -129,6 +129,7 @@ class Levels:
 
 def _emit(n: int, num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]):
+        let_go()
         levels = Levels(num, den)
         for b in batches:
             ids, texts = b.column(0).to_pylist(), text_bytes(b.column(1))
@@ -164,6 +165,7 @@ def _entries(held):
 
 def _vectors(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for b in batches:
             for s in range(0, b.num_rows, 256):
                 sets = [g for g in shingle_sets(text_bytes(b.column(1).slice(s, 256)), n) if len(g)]

@@ -20,7 +20,6 @@ columns are ignored.
 
 from __future__ import annotations
 
-import functools
 import re
 import zlib
 from array import array
@@ -33,10 +32,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import local_ranks, rank_bases, written
+from .common import kept, local_ranks, rank_bases, written
 
 PIECE = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part int, rank long")
-TEXT_CHARS = 4 << 20           # characters that are looked up at once, about
+TEXT_CHARS = 1 << 19           # characters that are looked up at once, about
 RESULT = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, `offset` long")
 
 
@@ -58,7 +57,7 @@ class WordCache:
     MARK = "\x02"
     KEPT_WHOLE = re.compile("[\x1c-\x1f]")      # str.split() would cut here, the tokenizer doesn't
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 300_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -127,10 +126,9 @@ class WordCache:
         return self.ids_of([text])[0]
 
 
-@functools.lru_cache(maxsize=1)
 def worker_cache(path: str) -> WordCache:
     """The worker's cache, kept from task to task; its size is bounded."""
-    return WordCache(path)
+    return kept((WordCache, path), lambda: WordCache(path))
 
 
 def _ids(cache: WordCache, texts: pa.Array) -> Iterator[bytes]:

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, mix, range_hashes, slices, split_by, text_bytes, written
+from .common import U64, let_go, mix, range_hashes, slices, split_by, text_bytes, written
 
 SCORE = "doc_id long, text_hash long, n_grams long, log_weight double, mean_log_ratio double, gumbel_key double"
 
@@ -106,6 +106,7 @@ def ngram_counts(docs: DataFrame, good: set[int], buckets: int) -> tuple[np.ndar
     Tasks add up their rows first; at most ``buckets`` rows reach the driver."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         raw, target = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
         for b in batches:
             ids, texts = b.column(0).to_pylist(), text_bytes(b.column(1))
@@ -139,6 +140,7 @@ def scores(docs: DataFrame, ratio: np.ndarray, seed: int) -> DataFrame:
     buckets = len(ratio)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for b in batches:
             ids, texts, text_hash = b.column(0), text_bytes(b.column(1)), b.column(2)
             n, total = np.zeros(len(texts), np.int64), np.zeros(len(texts))

@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import (NOT_WORD, U64, discard, range_hashes, repeated_keys, slices, split_by, text_bytes, words,
+from .common import (NOT_WORD, U64, discard, let_go, range_hashes, repeated_keys, slices, split_by, text_bytes, words,
                      written)
 
 UNIT = 8                      # words of a piece at most
@@ -98,6 +98,7 @@ def _listed(col: pa.Array, s: int, e: int) -> tuple[np.ndarray, pa.Array]:
 
 def _emit_runs(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]):
+        let_go()
         for b in batches:
             known = np.flatnonzero(b.column(0).is_valid().to_numpy(zero_copy_only=False))
             ids = b.column(0).fill_null(0).to_numpy(zero_copy_only=False)[known]
@@ -111,6 +112,7 @@ def _emit_runs(min_words: int):
 def _emit_windows(min_words: int):
     """All windows about the runs with the listed numbers."""
     def run(batches: Iterator[pa.RecordBatch]):
+        let_go()
         for b in batches:
             ids, texts = b.column(0).to_numpy(zero_copy_only=False), text_bytes(b.column(1))
             for s, e in slices(texts):
@@ -155,6 +157,7 @@ def _gone(x: Spans, d: np.ndarray, found: pa.Array, min_words: int) -> np.ndarra
 
 def _strip(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for b in batches:
             texts = text_bytes(b.column("text"))
             out, n, gone, lost = [], [], [], []
