@@ -14,8 +14,9 @@
    it counted at all: no (n+1)-gram is frequent unless both are.
 3. **Summed across shards.**  An interval's size is the n-gram's count in its
    shard.  (first part, last part, count) entries travel packed to the part's bucket, are
-   summed there, and the frequent ones get a number.  Each shard is told the numbers
-   of its own frequent n-grams, packed as well, and drops the words that none of them covers.
+   summed there, and the frequent ones get a number.  A bucket answers each shard's entries in
+   their own order, a bit each and the numbers of the frequent ones; the shard forms its entries again
+   from its words, so they don't travel back, and drops the words that no frequent one covers.
 
 Counts are exact: nothing is sampled and no local count is too small to travel.
 Buckets grow in number with the words of the corpus, so a bucket, like a shard, is
@@ -37,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import discard, shuffle_partitions, split_by, text_bytes, written
+from .common import discard, discard_part, let_go, shuffle_partitions, split_by, text_bytes, written
 
 SHARD_WORDS = 1 << 20          # words and breaks of a shard, about
 BUCKET_ENTRIES = 400_000       # n-gram entries of a bucket, about
@@ -97,6 +98,7 @@ SHARD = "shard long, lang string, word string, number int, n long, size long, ce
 
 def _shards(shard_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         part, turn = TaskContext.get().partitionId(), 0
         words: dict[str, _Words] = {}
         held, total = [], 0
@@ -213,7 +215,7 @@ class Shard:
     def cell(self) -> bytes:
         plain = np.array_equal(self.grams, self.words - 1)         # single words are their own n-grams
         parts = [packed(self.words.astype(np.int32)), b"" if plain else packed(self.grams.astype(np.int32)),
-                 packed(self.numbers)]
+                 packed(np.diff(self.numbers, prepend=0))]      # ascending
         head = np.array([len(self.words), len(self.numbers), *map(len, parts)], np.int64).tobytes()
         return head + b"".join(parts)
 
@@ -223,7 +225,7 @@ class Shard:
         at = 40
         words = unpacked(cell[at:at + a], n, np.int32)
         return cls(words, unpacked(cell[at + a:at + a + b], n, np.int32) if b else words - 1,
-                   unpacked(cell[at + a + b:at + a + b + c], m))
+                   np.cumsum(unpacked(cell[at + a + b:at + a + b + c], m)))
 
     @classmethod
     def first(cls, text: np.ndarray, local: np.ndarray, numbers: np.ndarray) -> Shard:
@@ -234,24 +236,21 @@ class Shard:
         words = place[text]
         return cls(words, words - 1, numbers[order]).shrunk(1)
 
-    def deeper(self, p: np.ndarray, s: np.ndarray, numbers: np.ndarray, depth: int) -> Shard:
-        """With the frequent n-grams one word longer, (first part, last part) -> number."""
-        have = self.numbers
-        known = np.isin(p, have) & np.isin(s, have)
-        a, b = np.searchsorted(have, p[known]), np.searchsorted(have, s[known])
-        order = np.argsort(numbers[known])
-        numbers = numbers[known][order]
-        key = a[order] * len(have) + b[order]
-        sorting = np.argsort(key)
-        key = key[sorting]
+    def deeper(self, answers: list[tuple[int, bytes]], buckets: int, depth: int) -> Shard:
+        """With the frequent n-grams one word longer, from what buckets answered to :meth:`entries`."""
+        have, n = self.numbers, max(len(self.numbers), 1)
         follow = np.r_[self.grams[1:], -1]
         at = np.flatnonzero((self.grams >= 0) & (follow >= 0))
-        want = self.grams[at].astype(np.int64) * len(have) + follow[at]
-        found = np.minimum(np.searchsorted(key, want), max(len(key) - 1, 0))
+        pairs, which = np.unique(self.grams[at].astype(np.int64) * n + follow[at], return_inverse=True)
+        order, cut = _dealt(have[pairs // n], have[pairs % n], buckets)
+        number = np.full(len(pairs), -1, np.int64)
+        for size, cell in answers:
+            bucket, many, numbers = _answered(size, cell)
+            number[order[cut[bucket]:cut[bucket + 1]][many]] = numbers
+        numbers = np.sort(number[number >= 0])
+        local = np.where(number >= 0, np.searchsorted(numbers, number), -1)
         grams = np.full(len(self.words), -1, np.int32)
-        if len(key):
-            hit = key[found] == want
-            grams[at[hit]] = sorting[found[hit]]
+        grams[at] = local[which]
         return Shard(self.words, grams, numbers).shrunk(depth)
 
     def shrunk(self, depth: int) -> Shard:
@@ -287,9 +286,29 @@ def bucket_of(p: np.ndarray, s: np.ndarray, buckets: int) -> np.ndarray:
     return ((h >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
+def _dealt(p: np.ndarray, s: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of a shard's entries by bucket, first and last part, and where buckets begin."""
+    bucket = bucket_of(p, s, buckets)
+    order = np.lexsort((s, p, bucket))
+    return order, np.searchsorted(bucket[order], np.arange(buckets + 1))
+
+
 TOLD = "shard long, size long, cell binary"
 
 
+def _answer(bucket: int, many: np.ndarray, numbers: np.ndarray) -> bytes:
+    """Which of a shard's entries in a bucket are frequent, and their (ascending) numbers."""
+    bits, steps = pa.compress(np.packbits(many).tobytes(), codec="zstd", asbytes=True), packed(np.diff(numbers, prepend=0))
+    return np.array([bucket, len(bits), len(numbers)], np.int64).tobytes() + bits + steps
+
+
+def _answered(size: int, cell: bytes) -> tuple[int, np.ndarray, np.ndarray]:
+    bucket, n, many = (int(x) for x in np.frombuffer(cell, np.int64, 3))
+    bits = pa.decompress(cell[24:24 + n], decompressed_size=-(-size // 8), codec="zstd", asbytes=True)
+    return (bucket, np.unpackbits(np.frombuffer(bits, np.uint8), count=size).astype(bool),
+            np.cumsum(unpacked(cell[24 + n:], many)))
+
+
 def _told_cells(shard: np.ndarray, a: np.ndarray, b: np.ndarray, number: np.ndarray) -> list[tuple[int, int, bytes]]:
     """(shard, size, cell): (a, b, number) entries packed per shard, in the given order."""
     order = np.argsort(shard, kind="stable")
@@ -346,22 +365,21 @@ def _count(buckets: int, depth: int):
                 if number != now:
                     now, rows = number, []
                 if kind == 0:
-                    rows.append(_told_entries(size, cell))
+                    rows.append((size, cell))
                     continue
-                told = [np.concatenate(x) for x in zip(*rows)] if rows else [np.zeros(0, np.int64)] * 3
-                rows = []
                 if depth == 1:
-                    shard = Shard.first(unpacked(cell, size, np.int32), told[0], told[2])
+                    told = [_told_entries(*r) for r in rows] or [[np.zeros(0, np.int64)] * 3]
+                    local, _, numbers = (np.concatenate(x) for x in zip(*told))
+                    shard = Shard.first(unpacked(cell, size, np.int32), local, numbers)
                 else:
-                    shard = Shard.of(cell).deeper(*told, depth)
+                    shard = Shard.of(cell).deeper(rows, buckets, depth)
+                rows = []
                 yield from out(number, shard)
 
     def out(number: int, shard: Shard) -> Iterator[pa.RecordBatch]:
         p, s, n = shard.entries(depth)
-        bucket = bucket_of(p, s, buckets)
-        order = np.lexsort((s, p, bucket))
-        p, s, n, bucket = p[order], s[order], n[order], bucket[order]
-        cut = np.searchsorted(bucket, np.arange(buckets + 1))
+        order, cut = _dealt(p, s, buckets)
+        p, s, n = p[order], s[order], n[order]
         rows = [(number, -1, 0, shard.cell())]
         for i in np.flatnonzero(np.diff(cut)):
             e = slice(cut[i], cut[i + 1])
@@ -381,25 +399,26 @@ SUMMED = "shard long, a long, b long, number long, f long, size long, cell binar
 
 def _sum(least: int):
     """Entries sorted by bucket: frequent n-grams (``shard`` null, with their counts),
-    and per shard the ones that it has, packed."""
+    and per shard the answer to its entries."""
     names = ["shard", "a", "b", "number", "f", "size", "cell"]
     types = [*[pa.int64()] * 6, pa.binary()]
 
     def merged(bucket: int, held: list) -> Iterator[pa.RecordBatch]:
         p, s, n = (np.concatenate([h[k] for h in held]) for k in (1, 2, 3))
-        shard = np.repeat(np.array([h[0] for h in held]), [len(h[1]) for h in held])
         order = np.lexsort((s, p))
-        p, s, n, shard = p[order], s[order], n[order], shard[order]
+        p, s, n = p[order], s[order], n[order]
         start = np.flatnonzero(np.r_[True, (p[1:] != p[:-1]) | (s[1:] != s[:-1])])
         f = np.add.reduceat(n.astype(np.int64), start)
         many = f >= least
         number = bucket << 32 | np.cumsum(many) - 1
-        own = np.repeat(many, np.diff(np.r_[start, len(p)]))
-        rows = np.flatnonzero(own)
-        if not len(rows):
+        if not many.any():
             return
-        of = np.searchsorted(start, rows, side="right") - 1
-        cells = _told_cells(shard[rows], p[rows], s[rows], number[of])
+        each = np.empty(len(p), np.int64)               # an entry's number, -1: not frequent, as the shards sent them
+        each[order] = np.repeat(np.where(many, number, -1), np.diff(np.r_[start, len(p)]))
+        cells = []
+        for h, own in zip(held, np.split(each, np.cumsum([len(h[1]) for h in held])[:-1])):
+            if (own >= 0).any():
+                cells.append((h[0], len(own), _answer(bucket, own >= 0, own[own >= 0])))
         for e in range(0, len(cells), 500):
             shards, size, cell = zip(*cells[e:e + 500])
             yield pa.RecordBatch.from_arrays(
@@ -457,16 +476,18 @@ def mine_phrases(documents: DataFrame, least: int = 30, longest: int = 4,
         rows = told.select("shard", F.lit(0).alias("kind"), "size", "cell").unionAll(
             cells.select("shard", F.lit(1).alias("kind"), "size", "cell"))
         counted = written(rows.repartition(parts, "shard").sortWithinPartitions("shard", "kind")
-                          .mapInArrow(_count(buckets, depth), COUNTED), f"phrases-counted-{depth + 1}")
+                          .mapInArrow(_count(buckets, depth), COUNTED).withColumn("whole", F.col("bucket") < 0),
+                          f"phrases-counted-{depth + 1}", by="whole")
         discard(*before)
         before = [counted]
-        summed = written(counted.where("bucket >= 0").repartition(parts, "bucket").sortWithinPartitions("bucket")
+        summed = written(counted.where("not whole").drop("whole").repartition(parts, "bucket").sortWithinPartitions("bucket")
                          .mapInArrow(_sum(least), SUMMED), f"phrases-summed-{depth + 1}")
+        discard_part(counted, "whole=false")               # only the shards are read again
         longer = summed.where("shard is null").select("a", "b", "number", "f")
         levels.append(_extended(level, longer))
         level = written(_joined(level, longer), f"phrases-level-{depth + 1}")
         told = summed.where("shard is not null").select("shard", "size", "cell")
-        cells = counted.where("bucket < 0").select("shard", "size", "cell")
+        cells = counted.where("whole").select("shard", "size", "cell")
     levels.append(level.withColumns({"right_f": F.lit(None).cast("long"), "left_f": F.lit(None).cast("long")}))
     phrases = None
     for i, df in enumerate(levels):

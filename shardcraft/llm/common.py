@@ -36,13 +36,14 @@ ROWS_SETTING, BYTES_SETTING = (f"spark.sql.execution.arrow.max{x}PerBatch" for x
 CLEANUP_SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet under ``spark.checkpoint.dir`` and read it back.  The write's
     own shuffle files go when it has ended, since nothing reads them again.
 
     Arrow batches of the session are held at :data:`BATCH_ROWS` rows and
     :data:`BATCH_BYTES` bytes (a longer row is a batch of its own), which bounds
-    what a task keeps in Python and in Arrow's buffers."""
+    what a task keeps in Python and in Arrow's buffers.  With ``by``, each value of that
+    column has a folder of its own, for :func:`discard_part`."""
     conf = df.sparkSession.conf
     if int(conf.get(ROWS_SETTING)) > BATCH_ROWS:
         conf.set(ROWS_SETTING, str(BATCH_ROWS))
@@ -51,7 +52,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     before = conf.get(CLEANUP_SETTING, "false")
     conf.set(CLEANUP_SETTING, "true")
     try:
-        df.write.parquet(path)
+        df.write.parquet(path, partitionBy=by)
     finally:
         conf.set(CLEANUP_SETTING, before)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
@@ -67,6 +68,13 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def discard_part(df: DataFrame, part: str) -> None:
+    """Delete one folder (``column=value``) of a table written ``by`` that column."""
+    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(df.written_at, part)
+    path.getFileSystem(conf).delete(path, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

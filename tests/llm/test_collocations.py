@@ -94,3 +94,37 @@ def test_what_shards_are_told_is_packed():
     for x in (first, deep):
         y = collocations.Shard.of(x.cell())
         assert (x.words == y.words).all() and (x.grams == y.grams).all() and (x.numbers == y.numbers).all()
+
+
+def test_buckets_answer_in_the_order_of_the_entries():
+    rng = np.random.default_rng(6)
+    n, buckets, base = 40_000, 7, 5 << 32
+    words = np.r_[0, rng.integers(0, 300, n)].astype(np.int32)
+    shard = collocations.Shard(words, words - 1, base + np.cumsum(rng.integers(1, 9, 300)))
+    assert len(shard.cell()) < len(collocations.packed(words)) + 400           # numbers took up to 3 bytes each
+    p, s, count = shard.entries(1)
+    order, cut = collocations._dealt(p, s, buckets)
+    answers, want, size = [], {}, 0
+    for bucket in range(buckets):
+        own = order[cut[bucket]:cut[bucket + 1]]
+        many = count[own] > 1
+        numbers = (bucket << 32) + np.cumsum(rng.integers(1, 3, int(many.sum())))
+        want |= dict(zip(zip(p[own][many].tolist(), s[own][many].tolist()), numbers.tolist()))
+        answers.append((len(own), collocations._answer(bucket, many, numbers)))
+        size += len(answers[-1][1])
+    assert want and size < len(p) / 2                                          # 6 bytes an n-gram before
+    deep = collocations.Shard.of(shard.cell()).deeper(answers[::-1], buckets, 2)
+    number = shard.numbers
+    pairs = [(int(number[a - 1]), int(number[b - 1])) if a and b else None for a, b in zip(words, words[1:])]
+    got = [int(deep.numbers[g]) for g in deep.grams if g >= 0]
+    assert got == [want[x] for x in pairs if x in want] and (np.diff(deep.numbers) > 0).all()
+
+
+def test_entries_go_when_they_are_summed(spark, monkeypatch):
+    gone = []
+    discard_part = collocations.discard_part
+    monkeypatch.setattr(collocations, "discard_part", lambda df, part: gone.append(part) or discard_part(df, part))
+    rows = [("en", "a b c d e")] * 40
+    got = collocations.collocations(spark.createDataFrame(rows, "lang string, text string")).collect()
+    assert gone == ["whole=false"] * 3
+    assert sorted(map(tuple, got)) == plain(rows, 30, 4, 2000)
