@@ -20,6 +20,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from array import array
@@ -41,21 +42,63 @@ RESULT = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
 
 # ---------------------------------------------------------------- tokenising
 
+#: classes of UTF-8 bytes: white space, letters, digits, other signs, and what only the tokenizer splits
+BLANK, LETTER, DIGIT, SIGN, ODD = range(5)
+_CLASS = np.full(256, ODD, np.uint8)
+_CLASS[[9, 10, 11, 12, 13, 32]] = BLANK
+_CLASS[0x21:0x7F] = SIGN
+_CLASS[0x27] = ODD
+_CLASS[0x30:0x3A] = DIGIT
+_CLASS[0x41:0x5B] = _CLASS[0x61:0x7B] = LETTER
+_CLASS[0x80:0xC0] = _CLASS[0xC3] = LETTER       # À to ÿ; the first bytes of other characters are odd
+
+
+def _pretokens(buf: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The pre-tokens of a text in lower case, where each begins, and whether it is an odd chunk."""
+    kind = _CLASS[buf]
+    odd = kind == ODD
+    lead = np.flatnonzero(buf[:-1] == 0xC3)
+    odd[lead[np.isin(buf[lead + 1], (0x97, 0xB7))]] = True         # multiplication and division signs
+    odd[:-1] |= (buf[:-1] == 0x3C) & (buf[1:] == 0x7C)             # "<|" may begin a special token
+    full = kind != BLANK
+    edge = np.ones(len(buf), bool)
+    edge[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == DIGIT)
+    upper = (buf >= 0x41) & (buf <= 0x5A)
+    upper[lead + 1] = buf[lead + 1] < 0x9F                         # À to Þ
+    if odd.any():
+        chunk = np.cumsum(~full, dtype=np.int32)
+        whole = np.zeros(int(chunk[-1]) + 1, bool)
+        whole[chunk[odd]] = True
+        odd = whole[chunk]
+        after = np.r_[True, ~full[:-1]]
+        edge = np.where(odd, after, edge)
+        upper &= ~odd
+    edge &= full
+    at = np.flatnonzero(edge)
+    ends = np.r_[np.flatnonzero(edge[full]), np.count_nonzero(full)].astype(np.int32)
+    data = (buf + (upper.view(np.uint8) << 5))[full]
+    tokens = pa.StringArray.from_buffers(len(at), pa.py_buffer(ends), pa.py_buffer(data))
+    return tokens, at, odd[at]
+
+
 class WordCache:
     """Token ids of texts, from the tokenizer, kept per pre-token.
 
     The tokenizer drops white space and never joins over it, so a text's ids
     are the ids of its chunks in order.  Stretches of plain letters, digits and
-    punctuation are split into pre-tokens here; a chunk with anything else goes as it is,
-    known by a leading space.  A batch's unseen pre-tokens go to the
-    tokenizer in one text, each followed by a mark that has an id of its own.  Two
+    punctuation are split into pre-tokens here, some texts at a time; a chunk with anything
+    else goes as it is, known by a leading space.  Each distinct pre-token is looked up once, and
+    the unseen ones go to the tokenizer in one text.  Where the vocabulary ends words with a suffix, that
+    tells their ids apart; else each is followed by a mark that has an id of its own.  Two
     generations of bounded size hold what was seen last.
     """
 
-    ODD = re.compile(r"[^\s!-&(-~À-ÖØ-öø-ÿ]|<\|")
-    APART = re.compile(r"([0-9]|[^a-zß-öø-ÿ0-9\s]+)")      # pre-tokens that white space need not part
     MARK = "\x02"
     KEPT_WHOLE = re.compile("[\x1c-\x1f]")      # str.split() would cut here, the tokenizer doesn't
+    OTHER_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+    #: what the tokenizer does to a text before it looks for words; to plain pre-tokens this does nothing more
+    NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+    SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 
     def __init__(self, path: str, limit: int = 300_000):
         from tokenizers import Tokenizer
@@ -67,6 +110,30 @@ class WordCache:
         ids = self.tokenizer.encode(f"a{self.MARK}", add_special_tokens=False).ids
         if len(self.mark) != 1 or ids[1:] != self.mark:
             self.mark = None                     # another vocabulary: pre-tokens go one by one
+        self.plain, self.last = self._for_plain(path)
+
+    def _for_plain(self, path: str):
+        """The same model for pre-tokens parted by spaces, without the steps that pre-tokens have behind
+        them, and which ids end a word; (None, None) if the tokenizer isn't known to work so."""
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        steps, model = (spec.get("pre_tokenizer") or {}).get("pretokenizers", []), spec["model"]
+        suffix = model.get("end_of_word_suffix")
+        if not (suffix and model["type"] == "BPE" and (spec.get("normalizer") or {}).get("normalizers") == self.NORMALIZER
+                and len(steps) == 2 and steps[0].get("pattern") == {"Regex": self.SPLIT}
+                and steps[0].get("behavior") == "Removed" and steps[0].get("invert") is True
+                and steps[1].get("type") == "ByteLevel" and not steps[1]["use_regex"] and not steps[1]["add_prefix_space"]
+                and not spec.get("truncation") and not spec.get("post_processor")):
+            return None, None
+        plain = Tokenizer.from_file(path)
+        plain.normalizer = None
+        plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        last = np.zeros(max(model["vocab"].values()) + 1, bool)
+        last[[i for t, i in model["vocab"].items() if t.endswith(suffix)]] = True
+        return plain, last
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -75,51 +142,65 @@ class WordCache:
         odd = [p for p in unseen if p[0] == " "]
         self.young.update(zip(odd, self._encoded([p[1:] for p in odd])))
         unseen = [p for p in unseen if p[0] != " "] if odd else unseen
-        if self.mark is None:
-            self.young.update(zip(unseen, self._encoded(unseen)))
-            return
         for s in range(0, len(unseen), 20_000):
             some = unseen[s:s + 20_000]
-            raw = self._encoded([f" {self.MARK} ".join(some)])[0]
-            ends = np.flatnonzero(np.frombuffer(raw, np.uint32) == self.mark[0]) * 4
-            if len(ends) != len(some) - 1:       # a pre-token that holds the mark
+            raw, at, ends = self._together(some)
+            if len(ends) == len(some):
+                self.young.update((p, raw[i:j]) for p, i, j in zip(some, at, ends))
+            else:                                # a pre-token that holds the mark, or no way to tell ids apart
                 self.young.update(zip(some, self._encoded(some)))
-                continue
-            at = [0, *(ends + 4).tolist()]
-            self.young.update((p, raw[i:j]) for p, i, j in zip(some, at, [*ends.tolist(), len(raw)]))
-
-    def _plain(self, text: str) -> list[str]:
-        return self.APART.sub(r" \1 ", text.lower()).split()
-
-    def _split(self, text: str) -> list[str]:
-        """A text's pre-tokens, and its odd chunks with a leading space."""
-        if not self.ODD.search(text):
-            return self._plain(text)
-        out, at, text = [], 0, " ".join(text.split())
-        while m := self.ODD.search(text, at):
-            start, end = max(at, text.rfind(" ", at, m.start()) + 1), text.find(" ", m.start())
-            end = len(text) if end < 0 else end
-            out += self._plain(text[at:start])
-            out.append(" " + text[start:end])
-            at = end
-        return out + self._plain(text[at:])
+
+    def _together(self, some: list[str]) -> tuple[bytes, list[int], list[int]]:
+        """Ids of pre-tokens in one text, and where those of each begin and end; another number of
+        ends if that can't be told."""
+        if self.plain is not None:
+            ids = self.plain.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids
+            ids = np.array(ids, np.uint32)
+            ends = (np.flatnonzero(self.last[ids]) + 1) * 4
+            if len(ends) == len(some) and ends[-1] == 4 * len(ids):
+                return ids.tobytes(), [0, *ends[:-1].tolist()], ends.tolist()
+        if self.mark is None:
+            return b"", [], []
+        raw = self._encoded([f" {self.MARK} ".join(some)])[0]
+        marks = np.flatnonzero(np.frombuffer(raw, np.uint32) == self.mark[0]) * 4
+        return raw, [0, *(marks + 4).tolist()], [*marks.tolist(), len(raw)]
 
     def ids_of(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of every text."""
-        whole = [bool(self.KEPT_WHOLE.search(t)) for t in texts]
-        split = [[] if w else self._split(t) for t, w in zip(texts, whole)]
+        if not texts:
+            return []
+        raw = [(t if t.isascii() else self.OTHER_SPACE.sub(" ", t)).encode() for t in texts]
+        buf = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
+        whole = []
+        if ((buf >= 0x1C) & (buf <= 0x1F)).any():
+            whole = [i for i, t in enumerate(texts) if self.KEPT_WHOLE.search(t)]
+            for i in whole:
+                raw[i] = b""
+            buf = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
+        tokens, at, odd = _pretokens(buf)
+        tokens = tokens.dictionary_encode()
+        known = tokens.dictionary.to_numpy(zero_copy_only=False).tolist()
+        for i in np.unique(tokens.indices.to_numpy()[odd]).tolist():
+            known[i] = " " + known[i]
         if len(self.young) >= self.limit:
             self.young, self.old = {}, self.young
-        wanted = set().union(*split).difference(self.young)
-        again = wanted.intersection(self.old)
-        self.young.update((p, self.old[p]) for p in again)
+        ids = list(map(self.young.get, known))
+        wanted = [i for i, x in enumerate(ids) if x is None]
+        again = {p: x for p in map(known.__getitem__, wanted) if (x := self.old.get(p)) is not None}
+        self.young.update(again)
         if len(again) < len(wanted):
-            self._learn(list(wanted - again))
-        get = self.young.__getitem__
-        out = [b"".join(map(get, s)) for s in split]
-        odd = [i for i, w in enumerate(whole) if w]
-        for i, ids in zip(odd, self._encoded([texts[i] for i in odd])):
-            out[i] = ids
+            self._learn([p for p in map(known.__getitem__, wanted) if p not in again])
+        for i in wanted:
+            ids[i] = self.young[known[i]]
+        ids = pa.array(ids, pa.large_binary()).take(tokens.indices)
+        _, offsets, data = ids.buffers()
+        offsets = np.frombuffer(offsets, np.int64, len(ids) + 1, 8 * ids.offset)
+        doc_end = np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)) + 1)
+        cut = [0, *offsets[np.searchsorted(at, doc_end)].tolist()]
+        data = data.to_pybytes() if data is not None else b""
+        out = [data[i:j] for i, j in zip(cut[:-1], cut[1:])]
+        for i, got in zip(whole, self._encoded([texts[i] for i in whole])):
+            out[i] = got
         return out
 
     def ids(self, text: str) -> bytes:

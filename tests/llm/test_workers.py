@@ -1,5 +1,8 @@
 """What a reused Python worker keeps from task to task."""
 
+import random
+from array import array
+
 import public_tokenizers
 
 from shardcraft.llm import common, jaccard, packing, substring
@@ -29,3 +32,24 @@ def test_a_batch_of_long_texts_is_split_some_at_a_time(monkeypatch):
     texts = [f"word{i} " * 2000 for i in range(200)]
     assert list(packing._ids(cache, pa.array(texts))) == [ids_of([t])[0] for t in texts]
     assert max(most) < (1 << 19) + 20_000
+
+
+def test_plain_pre_tokens_go_to_the_model_alone_and_each_distinct_one_once(monkeypatch):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path(WORD_TOKENIZER)
+    tok, cache = Tokenizer.from_file(path), packing.WordCache(path, limit=100)
+    slow, learnt, rng = [], [], random.Random(5)
+    encoded, learn = cache._encoded, cache._learn
+    monkeypatch.setattr(cache, "_encoded", lambda texts: slow.extend(texts) or encoded(texts))
+    monkeypatch.setattr(cache, "_learn", lambda unseen: learnt.extend(unseen) or learn(unseen))
+    plain = ["".join(rng.choices("abÀéßÿQZ07.,-<>\n\t ", k=60)) for _ in range(200)]
+    assert [list(array("I", g)) for g in cache.ids_of(plain)] == [tok.encode(t, add_special_tokens=False).ids for t in plain]
+    assert not slow and len(learnt) == len(set(learnt))          # went through normalizer and pattern before
+    signs = [*"ab01 \n\x0b\x1c\x1f\x00\x02\x85\xa0\u2003\u3000\u0301\u0323ÀàŁıİ×÷'|<>中😀²", "<|endoftext|>", "<|ENDOFTEXT|>", "</w>", "'ll"]
+    odd = ["".join(rng.choices(signs, k=rng.randrange(30))) for _ in range(2000)]
+    for _ in range(2):
+        assert [list(array("I", g)) for g in cache.ids_of(odd)] == [tok.encode(t, add_special_tokens=False).ids for t in odd]
+    monkeypatch.setattr(cache, "plain", None)                    # a tokenizer not known to work so: a mark parts pre-tokens
+    cache.young, cache.old = {}, {}
+    assert cache.ids_of(plain) == [encoded([t])[0] for t in plain]
