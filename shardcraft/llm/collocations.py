@@ -457,8 +457,9 @@ def mine_phrases(documents: DataFrame, least: int = 30, longest: int = 4,
     Totals: lang, n (all word occurrences)."""
     spark = documents.sparkSession
     parts = shuffle_partitions(spark)
-    raw = written(documents.select("lang", "text").mapInArrow(_shards(shard_words), SHARD), "phrases-shards")
-    vocabulary = raw.where("word is not null")
+    raw = written(documents.select("lang", "text").mapInArrow(_shards(shard_words), SHARD)
+                  .withColumn("whole", F.col("cell").isNotNull()), "phrases-shards", by="whole")
+    vocabulary = raw.where("not whole").drop("whole")
     totals = written(vocabulary.groupBy("lang").agg(F.sum("n").alias("n")), "phrases-totals")
     known = written(vocabulary.groupBy("lang", "word").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
                     .withColumn("number", F.monotonically_increasing_id()), "phrases-words")
@@ -467,11 +468,14 @@ def mine_phrases(documents: DataFrame, least: int = 30, longest: int = 4,
     level = known.select("number", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "f",
                          F.array("f").alias("heads"), F.array("f").alias("tails"))
     frequent, _ = split_by(vocabulary, F.xxhash64("lang", "word"), known.select(F.xxhash64("lang", "word")))
-    told = (frequent.select("shard", "lang", "word", F.col("number").alias("local"))
-            .join(known.select("lang", "word", "number"), ["lang", "word"])
-            .select("shard", F.col("local").cast("long").alias("a"), "number").mapInArrow(_pack_told, TOLD))
-    cells = raw.where("cell is not null").select("shard", "size", "cell")
-    levels, before = [], [raw]
+    # written, so that the words and their join's shuffle files are gone before n-grams are counted
+    told = written(frequent.select("shard", "lang", "word", F.col("number").alias("local"))
+                   .join(known.select("lang", "word", "number"), ["lang", "word"])
+                   .select("shard", F.col("local").cast("long").alias("a"), "number").mapInArrow(_pack_told, TOLD),
+                   "phrases-told")
+    discard_part(raw, "whole=false")
+    cells = raw.where("whole").select("shard", "size", "cell")
+    levels, before = [], [raw, told]
     for depth in range(1, longest):
         rows = told.select("shard", F.lit(0).alias("kind"), "size", "cell").unionAll(
             cells.select("shard", F.lit(1).alias("kind"), "size", "cell"))

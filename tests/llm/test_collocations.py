@@ -3,11 +3,13 @@
 import random
 import re
 from collections import Counter, defaultdict
+from pathlib import Path
+from urllib.parse import urlparse
 
 import numpy as np
 import pytest
 
-from shardcraft.llm import collocations
+from shardcraft.llm import collocations, common
 
 WITHIN, SCALE = 80, 2_000_000
 
@@ -128,3 +130,20 @@ def test_entries_go_when_they_are_summed(spark, monkeypatch):
     got = collocations.collocations(spark.createDataFrame(rows, "lang string, text string")).collect()
     assert gone == ["whole=false"] * 3
     assert sorted(map(tuple, got)) == plain(rows, 30, 4, 2000)
+
+
+def test_words_are_gone_before_n_grams_are_counted(spark, monkeypatch):
+    there, tables = {}, {}
+
+    def watched(df, name, by=None):
+        there[name] = {n: sorted(f.name for f in Path(urlparse(t.written_at).path).glob("*=*")) for n, t in tables.items()}
+        tables[name] = out = common.written(df, name, by)
+        return out
+
+    monkeypatch.setattr(collocations, "written", watched)
+    df = spark.createDataFrame([("en", "a b c a b d. a b")] * 40, "lang string, text string")
+    phrases, _ = collocations.mine_phrases(df, shard_words=50)
+    assert {r.phrase: r.f for r in phrases.where("words = 2").collect()} == {"a b": 120, "b c": 40, "c a": 40, "b d": 40}
+    assert there["phrases-words"]["phrases-shards"] == ["whole=false", "whole=true"]
+    assert there["phrases-counted-2"]["phrases-shards"] == ["whole=true"]       # the words lay there beside the n-grams
+    assert "phrases-told" in there["phrases-counted-2"] and there["phrases-summed-2"]["phrases-shards"] == []
