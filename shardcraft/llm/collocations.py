@@ -473,7 +473,7 @@ def mine_phrases(documents: DataFrame, least: int = 30, longest: int = 4,
                    .join(known.select("lang", "word", "number"), ["lang", "word"])
                    .select("shard", F.col("local").cast("long").alias("a"), "number").mapInArrow(_pack_told, TOLD),
                    "phrases-told")
-    discard_part(raw, "whole=false")
+    discard(raw, part="whole=false")
     cells = raw.where("whole").select("shard", "size", "cell")
     levels, before = [], [raw, told]
     for depth in range(1, longest):

@@ -60,19 +60,18 @@ def written(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     return out
 
 
-def discard(*tables: DataFrame) -> None:
-    """Delete tables made by :func:`written` that no later step reads."""
+def discard(*tables: DataFrame, part: str = "") -> None:
+    """Delete tables made by :func:`written` that no later step reads, or of each only the
+    folder ``part`` (``column=value``)."""
     for df in tables:
         jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
-        path = jvm.org.apache.hadoop.fs.Path(df.written_at)
+        path = jvm.org.apache.hadoop.fs.Path(f"{df.written_at}/{part}" if part else df.written_at)
         path.getFileSystem(conf).delete(path, True)
 
 
 def discard_part(df: DataFrame, part: str) -> None:
     """Delete one folder (``column=value``) of a table written ``by`` that column."""
-    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(df.written_at, part)
-    path.getFileSystem(conf).delete(path, True)
+    discard(df, part=part)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
