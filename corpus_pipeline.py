@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shardcraft.llm import decontaminate, jaccard, packing, quality, substring
-from shardcraft.llm.common import table, written
+from shardcraft.llm.common import discard, table, written
 from shardcraft.llm.queries import WORD_TOKENIZER
 
 
@@ -60,9 +60,11 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for i, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+        last, docs = docs, stage(spark, docs, sf_dir)
         if i + 1 < len(STAGES):
             docs = written(docs, f"pipeline-{i + 1}")
+            if i:                     # the table that this stage has read
+                discard(last)
     return docs
 
 

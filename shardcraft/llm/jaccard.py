@@ -24,6 +24,11 @@ that share a segment the block product is accumulated in a task; only links that
 join components leave it.  A pair that is never tested lies within one
 component, so components are exact and no group is expanded into rows of pairs.
 
+What is exchanged lies on disk until a step ends, and segments are several times the
+texts.  So keys are dealt into ``ROUNDS`` by hash, each with a scan and an exchange of its
+own, and products are formed in as many rounds as keep what one moves near the size of the
+rows' own n-grams, however many meet.
+
 Row identity and n-grams are 64-bit hashes.
 
 Defined results: null and empty texts have an empty set, link with nothing and
@@ -36,17 +41,19 @@ rows; other input columns are ignored.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import SPACE, U64, discard, let_go, mix, range_hashes, repeated_keys, slices, split_by, text_bytes, words, written
 
 GROWTH, SIZE_BITS = 1.35, 25
 BLOCK_ROWS, BLOCK_GRAMS = 400, 250_000
+ROUNDS = 3                     # exchanges that the segments are dealt into
 EMPTY = U64(0x5851F42D4C957F2D)
 
 
@@ -127,7 +134,8 @@ class Levels:
         return (np.concatenate(out), np.concatenate(level)) if out else (np.zeros(0, U64), np.zeros(0, np.int32))
 
 
-def _emit(n: int, num: int, den: int):
+def _emit(n: int, num: int, den: int, turn: int = 0, rounds: int = 1):
+    """Segments whose key belongs to the round ``turn``, and with the first one the rows."""
     def run(batches: Iterator[pa.RecordBatch]):
         let_go()
         levels = Levels(num, den)
@@ -140,6 +148,9 @@ def _emit(n: int, num: int, den: int):
                 sizes.append(len(g))
                 if len(g):
                     key, level = levels.segments(g)
+                    if rounds > 1:             # by the low half of a key; its high half names the bucket
+                        own = (key & U64(0xFFFFFFFF)) * U64(rounds) >> U64(32) == U64(turn)
+                        key, level = key[own], level[own]
                     if len(key):
                         held.append((key, sid, level))
                         total += len(key)
@@ -148,6 +159,8 @@ def _emit(n: int, num: int, den: int):
                     held, total = [], 0
             if held:
                 yield 0, _entries(held)
+            if turn:
+                continue
             sid, size = np.array(sets, U64), np.array(sizes, np.int32)
             known = np.array([i is not None for i in ids], bool)
             doc = np.array([i or 0 for i in ids], np.int64)
@@ -276,10 +289,29 @@ def _block_product(num: int, den: int):
 
 
 def linked(pairs: DataFrame, vectors: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs whose product entry reaches the bound."""
-    both = (pairs.join(vectors.select(F.col("node").alias("a"), F.col("grams").alias("x")), "a")
-            .join(vectors.select(F.col("node").alias("b"), F.col("grams").alias("y")), "b"))
-    return both.select("a", "b", "x", "y").mapInArrow(_product(num, den), "a long, b long").distinct()
+    """The pairs whose product entry reaches the bound.  A vector travels with every pair of it, so
+    the written pairs are taken in rounds with about as many pairs as there are vectors."""
+    rounds = -(-pairs.count() // max(1, vectors.count()))
+
+    def one(part: Callable[[str], Column]) -> DataFrame:
+        x = vectors.select(F.col("node").alias("a"), F.col("grams").alias("x")).where(part("a"))
+        y = vectors.select(F.col("node").alias("b"), F.col("grams").alias("y"))
+        both = pairs.where(part("a")).join(x, "a").join(y, "b")
+        return both.select("a", "b", "x", "y").mapInArrow(_product(num, den), "a long, b long").distinct()
+
+    return _in_rounds(one, rounds, "jaccard-links")
+
+
+def _in_rounds(one: Callable[[Callable[[str], Column]], DataFrame], rounds: int, name: str) -> DataFrame:
+    """The rows of ``one`` over all rounds, written.  ``one`` gets a test that holds for a column's
+    values of its round; a round's shuffle files go before the next one begins."""
+    made = [written(one(lambda c, r=r: F.pmod(F.xxhash64(c), F.lit(max(1, rounds))) == r), name)
+            for r in range(max(1, rounds))]
+    if len(made) == 1:
+        return made[0]
+    out = written(reduce(DataFrame.unionAll, made), name)
+    discard(*made)
+    return out
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -313,14 +345,16 @@ def similarity_components(documents: DataFrame, n: int = 5, num: int = 80, den:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links
     ``den * |x & y| >= num * |x | y|``), one row per document."""
     docs = documents.select("doc_id", "text")
-    met = repeated_keys(docs, _emit(n, num, den), "jaccard-segments")
-    rows = met.where("kind > 1").select(F.when(F.col("kind") == 2, F.col("a")).alias("doc_id"),
-                                        F.col("key").alias("set_id"), F.col("b").alias("n_shingles"))
-    shared = met.where("kind = 1").select(
+    met = [repeated_keys(docs, _emit(n, num, den, turn, ROUNDS), "jaccard-segments") for turn in range(ROUNDS)]
+    rows = written(met[0].where("kind > 1").select(
+        F.when(F.col("kind") == 2, F.col("a")).alias("doc_id"), F.col("key").alias("set_id"),
+        F.col("b").alias("n_shingles")), "jaccard-sets")
+    shared = reduce(DataFrame.unionAll, met).where("kind = 1").select(
         "key", F.col("a").alias("node"), F.shiftright("b", SIZE_BITS).alias("level"),
         F.col("b").bitwiseAND((1 << SIZE_BITS) - 1).alias("n"))
     shared = _dense(shared, "node", Levels(num, den).need)
-    done = [met, shared]
+    discard(*met)
+    done = [rows, shared]
     if shared.isEmpty():
         comps = rows.sparkSession.createDataFrame([], "node long, comp long")
     else:
@@ -368,17 +402,18 @@ def _components_of(docs, rows, shared, n, num, den) -> DataFrame:
     centre = ranked.groupBy("key").agg(F.max(F.struct("met", "node", "n")).alias("c"))
     first = written(ranked.join(centre, "key").where((F.col("node") != F.col("c.node")) & fits(F.col("n"), F.col("c.n")))
                     .select(F.col("node").alias("b"), F.col("c.node").alias("a")).distinct(), "jaccard-pairs")
-    links = written(linked(first, vectors, num, den), "jaccard-links")
+    links = linked(first, vectors, num, den)
     discard(wanted, first)
     comps = written(components(links), "jaccard-comps")
     # pass 2: whatever shares a segment over components
     placed = shared.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     split = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
     apart = written(placed.join(split.select("key"), "key").select("key", "comp", "node", "level", "n"), "jaccard-open")
-    done = [vectors, links, apart]
+    done = [vectors, links]
     if not apart.isEmpty():
-        apart = _dense(apart, "comp", Levels(num, den).need)
-        done.append(apart)
+        last, apart = apart, _dense(apart, "comp", Levels(num, den).need)
+        discard(last)
+    done.append(apart)
     if not apart.isEmpty():
         more = _open_links(apart, vectors, num, den)
         done.append(more)
@@ -401,18 +436,34 @@ def _open_links(apart: DataFrame, vectors: DataFrame, num: int, den: int) -> Dat
     cells = homes.groupBy("home").agg(
         F.ceil(F.greatest(F.count("*") / BLOCK_ROWS, F.sum("n") / BLOCK_GRAMS)).alias("cells"))
     placed = written(homes.join(cells, "home").select(
-        "node", "comp", F.xxhash64("home", F.pmod(F.xxhash64("node"), "cells")).alias("block")), "jaccard-blocks")
+        "node", "comp", "n", F.xxhash64("home", F.pmod(F.xxhash64("node"), "cells")).alias("block")), "jaccard-blocks")
     where = apart.join(placed.select("node", "block"), "node").select("key", "block").distinct()
     met = (where.withColumnRenamed("block", "i").join(where.withColumnRenamed("block", "j"), "key")
            .where("i <= j").select("i", "j").distinct())
+    # of two blocks the lighter one travels to the other; those of a single component have nothing to join
+    about = written(placed.groupBy("block").agg((F.sum("n") + 3 * F.count("*")).alias("weight"),
+                                                F.min("comp").alias("lo"), F.max("comp").alias("hi")), "jaccard-weights")
+    i, j = (about.select(F.col("block").alias(k), *(F.col(c).alias(f"{c}_{k}") for c in ("weight", "lo", "hi")))
+            for k in ("i", "j"))
+    lighter = F.col("weight_i") <= F.col("weight_j")
+    met = written(met.join(i, "i").join(j, "j")
+                  .where(F.least("lo_i", "lo_j") < F.greatest("hi_i", "hi_j"))
+                  .select(F.when(lighter, F.col("i")).otherwise(F.col("j")).alias("i"),
+                          F.when(lighter, F.col("j")).otherwise(F.col("i")).alias("j"),
+                          F.least("weight_i", "weight_j").alias("weight")), "jaccard-meetings")
+    moved, held = (t.agg(F.sum("weight")).first()[0] or 0 for t in (met, about))
     packed = written(placed.join(vectors, "node").select("block", "node", "comp", "grams")
                      .repartition("block").sortWithinPartitions("block").mapInArrow(_pack_blocks, PACKED),
                      "jaccard-packed")
     sides = [packed.select(F.col("block").alias(k), *(F.col(c).alias(f"{c}_{k}") for c in PACKED_COLUMNS))
              for k in ("i", "j")]
-    out = written(met.join(sides[0], "i").join(sides[1], "j").where("i < j or length(nodes_i) > 8")
-                  .mapInArrow(_block_product(num, den), "a long, b long").distinct(), "jaccard-links2")
-    discard(placed, packed)
+
+    def one(part: Callable[[str], Column]) -> DataFrame:
+        both = met.where(part("j")).drop("weight").join(sides[0], "i").join(sides[1].where(part("j")), "j")
+        return both.mapInArrow(_block_product(num, den), "a long, b long").distinct()
+
+    out = _in_rounds(one, math.ceil(moved / max(1, held)), "jaccard-links2")
+    discard(placed, packed, about, met)
     return out
 
 
@@ -433,8 +484,12 @@ def keep_one(documents: DataFrame, n: int = 5, num: int = 80, den: int = 100) ->
     least = written(named.groupBy("comp").agg(F.min("place").alias("least")), "jaccard-kept")
     gone = written(named.join(least, "comp").where(F.col("place") != F.col("least")).select("row"), "jaccard-gone")
     again = written(ids.where("n > 1").select("row").join(gone, "row", "left_anti"), "jaccard-again")
-    maybe, kept = split_by(documents, key, gone.unionAll(again))
-    kept = kept.unionAll(maybe.join(gone.unionAll(again), key == F.col("row"), "left_anti"))
+    out = written(gone.unionAll(again), "jaccard-out")
+    maybe, kept = split_by(documents, key, out)
+    # most that may be among them are: the others are told by their keys, and few whole texts travel
+    back = written(maybe.select(key.alias("row")).join(out, "row", "left_anti").distinct(), "jaccard-back")
+    maybe, _ = split_by(maybe, key, back)
+    kept = kept.unionAll(maybe.join(out, key == F.col("row"), "left_anti"))
     if again.isEmpty():
         return kept
     more, _ = split_by(documents, key, again)
