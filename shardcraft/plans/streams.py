@@ -229,16 +229,18 @@ def _stream(spark, df, ts, name, **values):
     return replay.as_stream(df, ts, scratch_path(spark, name), values=values)
 
 
-def _to_end(spark, stream, name):
-    return replay.run_to_end(stream, scratch_path(spark, name), scratch_path(spark, f"{name}-checkpoint"))
+def _to_end(spark, stream, name, partitions=None):
+    return replay.run_to_end(stream, scratch_path(spark, name), scratch_path(spark, f"{name}-checkpoint"), partitions)
 
 
 @register("t2_replication_lag_stream", T2_SQL)
 def t2_replication_lag_stream(spark, sf):
     """Stream-stream left outer join; a change counts as not applied after ten minutes."""
-    s = _stream(spark, B.changes(spark, sf).select("pos", "commit_ts"), "commit_ts", "lag-source")
-    a = _stream(spark, applied(spark, sf), "apply_ts", "lag-applied")
-    return _to_end(spark, MON.replication_lag(s, a, REPLICAS, bound="10 minutes"), "lag")
+    s, a = replay.as_streams([(B.changes(spark, sf).select("pos", "commit_ts"), "commit_ts", {}),
+                              (applied(spark, sf), "apply_ts", {"replica": "", "pos": -1})],
+                             scratch_path(spark, "lag-logs"))
+    return _to_end(spark, MON.replication_lag(s, a, REPLICAS, bound="10 minutes"), "lag",
+                   spark.sparkContext.defaultParallelism)
 
 
 @register("t3_sync_monitor_stream", T3_SQL)

@@ -406,3 +406,55 @@ def test_unmatched_changes_come_out_of_the_stream_join(spark, tmp):
     out = replay.run_to_end(MON.replication_lag(s, a, ["r"], bound="1 minute"), os.path.join(tmp, "o"), os.path.join(tmp, "c"))
     assert rows(out) == rows(MON.replication_lag(src, app, ["r"]))
     assert out.where("apply_ts IS NULL").count() == 5
+
+
+def _lag_logs(spark, n):
+    """``n`` changes in shuffled order, two a second, some of them missed by a replica, the last one, too."""
+    src = spark.sql(f"SELECT nullif(id, -1) AS pos, timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id / 2) AS commit_ts "
+                    f"FROM range({n}) ORDER BY hash(id)")
+    app = src.where(f"pos % 5 != 1 AND pos < {n - 9}").select(
+        F.lit("r").alias("replica"), "pos", (F.col("commit_ts") + F.expr("make_dt_interval(0, 0, 0, pos % 7)")).alias("apply_ts"))
+    return src, app
+
+
+def test_joined_logs_come_in_batches_and_the_state_stays_small(spark, tmp):
+    from shardcraft.streaming import replay
+    src, app = _lag_logs(spark, 4000)
+    s, a = replay.as_streams([(src, "commit_ts", {}), (app, "apply_ts", {"replica": "", "pos": -1})],
+                             os.path.join(tmp, "logs"), file_rows=300, files_per_trigger=2)
+    settings = ("spark.sql.shuffle.partitions", "spark.sql.streaming.minBatchesToRetain")
+    before = [spark.conf.get(k) for k in settings]
+    out = replay.run_to_end(MON.replication_lag(s, a, ["r"], bound="10 seconds"), os.path.join(tmp, "o"), os.path.join(tmp, "c"), 2)
+    assert rows(out) == rows(MON.replication_lag(src, app, ["r"])) and out.count() == 4000
+    assert out.where("apply_ts IS NULL AND pos >= 3991").count() == 9           # also those after the last applied one
+    assert [spark.conf.get(k) for k in settings] == before
+    assert max(int(f) for f in os.listdir(os.path.join(tmp, "c", "commits")) if f.isdigit()) >= 11
+    state = os.path.join(tmp, "c", "state", "0")
+    assert sorted(f for f in os.listdir(state) if f.isdigit()) == ["0", "1"]    # two state partitions
+
+
+def test_joined_logs_of_one_time_without_rows_and_without_times(spark, tmp):
+    from shardcraft.streaming import replay
+    src, app = _lag_logs(spark, 400)
+    once = src.withColumn("commit_ts", F.lit("2024-01-01").cast("timestamp_ntz"))
+    for i, (x, y) in enumerate([(once, app), (src.where("false"), app.where("false")), (src, app.where("false")),
+                                (src.where("pos % 50 = 3").withColumn("commit_ts", F.lit(None).cast("timestamp_ntz")).unionAll(src.where("pos % 50 != 3")), app)]):
+        got = []
+        for file_rows in (50, 10**6):
+            at = os.path.join(tmp, f"{i}-{file_rows}")
+            s, a = replay.as_streams([(x, "commit_ts", {}), (y, "apply_ts", {"replica": "", "pos": -1})],
+                                     f"{at}/logs", file_rows=file_rows, files_per_trigger=1)
+            got.append(rows(replay.run_to_end(MON.replication_lag(s, a, ["r"], bound="10 minutes"), f"{at}/o", f"{at}/c", 2)))
+        assert got[0] == got[1]
+        if i < 3:
+            assert got[0] == rows(MON.replication_lag(x, y, ["r"], bound="10 minutes"))
+
+
+def test_a_store_without_times_gives_the_log_at_once(spark, tmp, monkeypatch):
+    from shardcraft.streaming import replay
+    monkeypatch.setattr(replay, "_in_order", lambda *a: False)
+    src, app = _lag_logs(spark, 400)
+    s, a = replay.as_streams([(src, "commit_ts", {}), (app, "apply_ts", {"replica": "", "pos": -1})],
+                             os.path.join(tmp, "logs"), file_rows=50, files_per_trigger=1)
+    out = replay.run_to_end(MON.replication_lag(s, a, ["r"], bound="10 seconds"), os.path.join(tmp, "o"), os.path.join(tmp, "c"))
+    assert rows(out) == rows(MON.replication_lag(src, app, ["r"]))
